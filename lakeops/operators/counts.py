@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -49,52 +50,78 @@ def conditional_distinct(
     return per_id.groupBy(*keys).agg(*out)
 
 
-#: Where each running window starts, as a function of the day.
-PERIODS = {
-    "wtd": lambda d: F.date_sub(d, F.dayofweek(d) - 1),
-    "mtd": lambda d: F.trunc(d, "month").cast("date"),
-    "qtd": lambda d: F.trunc(d, "quarter").cast("date"),
-}
+@dataclass(frozen=True)
+class Running:
+    """A window that runs within periods: `start` gives a day's first day of period (None: all days are one period);
+    only days in `limit` count."""
+
+    start: Callable[[Column], Column] | None
+    limit: Span
+
+
+#: Starts of the usual periods; weeks begin on Sunday.
+DAY = lambda d: d
+WEEK = lambda d: F.date_sub(d, F.dayofweek(d) - 1)
+MONTH = lambda d: F.trunc(d, "month").cast("date")
+QUARTER = lambda d: F.trunc(d, "quarter").cast("date")
 
 
 def distinct_by_day(
-    df: DataFrame, key: str, id_column: str, day: Column, as_of: Sequence[date], launch: date
+    df: DataFrame,
+    key: str,
+    id_column: str,
+    day: Column,
+    windows: dict[str, Running],
+    ends: dict[date, dict[str, Span]],
+    any_row: dict[str, dict[date, Span]] | None = None,
 ) -> DataFrame:
-    """Distinct ids per key in the windows day, week, month, quarter and since launch, for many end days at once.
+    """Distinct ids per key in each running window, for many end days at once: key, data_date, one column a window.
 
-    An id counts in a running window from its first day in that window's period on. So the table is reduced to its
-    distinct (key, id, day), each marked with the periods it is the first day of, then to new ids per (key, day). Only
-    that small table meets the list of end days. Rows are never copied per end day.
+    `ends` gives for each end day the days its windows cover, each from a period's start (cut by the window's limit) to
+    some day of that period. `any_row` adds Boolean columns: has the key a row on those days, NULL ids included.
 
-    A key is listed for an end day when it has a row, NULL ids included, from launch up to it.
+    Within a period an id counts from its first day on. So the table is reduced to distinct (key, id, day), marked with
+    the windows it is new in, and that to new ids per (key, day). Only this small table meets the end days; rows are
+    never copied per end day.
     """
-    last = max(as_of)
-    span = Span(launch, last)
-    rows = df.where(span.holds(day)).select(key, id_column, F.to_date(day).alias("_day"))
-    # at most one row per day in each (key, id) group
+    any_row = any_row or {}
+    spans = [w.limit for w in windows.values()] + [s for days in any_row.values() for s in days.values()]
+    universe = Span(min(s.first for s in spans), max(s.last for s in spans))
+    rows = df.where(universe.holds(day)).select(key, id_column, F.to_date(day).alias("_day"))
     days = rows.groupBy(key, id_column, "_day").agg(F.lit(1).alias("_one"))
-    before = F.lag("_day").over(W.partitionBy(key, id_column).orderBy("_day"))
+    before = F.lag("_day").over(W.partitionBy(key, id_column).orderBy("_day"))  # a group has one row a day at most
     real = F.col(id_column).isNotNull()
 
-    def new(start) -> Column:
-        first = F.col("_before").isNull() | (start(F.col("_before")) != start(F.col("_day")))
-        return F.sum(F.when(real & first, 1).otherwise(0))
+    def new(w: Running) -> Column:
+        opening = F.lit(w.limit.first)
+        if w.start is not None:
+            opening = F.greatest(opening, w.start(F.col("_day")))
+        first = F.col("_before").isNull() | (F.col("_before") < opening)
+        return F.count_if(real & first & w.limit.holds(F.col("_day")))
 
     per_day = (
         days.withColumn("_before", before)
         .groupBy(key, "_day")
-        .agg(
-            F.sum(F.when(real, 1).otherwise(0)).alias("_d_1"),
-            *[new(start).alias(f"_{name}") for name, start in PERIODS.items()],
-            F.sum(F.when(real & F.col("_before").isNull(), 1).otherwise(0)).alias("_btd"),
-        )
+        .agg(*[new(w).alias(f"_new_{name}") for name, w in windows.items()])
     )
-    spark = df.sparkSession
-    ends = spark.createDataFrame([(d,) for d in sorted(set(as_of))], "data_date date")
-    paired = per_day.join(F.broadcast(ends), F.col("_day") <= F.col("data_date"))  # the caller's own list of days
-    end, at = F.col("data_date"), F.col("_day")
+    table, fields = [], []
+    for name in windows:
+        fields += [f"_{name}_from date", f"_{name}_to date"]
+    for name in any_row:
+        fields += [f"_{name}_from date", f"_{name}_to date"]
+    for end in sorted(ends):
+        covered = [ends[end][name] for name in windows] + [any_row[name][end] for name in any_row]
+        table.append((end, *[d for s in covered for d in (s.first, s.last)]))
+    end_days = df.sparkSession.createDataFrame(table, ", ".join(["data_date date", *fields]))
+
+    def inside(name: str) -> Column:
+        return F.col("_day").between(F.col(f"_{name}_from"), F.col(f"_{name}_to"))
+
+    reached = F.lit(False)
+    for name in [*windows, *any_row]:
+        reached = reached | inside(name)
+    paired = per_day.join(F.broadcast(end_days), reached)  # the caller's own list of days
     return paired.groupBy(key, "data_date").agg(
-        F.sum(F.when(at == end, F.col("_d_1")).otherwise(0)).alias("d_1"),
-        *[F.sum(F.when(at >= start(end), F.col(f"_{name}")).otherwise(0)).alias(name) for name, start in PERIODS.items()],
-        F.sum("_btd").alias("btd"),
+        *[F.sum(F.when(inside(name), F.col(f"_new_{name}")).otherwise(0)).alias(name) for name in windows],
+        *[(F.max(inside(name).cast("int")) == 1).alias(name) for name in any_row],
     )
