@@ -11,9 +11,10 @@ def done_branches(events: DataFrame, late: str = "1 day") -> DataFrame:
     """branch_date, no_of_eoc_branch: distinct branches done so far, for events with branch_date, branch_code and the
     event time `ts`. Run it in update mode: a day's count comes out again whenever it has grown.
 
-    A stream cannot count distinct values, so repeats are dropped first. State is one entry per branch and day.
+    A stream cannot count distinct values, so repeats are dropped first: a branch's events of one day are less than
+    `late` apart. The state is one entry per branch for as long as `late`, and one count per day.
     """
-    first = events.withWatermark("ts", late).dropDuplicates(["branch_date", "branch_code"])
+    first = events.withWatermark("ts", late).dropDuplicatesWithinWatermark(["branch_date", "branch_code"])
     return first.groupBy("branch_date").agg(F.count("*").alias("no_of_eoc_branch"))
 
 

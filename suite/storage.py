@@ -1 +1,370 @@
-"""."""
+"""Files and tables: written to the scratch folder and read back."""
+
+from __future__ import annotations
+
+from datetime import date, datetime, timezone
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakeops.operators.mapping import flatten_paths
+from lakeops.plans.close_status import close_status, stamp_snapshot
+from lakeops.plans.extracts import officer_list
+from lakeops.plans.feeds import CATEGORIES, LOGINS, centers, ingest
+from lakeops.session import scratch_path
+from lakeops.sinks import export, tables
+from lakeops.sources.files import (
+    read_csv,
+    read_json_lines,
+    read_multiline_csv,
+    read_table,
+    read_xml,
+    text_schema,
+)
+from lakeops.sources.folder import only_days
+from suite.registry import plain, query, stamp_text, table
+from suite.reports import close_tables
+
+
+def write_named(df: DataFrame, folder: str, name: str, write) -> None:
+    """Write the rows of each value of `name` as one file called so below `folder`."""
+    spark = df.sparkSession
+    staging = f"{folder}-parts"
+    write(df.repartition(name).write.partitionBy(name), staging)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(staging)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop.Path(folder))
+    for part in fs.listStatus(root):
+        if part.isDirectory():
+            called = part.getPath().getName().split("=", 1)[1]
+            [file] = [f.getPath() for f in fs.listStatus(part.getPath()) if f.getPath().getName().startswith("part-")]
+            fs.rename(file, hadoop.Path(folder, called))
+
+
+def as_csv(writer, path: str) -> None:
+    writer.option("header", True).csv(path)
+
+
+@query(
+    """
+    SELECT lpad(o_orderkey::VARCHAR, 10, '0') AS id, o_orderstatus AS status, o_orderpriority AS "no. of, priority",
+           CASE WHEN o_orderkey % 4 <> 0 THEN o_custkey::VARCHAR END AS customer FROM orders
+    """
+)
+def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "csv")
+    coded_orders(spark, sf).write.option("header", True).csv(path)
+    return read_csv(spark, path)
+
+
+def coded_orders(spark: SparkSession, sf: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    return table(spark, sf, "orders").select(
+        F.lpad(key.cast("string"), 10, "0").alias("id"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_orderpriority").alias("no. of, priority"),
+        F.when(key % 4 != 0, F.col("o_custkey").cast("string")).alias("customer"),
+    )
+
+
+@query(
+    """
+    SELECT lpad(o_orderkey::VARCHAR, 10, '0') AS a, o_orderstatus AS b, o_orderpriority AS c,
+           CASE WHEN o_orderkey % 4 <> 0 THEN o_custkey::VARCHAR END AS d FROM orders
+    """
+)
+def csv_other_format(spark: SparkSession, sf: str) -> DataFrame:
+    """Another separator and quote, and columns known beforehand."""
+    path = scratch_path(spark, "csv")
+    coded_orders(spark, sf).write.options(header=True, sep="|", quote="'").csv(path)
+    return read_csv(spark, path, ["a", "b", "c", "d"], sep="|", quote="'")
+
+
+@query("SELECT doc_id::VARCHAR AS doc_id, md5(replace(text, chr(13), '')) AS text_md5, source FROM documents")
+def csv_multiline(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts with their line breaks and quotes."""
+    path = scratch_path(spark, "csv")
+    docs = table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit("\r"), F.lit("")).alias("text"), "source")
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    docs.repartition(8).write.options(header=True, quoteAll=True, escape='"', **keep).csv(path)
+    back = read_multiline_csv(spark, path, ["doc_id", "text", "source"])
+    return back.select("doc_id", F.md5("text").alias("text_md5"), "source")
+
+
+@query(
+    """
+    SELECT s_suppkey::VARCHAR AS employee_id, s_name AS name, 's' || s_suppkey::VARCHAR || '@example.org' AS email_address,
+           n_name AS department, 'group ' || n_regionkey::VARCHAR AS user_group,
+           CASE WHEN s_acctbal > 0 THEN 'active' END AS user_status, '2024-01-02' AS data_date
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey
+    """
+)
+def officer_list_load(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON lines with padded values in sub-folders; trimmed, dated and loaded into a table emptied before."""
+    source, target = scratch_path(spark, "json"), scratch_path(spark, "officers")
+    joined = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    pad = lambda c: F.concat(F.lit("  "), c, F.lit(" "))
+    key = F.col("s_suppkey").cast("string")
+    rows = joined.select(
+        key.alias("Employee Id"),
+        pad(F.col("s_name")).alias("Name"),
+        pad(F.concat(F.lit("s"), key, F.lit("@example.org"))).alias("Email Address"),
+        F.col("n_name").alias("Department"),
+        pad(F.concat(F.lit("group "), F.col("n_regionkey").cast("string"))).alias("User Group"),
+        F.when(F.col("s_acctbal") > 0, " active").alias("User Status"),
+    )
+    rows.withColumn("part", F.col("User Status").isNull()).write.partitionBy("part").json(source)
+    back = read_json_lines(spark, source, text_schema(rows.columns))
+    tables.overwrite(back.limit(0), target)
+    tables.overwrite(officer_list(back, date(2024, 1, 2)), target)
+    return plain(read_table(spark, target))
+
+
+@query(
+    """
+    SELECT event_id::INT AS idinfo_id, event_type AS idinfo_kind, value AS spdom_bounding_eastbc,
+           event_type || ';' || props AS idinfo_keywords
+    FROM events
+    """
+)
+def xml_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "xml")
+    events = table(spark, sf, "events").select(
+        F.struct("event_id", F.array("event_type", "props").alias("keyword"), F.col("event_type").alias("kind")).alias("idinfo"),
+        F.struct(F.struct(F.col("value").alias("eastbc")).alias("bounding")).alias("spdom"),
+    )
+    events.write.format("xml").option("rowTag", "metadata").option("rootTag", "all").save(path)
+    schema = """idinfo struct<event_id: string, keyword: array<string>, kind: string>,
+                spdom struct<bounding: struct<eastbc: string>>"""
+    back = read_xml(spark, path, "metadata", schema)
+    paths = [("idinfo.event_id", "int"), ("idinfo.kind", "string"), ("idinfo.keyword", "array"), ("spdom.bounding.eastbc", "double")]
+    flat = flatten_paths(back, paths)
+    return flat.select(
+        F.col("idinfo_event_id").alias("idinfo_id"),
+        "idinfo_kind",
+        "spdom_bounding_eastbc",
+        F.array_join("idinfo_keyword", ";").alias("idinfo_keywords"),
+    )
+
+
+def keyed_events(spark: SparkSession, sf: str) -> DataFrame:
+    day = lambda fmt: F.date_format("ts", fmt)
+    return table(spark, sf, "events").select(
+        "event_id", "user_id", day("yyyy").alias("year_key"), day("yyyyMM").alias("month_key"), day("yyyyMMdd").alias("day_key")
+    )
+
+
+def keys_as_text(df: DataFrame) -> DataFrame:
+    return df.withColumns({k: F.col(k).cast("string") for k in df.columns if k.endswith("_key") or k == "hh_mm"})
+
+
+@query(
+    """
+    SELECT event_id, CASE WHEN strftime(ts, '%Y%m%d') >= '20240120' THEN user_id + 1000 ELSE user_id END AS user_id,
+           '2024' AS year_key, '202401' AS month_key, strftime(ts, '%Y%m%d') AS day_key
+    FROM events WHERE strftime(ts, '%Y%m%d') < '20240120' OR event_type <> 'error'
+    """
+)
+def partition_replace(spark: SparkSession, sf: str) -> DataFrame:
+    """Days delivered again replace themselves; the others stay."""
+    path = scratch_path(spark, "days")
+    events = keyed_events(spark, sf)
+    tables.write_days(events, path)
+    again = events.join(table(spark, sf, "events").where("event_type <> 'error'").select("event_id"), "event_id", "left_semi")
+    again = only_days(again, "20240120", "20240131").withColumn("user_id", F.col("user_id") + 1000)
+    tables.replace_days(again, path, files_per_day=2)
+    return keys_as_text(read_table(spark, path))
+
+
+@query("SELECT event_id, user_id, strftime(ts, '%Y%m%d') AS day_key FROM events WHERE ts >= DATE '2024-01-05' AND ts < DATE '2024-01-08'")
+def partition_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Three days of a partitioned catalogue table; the filter picks folders."""
+    path = scratch_path(spark, "days")
+    name = "lakeops_" + path.rsplit("-", 1)[1]
+    tables.write_days(keyed_events(spark, sf), path, files_per_day=1, table=name)
+    return only_days(read_table(spark, name), "20240105", "20240107").select("event_id", "user_id", "day_key")
+
+
+@query("SELECT c_custkey, c_name, c_acctbal, 2 AS run FROM customer")
+def overwrite_table(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "table")
+    customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    for run, compression in ((1, "snappy"), (2, "uncompressed")):
+        tables.overwrite(customer.withColumn("run", F.lit(run)), path, compression)
+    return read_table(spark, path)
+
+
+@query("SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal >= 0")
+def replace_own_input(spark: SparkSession, sf: str) -> DataFrame:
+    first, second = scratch_path(spark, "version"), scratch_path(spark, "version")
+    view = "lakeops_" + first.rsplit("-", 1)[1]
+    start = tables.replace_self(spark, table(spark, sf, "customer").select("c_custkey", "c_acctbal"), first, view)
+    return tables.replace_self(spark, start.where("c_acctbal >= 0"), second, view)
+
+
+@query(
+    f"""
+    WITH p AS (SELECT max(ts)::DATE AS d FROM events),
+    s AS (SELECT (SELECT count(DISTINCT user_id) FROM events WHERE user_id % 10 <> 9) AS t, count(DISTINCT user_id) AS n,
+                 min(ts) AS a, max(ts) AS b FROM events, p WHERE event_type = 'purchase' AND ts::DATE = d)
+    SELECT (SELECT strftime(d, '%Y-%m-%d') FROM p) AS branch_date, t AS no_of_total_branch, n AS no_of_eoc_branch,
+           CASE WHEN t = n THEN 'complete' ELSE 'incomplete' END AS status, {stamp_text('a')} AS start_time,
+           {stamp_text('b')} AS end_time, taken || '.000000' AS inserted_time, year_key, month_key, day_key, hh_mm
+    FROM s, (VALUES ('2024-01-31 23:55:00', '2024', '202401', '20240131', '2355'),
+                    ('2024-02-01 00:00:00', '2024', '202402', '20240201', '0000')) v(taken, year_key, month_key, day_key, hh_mm)
+    """
+)
+def append_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """The close-of-day status taken twice, five minutes apart, over local midnight."""
+    path = scratch_path(spark, "status")
+    status = close_status(*close_tables(spark, sf), stage="purchase")
+    for hour, minute in ((17, 25), (17, 30)):
+        taken = datetime(2024, 1, 31, hour, minute, tzinfo=timezone.utc)
+        tables.append_snapshot(stamp_snapshot(status, taken), path)
+    back = read_table(spark, path).withColumn("hh_mm", F.lpad(F.col("hh_mm").cast("string"), 4, "0"))
+    return plain(keys_as_text(back))
+
+
+@query("SELECT o_orderkey::VARCHAR AS o_orderkey, o_orderstatus, 1::BIGINT AS n_files FROM orders")
+def single_csv_export(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "export")
+    export.export_single_csv(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), path)
+    return with_file_count(read_csv(spark, path))
+
+
+def with_file_count(df: DataFrame) -> DataFrame:
+    files = df.select(F.col("_metadata.file_name").alias("f")).agg(F.count_distinct("f").alias("n_files"))
+    return df.crossJoin(F.broadcast(files))
+
+
+@query("SELECT o_orderkey::VARCHAR AS o_orderkey, o_orderstatus, (SELECT count(*) FROM orders) > 1000 AS many_files FROM orders")
+def parallel_csv_export(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "export")
+    export.export_csv(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), path, rows_per_file=1000)
+    back = with_file_count(read_csv(spark, path))
+    return back.withColumn("many_files", F.col("n_files") > 1).drop("n_files")
+
+
+@query(
+    """
+    SELECT user_id::VARCHAR AS user_id, count(*)::VARCHAR AS n_events, strftime(ts, '%Y-%m-%d') AS data_date
+    FROM events GROUP BY user_id, strftime(ts, '%Y-%m-%d')
+    """
+)
+def csv_export_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "export")
+    events = table(spark, sf, "events").withColumn("data_date", F.to_date("ts"))
+    export.export_csv_by_day(events.groupBy("user_id", "data_date").agg(F.count("*").alias("n_events")), path)
+    return plain(read_csv(spark, path))
+
+
+def half_year(fmt: str, shift: int = 0) -> Column:
+    start = F.when(F.month("o_orderdate") > 6, F.make_date(F.year("o_orderdate"), F.lit(7), F.lit(1))).otherwise(
+        F.trunc("o_orderdate", "year")
+    )
+    return F.date_format(F.date_add(start.cast("date"), shift), fmt)
+
+
+HALF_SQL = "make_date(year(o_orderdate), CASE WHEN month(o_orderdate) > 6 THEN 7 ELSE 1 END, 1)"
+KEYS_SQL = "strftime({d}, '%Y') AS year_key, strftime({d}, '%Y%m') AS month_key, strftime({d}, '%Y%m%d') AS day_key"
+
+
+def category(level: int, modulus: int) -> list[Column]:
+    number = (F.col("o_custkey") % modulus).cast("string").alias(f"Level {level} Category Id")
+    return [number, F.concat(F.lit("name, "), F.col("o_orderpriority")).alias(f"Level {level} Category Name")]
+
+
+def category_files(spark: SparkSession, sf: str, folder: str, copies: bool) -> None:
+    """A file per half-year, or two of which the one greater in name counts; bad stamps, and a file without a date."""
+    key = F.col("o_orderkey")
+    orders = table(spark, sf, "orders")
+    versions = F.array(F.lit("a"), F.lit("b")) if copies else F.array(F.lit("b"))
+    rows = orders.select(
+        *[c for level, m in ((1, 5), (2, 25), (3, 1000)) for c in category(level, m)],
+        key.cast("string").alias("Created User Id"),
+        F.when(key % 10 == 0, "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("Created Date"),
+        F.col("o_orderstatus").alias("Status"),
+        F.when(key % 3 != 0, "u1").alias("Updated User Id"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("Last Updated Date"),
+        F.explode(versions).alias("version"),
+        half_year("yyyyMMdd").alias("half"),
+    )
+    named = rows.withColumn("_file", F.concat("version", F.lit("_category_"), "half", F.lit(".csv")))
+    named = named.withColumn("_file", F.when(F.col("Created User Id").endswith("50"), "x_undated.csv").otherwise(F.col("_file")))
+    named = named.withColumn("Status", F.when(F.col("version") == "a", "old").otherwise(F.col("Status")))
+    write_named(named.drop("version", "half"), folder, "_file", as_csv)
+
+
+CATEGORY_SQL = f"""
+    SELECT (o_custkey % 5)::VARCHAR AS level_1_category_id, 'name, ' || o_orderpriority AS level_1_category_name,
+           (o_custkey % 25)::VARCHAR AS level_2_category_id, 'name, ' || o_orderpriority AS level_2_category_name,
+           (o_custkey % 1000)::VARCHAR AS level_3_category_id, 'name, ' || o_orderpriority AS level_3_category_name,
+           o_orderkey::VARCHAR AS created_user_id,
+           CASE WHEN o_orderkey % 10 <> 0 THEN {stamp_text('o_orderdate')} END AS created_date, o_orderstatus AS status,
+           CASE WHEN o_orderkey % 3 <> 0 THEN 'u1' END AS updated_user_id, {stamp_text('o_orderdate')} AS last_updated_date,
+           'b_category_' || strftime({HALF_SQL}, '%Y%m%d') || '.csv' AS file_name, {KEYS_SQL.format(d='h')}
+    FROM (SELECT *, {HALF_SQL} - INTERVAL 1 DAY AS h FROM orders) WHERE o_orderkey::VARCHAR NOT LIKE '%50'
+"""
+
+
+@query(CATEGORY_SQL)
+def ingest_folder(spark: SparkSession, sf: str) -> DataFrame:
+    """Dated CSV files into a partitioned table, twice; a file without a date is left out."""
+    source, target = scratch_path(spark, "source"), scratch_path(spark, "categories")
+    category_files(spark, sf, source, copies=True)
+    for _ in range(2):
+        ingest(spark, CATEGORIES, source, target)
+    return plain(keys_as_text(read_table(spark, target)))
+
+
+@query(
+    f"""
+    SELECT (100000 + o_orderkey)::VARCHAR AS customer_id, '09' || o_custkey::VARCHAR AS phone_number,
+           CASE o_orderkey % 4 WHEN 0 THEN 'Ann Lee' WHEN 3 THEN 'Hal' ELSE 'Bob Ray' END AS customer_name,
+           CASE WHEN o_orderkey % 4 <> 3 THEN {stamp_text('o_orderdate')} END AS login_time,
+           NULL::VARCHAR AS source, NULL::VARCHAR AS role,
+           'logins_' || strftime({HALF_SQL}, '%Y%m%d') || '.csv' AS file_name, {KEYS_SQL.format(d='h')}
+    FROM (SELECT *, {HALF_SQL} - INTERVAL 1 DAY AS h FROM orders)
+    """
+)
+def ingest_login_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw login logs, one file per half-year, repaired and typed into a partitioned table."""
+    source, target = scratch_path(spark, "source"), scratch_path(spark, "logins")
+    kind, stamp = F.col("o_orderkey") % 4, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    start = F.concat_ws(",", (F.col("o_orderkey") + 100000).cast("string"), F.concat(F.lit("09"), "o_custkey"))
+    line = (
+        F.when(kind == 0, F.concat_ws(",", start, F.lit("Ann Lee"), stamp))
+        .when(kind == 1, F.concat_ws(",", start, F.lit("Bob\nRay"), stamp))
+        .when(kind == 2, F.concat_ws(",", start, F.lit("Bob,Ray"), stamp))
+        .otherwise(F.concat_ws(",", start, F.lit("Hal")))
+    )
+    name = F.concat(F.lit("logins_"), half_year("yyyyMMdd"), F.lit(".csv"))
+    lines = table(spark, sf, "orders").select(line.alias("value"), name.alias("_file"))
+    write_named(lines, source, "_file", lambda writer, path: writer.text(path))
+    ingest(spark, LOGINS, source, target)
+    return plain(keys_as_text(read_table(spark, target)))
+
+
+@query(
+    f"""
+    SELECT strftime({HALF_SQL}, '%Y-%m-%d') AS datadate, 'c' || o_orderkey::VARCHAR AS center_code,
+           o_orderstatus || ' state' AS state_of_pay_center, 'say "hi" twice' AS remark, NULL::VARCHAR AS org_name,
+           year({HALF_SQL})::INT AS year_key, strftime({HALF_SQL}, '%Y%m')::INT AS month_key,
+           strftime({HALF_SQL}, '%Y%m%d')::INT AS day_key
+    FROM orders
+    """
+)
+def ingest_center_list(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with line breaks and quotes in cells, a blank first heading and a heading broken over two lines."""
+    source, target = scratch_path(spark, "source"), scratch_path(spark, "centers")
+    rows = table(spark, sf, "orders").select(
+        F.concat(F.lit(" c"), F.col("o_orderkey").cast("string")).alias(" "),
+        F.concat("o_orderstatus", F.lit("\n  state ")).alias("State_of\n_pay_center "),
+        F.lit('say "hi"  \n twice').alias("Remark"),
+        F.concat(F.lit("list_"), half_year("yyyy-MM-dd"), F.lit(".csv")).alias("_file"),
+    )
+    write_named(rows, source, "_file", lambda writer, path: as_csv(writer.option("escape", '"').option("quoteAll", True), path))
+    ingest(spark, centers("pay"), source, target)
+    wanted = ["datadate", "center_code", "state_of_pay_center", "remark", "org_name", *tables.KEYS]
+    return read_table(spark, target).select(wanted)

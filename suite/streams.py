@@ -1 +1,47 @@
-"""."""
+"""Streams that take what is there and end."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakeops.plans.feeds import CATEGORIES, shape
+from lakeops.session import scratch_path
+from lakeops.sources.files import read_table, text_schema
+from lakeops.streaming.ingest import ingest_new_files
+from lakeops.streaming.status import append_changes, done_branches, latest_counts
+from suite.registry import plain, query, table
+from suite.storage import CATEGORY_SQL, category_files, keys_as_text
+
+
+@query(CATEGORY_SQL)
+def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """New files only, a few per batch, run twice: the second run finds nothing to do."""
+    source, target, progress = (scratch_path(spark, name) for name in ("source", "categories", "progress"))
+    category_files(spark, sf, source, copies=False)
+    schema = text_schema([f.spellings[0] for f in CATEGORIES.fields])
+    for _ in range(2):
+        ingest_new_files(
+            spark, source, schema, CATEGORIES.naming, lambda rows: shape(CATEGORIES, rows), target, progress, files_per_batch=5
+        )
+    return plain(keys_as_text(read_table(spark, target)))
+
+
+@query(
+    """
+    SELECT strftime(ts, '%Y-%m-%d') AS branch_date, count(DISTINCT user_id) AS no_of_eoc_branch
+    FROM events WHERE event_type = 'purchase' GROUP BY 1
+    """
+)
+def stream_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Branches done per day from a stream of stage events, in several batches. Files come in any order, so events may
+    be as late as the table is long."""
+    source, target, progress = (scratch_path(spark, name) for name in ("events", "counts", "progress"))
+    events = table(spark, sf, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").alias("branch_code"), "event_type"
+    )
+    events.orderBy("ts").write.parquet(source)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 4).parquet(source)
+    done = stream.where("event_type = 'purchase'").withColumn("branch_date", F.to_date("ts"))
+    append_changes(done_branches(done, late="31 days"), target, progress).awaitTermination()
+    return plain(latest_counts(read_table(spark, target)))
