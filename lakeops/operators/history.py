@@ -90,14 +90,14 @@ def replay(
     the one before it.
     """
     columns = base.columns
-    days = snapshots.where(F.col(day).between(F.lit(first), F.lit(last)) & F.col(id_column).isNotNull())
-    days = one_per_day(days, id_column, day, prefer).withColumn("rowhash", rowhash)
+    rows = snapshots.where(F.col(day).between(F.lit(first), F.lit(last)) & F.col(id_column).isNotNull())
+    days = one_per_day(rows, id_column, day, prefer).withColumn("rowhash", rowhash)
     current = base.where(F.col("is_current") == 1)
     if not insert_new:
         days = join_on(days, current.select(id_column).dropna().distinct(), [id_column], "left_semi")
     by_id = W.partitionBy(id_column).orderBy(day)
     if change_only:
-        days = _changes(days, current, id_column, day)
+        rows = days = _changes(days, current, id_column, day)
     following = F.lead(day).over(by_id)
     versions = days.withColumn("_next", following).withColumns(
         {
@@ -106,7 +106,7 @@ def replay(
             "is_current": F.col("_next").isNull().cast("int"),
         }
     )
-    starts = days.groupBy(id_column).agg(F.min(day).alias("_start"))
+    starts = rows.groupBy(id_column).agg(F.min(day).alias("_start"))
     closed = join_on(base, starts, [id_column], "left")
     ends = (F.col("is_current") == 1) & F.col("_start").isNotNull()
     closed = closed.withColumns(

@@ -51,6 +51,15 @@ def drop_headers(df: DataFrame, cols: LogColumns = LOG) -> DataFrame:
     return df.where(~heading)
 
 
+def data_lines(lines: DataFrame, cols: LogColumns = LOG, value: str = "value") -> DataFrame:
+    """Raw lines without blank ones and headings: as `drop_headers` and `drop_empty` on the cells, before cutting."""
+    text = F.trim(quoted(value))
+    names = [f"\\Q{c}\\E" for c in cols.cells]
+    heading = "".join(f"(,{n}" for n in names[1:]) + "(,.*)?" + ")?" * (len(names) - 1)
+    is_heading = text.startswith(cols.id) & text.rlike(f"(?s)^{names[0]}{heading}$")
+    return lines.where((text != "") & ~is_heading)
+
+
 def drop_empty(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Without rows that are NULL in all `columns`."""
     return df.dropna(how="all", subset=[f"`{c}`" for c in columns])
@@ -107,8 +116,7 @@ def repair_linebreak(
 
 def clean_log(lines: DataFrame, cols: LogColumns = LOG) -> DataFrame:
     """All repairs of a login log, from raw lines to four cells."""
-    rows = drop_empty(drop_headers(split_cells(lines, cols), cols), [*cols.cells, cols.spill])
-    return repair_linebreak(repair_delimiter(rows, cols), cols)
+    return repair_linebreak(repair_delimiter(split_cells(data_lines(lines, cols), cols), cols), cols)
 
 
 def detect_pairs(df: DataFrame, cols: LogColumns = LOG) -> DataFrame:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, timedelta
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,18 +42,13 @@ def delete_insert_range(
     if start is not None:
         rows = rows.where(F.col(day) >= F.lit(start))
     else:
-        # one row; an empty base lets no day in, as there is no day to continue from
-        rows = rows.join(F.broadcast(watermark(base, day)), F.col(day) > F.col("max_day"), "left_semi")
-    rows = collapse(rows, latest)
+        # an empty base lets no day in, as there is no day to continue from
+        rows = rows.where(F.col(day) > watermark(base, day).scalar())
 
-    whole = rows.dropna(subset=keys)
-    last_day = whole.groupBy(*keys).agg(F.max(day).alias(day))  # combined before the shuffle, one row per key
     has_null = F.lit(False)
     for k in keys:
         has_null = has_null | F.col(k).isNull()
-    kept = join_on(whole, last_day, [*keys, day], "left_semi").unionByName(rows.where(has_null))
-    return delete_matching(base, whole, keys).unionByName(kept)
-
-
-def days_between(first: date, last: date) -> list[date]:
-    return [first + timedelta(days=i) for i in range((last - first).days + 1)]
+    last_day = rows.where(~has_null).groupBy(*keys).agg(F.max(day).alias(day))  # combined before the shuffle
+    kept = collapse(join_on(rows, last_day, [*keys, day], "left_semi"), latest)
+    always = collapse(rows.where(has_null), latest)
+    return delete_matching(base, last_day, keys).unionByName(kept).unionByName(always)

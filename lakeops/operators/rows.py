@@ -26,10 +26,12 @@ def join_on(
 
 
 def at_latest(df: DataFrame, column: str, of: DataFrame | None = None, of_column: str | None = None) -> DataFrame:
-    """Rows at the greatest value of a column, their own or another table's, without a trip over the driver."""
+    """Rows at the greatest value of a column, their own or another table's.
+
+    The value is a scalar subquery, so on a partition column it also decides which folders are read.
+    """
     source, name = (df, column) if of is None else (of, of_column or column)
-    top = source.agg(F.max(name).alias("_top"))
-    return df.join(F.broadcast(top), F.col(column) == F.col("_top"), "left_semi")  # always one row
+    return df.where(F.col(column) == source.agg(F.max(name)).scalar())
 
 
 def beside(left: DataFrame, one_row: DataFrame, emit_zero: bool = False) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeops.operators.rows import join_on
+from lakeops.session import materialize
 
 
 def _two_best(
@@ -89,7 +90,7 @@ def upsert_range(
     prefer: Sequence[str] = (),
     null_safe: bool = False,
 ) -> DataFrame:
-    """The base after all days of `slices` in order, as one plan instead of a job per day.
+    """The base after all days of `slices` in order, without a job per day.
 
     It rests on two facts about a key on a day with slice rows of known status:
 
@@ -100,6 +101,9 @@ def upsert_range(
     So whether a slice row finds its equal in the base, and what a row ends up as, follows from small per-key tables of
     days. A group in these has no more rows than there are days (times statuses). Base and slices are each joined with
     tables of one row per key, status and day, and so stay splittable when a key is hot.
+
+    The per-key tables are written to the scratch folder when this is called; the result itself is lazy. The base is
+    read twice and the slices four times, however many days there are.
     """
     if not set(keys) <= set(match) or status not in match:
         raise ValueError("match columns must contain the keys and the status")
@@ -111,13 +115,13 @@ def upsert_range(
     # the base stands before all days, with the tuples it has for the slices' keys
     old = _usable(base.select(match), [*keys, status], null_safe)
     old = join_on(old, usable.select(keys).distinct(), keys, "left_semi", True).distinct()
-    tuples = usable.select(*match, "_at").distinct().unionByName(old.withColumn("_at", no_day))
-    statuses = tuples.select(*keys, status, "_at").distinct()
+    tuples = materialize(usable.select(*match, "_at").distinct().unionByName(old.withColumn("_at", no_day)), "tuples")
+    statuses = materialize(tuples.select(*keys, status, "_at").distinct(), "statuses")
+    days = materialize(_days(usable, statuses, keys, status, columns, prefer), "days")
+    final = materialize(_final(statuses, days, keys, status, no_day), "final")
 
-    days = _days(usable, statuses, keys, status, columns, prefer)
     found = _found(tuples, days, keys, match, no_day)
     fresh = join_on(staged, found, [*match, "_at"], "left_anti", null_safe)
-    final = _final(statuses, days, keys, status, no_day)
 
     def settle(rows: DataFrame) -> DataFrame:
         return _replaced(join_on(rows, final, [*keys, status, "_at"], "left", null_safe), F.col("_row"), columns)

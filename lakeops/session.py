@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the operators are designed for. All of them are runtime settings of SQL.
 SETTINGS = {
@@ -48,3 +48,15 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the scratch root; nothing is there yet."""
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to the scratch folder and read back.
+
+    For small tables several parts of a plan need: they are computed once, survive lost executors, and their true size
+    is known to the planner, which then decides about broadcasting them.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

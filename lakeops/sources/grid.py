@@ -17,12 +17,11 @@ def grid_rows(df: DataFrame, body: str, header_row: int = 0, field: str | None =
     grid_type = "array<array<string>>"
     grid = F.from_json(body, grid_type) if field is None else F.from_json(body, f"struct<`{field}`: {grid_type}>")[field]
     keep = [c for c in df.columns if c != body]
-    first = header_row + 1
-    sheets = df.select(*keep, grid.alias("_grid")).where(F.size("_grid") > first)
-    rows = sheets.select(
+    # a sheet without rows below the heading has an empty slice; a filter on it would parse the sheet once more
+    rows = df.select(*keep, grid.alias("_grid")).select(
         *keep,
         F.get("_grid", F.lit(header_row)).alias("headers"),
-        F.posexplode(F.slice("_grid", first + 1, F.size("_grid"))).alias("position", "_row"),
+        F.posexplode(F.slice("_grid", header_row + 2, F.size("_grid"))).alias("position", "_row"),
     )
     cells = F.transform("headers", lambda _, i: F.get("_row", i))
     return rows.select(*keep, "position", "headers", cells.alias("cells"))

@@ -126,7 +126,7 @@ def repair_linebreak(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(LOG_SQL.format(short_name="'Cy Dee'"))
 def repair_linebreak_any_length(spark: SparkSession, sf: str) -> DataFrame:
-    rows = repair.drop_empty(repair.drop_headers(repair.split_cells(log_file(spark, sf, "log"))), CELLS)
+    rows = repair.split_cells(repair.data_lines(log_file(spark, sf, "log")))
     fixed = repair.repair_linebreak(repair.repair_delimiter(rows), LOG, None, None)
     return fixed.select(*[f"`{c}`" for c in LOG.cells])
 
@@ -139,7 +139,7 @@ PAIR_SQL = f"""
 
 @query(PAIR_SQL)
 def detect_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    rows = repair.drop_empty(repair.drop_headers(repair.split_cells(log_file(spark, sf, "log"))), CELLS)
+    rows = repair.split_cells(repair.data_lines(log_file(spark, sf, "log")))
     return repair.pair_text(repair.detect_pairs(rows)).select("first_line", "second_line")
 
 

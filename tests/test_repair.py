@@ -142,6 +142,14 @@ def test_random_files(read, split_bytes, mins):
     assert bag(got.collect()) == bag(want)
 
 
+def test_lines_and_cells_agree_on_what_is_data(read):
+    extra = [HEAD + ",x,y", "Customer Id,Phone number", "Customer Id,other", "Customer Idx", "Customer Id,", "  ", HEAD + ","]
+    lines = read({"a.csv": SAMPLE + extra})
+    by_cells = repair.drop_empty(repair.drop_headers(repair.split_cells(lines)), [*LOG.cells, LOG.spill])
+    by_lines = repair.split_cells(repair.data_lines(lines))
+    assert bag(by_cells.collect()) == bag(by_lines.collect())
+
+
 def pairs_of(rows):
     out, k = [], 0
     while k < len(rows):
