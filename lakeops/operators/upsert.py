@@ -75,8 +75,9 @@ def upsert_day(
         new = F.when(known & to_first, first).when(known & first.isNotNull(), second)
         return _replaced(joined, new, columns)
 
-    # only base rows of the slice's keys can equal a slice row
-    fresh = join_on(rows, update("inner"), match, "left_anti", null_safe)
+    # only base rows of the slice's keys can equal a slice row, and copies of one row need to be sent only once
+    touched = update("inner").select(*match).distinct()
+    fresh = join_on(rows, touched, match, "left_anti", null_safe)
     return update("left").unionByName(fresh)
 
 

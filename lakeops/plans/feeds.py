@@ -49,11 +49,7 @@ def ingest(spark: SparkSession, feed: Feed, source: str, table: str) -> None:
 
 
 def _csv(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return _named(read_csv(spark, paths))
-
-
-def _named(df: DataFrame) -> DataFrame:
-    return df.select("*", F.col("_metadata.file_name").alias("file_name"))
+    return read_csv(spark, paths).select("*", F.col("_metadata.file_name").alias("file_name"))
 
 
 def _fields(headings: str, special: dict[str, Field] | None = None) -> tuple[Field, ...]:
@@ -154,7 +150,7 @@ def centers(brand: str) -> Feed:
     def read(spark: SparkSession, paths: list[str]) -> DataFrame:
         rows = rename_all(read_multiline_csv(spark, paths), squeeze)
         cleaned = each_string(name_blank(rows, "center_code"), one_line)
-        return _named(cleaned).withColumn("datadate", F.regexp_extract("file_name", r"(\d{4}-\d{2}-\d{2})", 1))
+        return cleaned.withColumn("datadate", F.regexp_extract("file_name", r"(\d{4}-\d{2}-\d{2})", 1))
 
     naming = Naming(pattern=r"(\d{4})-(\d{2})-(\d{2})\.[^.]*$", fmt="yyyyMMdd", shift=0, as_int=True, glob="*.csv")
     return Feed(naming, read, (Field("datadate", "datadate"), *_fields(columns)))

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from lakeops.operators.repair import quoted_records
+
 Paths = str | list[str]
 
 
@@ -28,15 +30,34 @@ def read_csv(
     return reader.csv(paths)
 
 
+#: Largest file one task reads as a whole.
+WHOLE_FILE = 256 * 1024 * 1024
+
+
 def read_multiline_csv(
-    spark: SparkSession, paths: Paths, columns: Sequence[str] | None = None, sep: str = ","
+    spark: SparkSession,
+    paths: Paths,
+    columns: Sequence[str] | None = None,
+    sep: str = ",",
+    whole_up_to: int = WHOLE_FILE,
 ) -> DataFrame:
-    """CSV whose quoted cells may hold line breaks and doubled quotes. One task reads one whole file."""
-    reader = spark.read.option("header", True).option("sep", sep).option("multiLine", True)
-    reader = reader.option("quote", '"').option("escape", '"')
+    """CSV whose quoted cells may hold line breaks and doubled quotes, every column a string, and `file_name`.
+
+    Spark's own reader takes such a file in one task. That is used while no file has more than `whole_up_to` bytes;
+    beyond it the files are read in splits, records are put together from lines and then parsed.
+    """
+    options = {"sep": sep, "quote": '"', "escape": '"'}
+    reader = spark.read.options(header=True, multiLine=True, **options)
+    largest = spark.read.format("binaryFile").load(paths).agg(F.max("length")).first()[0]
     if columns is not None:
         reader = reader.schema(text_schema(columns))
-    return reader.csv(paths)
+    whole = reader.csv(paths)
+    if (largest or 0) <= whole_up_to:
+        return whole.select("*", F.col("_metadata.file_name").alias("file_name"))
+    records = quoted_records(read_lines(spark, paths)).where(~F.col("is_first") & (F.trim("record") != ""))
+    schema = ", ".join(f"c{i} string" for i in range(len(whole.columns)))
+    cells = records.select(F.from_csv("record", F.lit(schema), options).alias("_cells"), "file_name")
+    return cells.select("_cells.*", "file_name").toDF(*whole.columns, "file_name")
 
 
 def read_lines(spark: SparkSession, paths: Paths) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators.rows import join_on
+from lakeops.session import materialize
 from lakeops.sinks.tables import KEYS, replace_days
 from lakeops.sources.folder import Naming, stamp_keys
 
@@ -15,7 +16,7 @@ from lakeops.sources.folder import Naming, stamp_keys
 def last_file_per_day(rows: DataFrame, day: str = "day_key", name: str = "file_name") -> DataFrame:
     """Rows of the file with the greatest name of each day; rows without a day are left out."""
     winners = rows.where(F.col(day).isNotNull()).groupBy(day).agg(F.max(name).alias(name))
-    return join_on(rows, winners, [day, name], "left_semi")
+    return join_on(rows, materialize(winners, "winners"), [day, name], "left_semi")
 
 
 def ingest_new_files(

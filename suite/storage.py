@@ -81,17 +81,30 @@ def csv_other_format(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, path, ["a", "b", "c", "d"], sep="|", quote="'")
 
 
-@query("SELECT doc_id::VARCHAR AS doc_id, md5(replace(text, chr(13), '')) AS text_md5, source FROM documents")
-def csv_multiline(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole texts with their line breaks and quotes."""
+DOCUMENT_SQL = "SELECT doc_id::VARCHAR AS doc_id, md5(replace(text, chr(13), '')) AS text_md5, source FROM documents"
+
+
+def document_csv(spark: SparkSession, sf: str, **reading) -> DataFrame:
+    """Whole texts, with their line breaks and quotes, through CSV."""
     path = scratch_path(spark, "csv")
     docs = table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit("\r"), F.lit("")).alias("text"), "source")
     keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    docs.repartition(8).write.options(header=True, quoteAll=True, escape='"', **keep).csv(path)
-    back = read_multiline_csv(spark, path, ["doc_id", "text", "source"])
+    docs.write.options(header=True, quoteAll=True, escape='"', **keep).csv(path)
+    back = read_multiline_csv(spark, path, ["doc_id", "text", "source"], **reading)
     return back.select("doc_id", F.md5("text").alias("text_md5"), "source")
 
 
+@query(DOCUMENT_SQL)
+def csv_multiline(spark: SparkSession, sf: str) -> DataFrame:
+    return document_csv(spark, sf)
+
+
+@query(DOCUMENT_SQL)
+def csv_multiline_in_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """The way taken for files too large for one task."""
+    return document_csv(spark, sf, whole_up_to=0)
+
+
 @query(
     """
     SELECT s_suppkey::VARCHAR AS employee_id, s_name AS name, 's' || s_suppkey::VARCHAR || '@example.org' AS email_address,

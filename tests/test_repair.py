@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lakeops.operators import repair
 from lakeops.operators.repair import LOG
-from lakeops.sources.files import read_lines
+from lakeops.sources.files import read_lines, read_multiline_csv
 
 HEAD = "Customer Id,Phone number,Customer Name,Login Time"
 STAMP = re.compile(r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}")
@@ -212,3 +212,19 @@ def test_splits_are_really_small(read, spark):
     lines = read({"a.csv": SAMPLE * 5}, 40)
     assert lines.select("block").distinct().count() > 5
     assert lines.agg(F.count("*")).first()[0] == len(SAMPLE) * 5
+
+
+@pytest.mark.parametrize("split_bytes", [None, 25, 80])
+def test_multiline_csv_in_splits(spark, read, tmp_path, split_bytes):
+    rng = random.Random(7)
+    words = ["a", 'say ""hi""', "x\ny", "\n\n", "1,2", "", "tail\n", '""\n""']
+    rows = [[rng.choice(words) for _ in range(3)] for _ in range(40)]
+    text = ['"first\nname",b,c'] + [",".join(f'"{w}"' for w in row) for row in rows]
+    lines = "\n".join(text).split("\n")
+    read({"a.csv": lines, "b.csv": lines}, split_bytes)
+    folder = str(tmp_path / "in0")
+    whole = read_multiline_csv(spark, folder)
+    split = read_multiline_csv(spark, folder, whole_up_to=0)
+    assert split.columns == whole.columns
+    assert split.count() == 80
+    assert bag(split.collect()) == bag(whole.collect())
