@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 from lakeops.functions.text import quoted
 
@@ -65,21 +66,35 @@ def count_unparsed(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     return df.agg(*counts)
 
 
-def flatten_paths(df: DataFrame, paths: Sequence[tuple[str, str]], sep: str = "_") -> DataFrame:
-    """Nested fields as top-level columns `a_b_c`, typed."""
-    return df.select([_typed(p, t).alias(p.replace(".", sep)) for p, t in paths])
+def schema_for(paths: Sequence[tuple[str, str]]) -> StructType:
+    """A read schema holding just the listed nested fields, all as text (`array`: an array of text), to be typed by
+    `flatten_paths` or `project_paths`. It spares readers of nested formats a pass to infer one."""
 
+    def build(node: dict) -> StructType:
+        return StructType([StructField(k, v if isinstance(v, DataType) else build(v)) for k, v in node.items()])
 
-def project_paths(df: DataFrame, paths: Sequence[tuple[str, str]]) -> DataFrame:
-    """Only the listed nested fields, typed, in their old nesting."""
+    return build(_tree(paths, lambda path, type: ArrayType(StringType()) if type == "array" else StringType()))
+
+
+def _tree(paths: Sequence[tuple[str, str]], leaf) -> dict:
     tree: dict = {}
     for path, type in paths:
-        *parents, leaf = path.split(".")
+        *parents, last = path.split(".")
         node = tree
         for p in parents:
             node = node.setdefault(p, {})
-        node[leaf] = _typed(path, type)
-    return df.select([_rebuild(name, node) for name, node in tree.items()])
+        node[last] = leaf(path, type)
+    return tree
+
+
+def flatten_paths(df: DataFrame, paths: Sequence[tuple[str, str]], sep: str = "_") -> DataFrame:
+    """Nested fields as top-level columns `a_b_c`, typed."""
+    return df.select([_typed(p, t).alias(p.replace(".", sep)) for p, t in paths])
+
+
+def project_paths(df: DataFrame, paths: Sequence[tuple[str, str]]) -> DataFrame:
+    """Only the listed nested fields, typed, in their old nesting."""
+    return df.select([_rebuild(name, node) for name, node in _tree(paths, _typed).items()])
 
 
 def _typed(path: str, type: str) -> Column:

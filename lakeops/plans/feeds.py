@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,21 +17,26 @@ from lakeops.operators.repair import LOG, clean_log
 from lakeops.sinks.tables import KEYS, replace_days
 from lakeops.sources.files import read_csv, read_excel, read_lines, read_multiline_csv
 from lakeops.sources.folder import Naming, latest_per_day, list_files, paths_of, stamp_keys
+from lakeops.sources.headings import groups_by_heading
 
 
 @dataclass(frozen=True)
 class Feed:
-    """`read` gives rows with `file_name`; `fields` type them; `after` is applied last."""
+    """`read` gives rows with `file_name`; `fields` type them; `after` is applied last. Files of a `headed` feed name
+    their columns in a heading, which need not be the same in all of them."""
 
     naming: Naming
     read: Callable[[SparkSession, list[str]], DataFrame]
     fields: tuple[Field, ...]
     after: Callable[[DataFrame], DataFrame] = field(default=lambda df: df)
+    headed: bool = True
 
 
 def process(spark: SparkSession, feed: Feed, paths: list[str]) -> DataFrame:
     """Files of a feed as typed rows with file_name and day keys."""
-    return shape(feed, feed.read(spark, paths))
+    groups = groups_by_heading(spark, paths) if feed.headed else [paths]
+    frames = [shape(feed, feed.read(spark, group)) for group in groups]
+    return reduce(DataFrame.unionByName, frames)
 
 
 def shape(feed: Feed, rows: DataFrame) -> DataFrame:
@@ -133,6 +139,7 @@ LOGINS = Feed(
         Field("source", "source"),
         Field("role", "role"),
     ),
+    headed=False,
 )
 
 
@@ -207,6 +214,7 @@ FRAUD_CASES = Feed(
     lambda spark, paths: fraud_rows(read_excel(spark, paths, FRAUD_COLUMNS, FRAUD_DATES)),
     tuple(Field(c, c, "date" if c in FRAUD_DATES else "string") for c in FRAUD_COLUMNS),
     phone_lists,
+    headed=False,
 )
 
 #: Columns that only some years' login logs have.

@@ -51,6 +51,13 @@ def replace_days(
     writer.partitionBy(*keys).option("compression", "snappy").parquet(path)
 
 
+def write_buckets(df: DataFrame, path: str, table: str, keys: tuple[str, ...], buckets: int) -> None:
+    """A base table kept in hash buckets of its merge keys: joins on these keys then leave the base where it is and
+    shuffle only the slice."""
+    writer = df.write.mode("overwrite").format("parquet").option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+
+
 def overwrite(df: DataFrame, path: str, compression: str = "snappy") -> None:
     """Replace an unpartitioned table. `df` must not read from `path`: see `replace_self`."""
     df.write.mode("overwrite").option("compression", compression).parquet(path)

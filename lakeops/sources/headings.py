@@ -1,0 +1,42 @@
+"""Headings of delimited files.
+
+Spark takes the heading of one file for all files of a read and matches columns by position. Files of one family whose
+headings differ (a column renamed, added or moved over the years) must therefore be read apart: one read per distinct
+heading, not per file.
+"""
+
+from __future__ import annotations
+
+import csv
+import io
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import SparkSession
+
+#: Bytes read from the start of a file; a heading is far shorter.
+HEAD_BYTES = 65536
+
+
+def heading(spark: SparkSession, path: str, sep: str = ",") -> tuple[str, ...]:
+    """The first record of a file, which may span lines; compressed files included. Reads the file's start only."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    stream = file.getFileSystem(conf).open(file)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(file)
+    source = stream if codec is None else codec.createInputStream(stream)
+    try:
+        text = bytes(source.readNBytes(HEAD_BYTES)).decode("utf-8", errors="replace")
+    finally:
+        source.close()
+    return tuple(next(csv.reader(io.StringIO(text, newline=""), delimiter=sep), ()))
+
+
+def groups_by_heading(spark: SparkSession, paths: list[str], sep: str = ",", threads: int = 32) -> list[list[str]]:
+    """The paths, grouped by equal headings; files that are empty are left out."""
+    with ThreadPoolExecutor(threads) as pool:
+        found = list(pool.map(lambda p: heading(spark, p, sep), paths))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, cells in zip(paths, found):
+        if cells:
+            groups.setdefault(cells, []).append(path)
+    return list(groups.values())

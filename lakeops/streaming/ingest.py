@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeops.operators.rows import join_on
 from lakeops.session import materialize
 from lakeops.sinks.tables import KEYS, replace_days
-from lakeops.sources.folder import Naming, stamp_keys
+from lakeops.sources.folder import Naming
 
 
 def last_file_per_day(rows: DataFrame, day: str = "day_key", name: str = "file_name") -> DataFrame:
@@ -33,19 +33,24 @@ def ingest_new_files(
 ) -> None:
     """Read the files not yet seen, pass each batch through `shape` and replace the days it holds.
 
-    Ends when all files present are done. A batch repeated after a failure writes the same days again, so nothing is
-    doubled. A day delivered again later replaces the earlier one.
+    `shape` gets the columns of `schema`, file_name, and file_path and block as `read_lines` gives them; it returns
+    rows with file_name and the day keys. Ends when all files present are done. A batch repeated after a failure writes
+    the same days again, so nothing is doubled. A day delivered again later replaces the earlier one.
     """
     reader = spark.readStream.format(format).schema(schema).option("pathGlobFilter", naming.glob)
-    for key, value in (options or {"header": "true"}).items():
+    for key, value in ({"header": "true"} if options is None else options).items():
         reader = reader.option(key, value)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    rows = reader.load(source).select("*", F.col("_metadata.file_name").alias("file_name"))
+    rows = reader.load(source).select(
+        "*",
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
 
     def write(batch: DataFrame, _: int) -> None:
-        dated = last_file_per_day(stamp_keys(batch, naming))
-        replace_days(shape(dated), table, KEYS)
+        replace_days(last_file_per_day(shape(batch)), table, KEYS)
 
     query = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

@@ -7,10 +7,11 @@ from datetime import date, datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.operators.mapping import flatten_paths
+from lakeops.operators.mapping import flatten_paths, schema_for
 from lakeops.plans.close_status import close_status, stamp_snapshot
 from lakeops.plans.extracts import officer_list
 from lakeops.plans.feeds import CATEGORIES, LOGINS, centers, ingest
+from lakeops.plans.metadata import load_metadata
 from lakeops.session import scratch_path
 from lakeops.sinks import export, tables
 from lakeops.sources.files import (
@@ -148,11 +149,8 @@ def xml_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.struct(F.col("value").alias("eastbc")).alias("bounding")).alias("spdom"),
     )
     events.write.format("xml").option("rowTag", "metadata").option("rootTag", "all").save(path)
-    schema = """idinfo struct<event_id: string, keyword: array<string>, kind: string>,
-                spdom struct<bounding: struct<eastbc: string>>"""
-    back = read_xml(spark, path, "metadata", schema)
     paths = [("idinfo.event_id", "int"), ("idinfo.kind", "string"), ("idinfo.keyword", "array"), ("spdom.bounding.eastbc", "double")]
-    flat = flatten_paths(back, paths)
+    flat = flatten_paths(read_xml(spark, path, "metadata", schema_for(paths)), paths)
     return flat.select(
         F.col("idinfo_event_id").alias("idinfo_id"),
         "idinfo_kind",
@@ -161,6 +159,41 @@ def xml_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT event_type AS title, event_id::INT AS pubdate, value AS eastbc, NULL::DOUBLE AS westbc, NULL::VARCHAR AS direct,
+           event_type || ';' || props AS placekey, 'street ' || user_id::VARCHAR AS address, user_id::INT AS postal,
+           true AS passed
+    FROM events
+    """
+)
+def xml_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """Metadata records with some of their elements, typed, checked and loaded."""
+    source, target = scratch_path(spark, "xml"), scratch_path(spark, "metadata")
+    address = F.struct(F.concat(F.lit("street "), "user_id").alias("address"), F.col("user_id").alias("postal"))
+    idinfo = F.struct(
+        F.struct(F.struct(F.col("event_type").alias("title"), F.col("event_id").alias("pubdate")).alias("citeinfo")).alias("citation"),
+        F.struct(F.struct(F.col("value").alias("eastbc"), F.lit("unknown").alias("westbc")).alias("bounding")).alias("spdom"),
+        F.struct(F.struct(F.array("event_type", "props").alias("placekey")).alias("place")).alias("keywords"),
+        F.struct(F.struct(address.alias("cntaddr")).alias("cntinfo")).alias("ptcontac"),
+        F.lit("not listed").alias("extra"),
+    )
+    events = table(spark, sf, "events").select(idinfo.alias("idinfo"))
+    events.write.format("xml").option("rowTag", "metadata").option("rootTag", "all").save(source)
+    outcome = load_metadata(spark, source, target)
+    found = read_table(spark, target).select(
+        F.col("idinfo.citation.citeinfo.title").alias("title"),
+        F.col("idinfo.citation.citeinfo.pubdate").alias("pubdate"),
+        F.col("idinfo.spdom.bounding.eastbc").alias("eastbc"),
+        F.col("idinfo.spdom.bounding.westbc").alias("westbc"),
+        F.col("spdoinfo.direct").alias("direct"),
+        F.array_join("idinfo.keywords.place.placekey", ";").alias("placekey"),
+        F.col("idinfo.ptcontac.cntinfo.cntaddr.address").alias("address"),
+        F.col("idinfo.ptcontac.cntinfo.cntaddr.postal").alias("postal"),
+    )
+    return found.crossJoin(F.broadcast(outcome.select("passed")))
+
+
 def keyed_events(spark: SparkSession, sf: str) -> DataFrame:
     day = lambda fmt: F.date_format("ts", fmt)
     return table(spark, sf, "events").select(
@@ -331,19 +364,18 @@ def ingest_folder(spark: SparkSession, sf: str) -> DataFrame:
     return plain(keys_as_text(read_table(spark, target)))
 
 
-@query(
-    f"""
+LOGIN_SQL = f"""
     SELECT (100000 + o_orderkey)::VARCHAR AS customer_id, '09' || o_custkey::VARCHAR AS phone_number,
            CASE o_orderkey % 4 WHEN 0 THEN 'Ann Lee' WHEN 3 THEN 'Hal' ELSE 'Bob Ray' END AS customer_name,
            CASE WHEN o_orderkey % 4 <> 3 THEN {stamp_text('o_orderdate')} END AS login_time,
            NULL::VARCHAR AS source, NULL::VARCHAR AS role,
            'logins_' || strftime({HALF_SQL}, '%Y%m%d') || '.csv' AS file_name, {KEYS_SQL.format(d='h')}
     FROM (SELECT *, {HALF_SQL} - INTERVAL 1 DAY AS h FROM orders)
-    """
-)
-def ingest_login_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw login logs, one file per half-year, repaired and typed into a partitioned table."""
-    source, target = scratch_path(spark, "source"), scratch_path(spark, "logins")
+"""
+
+
+def login_files(spark: SparkSession, sf: str, folder: str) -> None:
+    """Raw login logs, one file per half-year, with commas and line breaks in names and rows cut short."""
     kind, stamp = F.col("o_orderkey") % 4, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     start = F.concat_ws(",", (F.col("o_orderkey") + 100000).cast("string"), F.concat(F.lit("09"), "o_custkey"))
     line = (
@@ -354,7 +386,14 @@ def ingest_login_log(spark: SparkSession, sf: str) -> DataFrame:
     )
     name = F.concat(F.lit("logins_"), half_year("yyyyMMdd"), F.lit(".csv"))
     lines = table(spark, sf, "orders").select(line.alias("value"), name.alias("_file"))
-    write_named(lines, source, "_file", lambda writer, path: writer.text(path))
+    write_named(lines, folder, "_file", lambda writer, path: writer.text(path))
+
+
+@query(LOGIN_SQL)
+def ingest_login_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw login logs repaired and typed into a partitioned table."""
+    source, target = scratch_path(spark, "source"), scratch_path(spark, "logins")
+    login_files(spark, sf, source)
     ingest(spark, LOGINS, source, target)
     return plain(keys_as_text(read_table(spark, target)))
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.plans.feeds import CATEGORIES, shape
+from lakeops.operators.repair import clean_log
+from lakeops.plans.feeds import CATEGORIES, LOGINS, shape
 from lakeops.session import scratch_path
 from lakeops.sources.files import read_table, text_schema
 from lakeops.streaming.ingest import ingest_new_files
 from lakeops.streaming.status import append_changes, done_branches, latest_counts
 from suite.registry import plain, query, table
-from suite.storage import CATEGORY_SQL, category_files, keys_as_text
+from suite.storage import CATEGORY_SQL, LOGIN_SQL, category_files, keys_as_text, login_files
 
 
 @query(CATEGORY_SQL)
@@ -27,6 +28,26 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return plain(keys_as_text(read_table(spark, target)))
 
 
+@query(LOGIN_SQL)
+def stream_login_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Login logs, repaired as they arrive."""
+    source, target, progress = (scratch_path(spark, name) for name in ("source", "logins", "progress"))
+    login_files(spark, sf, source)
+    ingest_new_files(
+        spark,
+        source,
+        "value string",
+        LOGINS.naming,
+        lambda lines: shape(LOGINS, clean_log(lines)),
+        target,
+        progress,
+        files_per_batch=5,
+        format="text",
+        options={},
+    )
+    return plain(keys_as_text(read_table(spark, target)))
+
+
 @query(
     """
     SELECT strftime(ts, '%Y-%m-%d') AS branch_date, count(DISTINCT user_id) AS no_of_eoc_branch

@@ -3,11 +3,14 @@
 from pyspark.sql import functions as F
 
 from lakeops.functions.names import drop_spill
+from lakeops.operators.upsert import upsert_day
 from lakeops.plans.feeds import CUSTOMERS, ingest
+from lakeops.plans.metadata import PATHS
 from lakeops.sinks.export import export_csv_by_day, export_single_csv
-from lakeops.sinks.tables import replace_days, write_days
+from lakeops.sinks.tables import replace_days, write_buckets, write_days
 from lakeops.sources.files import read_csv
 from lakeops.sources.folder import Naming, latest_per_day, list_files, only_days, undated
+from lakeops.sources.headings import groups_by_heading, heading
 
 
 def test_listing(spark, tmp_path):
@@ -35,6 +38,28 @@ def test_ingest_twice_is_ingest_once(spark, tmp_path):
     assert got == [("20240101", "A"), ("20240101", "B"), ("20240102", "D")]
 
 
+def test_files_with_other_headings(spark, tmp_path):
+    source, table = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "x_02012024.csv").write_text("phone no,level,status\n09,A,on\n")
+    (source / "x_03012024.csv").write_text("status,trust_level,phone no\noff,B,08\n")
+    (source / "x_04012024.csv").write_text("trust_level,new column\nC,?\n")
+    (source / "x_05012024.csv").write_text("phone no,level,status\n07,D,on\n")
+    (source / "x_06012024.csv").write_text("")
+    assert len(groups_by_heading(spark, [str(p) for p in sorted(source.iterdir())])) == 3
+    ingest(spark, CUSTOMERS, str(source), table)
+    got = sorted((r["level"], r["phone_no"], r["status"]) for r in spark.read.parquet(table).collect())
+    assert got == [("A", "09", "on"), ("B", "08", "off"), ("C", None, None), ("D", "07", "on")]
+
+
+def test_heading_over_lines_and_compressed(spark, tmp_path):
+    import gzip
+
+    path = tmp_path / "a.csv.gz"
+    path.write_bytes(gzip.compress(b'"first\nname","b ""x"""\n1,2\n'))
+    assert heading(spark, str(path)) == ("first\nname", 'b "x"')
+
+
 def test_replace_days_and_pruning(spark, tmp_path):
     path = str(tmp_path / "t")
     keys = {"year_key": F.lit("2024"), "month_key": F.lit("202401"), "day_key": F.concat(F.lit("2024010"), F.col("id") % 3)}
@@ -63,3 +88,29 @@ def test_spill_columns(spark, tmp_path):
     (tmp_path / "a.csv").write_text("a,b,,\n1,2,3,4\n")
     df = read_csv(spark, str(tmp_path / "a.csv"))
     assert drop_spill(df, 2).columns == ["a", "b"]
+
+
+def test_bucketed_base_is_not_shuffled(spark, tmp_path):
+    base = spark.range(1000).select("id", F.lit("A").alias("status"), F.lit(0).alias("at"))
+    write_buckets(base, str(tmp_path / "b"), "bucketed_base", ("id",), 4)
+    stored = spark.table("bucketed_base")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = base.where("id < 10").withColumns({"status": F.lit("B"), "at": F.lit(1)})
+        result = upsert_day(stored, new, ["id"], "status", ["id", "status"])
+        counts = {r["status"]: r["count"] for r in result.groupBy("status").count().collect()}
+        plan = result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert counts == {"A": 990, "B": 10}
+    scans = [i for i, line in enumerate(plan.split("\n")) if "FileScan parquet" in line and "Bucketed: true" in line]
+    assert len(scans) == 2
+    assert not any("Exchange" in line for i in scans for line in plan.split("\n")[i - 4 : i])
+    spark.sql("DROP TABLE bucketed_base")
+
+
+def test_metadata_paths():
+    assert len(PATHS) == 70 == len({p for p, _ in PATHS})
+    assert [t for _, t in PATHS].count("int") == 6 and [t for _, t in PATHS].count("double") == 4
+    assert [t for _, t in PATHS].count("array") == 4
