@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.dates import OPEN_END
 from lakeops.operators.rows import delete_where, join_on
+from lakeops.session import materialize
 
 SPAN = ["from_date", "to_date", "is_current", "rowhash"]
 
@@ -84,21 +85,24 @@ def replay(
 
     No loop over days: an id's versions are its snapshots, each ending the day before the next, and its old current
     version ends the day before the first. Windows run over the snapshots of one id, one per day at most; the base is
-    only joined with one row per id.
+    only joined with one row per id. Those rows are written to the scratch folder when this is called, so that the joins
+    know their size; the result itself is lazy.
 
     Ids without a current version are left out unless `insert_new`. `change_only` skips a snapshot whose hash equals
     the one before it.
     """
     columns = base.columns
     rows = snapshots.where(F.col(day).between(F.lit(first), F.lit(last)) & F.col(id_column).isNotNull())
-    days = one_per_day(rows, id_column, day, prefer).withColumn("rowhash", rowhash)
-    current = base.where(F.col("is_current") == 1)
+    starts = materialize(_starts(rows, id_column, day), "starts")
+    current = join_on(base.where(F.col("is_current") == 1), starts, [id_column], "left_semi")
     if not insert_new:
-        days = join_on(days, current.select(id_column).dropna().distinct(), [id_column], "left_semi")
-    by_id = W.partitionBy(id_column).orderBy(day)
+        known = materialize(current.select(id_column).distinct(), "known")
+        rows = join_on(rows, known, [id_column], "left_semi")
+    days = one_per_day(rows, id_column, day, prefer).withColumn("rowhash", rowhash)
     if change_only:
-        rows = days = _changes(days, current, id_column, day)
-    following = F.lead(day).over(by_id)
+        days = _changes(days, current, id_column, day)
+        starts = materialize(_starts(days, id_column, day), "starts")
+    following = F.lead(day).over(W.partitionBy(id_column).orderBy(day))
     versions = days.withColumn("_next", following).withColumns(
         {
             "from_date": F.col(day),
@@ -106,7 +110,6 @@ def replay(
             "is_current": F.col("_next").isNull().cast("int"),
         }
     )
-    starts = rows.groupBy(id_column).agg(F.min(day).alias("_start"))
     closed = join_on(base, starts, [id_column], "left")
     ends = (F.col("is_current") == 1) & F.col("_start").isNotNull()
     closed = closed.withColumns(
@@ -118,6 +121,10 @@ def replay(
     return closed.select(columns).unionByName(versions.select(columns))
 
 
+def _starts(days: DataFrame, id_column: str, day: str) -> DataFrame:
+    return days.groupBy(id_column).agg(F.min(day).alias("_start"))
+
+
 def _changes(days: DataFrame, current: DataFrame, id_column: str, day: str) -> DataFrame:
     """Snapshots whose hash differs from the one before, the current version counting as before the first."""
     old = current.groupBy(id_column).agg(F.max("rowhash").alias("rowhash")).withColumn("_old", F.lit(True))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.operators.rows import delete_matching, join_on
+from lakeops.session import materialize
 
 
 def watermark(base: DataFrame, day: str) -> DataFrame:
@@ -48,7 +49,8 @@ def delete_insert_range(
     has_null = F.lit(False)
     for k in keys:
         has_null = has_null | F.col(k).isNull()
-    last_day = rows.where(~has_null).groupBy(*keys).agg(F.max(day).alias(day))  # combined before the shuffle
+    # one row per key, combined before the shuffle; written, as both joins need it and its size
+    last_day = materialize(rows.where(~has_null).groupBy(*keys).agg(F.max(day).alias(day)), "last_day")
     kept = collapse(join_on(rows, last_day, [*keys, day], "left_semi"), latest)
     always = collapse(rows.where(has_null), latest)
     return delete_matching(base, last_day, keys).unionByName(kept).unionByName(always)

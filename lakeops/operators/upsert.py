@@ -60,12 +60,16 @@ def upsert_day(
     prefer: Sequence[str] = (),
     null_safe: bool = False,
 ) -> DataFrame:
-    """The base after one slice. All columns of `base` must be in `day_slice`; `match` must contain the keys."""
+    """The base after one slice. All columns of `base` must be in `day_slice`; `match` must contain the keys.
+
+    The slice's candidates, two rows per key at most, are written to the scratch folder when this is called, so that the
+    join with the base knows their size; the result itself is lazy.
+    """
     if not set(keys) <= set(match):
         raise ValueError("match columns must contain the keys")
     columns = base.columns
     rows = day_slice.select(columns)
-    best = _two_best(_usable(rows, [*keys, status], null_safe), keys, status, columns, prefer)
+    best = materialize(_two_best(_usable(rows, [*keys, status], null_safe), keys, status, columns, prefer), "best")
 
     def update(how: str) -> DataFrame:
         joined = join_on(base, best, keys, how, null_safe)
@@ -115,7 +119,8 @@ def upsert_range(
 
     # the base stands before all days, with the tuples it has for the slices' keys
     old = _usable(base.select(match), [*keys, status], null_safe)
-    old = join_on(old, usable.select(keys).distinct(), keys, "left_semi", True).distinct()
+    slice_keys = materialize(usable.select(keys).distinct(), "keys")
+    old = join_on(old, slice_keys, keys, "left_semi", True).distinct()
     tuples = materialize(usable.select(*match, "_at").distinct().unionByName(old.withColumn("_at", no_day)), "tuples")
     statuses = materialize(tuples.select(*keys, status, "_at").distinct(), "statuses")
     days = materialize(_days(usable, statuses, keys, status, columns, prefer), "days")

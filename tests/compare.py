@@ -1,6 +1,8 @@
 """Run the registered queries beside their SQL.
 
-    python tests/compare.py [sf_dir] [name ...]
+    python tests/compare.py [sf_dir] [name ... | key=value ...]
+
+Arguments with `=` are Spark settings.
 """
 
 from __future__ import annotations
@@ -60,8 +62,10 @@ def main() -> None:
     from suite import ORACLES, QUERIES
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(QUERIES)
-    spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g"})
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    settings |= {"spark.driver.memory": "12g"} | dict(a.split("=", 1) for a in sys.argv[2:] if "=" in a)
+    names = [a for a in sys.argv[2:] if "=" not in a] or list(QUERIES)
+    spark = build_session("local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf)
     bad = 0
