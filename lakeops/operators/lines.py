@@ -5,8 +5,8 @@ within a split `monotonically_increasing_id` numbers the rows kept so far withou
 these operators free of a sort over whole files: rows that cannot be part of a broken record need no shuffle at all, and
 windows run over one split, with the join between splits done on one row per split.
 
-`numbered` must be applied to rows that came from the reader through filters and projections only: then a task run again
-on another executor gives the same numbers.
+`numbered` must be applied to rows that came from `read_lines` through filters and projections only: then a task run
+again on another executor, and another scan of the same files in the plan, give the same numbers.
 """
 
 from __future__ import annotations

@@ -60,8 +60,19 @@ def read_multiline_csv(
     return cells.select("_cells.*", "file_name").toDF(*whole.columns, "file_name")
 
 
+def pin_splits(spark: SparkSession) -> None:
+    """Fix the least number of splits at its present value.
+
+    Left alone it follows the number of cores, so while executors come and go two scans of one plan could split a small
+    file differently. Operators that number lines per split need the same splits in all scans.
+    """
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+
+
 def read_lines(spark: SparkSession, paths: Paths) -> DataFrame:
     """Raw lines with the file and the split they come from: value, file_path, file_name, block."""
+    pin_splits(spark)
     return spark.read.text(paths).select(
         "value",
         F.col("_metadata.file_path").alias("file_path"),
