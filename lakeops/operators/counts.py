@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -81,8 +81,8 @@ def distinct_by_day(
     some day of that period. `any_row` adds Boolean columns: has the key a row on those days, NULL ids included.
 
     Within a period an id counts from its first day on. So the table is reduced to distinct (key, id, day), marked with
-    the windows it is new in, and that to new ids per (key, day). Only this small table meets the end days; rows are
-    never copied per end day.
+    the windows it is new in, and that to new ids per key and stretch of days that all windows treat alike. Only this
+    small table meets the end days; rows are never copied per end day.
     """
     any_row = any_row or {}
     spans = [w.limit for w in windows.values()] + [s for days in any_row.values() for s in days.values()]
@@ -99,9 +99,11 @@ def distinct_by_day(
         first = F.col("_before").isNull() | (F.col("_before") < opening)
         return F.count_if(real & first & w.limit.holds(F.col("_day")))
 
-    per_day = (
+    covers = [s for by_name in ends.values() for s in by_name.values()]
+    covers += [s for by_day in any_row.values() for s in by_day.values()]
+    per_stretch = (
         days.withColumn("_before", before)
-        .groupBy(key, "_day")
+        .groupBy(key, _stretch_start(F.col("_day"), universe, covers).alias("_from"))
         .agg(*[new(w).alias(f"_new_{name}") for name, w in windows.items()])
     )
     table, fields = [], []
@@ -114,14 +116,21 @@ def distinct_by_day(
         table.append((end, *[d for s in covered for d in (s.first, s.last)]))
     end_days = df.sparkSession.createDataFrame(table, ", ".join(["data_date date", *fields]))
 
-    def inside(name: str) -> Column:
-        return F.col("_day").between(F.col(f"_{name}_from"), F.col(f"_{name}_to"))
-
-    reached = F.lit(False)
-    for name in [*windows, *any_row]:
-        reached = reached | inside(name)
-    paired = per_day.join(F.broadcast(end_days), reached)  # the caller's own list of days
+    inside = {name: f"_from BETWEEN _{name}_from AND _{name}_to" for name in [*windows, *any_row]}
+    paired = per_stretch.join(F.broadcast(end_days), F.expr(" OR ".join(inside.values())))  # the caller's own list of days
     return paired.groupBy(key, "data_date").agg(
-        *[F.sum(F.when(inside(name), F.col(f"_new_{name}")).otherwise(0)).alias(name) for name in windows],
-        *[(F.max(inside(name).cast("int")) == 1).alias(name) for name in any_row],
+        *[F.expr(f"sum(CASE WHEN {inside[name]} THEN _new_{name} ELSE 0 END) AS {name}") for name in windows],
+        *[F.expr(f"bool_or({inside[name]}) AS {name}") for name in any_row],
     )
+
+
+def _stretch_start(day: Column, universe: Span, covers: Sequence[Span]) -> Column:
+    """The first day of the stretch `day` lies in; the spans begin and end only where stretches do."""
+    edges = {s.first for s in covers} | {s.last + timedelta(days=1) for s in covers}
+    starts, start = [], 0
+    for i in range((universe.last - universe.first).days + 1):
+        if universe.first + timedelta(days=i) in edges:
+            start = i
+        starts.append(start)
+    table = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<int>")  # folded into one literal
+    return F.date_add(F.lit(universe.first), F.get(table, F.date_diff(day, F.lit(universe.first))))
