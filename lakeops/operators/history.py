@@ -20,8 +20,11 @@ SPAN = ["from_date", "to_date", "is_current", "rowhash"]
 
 
 def classify_changes(current: DataFrame, incoming: DataFrame, id_column: str, rowhash: str = "rowhash") -> DataFrame:
-    """Per id: I (only incoming), D (only current), U (hashes differ) or N, with the incoming row's columns."""
-    old = current.select(F.col(id_column).alias("_id"), F.col(rowhash).alias("_hash"), F.lit(True).alias("_old"))
+    """Per id: I (only incoming), D (only current), U (hashes differ) or N, with the incoming row's columns.
+
+    The current side is brought down to one hash per id, so that a doubled id does not multiply rows.
+    """
+    old = current.groupBy(F.col(id_column).alias("_id")).agg(F.max(rowhash).alias("_hash"), F.lit(True).alias("_old"))
     new = incoming.withColumn("_new", F.lit(True))
     op = (
         F.when(F.col("_old").isNull(), "I")

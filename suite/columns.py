@@ -160,7 +160,12 @@ def date_keys_of_names(spark: SparkSession, sf: str) -> DataFrame:
     return stamp_keys(named_files(spark, sf), Naming(pattern=r"_(\d{8})\.[^.]*$", fmt="ddMMyyyy"))
 
 
-@query(f"SELECT o_orderkey::VARCHAR AS file_path, {NAMED_SQL} AS file_name FROM orders WHERE o_orderkey % 9 = 0")
+@query(
+    f"""
+    SELECT * FROM (SELECT o_orderkey::VARCHAR AS file_path, {NAMED_SQL} AS file_name FROM orders)
+    WHERE try_strptime(file_name, 'orders_%d%m%Y.csv') IS NULL
+    """
+)
 def undated_names(spark: SparkSession, sf: str) -> DataFrame:
     files = named_files(spark, sf).withColumn("file_path", F.col("o_orderkey").cast("string"))
     return undated(stamp_keys(files, Naming(pattern=r"_(\d{8})\.[^.]*$", fmt="ddMMyyyy")))

@@ -133,7 +133,9 @@ def repair_linebreak_any_length(spark: SparkSession, sf: str) -> DataFrame:
 
 PAIR_SQL = f"""
     SELECT {ID_SQL} || ',' || {PHONE_SQL} || ',Cy' AS first_line, 'Dee,' || {STAMP_SQL} AS second_line
-    FROM orders WHERE o_orderkey % 7 IN (0, 1, 3)
+    FROM (SELECT *, ['broken', 'blank between', 'cut', 'broken', 'comma', 'short tail', 'whole'][o_orderkey % 7 + 1] AS kind
+          FROM orders)
+    WHERE kind IN ('broken', 'blank between')
 """
 
 

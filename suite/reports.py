@@ -156,9 +156,12 @@ def acquisition_by_day(spark: SparkSession, sf: str) -> DataFrame:
 def close_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     events = table(spark, sf, "events")
     day = F.to_date("ts")
-    branches = events.select(
-        F.col("user_id").alias("branch_code"), F.when(F.col("user_id") % 10 == 9, "X").otherwise("O").alias("record_stat")
+    # each user is an open branch, and has a closed one beside it
+    twins = F.array(
+        F.struct(F.col("user_id").alias("branch_code"), F.lit("O").alias("record_stat")),
+        F.struct((-F.col("user_id") - 1).alias("branch_code"), F.lit("X").alias("record_stat")),
     )
+    branches = events.select(F.inline(twins))
     stages = events.select(
         F.col("user_id").alias("branch_code"),
         day.alias("branch_date"),
@@ -178,7 +181,7 @@ def close_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, Da
 @query(
     f"""
     WITH e AS (SELECT *, ts::DATE AS d FROM events), m AS (SELECT max(d) AS today FROM e),
-    total AS (SELECT count(DISTINCT user_id) AS t FROM e WHERE user_id % 10 <> 9),
+    total AS (SELECT count(DISTINCT user_id) AS t FROM e),
     done AS (SELECT d, count(DISTINCT user_id) AS n, min(ts) AS first_ts, max(ts) AS last_ts
              FROM e WHERE event_type = 'purchase' AND d = (SELECT today FROM m) GROUP BY d)
     SELECT {day_text('d')} AS branch_date, t AS no_of_total_branch, n AS no_of_eoc_branch,
@@ -196,7 +199,7 @@ def close_status(spark: SparkSession, sf: str) -> DataFrame:
     SELECT {day_text('(SELECT max(ts)::DATE FROM events)')} AS branch_date, count(DISTINCT user_id) AS no_of_total_branch,
            0::BIGINT AS no_of_eoc_branch, 'incomplete' AS status,
            NULL::VARCHAR AS start_time, NULL::VARCHAR AS end_time
-    FROM events WHERE user_id % 10 <> 9
+    FROM events
     """
 )
 def close_status_none_done(spark: SparkSession, sf: str) -> DataFrame:

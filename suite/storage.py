@@ -252,7 +252,7 @@ def replace_own_input(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""
     WITH p AS (SELECT max(ts)::DATE AS d FROM events),
-    s AS (SELECT (SELECT count(DISTINCT user_id) FROM events WHERE user_id % 10 <> 9) AS t, count(DISTINCT user_id) AS n,
+    s AS (SELECT (SELECT count(DISTINCT user_id) FROM events) AS t, count(DISTINCT user_id) AS n,
                  min(ts) AS a, max(ts) AS b FROM events, p WHERE event_type = 'purchase' AND ts::DATE = d)
     SELECT (SELECT strftime(d, '%Y-%m-%d') FROM p) AS branch_date, t AS no_of_total_branch, n AS no_of_eoc_branch,
            CASE WHEN t = n THEN 'complete' ELSE 'incomplete' END AS status, {stamp_text('a')} AS start_time,
@@ -322,10 +322,11 @@ def category(level: int, modulus: int) -> list[Column]:
 
 
 def category_files(spark: SparkSession, sf: str, folder: str, copies: bool) -> None:
-    """A file per half-year, or two of which the one greater in name counts; bad stamps, and a file without a date."""
+    """A file per half-year, or two of which the one greater in name counts; bad stamps. One more file, with a copy of
+    all rows, has no date in its name."""
     key = F.col("o_orderkey")
     orders = table(spark, sf, "orders")
-    versions = F.array(F.lit("a"), F.lit("b")) if copies else F.array(F.lit("b"))
+    versions = F.array(*[F.lit(v) for v in (["a", "b", "x"] if copies else ["b", "x"])])
     rows = orders.select(
         *[c for level, m in ((1, 5), (2, 25), (3, 1000)) for c in category(level, m)],
         key.cast("string").alias("Created User Id"),
@@ -336,8 +337,8 @@ def category_files(spark: SparkSession, sf: str, folder: str, copies: bool) -> N
         F.explode(versions).alias("version"),
         half_year("yyyyMMdd").alias("half"),
     )
-    named = rows.withColumn("_file", F.concat("version", F.lit("_category_"), "half", F.lit(".csv")))
-    named = named.withColumn("_file", F.when(F.col("Created User Id").endswith("50"), "x_undated.csv").otherwise(F.col("_file")))
+    dated = F.concat("version", F.lit("_category_"), "half", F.lit(".csv"))
+    named = rows.withColumn("_file", F.when(F.col("version") == "x", "x_undated.csv").otherwise(dated))
     named = named.withColumn("Status", F.when(F.col("version") == "a", "old").otherwise(F.col("Status")))
     write_named(named.drop("version", "half"), folder, "_file", as_csv)
 
@@ -350,7 +351,7 @@ CATEGORY_SQL = f"""
            CASE WHEN o_orderkey % 10 <> 0 THEN {stamp_text('o_orderdate')} END AS created_date, o_orderstatus AS status,
            CASE WHEN o_orderkey % 3 <> 0 THEN 'u1' END AS updated_user_id, {stamp_text('o_orderdate')} AS last_updated_date,
            'b_category_' || strftime({HALF_SQL}, '%Y%m%d') || '.csv' AS file_name, {KEYS_SQL.format(d='h')}
-    FROM (SELECT *, {HALF_SQL} - INTERVAL 1 DAY AS h FROM orders) WHERE o_orderkey::VARCHAR NOT LIKE '%50'
+    FROM (SELECT *, {HALF_SQL} - INTERVAL 1 DAY AS h FROM orders)
 """
 
 
