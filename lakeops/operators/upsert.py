@@ -139,7 +139,8 @@ def _days(
     usable: DataFrame, statuses: DataFrame, keys: list[str], status: str, columns: list[str], prefer: Sequence[str]
 ) -> DataFrame:
     """Per (key, day): the candidates `_s1` and `_s2`; whether base rows turned into them, `_to_s1` and `_to_s2`; the
-    day's only status, `_only`, if it has one; and the day before the run of days with that only status, `_anchor`."""
+    day's only status, `_only`, if it has one; whether it was the day before's only one too, `_goes_on`; and the day
+    before that run of days, `_anchor`."""
     by_key = W.partitionBy(*keys).orderBy("_at")
     one = F.struct(status)
     chain = (
@@ -151,7 +152,7 @@ def _days(
         .withColumn("_goes_on", F.coalesce(F.col("_only") == F.col("_prev_only"), F.lit(False)))
         .withColumn("_run", F.sum(F.when(F.col("_goes_on"), 0).otherwise(1)).over(by_key))
         .withColumn("_anchor", F.first("_prev").over(W.partitionBy(*keys, "_run").orderBy("_at")))
-        .drop("_low", "_high", "_goes_on", "_run")
+        .drop("_low", "_high", "_run")
     )
     last_there = F.lag("_at").over(W.partitionBy(*keys, status).orderBy("_at"))
     there = statuses.withColumn("_there", last_there).withColumnRenamed(status, "_first")
@@ -164,6 +165,7 @@ def _days(
         "_s1",
         "_s2",
         "_only",
+        "_goes_on",
         "_anchor",
         (F.col("_prev").isNotNull() & ~only_first).alias("_to_s1"),
         F.coalesce(F.col("_there") == F.col("_prev"), F.lit(False)).alias("_to_s2"),
@@ -187,13 +189,27 @@ def _found(tuples: DataFrame, days: DataFrame, keys: list[str], match: list[str]
     return joined.where(F.coalesce(lasted, F.lit(False)) | became).select(*match, "_at")
 
 
+def _last_days(days: DataFrame, keys: list[str]) -> DataFrame:
+    """The days that decide how a key's rows end: from each run of days with one and the same only status its first day,
+    from the last run back to the latest earlier day with an only status.
+
+    That day leaves all rows with its status, whatever they were before; the days between have several statuses each,
+    so replace every row. For a key with one status a day that makes two days.
+    """
+    back = W.partitionBy(*keys).orderBy(F.col("_at").desc())
+    earlier = F.sum(F.when(F.col("_only").isNotNull() & (F.col("_n") > 1), 1).otherwise(0))
+    runs = days.where(~F.col("_goes_on")).withColumn("_n", F.row_number().over(back))
+    passed = earlier.over(back.rowsBetween(W.unboundedPreceding, -1))
+    return runs.withColumn("_passed", F.coalesce(passed, F.lit(0))).where("_passed = 0")
+
+
 def _final(statuses: DataFrame, days: DataFrame, keys: list[str], status: str, no_day: Column) -> DataFrame:
     """What a row of some status, in the base since some day, is in the end: (key, status, day) -> `_row`. Rows that
     stay as they are are not listed."""
     day = F.struct(
         "_at", F.col("_s1")[status].alias("first"), F.col("_s2")[status].alias("second"), F.col("_s2").isNotNull().alias("two")
     )
-    steps = days.groupBy(*keys).agg(F.array_sort(F.collect_list(day)).alias("_steps"))  # one entry per day
+    steps = _last_days(days, keys).groupBy(*keys).agg(F.array_sort(F.collect_list(day)).alias("_steps"))
     start = F.struct(F.col(status).alias("status"), no_day.alias("at"), F.lit(0).alias("which"))
 
     def step(now: Column, d: Column) -> Column:

@@ -101,3 +101,18 @@ def test_keys_must_be_matched(spark):
     df = spark.createDataFrame([], SCHEMA)
     with pytest.raises(ValueError):
         upsert_day(df, df, KEYS, STATUS, ["name"])
+
+
+def test_long_chains_of_days_with_several_statuses(spark):
+    rng = random.Random(42)
+    base = random_rows(rng, 8, 0, "ABC", 0)
+    days = []
+    for d in range(1, 40):
+        statuses = rng.choice(["A", "B", "AB", "ABC", "AB", "BC"])
+        days.append([("a", "x", rng.choice(["n1", "n2"]), s, "u", rng.randint(1, 3), d) for s in statuses])
+    want = base
+    for rows in days:
+        want = fold_day(want, rows, False)
+    slices = spark.createDataFrame([r for rows in days for r in rows], SCHEMA)
+    got = upsert_range(spark.createDataFrame(base, SCHEMA), slices, "day", KEYS, STATUS, MATCH, PREFER)
+    assert bag(got.collect()) == bag(want)
