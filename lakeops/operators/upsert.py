@@ -157,7 +157,8 @@ def _days(
     last_there = F.lag("_at").over(W.partitionBy(*keys, status).orderBy("_at"))
     there = statuses.withColumn("_there", last_there).withColumnRenamed(status, "_first")
     best = _two_best(usable, [*keys, "_at"], status, columns, prefer).withColumn("_first", F.col("_s1")[status])
-    joined = join_on(join_on(best, chain, [*keys, "_at"], "inner", True), there, [*keys, "_at", "_first"], "left", True)
+    # the narrow tables are joined first, the wide candidates once
+    joined = join_on(best, join_on(there, chain, [*keys, "_at"], "inner", True), [*keys, "_at", "_first"], "inner", True)
     only_first = F.coalesce(F.col("_prev_only") == F.struct(F.col("_first").alias(status)), F.lit(False))
     return joined.select(
         *keys,

@@ -24,6 +24,7 @@ class Terms:
     year: Span = Span(date(2025, 1, 3), date(2026, 1, 2))
 
 
+# Columns of the report.
 CALENDAR = ["cal_d_1", "cal_wtd", "cal_mtd", "cal_qtd", "btd", "tc_ytd"]
 FISCAL = ["tc_d_1", "tc_wtd", "tc_mtd", "tc_qtd"]
 STAFF = [
