@@ -56,7 +56,7 @@ def shuffle_key(key: Column, seed: str) -> Column:
     return F.md5(F.concat(F.lit(seed), F.coalesce(key.cast("string"), F.lit("null"))))
 
 
-def mix(documents: DataFrame, max_repeat: int = 3, seed: str = "mix:", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block_rows: int = 20_000, row_col: str | None = None) -> DataFrame:
+def mix(documents: DataFrame, max_repeat: int = 3, seed: str = "mix:", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block_rows: int = 5_000, row_col: str | None = None) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, `passes` (how often the mix takes it) and taken, the
     words it gives the mix. `row_col` names a column that tells rows apart; it is kept as `row`.
 
@@ -81,7 +81,7 @@ def mix(documents: DataFrame, max_repeat: int = 3, seed: str = "mix:", id_col: s
     docs = docs.withColumn("upto", F.col("earlier") + F.col("inner")).drop("key", "block", "earlier", "inner")
     docs = materialize(docs, "mix-placed")
 
-    cut = first_beyond(docs, budget, max_repeat)
+    cut = first_beyond(docs, budget, max_repeat, max(1, rows * max_repeat // 50_000))
     if cut is None:
         passes = F.lit(max_repeat)
     else:
@@ -97,14 +97,14 @@ def service(k: int) -> Column:
     return F.struct(finish.alias("finish"), F.col("h").alias("h"), F.lit(k).alias("pass"))
 
 
-def first_beyond(docs: DataFrame, budget: int, max_repeat: int) -> tuple | None:
+def first_beyond(docs: DataFrame, budget: int, max_repeat: int, ranges: int) -> tuple | None:
     """Place of the first document that the budget has no room for; None if all passes fit.
 
-    All passes are sorted over range partitions; totals of the partitions tell in which one the budget ends, and only
+    All passes are sorted over range partitions, whose number follows the rows; totals of the partitions tell in which one the budget ends, and only
     that one is summed up row by row.
     """
     served = docs.where("size > 0").select("size", F.explode(F.array(*[service(k) for k in range(max_repeat)])).alias("at"))
-    served = served.repartitionByRange("at.finish", "at.h", "at.pass").sortWithinPartitions("at.finish", "at.h", "at.pass")
+    served = served.repartitionByRange(ranges, "at.finish", "at.h", "at.pass").sortWithinPartitions("at.finish", "at.h", "at.pass")
     served = materialize(served.select(F.spark_partition_id().alias("part"), "size", "at"), "mix-order")
     totals = served.groupBy("part").agg(F.sum("size").alias("total"))
     upto = totals.select("part", F.sum("total").over(W.orderBy("part")).alias("upto"), "total")

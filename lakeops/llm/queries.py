@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import mixing, quality_rules
+from lakeops.llm import line_dedup, mixing, quality_rules, token_files
+from lakeops.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,3 +80,34 @@ def op1_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """How much of each document the mix of all sources takes."""
     return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op5_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents written as token files and read back."""
+    import public_tokenizers
+
+    path = scratch_path(spark, "tokens")
+    token_files.write(table(spark, sf, "documents"), path, vocabulary=public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query(
+    r"""
+    WITH lines AS (
+      SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents)),
+    judged AS (
+      SELECT doc_id, pos, line, length(key) >= 10 AND doc_id > min(doc_id) OVER (PARTITION BY key) AS gone FROM lines)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+    FROM judged GROUP BY doc_id
+    """
+)
+def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines kept of every document, by bitmaps."""
+    docs = line_dedup.with_bitmaps(table(spark, sf, "documents").select("doc_id", "text"))
+    text = F.coalesce("text", F.lit(""))
+    changed = line_dedup.kept_hash(F.when(F.col("_keeps").isNotNull(), text), F.col("_keeps"))
+    n_lines = F.size(line_dedup.text_lines(F.col("text"))).cast("long")
+    return docs.select("doc_id", n_lines.alias("n_lines"), F.coalesce("_n_dropped", F.lit(0)).alias("n_dropped"), F.coalesce(changed, F.sha2(text, 256)).alias("kept_sha256"))
