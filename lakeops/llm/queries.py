@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import line_dedup, mixing, quality_rules, token_files
+from lakeops.llm import line_dedup, mixing, quality_rules, substring_dedup, token_files
 from lakeops.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,24 @@ def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     changed = line_dedup.kept_hash(F.when(F.col("_keeps").isNotNull(), text), F.col("_keeps"))
     n_lines = F.size(line_dedup.text_lines(F.col("text"))).cast("long")
     return docs.select("doc_id", n_lines.alias("n_lines"), F.coalesce("_n_dropped", F.lit(0)).alias("n_dropped"), F.coalesce(changed, F.sha2(text, 256)).alias("kept_sha256"))
+
+
+@query(
+    r"""
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    places AS (SELECT doc_id, len(words) AS n, words, unnest(range(1, len(words) + 1)) AS pos FROM w),
+    windows AS (
+      SELECT doc_id, pos, doc_id > min(doc_id) OVER (PARTITION BY array_to_string(words[pos:pos + 12], ' ')) AS again
+      FROM places WHERE pos + 12 <= n),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 13)) AS pos FROM windows WHERE again),
+    kept AS (
+      SELECT p.doc_id, count(*) FILTER (g.pos IS NOT NULL) AS n_removed,
+             string_agg(p.words[p.pos], ' ' ORDER BY p.pos) FILTER (g.pos IS NULL) AS body
+      FROM places p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.pos = g.pos GROUP BY p.doc_id)
+    SELECT w.doc_id, CAST(len(w.words) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.body, '')) AS kept_sha256
+    FROM w LEFT JOIN kept k ON w.doc_id = k.doc_id
+    """
+)
+def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Words kept of every document after windows of 13 words seen in an earlier document."""
+    return substring_dedup.repeated_words(table(spark, sf, "documents"), window=13).select("doc_id", "n_words", "n_removed", "kept_sha256")
