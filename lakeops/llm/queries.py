@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import line_dedup, mixing, ngram_model, quality_rules, substring_dedup, token_files
+from lakeops.llm import line_dedup, mixing, ngram_model, quality_rules, substring_dedup, suffix_dedup, token_files
 from lakeops.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,6 +92,12 @@ def op5_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query()
+def op6_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Bytes kept of every document after strings of 400 bytes that occur elsewhere."""
+    return suffix_dedup.removed_bytes(table(spark, sf, "documents"), length=400).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query()
 def op8_ngram_model(spark: SparkSession, sf: str) -> DataFrame:
     """Score of every document by the bigram model of the training documents."""
