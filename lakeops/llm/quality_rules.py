@@ -133,13 +133,13 @@ def labelled_statistics(documents: DataFrame, labels: DataFrame, id_col: str, te
     y = labels.where(F.col("quality").isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg((F.min("quality") < 1).alias("bad"))
     y = y.orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
     docs = documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    rows = docs.join(F.broadcast(y), "_id").select("_id", "bad", statistics(F.col("_text")).alias("s"))
+    # written before the filter below, which Spark would else compute for all documents ahead of the join
+    rows = materialize(docs.join(F.broadcast(y), "_id").select("_id", "bad", statistics(F.col("_text")).alias("s")), "quality-labelled")
     return rows.where(~base_failed(F.col("s"))).select("bad", (F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(3)) == 0).alias("prunes"), "s")
 
 
 def learn(rows: DataFrame, bins: int = 32, max_rules: int = 8, max_conditions: int = 3, min_precision: float = 0.95, min_hits: int = 5) -> list[Rule]:
     """The decision list for rows of (bad, prunes, s), as `labelled_statistics` gives them."""
-    rows = materialize(rows.select("bad", "prunes", "s"), "quality-labelled")
     steps = [k / bins for k in range(1, bins)]
     cut = rows.agg(*[F.percentile_approx(f(F.col("s")), steps, 10000).alias(m) for m, f in MEASURES.items()]).first().asDict()
     cuts = {m: sorted(set(v)) for m, v in cut.items() if v}
