@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import line_dedup, mixing, ngram_model, quality_rules, substring_dedup, suffix_dedup, token_files
+from lakeops.llm import i_match, line_dedup, mixing, ngram_model, quality_rules, substring_dedup, suffix_dedup, token_files
 from lakeops.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +82,12 @@ def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query()
+def op4_i_match(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how like they are."""
+    return i_match.with_edits(table(spark, sf, "documents"))
+
+
 @query()
 def op5_token_files(spark: SparkSession, sf: str) -> DataFrame:
     """All documents written as token files and read back."""
