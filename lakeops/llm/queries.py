@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import i_match, line_dedup, mixing, ngram_model, quality_rules, substring_dedup, suffix_dedup, token_files
+from lakeops.llm import i_match, line_dedup, lsh_forest, mixing, ngram_model, quality_rules, substring_dedup, suffix_dedup, token_files
 from lakeops.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,31 @@ def op1_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("doc_id", s("n_words"), s("word_chars"), s("n_symbols"), s("n_dup_lines"), s("n_repeat_words"), "quality.base_failed", "quality.kept", "quality.rule")
 
 
+@query(
+    r"""
+    WITH w AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    shingles AS (
+      SELECT DISTINCT doc_id, CASE WHEN len(words) < 3 THEN array_to_string(words, ' ') ELSE array_to_string(words[pos:pos + 2], ' ') END AS s, len(words) < 3 AS short
+      FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS pos FROM w WHERE len(words) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    common AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.short = b.short AND a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (
+      SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+    reach AS (
+      WITH RECURSIVE r(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM r JOIN links l ON r.b = l.a) SELECT a, min(b) AS least FROM r GROUP BY a)
+    SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(least, w.doc_id)) AS component_id,
+           w.doc_id <= coalesce(least, w.doc_id) AS kept
+    FROM w LEFT JOIN sizes s ON s.doc_id = w.doc_id LEFT JOIN reach ON reach.a = w.doc_id
+    """
+)
+def op2_lsh_forest(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups of documents linked by 0.85 of their runs of three words."""
+    groups = lsh_forest.near_duplicates(table(spark, sf, "documents"), shingle=3, percent=85)
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query(
     r"""
     WITH sized AS (
