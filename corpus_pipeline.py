@@ -1,10 +1,13 @@
-"""The corpus pipeline: quality rules, line dedup, near-dedup, mixing, and pieces of the mixed documents."""
+"""The corpus pipeline: quality rules, line dedup, near-dedup, mixing of sources, and segmentations of the mix.
+
+Every stage works on all rows the one before it kept. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import mixing, quality_rules
+from lakeops.llm import line_dedup, lsh_forest, mixing, piece_sampling, quality_rules
 from lakeops.session import scratch_path
 
 
@@ -13,25 +16,45 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return quality_rules.kept_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the lines that no document of smaller id has."""
+    return line_dedup.deduped_documents(docs)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: five words a shingle, similarity 0.8."""
+    return lsh_forest.unique_documents(docs, shingle=5, percent=80)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them."""
     return mixing.mixed_documents(docs)
 
 
-STAGES = [("quality rules", good_documents), ("mixing", mixed)]
+def segmented(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Two segmentations of each document of the mix, with their ids, scores, and whether they decode to the text."""
+    import public_tokenizers
+
+    return piece_sampling.segmentations(docs, public_tokenizers.path("piece_bpe_32k.model"), samples=2, alpha=0.2, seed=0)
+
+
+STAGES = [
+    ("quality rules", good_documents),
+    ("line dedup", without_repeated_lines),
+    ("near-dedup", one_of_each_group),
+    ("mixing", mixed),
+    ("segmentations", segmented),
+]
 
-#: The learned rules and the sampled segmentations are not expressible in SQL; tests hold the stages against brute force.
+#: Learned rules and drawn segmentations can't be said in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of `sf_dir`; each is written and read again as the next one's input."""
+    """All stages over the documents of `sf_dir`; each is written to the scratch folder and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if k == len(STAGES) - 1:
-            return out
+    for k, (_, stage) in enumerate(STAGES[:-1]):
         path = scratch_path(spark, f"pipeline-{k}")
-        out.write.parquet(path)
+        stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

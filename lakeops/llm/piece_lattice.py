@@ -20,6 +20,7 @@ from lakeops.llm.hashing import factors
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 STEP, START = factors(2, 70)
+SIEVE_BITS = 18
 
 
 class Pieces:
@@ -46,9 +47,13 @@ class Pieces:
         total = np.log(np.sum(1 / (rank + 1.0)) + 256 / (len(ids) + 2.0))
         weights = alpha * (-np.log(rank + 1.0) - total)
         self.byte_weight = alpha * (-np.log(len(ids) + 2.0) - total)
-        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.weights = np.full(model.get_piece_size(), -np.inf)
+        self.weights[ids] = weights
+        # for each length from long to short: hashes in order, their ids, and a coarse sieve of the hashes
+        self.lengths: list[int] = []
+        self.tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         lengths = np.array([len(n) for n in names])
-        for n in np.unique(lengths):
+        for n in np.unique(np.append(lengths, 1))[::-1]:
             at = np.flatnonzero(lengths == n)
             chars = np.frombuffer("".join(names[k] for k in at).encode("utf-32-le"), np.uint32).reshape(len(at), n)
             h = np.full(len(at), START, np.uint64)
@@ -56,11 +61,14 @@ class Pieces:
                 h = (h ^ chars[:, j]) * STEP
                 h ^= h >> np.uint64(32)
             order = np.argsort(h)
-            self.by_length[int(n)] = (h[order], np.array(ids)[at][order], weights[at][order])
+            sieve = np.zeros(1 << SIEVE_BITS, bool)
+            sieve[h >> np.uint64(64 - SIEVE_BITS)] = True
+            self.lengths.append(int(n))
+            self.tables.append((h[order], np.array(ids, np.int64)[at][order], sieve))
 
 
 class Lattices:
-    """Lattices of the given words. Node of word k: `first[k]` on; edges of node v: `at[v]` to `at[v + 1]`, likeliest first.
+    """Lattices of the given words. Node of word k: `first[k]` on; edges of node v: `at[v]` to `at[v + 1]`, long pieces first.
 
     Of edges: `end` node, `piece` id (-1: bytes of the character), `log_p` given its node, `upto` the sum of the chances of
     the node's edges up to it. `done` tells the nodes at the end of a word.
@@ -71,59 +79,53 @@ class Lattices:
         sizes = np.array([len(w) for w in words], np.int64)
         offsets = np.cumsum(sizes) - sizes
         self.first = offsets + np.arange(len(words))
-        n = len(self.chars)
-        word = np.repeat(np.arange(len(words)), sizes)
+        n, nodes = len(self.chars), len(self.chars) + len(words)
+        node = np.arange(n) + np.repeat(np.arange(len(words)), sizes)
         left = np.repeat(offsets + sizes, sizes) - np.arange(n)
-        starts, ends, ids, weights = [], [], [], []
+
+        # the piece of each length at each character, lengths from long to short
+        lengths = np.array(pieces.lengths)
+        found = np.full((n, len(lengths)), -2, np.int32)
         h, where = np.full(n, START, np.uint64), np.arange(n)
-        single = np.zeros(n, bool)
-        for length in range(1, max(pieces.by_length, default=0) + 1):
+        for length in range(1, int(lengths.max()) + 1):
             fits = left[where] >= length
             where, h = where[fits], h[fits]
             if not len(where):
                 break
             h = (h ^ self.chars[where + length - 1]) * STEP
             h ^= h >> np.uint64(32)
-            if length not in pieces.by_length:
-                continue
-            known, piece, weight = pieces.by_length[length]
-            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            hit = known[at] == h
-            starts.append(where[hit])
-            ends.append(where[hit] + length)
-            ids.append(piece[at[hit]])
-            weights.append(weight[at[hit]])
-            if length == 1:
-                single[where[hit]] = True
-        odd = np.flatnonzero(~single)
-        width = 1 + (self.chars[odd] > 0x7F).astype(np.int64) + (self.chars[odd] > 0x7FF) + (self.chars[odd] > 0xFFFF)
-        starts, ends = np.concatenate([*starts, odd]), np.concatenate([*ends, odd + 1])
-        ids, weights = np.concatenate([*ids, np.full(len(odd), -1)]), np.concatenate([*weights, pieces.byte_weight * width])
+            if length in pieces.lengths:
+                column = pieces.lengths.index(length)
+                known, piece, sieve = pieces.tables[column]
+                maybe = np.flatnonzero(sieve[h >> np.uint64(64 - SIEVE_BITS)])
+                at = np.minimum(np.searchsorted(known, h[maybe]), len(known) - 1)
+                hit = known[at] == h[maybe]
+                found[where[maybe[hit]], column] = piece[at[hit]]
+        odd = found[:, -1] == -2
+        found[odd, -1] = -1
+        weight = np.append(pieces.weights, [-np.inf, 0.0]).astype(np.float32)[found]
+        c = self.chars[odd]
+        weight[odd, -1] = pieces.byte_weight * (1 + (c > 0x7F).astype(np.int64) + (c > 0x7FF) + (c > 0xFFFF))
 
         # log of the sum over all ways from each node to the end of its word, from the last character back
-        order = np.lexsort((starts, left[starts]))
-        starts, ends, ids, weights = starts[order], ends[order], ids[order], weights[order]
-        ahead = np.zeros(n + 1)
-        rest = left[starts]
-        cuts = np.flatnonzero(np.concatenate([[True], rest[1:] != rest[:-1], [True]]))
-        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-            v = starts[s:e]
-            way = weights[s:e] + np.where(rest[s] == ends[s:e] - v, 0.0, ahead[np.minimum(ends[s:e], n)])
-            heads = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
-            ahead[v[heads]] = np.logaddexp.reduceat(way, heads)
-        log_p = weights + np.where(rest == ends - starts, 0.0, ahead[ends]) - ahead[starts]
-
-        order = np.lexsort((-log_p, starts))
-        starts, ends, self.piece, self.log_p = starts[order], ends[order], ids[order], log_p[order]
-        self.char = starts
-        node = starts + word[starts]
-        self.end = ends + word[starts]
-        nodes = n + len(words)
-        self.at = np.searchsorted(node, np.arange(nodes + 1))
-        p = np.exp(self.log_p)
-        total = np.cumsum(p)
-        before = np.concatenate([[0.0], total])[self.at[node]]
-        self.upto = total - before
+        ahead = np.zeros(nodes)
+        order = np.argsort(left.astype(np.uint16) if n and left.max() < 1 << 16 else left, kind="stable")
+        cuts = np.searchsorted(left[order], np.arange(1, (int(left.max()) if n else 0) + 2))
+        for rest, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True), 1):
+            v = order[s:e]
+            fits = np.flatnonzero(lengths <= rest)
+            way = weight[v[:, None], fits[None, :]] + ahead[node[v][:, None] + lengths[fits][None, :]]
+            top = way.max(axis=1)
+            ahead[node[v]] = top + np.log(np.exp(way - top[:, None]).sum(axis=1))
+
+        char, column = np.nonzero(found >= -1)
+        self.char, self.piece = char.astype(np.int32), found[char, column]
+        start = node[char]
+        self.end = start + lengths[column]
+        self.log_p = weight[char, column] + ahead[self.end] - ahead[start]
+        self.at = np.searchsorted(start, np.arange(nodes + 1))
+        total = np.cumsum(np.exp(self.log_p))
+        self.upto = total - np.concatenate([[0.0], total])[self.at[start]]
         last = self.at[1:][self.at[1:] > self.at[:-1]] - 1
         self.upto[last] = 2.0
         self.done = np.zeros(nodes, bool)

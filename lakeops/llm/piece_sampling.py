@@ -28,7 +28,7 @@ from lakeops.llm.hashing import factors, mixed
 from lakeops.llm.piece_lattice import SPACE, WORD, Lattices, Pieces
 from lakeops.llm.ranges import known_key, real_key
 
-BATCH_CHARS = 3_000_000
+BATCH_CHARS = 4_000_000
 SALTS = factors(6, 71)
 _pieces: dict[tuple[str, float], Pieces] = {}
 

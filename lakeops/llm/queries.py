@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import i_match, line_dedup, lsh_forest, mixing, ngram_model, quality_rules, substring_dedup, suffix_dedup, token_files
+from lakeops.llm import i_match, line_dedup, lsh_forest, mixing, ngram_model, piece_sampling, quality_rules, substring_dedup, suffix_dedup, token_files
 from lakeops.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,6 +129,15 @@ def op6_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.removed_bytes(table(spark, sf, "documents"), length=400).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@query()
+def op7_piece_sampling(spark: SparkSession, sf: str) -> DataFrame:
+    """Two segmentations of every document drawn without replacement, decoded again."""
+    import public_tokenizers
+
+    drawn = piece_sampling.segmentations(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"), samples=2, alpha=0.2, seed=0)
+    return drawn.drop("ids")
+
+
 @query()
 def op8_ngram_model(spark: SparkSession, sf: str) -> DataFrame:
     """Score of every document by the bigram model of the training documents."""
