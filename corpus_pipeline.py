@@ -6,6 +6,7 @@ Every stage works on all rows the one before it kept. All but the last return th
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeops.llm import line_dedup, lsh_forest, mixing, piece_sampling, quality_rules
 from lakeops.session import scratch_path
@@ -17,8 +18,9 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the lines that no document of smaller id has."""
-    return line_dedup.deduped_documents(docs)
+    """Documents with the lines that no document of smaller id has; their length is told anew."""
+    kept = line_dedup.deduped_documents(docs)
+    return kept.withColumn("n_chars", F.length("text").cast(kept.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -138,7 +138,7 @@ def labelled_statistics(documents: DataFrame, labels: DataFrame, id_col: str, te
     return rows.where(~base_failed(F.col("s"))).select("bad", (F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(3)) == 0).alias("prunes"), "s")
 
 
-def learn(rows: DataFrame, bins: int = 32, max_rules: int = 8, max_conditions: int = 3, min_precision: float = 0.95, min_hits: int = 5) -> list[Rule]:
+def learn(rows: DataFrame, bins: int = 32, max_rules: int = 8, max_conditions: int = 3, min_precision: float = 0.98, min_hits: int = 5) -> list[Rule]:
     """The decision list for rows of (bad, prunes, s), as `labelled_statistics` gives them."""
     steps = [k / bins for k in range(1, bins)]
     cut = rows.agg(*[F.percentile_approx(f(F.col("s")), steps, 10000).alias(m) for m, f in MEASURES.items()]).first().asDict()
@@ -167,12 +167,15 @@ def learn(rows: DataFrame, bins: int = 32, max_rules: int = 8, max_conditions: i
 
     share = lambda p, n: p / (p + n) if p + n else 0.0
     found: list[Rule] = []
+    barred: set[str] = set()  # measures whose rules did not hold on the rows kept for pruning
     while len(found) < max_rules:
         rule: Rule = ()
         while len(rule) < max_conditions:
             cells = gained(rule, ~F.col("prunes"))
             best, most = None, 1e-9
             for m, by_bin in sorted(cells.items()):
+                if not rule and m in barred:
+                    continue
                 p0, n0 = (sum(v[k] for v in by_bin.values()) for k in (0, 1))
                 if not p0 or not n0:
                     continue
@@ -192,9 +195,10 @@ def learn(rows: DataFrame, bins: int = 32, max_rules: int = 8, max_conditions: i
         worth = [share(p, n) - (1 if p == 0 else 0) for p, n in pruned]
         rule = shorter[max(range(len(shorter)), key=lambda k: (worth[k], -k))]
         (p, n), = hits([rule], F.lit(True))
-        if p < min_hits or share(p, n) < min_precision:
-            break
-        found.append(rule)
+        if p >= min_hits and share(p, n) >= min_precision:
+            found.append(rule)
+        else:
+            barred.add(rule[0].measure)
     return found
 
 
