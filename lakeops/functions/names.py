@@ -3,27 +3,28 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
 
-def underscore(name: str) -> str:
-    """Every character outside letters, digits and `_` becomes `_`."""
-    return re.sub(r"[^A-Za-z0-9_]", "_", name).lower()
+def heading_rule(spaces: str) -> Callable[[str], str]:
+    """A rule for headings: lower case, trimmed, without line breaks, and each space inside written as `spaces`."""
 
+    def rule(name: str) -> str:
+        words = re.sub(r"[\r\n]", "", name).strip(" \t\x0b\x0c").lower()
+        return words.translate({ord(" "): spaces})
 
-def squeeze(name: str) -> str:
-    """No line breaks, no spaces."""
-    return _flat(name).replace(" ", "")
+    return rule
 
 
-def snake(name: str) -> str:
-    """No line breaks, inner spaces as `_`."""
-    return _flat(name).replace(" ", "_")
+squeeze = heading_rule("")
+snake = heading_rule("_")
 
 
-def _flat(name: str) -> str:
-    return name.replace("\n", "").replace("\r", "").strip().lower()
+def underscore(name: str) -> str:
+    """Every character outside letters, digits and `_` becomes `_`."""
+    return re.sub(r"[^A-Za-z0-9_]", "_", name).lower()
 
 
 def distinct_names(names: list[str]) -> list[str]:

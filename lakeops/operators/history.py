@@ -22,19 +22,26 @@ SPAN = ["from_date", "to_date", "is_current", "rowhash"]
 def classify_changes(current: DataFrame, incoming: DataFrame, id_column: str, rowhash: str = "rowhash") -> DataFrame:
     """Per id: I (only incoming), D (only current), U (hashes differ) or N, with the incoming row's columns.
 
-    The current side is brought down to one hash per id, so that a doubled id does not multiply rows.
+    Both sides are laid one under the other and aggregated to one row per id, combined before the shuffle, so no id,
+    however often it comes on either side, and no number of NULL ids gathers in a task. A doubled id counts once: on the
+    current side by its greatest hash, on the incoming side by its greatest hash, then row. A NULL id is no
+    identity: it equals no other, so current rows without id give nothing and incoming ones come out as I, each as it is.
     """
-    old = current.groupBy(F.col(id_column).alias("_id")).agg(F.max(rowhash).alias("_hash"), F.lit(True).alias("_old"))
-    new = incoming.withColumn("_new", F.lit(True))
+    rest = [c for c in incoming.columns if c != id_column]
+    row = F.struct(F.col(rowhash).alias("_hash"), F.struct(*rest).alias("_row"))
+    known = lambda df: df.where(F.col(id_column).isNotNull())
+    old = known(current).select(id_column, F.col(rowhash).alias("_old_hash"), F.lit(True).alias("_old"), F.lit(None).alias("_new"))
+    new = known(incoming).select(id_column, F.lit(None).cast(current.schema[rowhash].dataType).alias("_old_hash"), F.lit(None).cast("boolean").alias("_old"), row.alias("_new"))
+    old = old.withColumn("_new", F.lit(None).cast(new.schema["_new"].dataType))
+    best = old.unionByName(new).groupBy(id_column).agg(F.max("_old_hash").alias("_old_hash"), F.max("_old").alias("_old"), F.max("_new").alias("_new"))
     op = (
         F.when(F.col("_old").isNull(), "I")
         .when(F.col("_new").isNull(), "D")
-        .when(F.col("_hash") != F.col(rowhash), "U")
+        .when(F.col("_old_hash") != F.col("_new._hash"), "U")
         .otherwise("N")
     )
-    joined = new.join(old, F.col(id_column) == F.col("_id"), "full")
-    rest = [c for c in incoming.columns if c != id_column]
-    return joined.select(F.coalesce(id_column, "_id").alias(id_column), *rest, op.alias("iud_op"))
+    told = best.select(id_column, *[F.col("_new._row")[c].alias(c) for c in rest], op.alias("iud_op"))
+    return told.unionByName(incoming.where(F.col(id_column).isNull()).select(id_column, *rest, F.lit("I").alias("iud_op")))
 
 
 def retract(

@@ -36,10 +36,18 @@ def at_latest(df: DataFrame, column: str, of: DataFrame | None = None, of_column
 
 def beside(left: DataFrame, one_row: DataFrame, emit_zero: bool = False) -> DataFrame:
     """`left` with the columns of a frame of no more than one row. When that is empty the result is empty too, or with
-    `emit_zero` has NULLs."""
-    if emit_zero:
-        return left.join(F.broadcast(one_row), F.lit(True), "left")
-    return left.crossJoin(F.broadcast(one_row))
+    `emit_zero` has NULLs.
+
+    The frame is brought to one row by an aggregate that fails when it finds a second, so what is sent to all tasks is
+    one row by construction.
+    """
+    many = F.assert_true(F.count("*") <= 1, F.lit("beside needs a frame of no more than one row"))
+    row = F.struct(*[quoted(c) for c in one_row.columns])
+    found = one_row.select(row.alias("_row")).agg(F.first("_row").alias("_row"), F.count("*").alias("_n"), many.alias("_checked"))
+    found = found.where(F.col("_checked").isNull())
+    found = found if emit_zero else found.where("_n > 0")
+    columns = [F.col("_row")[c].alias(c) for c in one_row.columns]
+    return left.crossJoin(F.broadcast(found.select(*columns)))
 
 
 def keys_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,18 +29,13 @@ def build_session(master: str | None = None, app: str = "lakeops", **extra: str)
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by `spark.checkpoint.dir`.
-
-    Only where the setting is absent (tests on one machine) a local folder is made, once per session.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder named by `spark.checkpoint.dir`; where that is not set, a folder in the warehouse, which
+    driver and executors share as well."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
-        root = spark.sparkContext.getCheckpointDir()
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="lakeops-")
+        root = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_lakeops_scratch")
         spark.sparkContext.setCheckpointDir(root)
+        root = spark.sparkContext.getCheckpointDir()
     return root
 
 

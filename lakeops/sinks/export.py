@@ -3,15 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from lakeops.session import materialize
 from lakeops.sinks.tables import spread
 
-#: Rows one task may write into one file.
-ROWS_PER_FILE = 5_000_000
-
-
 def export_csv(df: DataFrame, path: str, rows_per_file: int | None = None) -> None:
     """CSV parts with a heading each, written where the rows are."""
     writer = df.write.mode("overwrite").option("header", True)
@@ -20,23 +14,15 @@ def export_csv(df: DataFrame, path: str, rows_per_file: int | None = None) -> No
     writer.csv(path)
 
 
-def export_single_csv(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> int:
-    """One CSV file with a heading, as long as the result has no more rows than one file may hold; otherwise as many
-    equal parts as that takes. Returns the number of files asked for.
+def export_single_csv(df: DataFrame, path: str) -> None:
+    """One CSV file with a heading, whatever the size, for a consumer who takes one file.
 
-    The result is computed in parallel first; only its rows, once counted, are brought together.
+    The result is computed in parallel; only writing it out is one task's work, row by row. For a result that no single
+    file should hold, use `export_csv`.
     """
-    result = materialize(df, "export")
-    files = max(1, -(-result.count() // rows_per_file))
-    result.repartition(files).write.mode("overwrite").option("header", True).csv(path)
-    return files
-
-
-def export_csv_by_day(df: DataFrame, path: str, day: str = "data_date", rows_per_file: int = ROWS_PER_FILE) -> int:
-    """One folder per day with one CSV, all days in one job; several files a day where the largest day needs them.
-    Returns the greatest number of files a day may have."""
-    result = materialize(df, "export")
-    largest = result.groupBy(day).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    files = max(1, -(-largest // rows_per_file))
-    spread(result, (day,), files).write.mode("overwrite").option("header", True).partitionBy(day).csv(path)
-    return files
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def export_csv_by_day(df: DataFrame, path: str, day: str = "data_date") -> None:
+    """One folder per day with one CSV each, all days in one job."""
+    spread(df, (day,), 1).write.mode("overwrite").option("header", True).partitionBy(day).csv(path)

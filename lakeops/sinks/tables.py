@@ -20,6 +20,10 @@ def spread(df: DataFrame, keys: tuple[str, ...], files_per_day: int) -> DataFram
     return salted.repartition(*keys, "_salt").drop("_salt")
 
 
+def dealt(df: DataFrame, keys: tuple[str, ...], files_per_day: int | None) -> DataFrame:
+    return df.hint("rebalance", *[F.col(k) for k in keys]) if files_per_day is None else spread(df, keys, files_per_day)
+
+
 def write_days(
     df: DataFrame,
     path: str,
@@ -31,10 +35,11 @@ def write_days(
 ) -> None:
     """Parquet partitioned by `keys`.
 
-    Each task writes its rows where they are, without a shuffle; `files_per_day` trades a shuffle for fewer files.
-    With `table` the folder is registered in the catalogue too.
+    Rows are rebalanced by day as they are written: large days are split over several files of the advisory size and
+    small ones are written together, so the number of files follows the data, not tasks times days. `files_per_day`
+    fixes the number instead. With `table` the folder is registered in the catalogue too.
     """
-    out = df if files_per_day is None else spread(df, keys, files_per_day)
+    out = dealt(df, keys, files_per_day)
     writer = out.write.mode(mode).partitionBy(*keys).option("compression", compression)
     if table is None:
         writer.parquet(path)
@@ -46,7 +51,7 @@ def replace_days(
     df: DataFrame, path: str, keys: tuple[str, ...] = KEYS, files_per_day: int | None = None
 ) -> None:
     """Write the days present in `df`, replacing those days only. A day arrives whole or not at all."""
-    out = df if files_per_day is None else spread(df, keys, files_per_day)
+    out = dealt(df, keys, files_per_day)
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*keys).option("compression", "snappy").parquet(path)
 

@@ -8,14 +8,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def done_branches(events: DataFrame, late: str = "1 day") -> DataFrame:
-    """branch_date, no_of_eoc_branch: distinct branches done so far, for events with branch_date, branch_code and the
-    event time `ts`. Run it in update mode: a day's count comes out again whenever it has grown.
+    """branch_date, no_of_eoc_branch: distinct branches done so far, for events with branch_date (a date) and
+    branch_code. Run it in update mode: a day's count comes out again whenever it has grown.
 
-    A stream cannot count distinct values, so repeats are dropped first: a branch's events of one day are less than
-    `late` apart. The state is one entry per branch for as long as `late`, and one count per day.
+    A stream cannot count distinct values, so repeats are dropped first. Time in this stream is the branch date itself:
+    a branch and day is remembered until the stream has come `late` beyond that day, and an event of an older day is
+    dropped, not counted once more. So a repeat never counts twice, however much later it comes; a branch first told
+    of when its day is past by more than `late` is not counted. State is one entry per branch and count per day of that time.
     """
-    first = events.withWatermark("ts", late).dropDuplicatesWithinWatermark(["branch_date", "branch_code"])
-    return first.groupBy("branch_date").agg(F.count("*").alias("no_of_eoc_branch"))
+    dated = events.withColumn("_day", F.col("branch_date").cast("timestamp")).withWatermark("_day", late)
+    first = dated.dropDuplicates(["_day", "branch_code"])
+    counts = first.groupBy("_day").agg(F.count("*").alias("no_of_eoc_branch"))
+    return counts.select(F.to_date("_day").alias("branch_date"), "no_of_eoc_branch")
 
 
 def append_changes(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeops.operators.mapping import flatten_paths, schema_for
 from lakeops.plans.close_status import close_status, stamp_snapshot
-from lakeops.plans.extracts import officer_list
+from lakeops.plans.extracts import export_payroll, export_transactions, officer_list
 from lakeops.plans.feeds import CATEGORIES, LOGINS, centers, ingest
 from lakeops.plans.metadata import load_metadata
 from lakeops.session import scratch_path
@@ -305,6 +305,51 @@ def csv_export_by_day(spark: SparkSession, sf: str) -> DataFrame:
     return plain(read_csv(spark, path))
 
 
+@query(
+    """
+    SELECT '2024-01' AS payroll_month, '2023-12' AS bal_month, 'E' || c_nationkey::VARCHAR AS employer_short_code, n_name AS employer_name,
+           c_custkey::VARCHAR AS employee_id, c_name AS employee_name, c_mktsegment AS channel, (c_acctbal > 0)::VARCHAR AS has_pay_adv,
+           CASE WHEN c_custkey % 3 > 0 THEN 'open' END AS account_status, 'payroll_2024-01-31' AS folder, 1::BIGINT AS n_files
+    FROM customer JOIN nation ON c_nationkey = n_nationkey
+    """
+)
+def payroll_export(spark: SparkSession, sf: str) -> DataFrame:
+    """The payroll extract as one CSV under its dated name."""
+    joined = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    balances = joined.select(
+        F.lit("2024-01").alias("payroll_month"),
+        F.lit("2023-12").alias("bal_month"),
+        F.concat(F.lit("E"), "c_nationkey").alias("employer_short_code"),
+        F.col("n_name").alias("employer_name"),
+        F.col("c_custkey").alias("employee_id"),
+        F.col("c_name").alias("employee_name"),
+        F.col("c_mktsegment").alias("channel"),
+        (F.col("c_acctbal") > 0).alias("has_pay_adv"),
+        F.when(F.col("c_custkey") % 3 > 0, "open").alias("account_status"),
+        F.lit("r").alias("cust_region"),
+        F.lit(True).alias("is_bank_acc_link"),
+        F.lit(1.5).alias("avgerage_balance"),
+        F.lit("not extracted").alias("other"),
+    )
+    path = export_payroll(balances, scratch_path(spark, "exports"), date(2024, 1, 31))
+    back = with_file_count(read_csv(spark, path))
+    return back.drop("cust_region", "is_bank_acc_link", "avgerage_balance").withColumn("folder", F.lit(path.rsplit("/", 1)[1]))
+
+
+@query(
+    """
+    SELECT event_id::VARCHAR AS event_id, user_id::VARCHAR AS user_id, strftime(ts, '%Y%m%d') AS day_key, 'transactions_2024-02-01' AS folder
+    FROM events WHERE ts >= DATE '2024-01-10' AND ts < DATE '2024-01-21'
+    """
+)
+def transaction_export(spark: SparkSession, sf: str) -> DataFrame:
+    """Some days of a partitioned table as CSV parts under a dated name."""
+    stored = scratch_path(spark, "days")
+    tables.write_days(keyed_events(spark, sf), stored)
+    path = export_transactions(spark, stored, "20240110", "20240120", scratch_path(spark, "exports"), date(2024, 2, 1), rows_per_file=500)
+    return read_csv(spark, path).select("event_id", "user_id", "day_key", F.lit(path.rsplit("/", 1)[1]).alias("folder"))
+
+
 def half_year(fmt: str, shift: int = 0) -> Column:
     start = F.when(F.month("o_orderdate") > 6, F.make_date(F.year("o_orderdate"), F.lit(7), F.lit(1))).otherwise(
         F.trunc("o_orderdate", "year")

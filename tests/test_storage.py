@@ -73,17 +73,22 @@ def test_replace_days_and_pruning(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(day_key" in plan
 
 
-def test_exports_split_when_large(spark, tmp_path):
-    df = spark.range(100).select("id", (F.col("id") % 2).alias("data_date"))
-    assert export_single_csv(df, str(tmp_path / "one")) == 1
-    assert export_single_csv(df, str(tmp_path / "many"), rows_per_file=30) == 4
-    assert export_csv_by_day(df, str(tmp_path / "days"), rows_per_file=20) == 3
+def test_exports_are_what_was_asked(spark, tmp_path):
+    df = spark.range(100, numPartitions=7).select("id", (F.col("id") % 2).alias("data_date"))
+    export_single_csv(df, str(tmp_path / "one"))
+    export_csv_by_day(df, str(tmp_path / "days"))
     assert len(list((tmp_path / "one").glob("*.csv"))) == 1
-    assert len(list((tmp_path / "many").glob("*.csv"))) == 4
-    for name in ("one", "many", "days"):
+    assert [len(list(d.glob("*.csv"))) for d in (tmp_path / "days").glob("data_date=*")] == [1, 1]
+    for name in ("one", "days"):
         assert read_csv(spark, str(tmp_path / name)).count() == 100
 
 
+def test_days_are_rebalanced(spark, tmp_path):
+    keys = {"year_key": F.lit("2024"), "month_key": F.lit("202401"), "day_key": (F.col("id") % 3).cast("string")}
+    write_days(spark.range(3000, numPartitions=8).withColumns(keys), str(tmp_path / "t"))
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) <= 6
+
+
 def test_spill_columns(spark, tmp_path):
     (tmp_path / "a.csv").write_text("a,b,,\n1,2,3,4\n")
     df = read_csv(spark, str(tmp_path / "a.csv"))
