@@ -10,9 +10,9 @@ they are. So it is enough to compare, anchor by anchor, what stretches there are
    neighbours: windows with a common prefix of `length` bytes are repeated.
 3. Chunks put both together, mark the bytes, and return their documents.
 
-A passage in a third of all documents costs one entry per chunk and is sent once; where it ends, the differing
-surroundings share an anchor, about 800 bytes a document, and are compared in groups of `group_bytes` at a time: an anchor
-with more than that is compared by hashes of its windows instead (`crowded`), exactly but for chance hits of 64 bits.
+A passage in a third of all documents costs one entry per chunk and is sent once. Where it ends, the differing
+surroundings share an anchor, some hundred bytes a document; all of one anchor are compared in one task, together with
+other anchors up to `group_bytes`.
 
 Edge cases: NULL and empty text have no bytes. Windows do not cross documents. Repetition within one document, over
 overlapping places as well, counts. Rows with one id are documents of their own. Bytes removed may cut characters: the
@@ -100,7 +100,8 @@ class Stretches:
             part = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
             first, windows = np.repeat(first, times) + part * LONGEST, np.minimum(np.repeat(windows, times) - part * LONGEST, LONGEST)
             anchor, again = np.repeat(anchor, times), np.repeat(again, times)
-        self.first, self.windows, self.anchor, self.again = first, windows, anchor << PLACE_BITS, again
+        # least hashes are all small: mixed again, so that they spread over the buckets
+        self.first, self.windows, self.anchor, self.again = first, windows, mixed(anchor) >> PLACE_BITS << PLACE_BITS, again
         text = chunk.data
         content = [hashlib.blake2b(text[s : s + w + length - 1], digest_size=8).digest() for s, w in zip(first.tolist(), windows.tolist(), strict=True)]
         self.content = np.frombuffer(b"".join(content), np.uint64)
