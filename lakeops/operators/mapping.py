@@ -54,16 +54,16 @@ def map_columns(df: DataFrame, fields: Sequence[Field], missing: str = "error")
     return df.select(out)
 
 
+def unfit(df: DataFrame, field: Field) -> Column:
+    """Does the field's cell hold text that does not fit its type?"""
+    c = quoted(find_source(df, field))
+    return (F.trim(c.cast("string")) != "") & parsed(c, field.type, field.fmt).isNull()
+
+
 def count_unparsed(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """One row: per typed field, how many cells hold text that does not fit its type."""
-    counts = []
-    for f in fields:
-        source = find_source(df, f)
-        if source is not None and f.type != "string":
-            c = quoted(source)
-            bad = (F.trim(c.cast("string")) != "") & parsed(c, f.type, f.fmt).isNull()
-            counts.append(F.count_if(bad).alias(f.target))
-    return df.agg(*counts)
+    typed = [f for f in fields if f.type != "string" and find_source(df, f) is not None]
+    return df.agg(*[F.count_if(unfit(df, f)).alias(f.target) for f in typed])
 
 
 def schema_for(paths: Sequence[tuple[str, str]]) -> StructType:

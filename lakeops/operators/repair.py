@@ -170,40 +170,15 @@ def join_fragments(lines: DataFrame, value: str = "value") -> DataFrame:
     text = F.trim(quoted(value))
     rows = numbered(lines.where(text != "").select(*PLACE, text.alias("_text")))
     rows = rows.withColumn("_end", ends_with_stamp(F.col("_text")).cast("int"))
-    groups = _records_in(rows, PLACE, ["_n"], "_text")
+    groups = records_in(rows, PLACE, ["_n"], "_text")
     inner = groups.where((F.col("_g") > 0) & (F.col("_end") == 1)).select("file_path", F.col("_text").alias("record"), "_end")
     rims = groups.where((F.col("_g") == 0) | (F.col("_end") == 0))
-    across = _records_in(rims.withColumnRenamed("_g", "_part"), ["file_path"], ["block", "_part"], "_text")
+    across = records_in(rims.withColumnRenamed("_g", "_part"), ["file_path"], ["block", "_part"], "_text")
     records = inner.unionByName(across.select("file_path", F.col("_text").alias("record"), "_end"))
     return records.select("file_path", "record", (F.col("_end") == 1).alias("complete"))
 
 
-def quoted_records(lines: DataFrame, value: str = "value", quote: str = '"') -> DataFrame:
-    """Records of delimited text whose quoted cells hold line breaks: file_path, file_name, record, is_first.
-
-    A record ends with the line that closes the last open quote, that is where the quotes so far in the file are even in
-    number; doubled quotes do not change that. The count before a split is added to it as one row, so one large file is
-    worked on split by split. `is_first` marks the heading.
-    """
-    text = F.coalesce(quoted(value), F.lit(""))
-    quotes = F.length(text) - F.length(F.replace(text, F.lit(quote), F.lit("")))
-    rows = numbered(lines.select(*PLACE, "file_name", text.alias("_text"), (quotes % 2).alias("_odd")))
-    by_file = W.partitionBy("file_path").orderBy("block")
-    counts = rows.groupBy(*PLACE).agg(F.sum("_odd").alias("_odd")).withColumn("_before", F.sum("_odd").over(by_file) - F.col("_odd"))
-    carried = counts.select(*PLACE, F.col("_before").alias("_odd"), F.lit(-1).cast("bigint").alias("_n"))
-    so_far = F.sum("_odd").over(W.partitionBy(*PLACE).orderBy("_n").rowsBetween(W.unboundedPreceding, 0))
-    marked = rows.unionByName(carried, allowMissingColumns=True).withColumn("_end", (so_far % 2 == 0).cast("int"))
-    groups = _records_in(marked.where("_n >= 0"), [*PLACE, "file_name"], ["_n"], "_text", "\n")
-    inner = groups.where((F.col("_g") > 0) & (F.col("_end") == 1))
-    rims = groups.where((F.col("_g") == 0) | (F.col("_end") == 0))
-    across = _records_in(rims.withColumnRenamed("_g", "_part"), ["file_path", "file_name"], ["block", "_part"], "_text", "\n")
-    names = ["file_path", "file_name", F.col("_text").alias("record")]
-    return inner.select(*names, F.lit(False).alias("is_first")).unionByName(
-        across.select(*names, (F.col("_g") == 0).alias("is_first"))
-    )
-
-
-def _records_in(rows: DataFrame, place: list[str], order: list[str], text: str, sep: str = " ") -> DataFrame:
+def records_in(rows: DataFrame, place: list[str], order: list[str], text: str, sep: str = " ") -> DataFrame:
     """Number the records in a place by the ends before them (`_g`) and join each one's texts in order."""
     before = W.partitionBy(*place).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     numbered_rows = rows.withColumn("_g", F.coalesce(F.sum("_end").over(before), F.lit(0)))

@@ -4,39 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.jsoncols import list_text
-from lakeops.functions.names import distinct_names, name_blank, rename_all, snake, squeeze, underscore
+from lakeops.functions.names import distinct_names, rename_all, snake, squeeze, underscore
 from lakeops.functions.text import each_string, one_line
-from lakeops.operators.mapping import Field, add_missing, check_columns, map_columns
+from lakeops.operators.mapping import Field, add_missing, check_columns, find_source, map_columns, unfit
 from lakeops.operators.repair import LOG, clean_log
-from lakeops.sinks.tables import KEYS, replace_days
-from lakeops.sources.files import read_csv, read_excel, read_lines, read_multiline_csv
-from lakeops.sources.folder import Naming, latest_per_day, list_files, paths_of, stamp_keys
-from lakeops.sources.headings import groups_by_heading
+from lakeops.session import materialize
+from lakeops.sinks.tables import KEYS, overwrite, replace_days
+from lakeops.sources.delimited import by_heading, line_records, quoted_records
+from lakeops.sources.files import read_excel, read_lines, read_raw_lines
+from lakeops.sources.folder import Naming, latest_per_day, list_files, paths_of, stamp_keys, undated
 
 
 @dataclass(frozen=True)
 class Feed:
-    """`read` gives rows with `file_name`; `fields` type them; `after` is applied last. Files of a `headed` feed name
-    their columns in a heading, which need not be the same in all of them."""
+    """`rows` makes rows with `file_name` of the feed's lines (or `read` of its files, where they are no text); `fields`
+    type them; `after` is applied last. `line_end` is what ends a line, None for any kind."""
 
     naming: Naming
-    read: Callable[[SparkSession, list[str]], DataFrame]
+    rows: Callable[[DataFrame, tuple[Field, ...]], DataFrame] | None
     fields: tuple[Field, ...]
     after: Callable[[DataFrame], DataFrame] = field(default=lambda df: df)
-    headed: bool = True
+    line_end: str | None = "\n"
+    read: Callable[[SparkSession, list[str]], DataFrame] | None = None
+
+
+def read_rows(spark: SparkSession, feed: Feed, paths: list[str]) -> DataFrame:
+    """Files of a feed as untyped rows with file_name."""
+    if feed.rows is None:
+        return feed.read(spark, paths)
+    return feed.rows((read_lines if feed.line_end is None else read_raw_lines)(spark, paths), feed.fields)
 
 
 def process(spark: SparkSession, feed: Feed, paths: list[str]) -> DataFrame:
     """Files of a feed as typed rows with file_name and day keys."""
-    groups = groups_by_heading(spark, paths) if feed.headed else [paths]
-    frames = [shape(feed, feed.read(spark, group)) for group in groups]
-    return reduce(DataFrame.unionByName, frames)
+    return shape(feed, read_rows(spark, feed, paths))
 
 
 def shape(feed: Feed, rows: DataFrame) -> DataFrame:
@@ -46,16 +52,37 @@ def shape(feed: Feed, rows: DataFrame) -> DataFrame:
     return feed.after(map_columns(keyed, [*feed.fields, *extra], missing="null"))
 
 
+def unparsed_cells(feed: Feed, rows: DataFrame) -> DataFrame:
+    """(file_name, column, n): cells of a file whose text does not fit the column's type, where there are any."""
+    typed = [f for f in feed.fields if f.type != "string" and find_source(rows, f) is not None]
+    if not typed:
+        return rows.select("file_name", F.lit("").alias("column"), F.lit(0).cast("long").alias("n")).limit(0)
+    counts = rows.groupBy("file_name").agg(*[F.count_if(unfit(rows, f)).alias(f.target) for f in typed])
+    cells = F.explode(F.array(*[F.struct(F.lit(f.target).alias("column"), F.col(f.target).alias("n")) for f in typed])).alias("cell")
+    return counts.select("file_name", cells).select("file_name", "cell.column", "cell.n").where("n > 0")
+
+
+def aside(table: str, what: str) -> str:
+    """Where an ingest into `table` tells of `undated` files and `unparsed` cells."""
+    return f"{table.rstrip('/')}_aside/{what}"
+
+
 def ingest(spark: SparkSession, feed: Feed, source: str, table: str) -> None:
-    """All files below `source` into the table, one job; each file's day is replaced as a whole."""
-    files = latest_per_day(list_files(spark, source, feed.naming))
-    paths = paths_of(files)
+    """All files below `source` into the table, one job; each file's day is replaced as a whole.
+
+    Files whose names hold no valid date, and counts of cells that did not fit their types, are told in two tables beside it.
+    """
+    files = materialize(list_files(spark, source, feed.naming), "files")
+    overwrite(undated(files), aside(table, "undated"))
+    paths = paths_of(latest_per_day(files))
     if paths:
-        replace_days(process(spark, feed, paths), table)
+        rows = read_rows(spark, feed, paths)
+        overwrite(unparsed_cells(feed, rows), aside(table, "unparsed"))
+        replace_days(shape(feed, rows), table)
 
 
-def _csv(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return read_csv(spark, paths).select("*", F.col("_metadata.file_name").alias("file_name"))
+def _csv(lines: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
+    return by_heading(line_records(lines), fields)
 
 
 def _fields(headings: Sequence[str], special: dict[str, Field] | None = None) -> tuple[Field, ...]:
@@ -190,8 +217,8 @@ CATEGORIES = Feed(
 )
 
 
-def _log(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return clean_log(read_lines(spark, paths))
+def _log(lines: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
+    return clean_log(lines)
 
 
 LOGINS = Feed(
@@ -205,7 +232,7 @@ LOGINS = Feed(
         Field("source", "source"),
         Field("role", "role"),
     ),
-    headed=False,
+    line_end=None,
 )
 
 
@@ -238,13 +265,16 @@ def centers(brand: str) -> Feed:
         "remark",
     )
 
-    def read(spark: SparkSession, paths: list[str]) -> DataFrame:
-        rows = rename_all(read_multiline_csv(spark, paths), squeeze)
-        cleaned = each_string(name_blank(rows, "center_code"), one_line)
+    def heading(name: Column, place: Column) -> Column:
+        squeezed = F.lower(F.regexp_replace(F.trim(F.regexp_replace(name, "[\r\n]", "")), " ", ""))
+        return F.when((place == 0) & (squeezed == ""), "center_code").otherwise(squeezed)
+
+    def rows(lines: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
+        cleaned = each_string(by_heading(quoted_records(lines), fields[1:], rule=heading), one_line)
         return cleaned.withColumn("datadate", F.regexp_extract("file_name", r"(\d{4}-\d{2}-\d{2})", 1))
 
     naming = Naming(pattern=r"(\d{4})-(\d{2})-(\d{2})\.[^.]*$", fmt="yyyyMMdd", shift=0, as_int=True, glob="*.csv")
-    return Feed(naming, read, (Field("datadate", "datadate"), *_fields(columns)))
+    return Feed(naming, rows, (Field("datadate", "datadate"), *_fields(columns)))
 
 
 FRAUD_DATES = ("fraud_incident_from_date", "fraud_incident_to_date", "fraud_discover_date", "fmu_fraud_discover_date")
@@ -295,10 +325,10 @@ def fraud_rows(sheet: DataFrame) -> DataFrame:
 
 FRAUD_CASES = Feed(
     Naming(pattern=r"_(\d{8})\.xlsx$", fmt="yyyyMMdd", glob="*.xlsx"),
-    lambda spark, paths: fraud_rows(read_excel(spark, paths, FRAUD_COLUMNS, FRAUD_DATES)),
+    None,
     tuple(Field(c, c, "date" if c in FRAUD_DATES else "string") for c in FRAUD_COLUMNS),
     phone_lists,
-    headed=False,
+    read=lambda spark, paths: fraud_rows(read_excel(spark, paths, FRAUD_COLUMNS, FRAUD_DATES)),
 )
 
 #: Columns that only some years' login logs have.

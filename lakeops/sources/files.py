@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from lakeops.operators.repair import quoted_records
+from lakeops.functions.names import distinct_names
+from lakeops.sources.delimited import cells_of, quoted_records
 
 Paths = str | list[str]
 
@@ -30,34 +31,19 @@ def read_csv(
     return reader.csv(paths)
 
 
-#: Largest file one task reads as a whole.
-WHOLE_FILE = 256 * 1024 * 1024
-
-
-def read_multiline_csv(
-    spark: SparkSession,
-    paths: Paths,
-    columns: Sequence[str] | None = None,
-    sep: str = ",",
-    whole_up_to: int = WHOLE_FILE,
-) -> DataFrame:
+def read_multiline_csv(spark: SparkSession, paths: Paths, columns: Sequence[str] | None = None, sep: str = ",") -> DataFrame:
     """CSV whose quoted cells may hold line breaks and doubled quotes, every column a string, and `file_name`.
 
-    Spark's own reader takes such a file in one task. That is used while no file has more than `whole_up_to` bytes;
-    beyond it the files are read in splits, records are put together from lines and then parsed.
+    Files of all sizes are read in splits (see `sources.delimited`). Columns go by position; without `columns` they
+    are called as in the first file.
     """
-    options = {"sep": sep, "quote": '"', "escape": '"'}
-    reader = spark.read.options(header=True, multiLine=True, **options)
-    largest = spark.read.format("binaryFile").load(paths).agg(F.max("length")).first()[0]
-    if columns is not None:
-        reader = reader.schema(text_schema(columns))
-    whole = reader.csv(paths)
-    if (largest or 0) <= whole_up_to:
-        return whole.select("*", F.col("_metadata.file_name").alias("file_name"))
-    records = quoted_records(read_lines(spark, paths)).where(~F.col("is_first") & (F.trim("record") != ""))
-    schema = ", ".join(f"c{i} string" for i in range(len(whole.columns)))
-    cells = records.select(F.from_csv("record", F.lit(schema), options).alias("_cells"), "file_name")
-    return cells.select("_cells.*", "file_name").toDF(*whole.columns, "file_name")
+    records = quoted_records(read_raw_lines(spark, paths), sep)
+    cells = F.col("_cells")
+    if columns is None:
+        first = records.where("is_first").orderBy("file_path").select(cells_of(F.col("record"), sep)).first()
+        columns = distinct_names([c or f"_c{i}" for i, c in enumerate(first[0])]) if first else []
+    rows = records.where(~F.col("is_first") & (F.trim("record") != "")).select(cells_of(F.col("record"), sep).alias("_cells"), "file_name")
+    return rows.select(*[F.get(cells, F.lit(i)).alias(c) for i, c in enumerate(columns)], "file_name")
 
 
 def pin_splits(spark: SparkSession) -> None:
@@ -73,7 +59,17 @@ def pin_splits(spark: SparkSession) -> None:
 def read_lines(spark: SparkSession, paths: Paths) -> DataFrame:
     """Raw lines with the file and the split they come from: value, file_path, file_name, block."""
     pin_splits(spark)
-    return spark.read.text(paths).select(
+    return with_place(spark.read.text(paths))
+
+
+def read_raw_lines(spark: SparkSession, paths: Paths) -> DataFrame:
+    """As `read_lines`, but lines end with a line feed only; a carriage return is part of the text."""
+    pin_splits(spark)
+    return with_place(spark.read.option("lineSep", "\n").text(paths))
+
+
+def with_place(lines: DataFrame) -> DataFrame:
+    return lines.select(
         "value",
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),

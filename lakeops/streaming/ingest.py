@@ -2,55 +2,59 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators.rows import join_on
+from lakeops.plans.feeds import Feed, aside, shape, unparsed_cells
 from lakeops.session import materialize
 from lakeops.sinks.tables import KEYS, replace_days
-from lakeops.sources.folder import Naming
-
-
-def last_file_per_day(rows: DataFrame, day: str = "day_key", name: str = "file_name") -> DataFrame:
-    """Rows of the file with the greatest name of each day; rows without a day are left out."""
-    winners = rows.where(F.col(day).isNotNull()).groupBy(day).agg(F.max(name).alias(name))
-    return join_on(rows, materialize(winners, "winners"), [day, name], "left_semi")
-
-
-def ingest_new_files(
-    spark: SparkSession,
-    source: str,
-    schema,
-    naming: Naming,
-    shape: Callable[[DataFrame], DataFrame],
-    table: str,
-    checkpoint: str,
-    files_per_batch: int | None = None,
-    format: str = "csv",
-    options: dict[str, str] | None = None,
-) -> None:
-    """Read the files not yet seen, pass each batch through `shape` and replace the days it holds.
-
-    `shape` gets the columns of `schema`, file_name, and file_path and block as `read_lines` gives them; it returns
-    rows with file_name and the day keys. Ends when all files present are done. A batch repeated after a failure writes
-    the same days again, so nothing is doubled. A day delivered again later replaces the earlier one.
+from lakeops.sources.files import pin_splits, with_place
+from lakeops.sources.folder import stamp_keys
+
+
+def winners(files: DataFrame, table: str, day: str = "day_key", name: str = "file_name") -> DataFrame:
+    """The file of the greatest name for each day of `files`, unless the table holds that day from a greater one."""
+    best = files.where(F.col(day).isNotNull()).groupBy(day).agg(F.max(name).alias(name))
+    try:
+        stored = files.sparkSession.read.parquet(table)
+    except AnalysisException:  # nothing was written yet
+        return best
+    held = stored.select(F.col(day).cast("string").alias(day), F.col(name).alias("_held"))
+    held = held.join(best.select(F.col(day).alias("_day")), F.col(day) == F.col("_day"), "left_semi").groupBy(day).agg(F.max("_held").alias("_held"))
+    known = best.join(held.withColumnRenamed(day, "_day"), F.col(day) == F.col("_day"), "left")
+    return known.where(F.col("_held").isNull() | (F.col(name) >= F.col("_held"))).select(day, name)
+
+
+def ingest_new_files(spark: SparkSession, feed: Feed, source: str, table: str, checkpoint: str, files_per_batch: int | None = None) -> None:
+    """Read the files of a text feed that are not yet seen and replace the days they hold.
+
+    Rows are made from lines exactly as the batch ingest makes them, columns by each file's own heading. Of several
+    files for a day the greatest name counts, whichever batch each comes with: the target tells which file holds a day.
+    So the result does not depend on how files fall into batches, and a batch repeated after a failure writes the same
+    days again. Files without a date and cells that do not fit are appended to the tables beside the target, with the
+    batch's number; a batch run twice replaces its own. Ends when all files present are done.
     """
-    reader = spark.readStream.format(format).schema(schema).option("pathGlobFilter", naming.glob)
-    for key, value in ({"header": "true"} if options is None else options).items():
-        reader = reader.option(key, value)
+    pin_splits(spark)
+    reader = spark.readStream.format("text").option("pathGlobFilter", feed.naming.glob).option("recursiveFileLookup", True)
+    if feed.line_end is not None:
+        reader = reader.option("lineSep", feed.line_end)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    rows = reader.load(source).select(
-        "*",
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block"),
-    )
-
-    def write(batch: DataFrame, _: int) -> None:
-        replace_days(last_file_per_day(shape(batch)), table, KEYS)
-
-    query = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    lines = with_place(reader.load(source))
+    if feed.naming.skip:
+        lines = lines.where(~F.col("file_name").isin(*feed.naming.skip))
+
+    def write(batch: DataFrame, number: int) -> None:
+        files = materialize(stamp_keys(batch.select("file_path", "file_name").distinct(), feed.naming), "batch-files")
+        chosen = materialize(winners(files, table), "winners").withColumnRenamed("file_name", "_winner")
+        told = lambda df, what: df.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(aside(table, what))
+        told(files.where("day_key IS NULL").select("file_path", "file_name"), "undated")
+        taken = files.join(chosen.select("_winner").distinct(), F.col("file_name") == F.col("_winner"), "left_semi").where("day_key IS NOT NULL")
+        rows = feed.rows(join_on(batch, taken.select("file_path"), ["file_path"], "left_semi"), feed.fields)
+        told(unparsed_cells(feed, rows), "unparsed")
+        replace_days(shape(feed, rows), table, KEYS)
+
+    query = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeops.operators.mapping import flatten_paths, schema_for
 from lakeops.plans.close_status import close_status, stamp_snapshot
 from lakeops.plans.extracts import export_payroll, export_transactions, officer_list
-from lakeops.plans.feeds import CATEGORIES, LOGINS, centers, ingest
+from lakeops.plans.feeds import CATEGORIES, LOGINS, aside, centers, ingest
 from lakeops.plans.metadata import load_metadata
 from lakeops.session import scratch_path
 from lakeops.sinks import export, tables
@@ -27,11 +27,14 @@ from suite.registry import plain, query, stamp_text, table
 from suite.reports import close_tables
 
 
-def write_named(df: DataFrame, folder: str, name: str, write) -> None:
-    """Write the rows of each value of `name` as one file called so below `folder`."""
+def write_named(df: DataFrame, folder: str, name: str, write, order: str | None = None) -> None:
+    """Write the rows of each value of `name` as one file called so below `folder`, by `order` if given."""
     spark = df.sparkSession
     staging = f"{folder}-parts"
-    write(df.repartition(name).write.partitionBy(name), staging)
+    dealt = df.repartition(name)
+    if order is not None:
+        dealt = dealt.sortWithinPartitions(name, order).drop(order)
+    write(dealt.write.partitionBy(name), staging)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     root = hadoop.Path(staging)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -82,28 +85,54 @@ def csv_other_format(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, path, ["a", "b", "c", "d"], sep="|", quote="'")
 
 
-DOCUMENT_SQL = "SELECT doc_id::VARCHAR AS doc_id, md5(replace(text, chr(13), '')) AS text_md5, source FROM documents"
+NOTES = ['5" pipe', 'he said "so"', 'line one\r\nline ""two""', "a\rb,c", '"', ""]
 
+DOCUMENT_SQL = """
+    SELECT doc_id::VARCHAR AS doc_id, md5(text) AS text_md5, source,
+           CASE doc_id % 6 WHEN 0 THEN '5" pipe' WHEN 1 THEN 'he said "so"' WHEN 2 THEN 'line one' || chr(13) || chr(10) || 'line ""two""'
+                WHEN 3 THEN 'a' || chr(13) || 'b,c' WHEN 4 THEN '"' ELSE '' END AS note
+    FROM documents
+"""
 
-def document_csv(spark: SparkSession, sf: str, **reading) -> DataFrame:
-    """Whole texts, with their line breaks and quotes, through CSV."""
-    path = scratch_path(spark, "csv")
-    docs = table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit("\r"), F.lit("")).alias("text"), "source")
-    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    docs.write.options(header=True, quoteAll=True, escape='"', **keep).csv(path)
-    back = read_multiline_csv(spark, path, ["doc_id", "text", "source"], **reading)
-    return back.select("doc_id", F.md5("text").alias("text_md5"), "source")
+
+def quoted_cell(c: Column) -> Column:
+    return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def document_csv(spark: SparkSession, sf: str) -> str:
+    """Whole texts with their line breaks, carriage returns and quotes; beside them notes, some with quotes but written
+    without any. Lines end with a line feed in one half of the files and with a carriage return before it in the other."""
+    folder = scratch_path(spark, "csv")
+    note = F.get(F.array(*[F.lit(n) for n in NOTES]), F.col("doc_id") % 6)
+    bare = (F.col("doc_id") % 6).isin(0, 1)
+    line = F.concat_ws(",", "doc_id", F.when(bare, note).otherwise(quoted_cell(note)), quoted_cell(F.col("text")), "source")
+    crlf = F.col("doc_id") % 20 < 10
+    name = F.concat(F.lit("part_"), F.col("doc_id") % 10, F.when(crlf, "_crlf").otherwise("_lf"), F.lit(".csv"))
+    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("_order"), line.alias("value"), name.alias("_file"))
+    heads = rows.select("_file").distinct().select(F.lit(-1).cast("long").alias("_order"), F.lit("doc_id,note,text,source").alias("value"), "_file")
+    ended = F.when(F.col("_file").contains("_crlf"), F.concat("value", F.lit("\r"))).otherwise(F.col("value"))
+    lines = heads.unionByName(rows).withColumn("value", ended)
+    write_named(lines, folder, "_file", lambda writer, path: writer.text(path), order="_order")
+    return folder
+
+
+def document_rows(back: DataFrame) -> DataFrame:
+    return back.select("doc_id", F.md5("text").alias("text_md5"), "source", "note")
 
 
 @query(DOCUMENT_SQL)
 def csv_multiline(spark: SparkSession, sf: str) -> DataFrame:
-    return document_csv(spark, sf)
+    return document_rows(read_multiline_csv(spark, document_csv(spark, sf), ["doc_id", "note", "text", "source"]))
 
 
 @query(DOCUMENT_SQL)
 def csv_multiline_in_splits(spark: SparkSession, sf: str) -> DataFrame:
-    """The way taken for files too large for one task."""
-    return document_csv(spark, sf, whole_up_to=0)
+    """The same files cut into many splits; columns by the heading."""
+    path = document_csv(spark, sf)
+    small = spark.newSession()
+    for key, value in (("maxPartitionBytes", "60000"), ("openCostInBytes", "60000"), ("minPartitionNum", "1")):
+        small.conf.set(f"spark.sql.files.{key}", value)
+    return document_rows(read_multiline_csv(small, path))
 
 
 @query(
@@ -362,30 +391,43 @@ KEYS_SQL = "strftime({d}, '%Y') AS year_key, strftime({d}, '%Y%m') AS month_key,
 
 
 def category(level: int, modulus: int) -> list[Column]:
-    number = (F.col("o_custkey") % modulus).cast("string").alias(f"Level {level} Category Id")
-    return [number, F.concat(F.lit("name, "), F.col("o_orderpriority")).alias(f"Level {level} Category Name")]
+    return [(F.col("o_custkey") % modulus).cast("string"), F.concat(F.lit("name, "), F.col("o_orderpriority"))]
+
 
+HEADINGS = ["Level 1 Category Id", "Level 1 Category Name", "Level 2 Category Id", "Level 2 Category Name", "Level 3 Category Id", "Level 3 Category Name"]
+HEADINGS += ["Created User Id", "Created Date", "Status", "Updated User Id", "Last Updated Date"]
 
-def category_files(spark: SparkSession, sf: str, folder: str, copies: bool) -> None:
-    """A file per half-year, or two of which the one greater in name counts; bad stamps. One more file, with a copy of
-    all rows, has no date in its name."""
+
+def category_files(spark: SparkSession, sf: str, folder: str) -> None:
+    """Two files per half-year, of which the one greater in name counts; bad stamps. In files of the second half of a
+    year columns stand in another order, one is spelt otherwise, and a new one has a heading of 70,000 characters. One
+    more file, with a copy of all rows, has no date in its name."""
     key = F.col("o_orderkey")
     orders = table(spark, sf, "orders")
-    versions = F.array(*[F.lit(v) for v in (["a", "b", "x"] if copies else ["b", "x"])])
-    rows = orders.select(
+    cells = dict(zip(HEADINGS, [
         *[c for level, m in ((1, 5), (2, 25), (3, 1000)) for c in category(level, m)],
-        key.cast("string").alias("Created User Id"),
-        F.when(key % 10 == 0, "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("Created Date"),
-        F.col("o_orderstatus").alias("Status"),
-        F.when(key % 3 != 0, "u1").alias("Updated User Id"),
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("Last Updated Date"),
-        F.explode(versions).alias("version"),
+        key.cast("string"),
+        F.when(key % 10 == 0, "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")),
+        F.col("o_orderstatus"),
+        F.when(key % 3 != 0, "u1"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
+    ], strict=True))
+    rows = orders.select(
+        key.alias("_order"),
+        *[c.alias(h) for h, c in cells.items()],
+        F.explode(F.array(F.lit("a"), F.lit("b"), F.lit("x"))).alias("version"),
         half_year("yyyyMMdd").alias("half"),
     )
+    rows = rows.withColumn("Status", F.when(F.col("version") == "a", "old").otherwise(F.col("Status")))
     dated = F.concat("version", F.lit("_category_"), "half", F.lit(".csv"))
-    named = rows.withColumn("_file", F.when(F.col("version") == "x", "x_undated.csv").otherwise(dated))
-    named = named.withColumn("Status", F.when(F.col("version") == "a", "old").otherwise(F.col("Status")))
-    write_named(named.drop("version", "half"), folder, "_file", as_csv)
+    rows = rows.withColumn("_file", F.when(F.col("version") == "x", "x_undated.csv").otherwise(dated))
+    later = F.col("half").endswith("0701") & (F.col("version") != "x")
+    csv = lambda names: F.concat_ws(",", *[F.coalesce(quoted_cell(F.col(n)), F.lit("")) for n in names])
+    turned = HEADINGS[::-1]
+    lines = rows.select("_order", "_file", later.alias("_later"), F.when(later, F.concat(F.lit("new,"), csv(turned))).otherwise(csv(HEADINGS)).alias("value"))
+    spelt = ",".join(["n" * 70_000, *[h.replace("Created Date", "created_date") for h in turned]])
+    heads = lines.select("_file", "_later").distinct().select(F.lit(-1).cast("long").alias("_order"), "_file", F.when(F.col("_later"), spelt).otherwise(",".join(HEADINGS)).alias("value"))
+    write_named(lines.drop("_later").unionByName(heads), folder, "_file", lambda writer, path: writer.text(path), order="_order")
 
 
 CATEGORY_SQL = f"""
@@ -404,12 +446,33 @@ CATEGORY_SQL = f"""
 def ingest_folder(spark: SparkSession, sf: str) -> DataFrame:
     """Dated CSV files into a partitioned table, twice; a file without a date is left out."""
     source, target = scratch_path(spark, "source"), scratch_path(spark, "categories")
-    category_files(spark, sf, source, copies=True)
+    category_files(spark, sf, source)
     for _ in range(2):
         ingest(spark, CATEGORIES, source, target)
     return plain(keys_as_text(read_table(spark, target)))
 
 
+ASIDE_SQL = f"""
+    SELECT 'x_undated.csv' AS file_name, 'undated' AS what, 1::BIGINT AS n
+    UNION ALL
+    SELECT 'b_category_' || strftime({HALF_SQL}, '%Y%m%d') || '.csv', 'created_date', count(*) FROM orders WHERE o_orderkey % 10 = 0 GROUP BY 1
+"""
+
+
+def told_aside(spark: SparkSession, target: str) -> DataFrame:
+    """What an ingest set aside: files without a date, and cells per file and column that did not fit."""
+    undated = read_table(spark, aside(target, "undated")).select("file_name", F.lit("undated").alias("what"), F.lit(1).cast("long").alias("n"))
+    return undated.unionByName(read_table(spark, aside(target, "unparsed")).select("file_name", F.col("column").alias("what"), "n"))
+
+
+@query(ASIDE_SQL)
+def ingest_aside(spark: SparkSession, sf: str) -> DataFrame:
+    source, target = scratch_path(spark, "source"), scratch_path(spark, "categories")
+    category_files(spark, sf, source)
+    ingest(spark, CATEGORIES, source, target)
+    return told_aside(spark, target)
+
+
 LOGIN_SQL = f"""
     SELECT (100000 + o_orderkey)::VARCHAR AS customer_id, '09' || o_custkey::VARCHAR AS phone_number,
            CASE o_orderkey % 4 WHEN 0 THEN 'Ann Lee' WHEN 3 THEN 'Hal' ELSE 'Bob Ray' END AS customer_name,

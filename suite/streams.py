@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.operators.repair import clean_log
-from lakeops.plans.feeds import CATEGORIES, LOGINS, shape
+from lakeops.plans.feeds import CATEGORIES, LOGINS
 from lakeops.session import scratch_path
-from lakeops.sources.files import read_table, text_schema
+from lakeops.sources.files import read_table
 from lakeops.streaming.ingest import ingest_new_files
 from lakeops.streaming.status import append_changes, done_branches, latest_counts
 from suite.registry import plain, query, table
@@ -17,14 +16,12 @@ from suite.storage import CATEGORY_SQL, LOGIN_SQL, category_files, keys_as_text,
 
 @query(CATEGORY_SQL)
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """New files only, a few per batch, run twice: the second run finds nothing to do."""
+    """New files only, a few per batch, run twice: the second run finds nothing to do. Files and rows are those of
+    `ingest_folder`."""
     source, target, progress = (scratch_path(spark, name) for name in ("source", "categories", "progress"))
-    category_files(spark, sf, source, copies=False)
-    schema = text_schema([f.spellings[0] for f in CATEGORIES.fields])
+    category_files(spark, sf, source)
     for _ in range(2):
-        ingest_new_files(
-            spark, source, schema, CATEGORIES.naming, lambda rows: shape(CATEGORIES, rows), target, progress, files_per_batch=5
-        )
+        ingest_new_files(spark, CATEGORIES, source, target, progress, files_per_batch=9)
     return plain(keys_as_text(read_table(spark, target)))
 
 
@@ -33,18 +30,7 @@ def stream_login_log(spark: SparkSession, sf: str) -> DataFrame:
     """Login logs, repaired as they arrive."""
     source, target, progress = (scratch_path(spark, name) for name in ("source", "logins", "progress"))
     login_files(spark, sf, source)
-    ingest_new_files(
-        spark,
-        source,
-        "value string",
-        LOGINS.naming,
-        lambda lines: shape(LOGINS, clean_log(lines)),
-        target,
-        progress,
-        files_per_batch=5,
-        format="text",
-        options={},
-    )
+    ingest_new_files(spark, LOGINS, source, target, progress, files_per_batch=5)
     return plain(keys_as_text(read_table(spark, target)))
 
 

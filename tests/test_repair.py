@@ -215,16 +215,27 @@ def test_splits_are_really_small(read, spark):
 
 
 @pytest.mark.parametrize("split_bytes", [None, 25, 80])
-def test_multiline_csv_in_splits(spark, read, tmp_path, split_bytes):
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+def test_multiline_csv_in_splits(spark, read, tmp_path, split_bytes, line_end):
     rng = random.Random(7)
-    words = ["a", 'say ""hi""', "x\ny", "\n\n", "1,2", "", "tail\n", '""\n""']
-    rows = [[rng.choice(words) for _ in range(3)] for _ in range(40)]
-    text = ['"first\nname",b,c'] + [",".join(f'"{w}"' for w in row) for row in rows]
-    lines = "\n".join(text).split("\n")
+    quoted = ["a", 'say "hi"', "x\ny", "\n\n", "1,2", "", "tail\n", '"\n"', "cr\rin", "crlf\r\nin", '"', '""']
+    bare = ["b", '5" pipe', 'x"y"z', "", 'end"', " spaced "]
+    rows = [[(w := rng.choice(quoted + bare), w in bare and rng.random() < 0.9 and w not in quoted) for _ in range(3)] for _ in range(60)]
+    rows = [r for r in rows if any(w.strip() or not plain for w, plain in r)]
+    cell = lambda w, plain: w if plain else '"' + w.replace('"', '""') + '"'
+    text = ['"first\nname",b,c'] + [",".join(cell(*c) for c in row) for row in rows]
+    lines = line_end.join(text).split("\n")
     read({"a.csv": lines, "b.csv": lines}, split_bytes)
-    folder = str(tmp_path / "in0")
-    whole = read_multiline_csv(spark, folder)
-    split = read_multiline_csv(spark, folder, whole_up_to=0)
-    assert split.columns == whole.columns
-    assert split.count() == 80
-    assert bag(split.collect()) == bag(whole.collect())
+    back = read_multiline_csv(spark, str(tmp_path / "in0"))
+    assert back.columns == ["first\nname", "b", "c", "file_name"]
+    want = [tuple(None if plain and w == "" else w for w, plain in row) for row in rows]
+    for name in ("a.csv", "b.csv"):
+        assert bag([tuple(r)[:3] for r in back.collect() if r["file_name"] == name]) == bag(want)
+    ran = back._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert ran.count("FileScan text") <= 2
+
+
+def test_an_unclosed_quote_keeps_all_text(spark, read, tmp_path):
+    read({"a.csv": ["a,b", '1,5" pipe', "2,z", '3,"open', "4,w"]}, None)
+    rows = [tuple(r)[:2] for r in read_multiline_csv(spark, str(tmp_path / "in0")).collect()]
+    assert bag(rows) == bag([("1", '5" pipe'), ("2", "z"), ("3", "open\n4,w")])

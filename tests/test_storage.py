@@ -1,16 +1,17 @@
 """Folders, replaced days, exports."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeops.functions.names import drop_spill
 from lakeops.operators.upsert import upsert_day
-from lakeops.plans.feeds import CUSTOMERS, ingest
+from lakeops.plans.feeds import CUSTOMERS, aside, ingest
 from lakeops.plans.metadata import PATHS
 from lakeops.sinks.export import export_csv_by_day, export_single_csv
 from lakeops.sinks.tables import replace_days, write_buckets, write_days
-from lakeops.sources.files import read_csv
+from lakeops.sources.files import read_csv, read_multiline_csv
 from lakeops.sources.folder import Naming, latest_per_day, list_files, only_days, undated
-from lakeops.sources.headings import groups_by_heading, heading
+from lakeops.streaming.ingest import ingest_new_files
 
 
 def test_listing(spark, tmp_path):
@@ -46,18 +47,49 @@ def test_files_with_other_headings(spark, tmp_path):
     (source / "x_04012024.csv").write_text("trust_level,new column\nC,?\n")
     (source / "x_05012024.csv").write_text("phone no,level,status\n07,D,on\n")
     (source / "x_06012024.csv").write_text("")
-    assert len(groups_by_heading(spark, [str(p) for p in sorted(source.iterdir())])) == 3
     ingest(spark, CUSTOMERS, str(source), table)
     got = sorted((r["level"], r["phone_no"], r["status"]) for r in spark.read.parquet(table).collect())
     assert got == [("A", "09", "on"), ("B", "08", "off"), ("C", None, None), ("D", "07", "on")]
 
 
+def test_headings_that_differ_behind_a_long_column(spark, tmp_path):
+    source, table = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    long = "n" * 70_000
+    (source / "x_02012024.csv").write_text(f"{long},phone no,level\n?,09,A\n")
+    (source / "x_03012024.csv").write_text(f"{long},level,phone no\n?,B,08\n")
+    (source / "bad_99999999.csv").write_text("phone no\n1\n")
+    ingest(spark, CUSTOMERS, str(source), table)
+    assert sorted((r["level"], r["phone_no"]) for r in spark.read.parquet(table).collect()) == [("A", "09"), ("B", "08")]
+    assert [r["file_name"] for r in spark.read.parquet(aside(table, "undated")).collect()] == ["bad_99999999.csv"]
+
+
 def test_heading_over_lines_and_compressed(spark, tmp_path):
     import gzip
 
-    path = tmp_path / "a.csv.gz"
-    path.write_bytes(gzip.compress(b'"first\nname","b ""x"""\n1,2\n'))
-    assert heading(spark, str(path)) == ("first\nname", 'b "x"')
+    (tmp_path / "a.csv.gz").write_bytes(gzip.compress(b'"first\nname","b ""x"""\n1,2\n'))
+    df = read_multiline_csv(spark, str(tmp_path / "a.csv.gz"))
+    assert df.columns == ["first\nname", 'b "x"', "file_name"]
+    assert [tuple(r)[:2] for r in df.collect()] == [("1", "2")]
+
+
+@pytest.mark.parametrize("per_batch", [1, 2, None])
+def test_stream_equals_batch(spark, tmp_path, per_batch):
+    source, table, other = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "batch")
+    source.mkdir()
+    names = ("b_02012024.csv", "a_02012024.csv", "c_03012024.csv", "x_undated.csv")
+    texts = ("phone no,level\n09,B\n", "level,phone no\nA,09\n", "trust_level,phone no,date registered\nC,07,soon\n", "level\nU\n")
+    for name, text in zip(names, texts, strict=True):
+        (source / name).write_text(text)
+        if per_batch == 1:
+            ingest_new_files(spark, CUSTOMERS, str(source), table, str(tmp_path / "progress"))
+    ingest_new_files(spark, CUSTOMERS, str(source), table, str(tmp_path / "progress"), per_batch)
+    ingest(spark, CUSTOMERS, str(source), other)
+    rows = lambda path: sorted((str(r["day_key"]), r["level"], r["phone_no"], r["file_name"]) for r in spark.read.parquet(path).collect())
+    assert rows(table) == rows(other) == [("20240101", "B", "09", "b_02012024.csv"), ("20240102", "C", "07", "c_03012024.csv")]
+    for what in ("undated", "unparsed"):
+        told = spark.read.parquet(aside(table, what)).drop("batch")
+        assert told.distinct().collect() == spark.read.parquet(aside(other, what)).select(told.columns).collect()
 
 
 def test_replace_days_and_pruning(spark, tmp_path):
