@@ -81,8 +81,8 @@ def distinct_by_day(
     some day of that period. `any_row` adds Boolean columns: has the key a row on those days, NULL ids included.
 
     Within a period an id counts from its first day on. So the table is reduced to distinct (key, id, day), marked with
-    the windows it is new in, and that to new ids per key and stretch of days that all windows treat alike. Only this
-    small table meets the end days; rows are never copied per end day.
+    the windows it is new in, and that to new ids per key and stretch of days that all windows treat alike. Running
+    sums over these give what each window counts; rows are never copied per end day.
     """
     any_row = any_row or {}
     spans = [w.limit for w in windows.values()] + [s for days in any_row.values() for s in days.values()]
@@ -106,22 +106,44 @@ def distinct_by_day(
         .groupBy(key, _stretch_start(F.col("_day"), universe, covers).alias("_from"))
         .agg(*[new(w).alias(f"_new_{name}") for name, w in windows.items()])
     )
-    table, fields = [], []
-    for name in windows:
-        fields += [f"_{name}_from date", f"_{name}_to date"]
-    for name in any_row:
-        fields += [f"_{name}_from date", f"_{name}_to date"]
-    for end in sorted(ends):
-        covered = [ends[end][name] for name in windows] + [any_row[name][end] for name in any_row]
-        table.append((end, *[d for s in covered for d in (s.first, s.last)]))
-    end_days = df.sparkSession.createDataFrame(table, ", ".join(["data_date date", *fields]))
-
-    inside = {name: f"_from BETWEEN _{name}_from AND _{name}_to" for name in [*windows, *any_row]}
-    paired = per_stretch.join(F.broadcast(end_days), F.expr(" OR ".join(inside.values())))  # the caller's own list of days
-    return paired.groupBy(key, "data_date").agg(
-        *[F.expr(f"sum(CASE WHEN {inside[name]} THEN _new_{name} ELSE 0 END) AS {name}") for name in windows],
-        *[F.expr(f"bool_or({inside[name]}) AS {name}") for name in any_row],
-    )
+    spans_of = {name: [ends[e][name] for e in sorted(ends)] for name in windows} | {name: [days[e] for e in sorted(ends)] for name, days in any_row.items()}
+    return _totals_between(per_stretch, key, sorted(ends), spans_of, list(windows), list(any_row))
+
+
+def _totals_between(per_stretch: DataFrame, key: str, ends: list[date], spans_of: dict[str, list[Span]], counted: list[str], present: list[str]) -> DataFrame:
+    """Per key and end day, for each window the sum over the stretches that begin in its span.
+
+    Each key's stretches get running sums, which are read off at the days before and at the end of all spans: those
+    days stand among the stretches as rows of their own, so one window over a key's rows gives them all. What a window
+    counts is then the difference of two entries of the key's list. Work is linear in stretches plus days.
+    """
+    before = lambda d: d - timedelta(days=1)
+    last = lambda s: max(s.last, before(s.first))  # noqa: E731, a span may be empty
+    marks = sorted({d for spans in spans_of.values() for s in spans for d in (before(s.first), last(s))})
+    place = {d: i for i, d in enumerate(marks)}
+    numbers = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")  # noqa: E731, folded into one literal
+    origin = marks[0]
+    asked = F.explode(F.transform(numbers([(d - origin).days for d in marks]), lambda n: F.date_add(F.lit(origin), n)))
+
+    sums = {f"_new_{name}": F.col(f"_new_{name}") for name in counted} | {"_rows": F.lit(1)}
+    rows = per_stretch.select(key, "_from", *[c.cast("long").alias(n) for n, c in sums.items()], F.lit(0).alias("_asks"))
+    asks = per_stretch.select(key).distinct().select(key, asked.alias("_from"), *[F.lit(0).cast("long").alias(n) for n in sums], F.lit(1).alias("_asks"))
+    so_far = W.partitionBy(key).orderBy("_from", "_asks").rowsBetween(W.unboundedPreceding, 0)
+    totals = rows.unionByName(asks).select(key, "_from", "_asks", *[F.sum(n).over(so_far).alias(n) for n in sums])
+    lists = totals.where("_asks = 1").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_from", *sums))).alias("_at"))
+
+    per_end = lists.select(key, "_at", F.explode(F.sequence(F.lit(0), F.lit(len(ends) - 1))).alias("_end"))
+
+    def between(name: str, what: str) -> Column:
+        at = lambda days: F.get("_at", F.get(numbers([place[d] for d in days]), F.col("_end")))[what]
+        return at([last(s) for s in spans_of[name]]) - at([before(s.first) for s in spans_of[name]])
+
+    inside = {name: between(name, "_rows") > 0 for name in spans_of}
+    some = F.lit(False)
+    for c in inside.values():
+        some = some | c
+    end_day = F.date_add(F.lit(ends[0]), F.get(numbers([(e - ends[0]).days for e in ends]), F.col("_end")))
+    return per_end.where(some).select(key, end_day.alias("data_date"), *[between(n, f"_new_{n}").alias(n) for n in counted], *[inside[n].alias(n) for n in present])
 
 
 def _stretch_start(day: Column, universe: Span, covers: Sequence[Span]) -> Column:

@@ -173,7 +173,7 @@ def acquisition_range(
     counts = agent_counts_by_day(
         _open(registrations), "org_short_code", "cust_id", F.col("approval_date"), days, _run_year(run_date, mtd_year), terms
     )
-    dates = eligible.sparkSession.createDataFrame([(d,) for d in days], "report_date date")
-    people = staff(eligible, info).crossJoin(F.broadcast(dates))  # the caller's own list of days
+    each_day = F.explode(F.sequence(F.lit(days[0]), F.lit(days[-1])))
+    people = staff(eligible, info).withColumn("report_date", each_day)  # the report has a row per person and day
     match = (F.col("agentid") == F.col("org_short_code")) & (F.col("report_date") == F.col("data_date"))
     return people.join(counts, match, "left").select(F.col("report_date").alias("data_date"), *COLUMNS)

@@ -12,7 +12,6 @@ STORED = ("suite.storage", "suite.streams")
 LAZY = [n for n, fn in QUERIES.items() if fn.__module__ not in STORED]
 # joins without keys, each with a one-row aggregate or a list of days given by the caller
 KEYLESS = {
-    "acquisition_by_day",
     "close_status",
     "close_status_none_done",
     "one_row_cross_join",
