@@ -41,7 +41,7 @@ VALUE_BYTES = 2
 class Shape:
     """Sizes of a forest: `trees` orders, each beginning with `least_depth` values of its own and `deepest` values long."""
 
-    def __init__(self, trees: int = 20, least_depth: int = 5, deepest: int = 16, width: int = 16):
+    def __init__(self, trees: int = 20, least_depth: int = 5, deepest: int = 12, width: int = 16):
         self.trees, self.least_depth, self.deepest, self.width = trees, least_depth, deepest, width
         self.values = trees * least_depth
         self.by = factors(self.values, 200)
@@ -96,34 +96,40 @@ def common_values(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def neighbours(ordered: DataFrame, shape: Shape) -> DataFrame:
-    """Streams the sorted orders: per row, the common prefix with the row before it and that row; the first row of a range waits."""
+    """Streams the sorted orders: per row, its common prefix with the row before it, and that row.
+
+    Kept are rows that share the least depth with the row before or behind them, and the first and last of each range,
+    whose neighbours may be in another one.
+    """
     size = shape.deepest * VALUE_BYTES
 
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, seq, last = TaskContext.get().partitionId(), 0, None
+        part, seq, held = TaskContext.get().partitionId(), 0, None
         for b in batches:
             if not len(b):
                 continue
             keys = np.frombuffer(b"".join(b["key"]), np.uint8).reshape(len(b), size)
-            tree, node, n = (b[c].to_numpy() for c in ("tree", "node", "n"))
-            if last is None:
-                last = (keys[:1], tree[:1], node[:1], n[:1])
-                shared_first = -1
-            else:
-                shared_first = None
-            before = [np.concatenate([x, y[:-1]]) for x, y in zip(last, (keys, tree, node, n), strict=True)]
-            shared = np.where(before[1] == tree, common_values(before[0], keys), 0)
-            if shared_first is not None:
-                shared[0] = shared_first
-            last = (keys[-1:], tree[-1:], node[-1:], n[-1:])
-            yield pd.DataFrame({"range": part, "seq": np.arange(seq, seq + len(b)), "tree": tree, "key": b["key"], "node": node, "n": n, "shared": shared.astype(np.int32), "before": before[2], "before_n": before[3]})
+            columns = (keys, b["tree"].to_numpy(), b["node"].to_numpy(), b["n"].to_numpy())
+            last = [c[:1] for c in columns] if held is None else [np.frombuffer(held["key"].iloc[0], np.uint8)[None, :], *[held[c].to_numpy() for c in ("tree", "node", "n")]]
+            before = [np.concatenate([x, y[:-1]]) for x, y in zip(last, columns, strict=True)]
+            shared = np.where(before[1] == columns[1], common_values(before[0], keys), 0)
+            if held is None:
+                shared[0] = -1
+            rows = pd.DataFrame({"range": part, "seq": np.arange(seq, seq + len(b)), "tree": columns[1], "key": b["key"], "node": columns[2], "n": columns[3], "shared": shared.astype(np.int32), "before": before[2], "before_n": before[3]})
             seq += len(b)
+            rows = rows if held is None else pd.concat([held, rows], ignore_index=True)
+            near = rows["shared"].to_numpy() >= shape.least_depth
+            keep = near[:-1] | near[1:] | (rows["seq"].to_numpy()[:-1] == 0)
+            yield rows[:-1][keep]
+            held = rows[-1:]
+        if held is not None:
+            yield held
 
     return ordered.mapInPandas(stream, "range int, seq bigint, tree int, key binary, node bigint, n bigint, shared int, before bigint, before_n bigint")
 
 
 def sorted_orders(classes: DataFrame, shape: Shape) -> DataFrame:
-    """All orders by range, with each row's neighbour, over the edges of ranges too; only rows that have company."""
+    """All orders by range, with each row's neighbour, over the edges of ranges too; only rows that may have company."""
     dealt = orders(classes, shape).repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
     rows = materialize(neighbours(dealt, shape), "forest-orders")
     # one row per range: its first, joined to the last of the range before
