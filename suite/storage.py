@@ -15,6 +15,7 @@ from lakeops.plans.metadata import load_metadata
 from lakeops.session import scratch_path
 from lakeops.sinks import export, tables
 from lakeops.sources.files import (
+    literal_rows,
     read_csv,
     read_json_lines,
     read_multiline_csv,
@@ -261,6 +262,19 @@ def partition_scan(spark: SparkSession, sf: str) -> DataFrame:
     return only_days(read_table(spark, name), "20240105", "20240107").select("event_id", "user_id", "day_key")
 
 
+@query(
+    """
+    SELECT o_orderkey, label FROM orders
+    JOIN (VALUES ('1-URGENT', 'now'), ('2-HIGH', 'soon'), ('5-LOW', NULL)) v(priority, label) ON o_orderpriority = priority
+    """
+)
+def literal_rows_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with labels listed in the program."""
+    labels = literal_rows(spark, [("1-URGENT", "now"), ("2-HIGH", "soon"), ("5-LOW", None)], "priority string, label string")
+    orders = table(spark, sf, "orders")
+    return orders.join(labels, F.col("o_orderpriority") == F.col("priority")).select("o_orderkey", "label")
+
+
 @query("SELECT c_custkey, c_name, c_acctbal, 2 AS run FROM customer")
 def overwrite_table(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "table")
