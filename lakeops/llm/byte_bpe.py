@@ -1,20 +1,25 @@
 """Token ids of texts by the tokenizers library's byte-level BPE, at the speed a whole corpus needs.
 
-Byte-level BPE never merges over the edge between a word and the white space that begins the next, so a text is cut
-there and each piece's ids are computed once by the library and remembered. The memory holds two generations of pieces of
-a fixed size. Texts that name a special token are left to the library as they are.
+Byte-level BPE never merges over the edge between a word and the white space that begins the next, so texts are cut
+there and each unit's ids are computed once by the library and remembered, up to `REMEMBERED` units. Most texts can be cut
+at single spaces and line feeds alone; texts with other white space, or runs of it, are cut by the vocabulary's own rule for white
+space. Texts that name a special token are left to the library as they are.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
+from itertools import repeat
 
 import numpy as np
 
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECE = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-GENERATION = 300_000
+#: White space that is not a single space or one or two line feeds between words.
+RARE = re.compile(f"[^\\S \\n]|[\\x1c-\\x1f]|  | \\n|\\n\\n[\\n ]|\\n\\n\\Z| \\Z")
+REMEMBERED = 900_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -24,6 +29,27 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
+def units_of(text: str) -> list[str]:
+    """A text cut into units: ` word` is written `word`, a word after a line feed with that before it, and a word with
+    nothing before it with a line feed behind. Other pieces of white space follow a tab."""
+    if not text:
+        return []
+    if RARE.search(text) is None:
+        units = text.replace("\n", " \n").split(" ")
+        units[0] += "\n"
+        return units[1:] if units[0] == "\n" else units
+    return ["\t" + piece for piece in PIECE.findall(text)]
+
+
+def written(unit: str) -> list[str]:
+    """The pieces of text a unit stands for."""
+    if unit[:1] == "\t":
+        return [unit[1:]]
+    if unit[:1] == "\n":
+        return ["\n", unit[1:]] if len(unit) > 1 else ["\n"]
+    return [unit[:-1]] if unit[-1:] == "\n" else [" " + unit]
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -33,42 +59,58 @@ class Encoder:
         self.model = self.tokenizer.model
         self.letters = byte_letters()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.young: dict[str, np.ndarray] = {}
-        self.old: dict[str, np.ndarray] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.flat, self.first, self.size = array("I"), array("q"), array("i")
 
     def word(self, word: str) -> list[int]:
         return [t.id for t in self.model.tokenize(word.encode().decode("latin1").translate(self.letters))]
 
-    def new(self, piece: str) -> np.ndarray:
+    def piece(self, piece: str) -> list[int]:
         bare = piece.removeprefix(" ")
         if bare.isalpha():
-            ids = self.word(piece)
-        elif bare[-1:] in (".", ",", "!", ";") and bare[:-1].isalpha():
-            ids = self.word(piece[:-1]) + self.word(piece[-1])
-        else:
-            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        return np.array(ids, np.uint32)
+            return self.word(piece)
+        if bare[-1:] in (".", ",", "!", ";") and bare[:-1].isalpha():
+            return self.word(piece[:-1]) + self.word(piece[-1])
+        return self.tokenizer.encode(piece, add_special_tokens=False).ids
+
+    def learn(self, unit: str) -> int:
+        ids = [i for piece in written(unit) for i in self.piece(piece)]
+        place = self.place[unit] = len(self.size)
+        self.first.append(len(self.flat))
+        self.size.append(len(ids))
+        self.flat.extend(ids)
+        return place
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, as the library gives them without special tokens; and how many each has."""
+        alone = {k for k, t in enumerate(texts) if any(s in t for s in self.special)}
+        lists = [[] if k in alone else units_of(t) for k, t in enumerate(texts)]
+        units = [u for x in lists for u in x]
+        if len(self.place) > REMEMBERED:
+            self.forget()
+        code = np.fromiter(map(self.place.get, units, repeat(-1)), np.int64, len(units))
+        for k in np.flatnonzero(code < 0).tolist():
+            unit = units[k]
+            place = self.place.get(unit)
+            code[k] = self.learn(unit) if place is None else place
+        flat, first, size = (np.frombuffer(x, k) if len(x) else np.empty(0, k) for x, k in ((self.flat, np.uint32), (self.first, np.int64), (self.size, np.int32)))
+        sizes = size[code].astype(np.int64)
+        ends = np.cumsum(sizes)
+        ids = flat[np.repeat(first[code] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        del flat, first, size  # the arrays grow again only when nothing looks at them
+        total = np.concatenate([[0], ends])
+        edges = total[np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)]
+        counts = np.diff(edges)
+        if not alone:
+            return ids, counts
+        parts = [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) if k in alone else ids[edges[k] : edges[k + 1]] for k, t in enumerate(texts)]
+        return np.concatenate(parts), np.array([len(p) for p in parts])
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids as the library gives them without special tokens."""
-        if not text:
-            return np.empty(0, np.uint32)
-        if any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        pieces = PIECE.findall(text)
-        young = self.young
-        try:
-            return np.concatenate([young[p] for p in pieces])
-        except KeyError:
-            pass
-        for p in pieces:
-            if p not in young:
-                ids = self.old.get(p)
-                young[p] = self.new(p) if ids is None else ids
-        out = np.concatenate([young[p] for p in pieces])
-        if len(young) > GENERATION:
-            self.old, self.young = young, {}
-        return out
+        return self.encode_all([text])[0]
 
 
 _encoders: dict[str, Encoder] = {}

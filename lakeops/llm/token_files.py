@@ -51,8 +51,19 @@ def decompressor(dictionary: bytes) -> zstandard.ZstdDecompressor:
     return zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
 
 
-def token_ids(text: str | None, vocabulary: str, end_id: int) -> np.ndarray:
-    return np.append(encoder(vocabulary).encode(text or ""), np.uint32(end_id))
+BATCH_CHARS = 2_000_000
+
+
+def token_ids(texts: list[str | None], vocabulary: str, end_id: int) -> Iterator[np.ndarray]:
+    """The ids of each text with the end id, some million characters at a time."""
+    texts = [t or "" for t in texts]
+    part = np.cumsum([len(t) for t in texts]) // BATCH_CHARS
+    edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(texts) else []
+    for s, e in zip(edges[:-1], edges[1:], strict=True):
+        ids, counts = encoder(vocabulary).encode_all(texts[s:e])
+        ends = np.cumsum(counts)
+        for n, end in zip(counts, ends, strict=True):
+            yield np.append(ids[end - n : end], np.uint32(end_id))
 
 
 def train_dictionary(documents: DataFrame, vocabulary: str, end_id: int, sample_documents: int, sample_chars: int, dictionary_bytes: int) -> bytes:
@@ -62,7 +73,7 @@ def train_dictionary(documents: DataFrame, vocabulary: str, end_id: int, sample_
     sample = short.join(F.broadcast(chosen), "doc_id").select("text").coalesce(1)
 
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        samples = [serialize(token_ids(t, vocabulary, end_id)) for b in batches for t in b["text"]][:sample_documents]
+        samples = [serialize(ids) for b in batches for ids in token_ids(b["text"].tolist(), vocabulary, end_id)][:sample_documents]
         try:
             made = zstandard.train_dictionary(dictionary_bytes, samples).as_bytes() if len(samples) >= 16 else b""
         except zstandard.ZstdError:
@@ -87,8 +98,7 @@ def write(documents: DataFrame, path: str, vocabulary: str, end_id: int, id_col:
         packer = compressor(dictionary, level)
         for b in batches:
             counts, made = [], []
-            for t in b["text"]:
-                ids = token_ids(t, vocabulary, end_id)
+            for ids in token_ids(b["text"].tolist(), vocabulary, end_id):
                 counts.append(len(ids))
                 made.append(packer.compress(serialize(ids)))
             yield pd.DataFrame({"range": range_of(b["doc_id"], bounds), "doc_id": b["doc_id"], "n_tokens": counts, "frame": made})
