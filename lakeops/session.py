@@ -30,12 +30,14 @@ def build_session(master: str | None = None, app: str = "lakeops", **extra: str)
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by `spark.checkpoint.dir`; where that is not set, a folder in the warehouse, which
-    driver and executors share as well."""
+    driver and executors share as well, and which goes when the session's process ends."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
         root = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_lakeops_scratch")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir()
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
     return root
 
 
