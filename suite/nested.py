@@ -60,7 +60,7 @@ def json_list_build(spark: SparkSession, sf: str) -> DataFrame:
     """
 )
 def json_list_wide(spark: SparkSession, sf: str) -> DataFrame:
-    return list_wide(with_lists(spark, sf), "phones", KEY)
+    return list_wide(with_lists(spark, sf), "phones", KEY, width=3)
 
 
 @query(
