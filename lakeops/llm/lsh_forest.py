@@ -189,8 +189,8 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80, i
     while True:
         pairs = cross_pairs(rows, joined, shape, percent)
         pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "forest-pairs")
-        found = materialize(linked(pairs, sets, percent), "forest-links")
-        if not found.limit(1).count():
+        found = pairs if pairs.isEmpty() else materialize(linked(pairs, sets, percent), "forest-links")
+        if found.isEmpty():
             return named(signed, filled, joined)
         links, tested = links.unionByName(found), tested.unionByName(pairs)
         joined = components(links)
@@ -223,19 +223,20 @@ def cross_pairs(rows: DataFrame, joined: DataFrame, shape: Shape, percent: int)
     out = None
     for depth in range(shape.least_depth, shape.deepest + 1):
         sizes = rows.groupBy("tree", "region", "component").agg(F.count("*").alias("m"))
-        sizes = sizes.groupBy("tree", "region").agg(F.sum("m").alias("members"), F.sum(F.col("m") * F.col("m")).alias("inside"), F.count("*").alias("parts"))
+        sizes = sizes.groupBy("tree", "region").agg(F.sum("m").alias("members"), F.sum(F.col("m") * F.col("m")).alias("inside"), F.count("*").alias("parts"), F.max_by("component", F.struct("m", "component")).alias("main"))
         sizes = sizes.where("parts > 1").withColumn("fits", (F.col("members") * F.col("members") - F.col("inside")) / 2 <= shape.width * F.col("members"))
         if depth == shape.deepest:
             sizes = sizes.withColumn("fits", F.lit(True))
-        rows = materialize(rows.join(sizes.select("tree", "region", "fits"), ["tree", "region"]), "forest-regions")
+        rows = materialize(rows.join(sizes.select("tree", "region", "fits", "main"), ["tree", "region"]), "forest-regions")
         few = rows.where("fits")
-        left = few.select("tree", "region", "node", "n", "component")
+        # one of each pair is outside the region's largest component, so a joined region is gone through for the others only
+        left = few.where("component != main").select("tree", "region", "node", "n", "component")
         right = few.select("tree", "region", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("component").alias("other_component"))
-        pairs = left.join(right, ["tree", "region"]).where((F.col("node") < F.col("other")) & (F.col("component") != F.col("other_component")) & may_link("n", "other_n", percent))
+        pairs = left.join(right, ["tree", "region"]).where((F.col("component") != F.col("other_component")) & may_link("n", "other_n", percent))
         pairs = pairs.select(*ordered_pair("node", "other"))
         out = pairs if out is None else out.unionByName(pairs)
-        rows = rows.where("NOT fits").drop("fits").withColumn("region", F.substring("key", 1, (depth + 1) * VALUE_BYTES))
-        if depth == shape.deepest or not rows.limit(1).count():
+        rows = rows.where("NOT fits").drop("fits", "main").withColumn("region", F.substring("key", 1, (depth + 1) * VALUE_BYTES))
+        if depth == shape.deepest or rows.isEmpty():
             return out.distinct()
 
 
