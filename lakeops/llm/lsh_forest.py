@@ -4,8 +4,9 @@ A document's set is its distinct runs of `shingle` words. Documents with equal s
 Each tree of the forest is the list of all classes sorted by a part of the signature of its own, continued by the other parts.
 Classes that agree in the first `least_depth` values of a tree form a region of it.
 
-1. Neighbours in each order, who have the longest common prefix, are compared on their full sets, and links join them to
-   components. So a large group of near copies is joined by about one comparison per class and tree.
+1. Neighbours in an order, who have the longest common prefix, are compared on their full sets, and links join them to
+   components: first in some trees, then in the others where neighbours are not in one component by then. So a large
+   group of near copies is joined by a few comparisons per class.
 2. Within each region only members of different components are left to compare. If those pairs are more than `width` times
    the members, the region is divided by one more value, and again, so the depth adapts to each region; at the depth where
    they fit all of them are compared. New links join components, and the step is repeated until it finds no link.
@@ -41,8 +42,8 @@ VALUE_BYTES = 2
 class Shape:
     """Sizes of a forest: `trees` orders, each beginning with `least_depth` values of its own and `deepest` values long."""
 
-    def __init__(self, trees: int = 20, least_depth: int = 5, deepest: int = 12, width: int = 16):
-        self.trees, self.least_depth, self.deepest, self.width = trees, least_depth, deepest, width
+    def __init__(self, trees: int = 20, least_depth: int = 5, deepest: int = 12, width: int = 8, first_trees: int = 3):
+        self.trees, self.least_depth, self.deepest, self.width, self.first_trees = trees, least_depth, deepest, width, first_trees
         self.values = trees * least_depth
         self.by = factors(self.values, 200)
 
@@ -182,10 +183,15 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80, i
     near = forest.where(F.col("shared") >= shape.least_depth)
     company = materialize(near.select("node").union(near.select("before")).distinct(), "forest-company")
     sets = materialize(full_sets(documents, classes.join(company, "node", "left_semi"), shingle, id_col, text_col), "forest-sets")
-    tested = materialize(near.where(may_link("n", "before_n", percent)).select(*ordered_pair("node", "before")).distinct(), "forest-pairs")
+    adjacent = near.where(may_link("n", "before_n", percent)).select("tree", *ordered_pair("node", "before"))
+    tested = materialize(adjacent.where(F.col("tree") < shape.first_trees).select("a", "b").distinct(), "forest-pairs")
     links = materialize(linked(tested, sets, percent), "forest-links").unionByName(classes_of_one_id(filled))
-    rows = forest.join(company, "node", "left_semi").select("tree", "key", "node", "n")
     joined = components(links)
+    more = materialize(apart(adjacent.where(F.col("tree") >= shape.first_trees).select("a", "b").distinct(), joined), "forest-pairs")
+    if not more.isEmpty():
+        links = links.unionByName(materialize(linked(more, sets, percent), "forest-links"))
+        tested, joined = tested.unionByName(more), components(links)
+    rows = forest.join(company, "node", "left_semi").select("tree", "key", "node", "n")
     while True:
         pairs = cross_pairs(rows, joined, shape, percent)
         pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "forest-pairs")
@@ -196,6 +202,14 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80, i
         joined = components(links)
 
 
+def apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are not in one component yet."""
+    a = joined.select(F.col("node").alias("a"), F.col("component").alias("component_a"))
+    b = joined.select(F.col("node").alias("b"), F.col("component").alias("component_b"))
+    same = F.coalesce("component_a", "a") == F.coalesce("component_b", "b")
+    return pairs.join(a, "a", "left").join(b, "b", "left").where(~same).select("a", "b")
+
+
 def classes_of_one_id(filled: DataFrame) -> DataFrame:
     """Links between the classes of rows that share an id but not the text."""
     ids = filled.groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a != b").select("doc", "a")
