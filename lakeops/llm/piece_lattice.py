@@ -21,6 +21,7 @@ SPACE = "▁"
 WORD = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 STEP, START = factors(2, 70)
 SIEVE_BITS = 18
+SHORT = 7
 
 
 class Pieces:
@@ -83,11 +84,13 @@ class Lattices:
         node = np.arange(n) + np.repeat(np.arange(len(words)), sizes)
         left = np.repeat(offsets + sizes, sizes) - np.arange(n)
 
-        # the piece of each length at each character, lengths from long to short
-        lengths = np.array(pieces.lengths)
-        found = np.full((n, len(lengths)), -2, np.int32)
+        # pieces at each character: short ones by length in columns, long to short, the few long ones in a list
+        short = [x for x in pieces.lengths if x <= SHORT]
+        lengths = np.array(short)
+        found = np.full((n, len(short)), -2, np.int32)
+        long_char, long_piece, long_length = [], [], []
         h, where = np.full(n, START, np.uint64), np.arange(n)
-        for length in range(1, int(lengths.max()) + 1):
+        for length in range(1, max(pieces.lengths) + 1):
             fits = left[where] >= length
             where, h = where[fits], h[fits]
             if not len(where):
@@ -95,34 +98,51 @@ class Lattices:
             h = (h ^ self.chars[where + length - 1]) * STEP
             h ^= h >> np.uint64(32)
             if length in pieces.lengths:
-                column = pieces.lengths.index(length)
-                known, piece, sieve = pieces.tables[column]
+                known, piece, sieve = pieces.tables[pieces.lengths.index(length)]
                 maybe = np.flatnonzero(sieve[h >> np.uint64(64 - SIEVE_BITS)])
                 at = np.minimum(np.searchsorted(known, h[maybe]), len(known) - 1)
                 hit = known[at] == h[maybe]
-                found[where[maybe[hit]], column] = piece[at[hit]]
+                if length <= SHORT:
+                    found[where[maybe[hit]], short.index(length)] = piece[at[hit]]
+                else:
+                    long_char.append(where[maybe[hit]])
+                    long_piece.append(piece[at[hit]].astype(np.int32))
+                    long_length.append(np.full(int(hit.sum()), length))
+        join = lambda x, kind: np.concatenate(x[::-1]) if x else np.empty(0, kind)
+        long_char, long_piece, long_length = join(long_char, np.int64), join(long_piece, np.int32), join(long_length, np.int64)
         odd = found[:, -1] == -2
         found[odd, -1] = -1
         weight = np.append(pieces.weights, [-np.inf, 0.0]).astype(np.float32)[found]
         c = self.chars[odd]
         weight[odd, -1] = pieces.byte_weight * (1 + (c > 0x7F).astype(np.int64) + (c > 0x7FF) + (c > 0xFFFF))
+        long_weight = pieces.weights[long_piece]
 
         # log of the sum over all ways from each node to the end of its word, from the last character back
         ahead = np.zeros(nodes)
-        order = np.argsort(left.astype(np.uint16) if n and left.max() < 1 << 16 else left, kind="stable")
-        cuts = np.searchsorted(left[order], np.arange(1, (int(left.max()) if n else 0) + 2))
-        for rest, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True), 1):
-            v = order[s:e]
+        by_left = lambda x: np.argsort(x.astype(np.uint16) if len(x) and x.max() < 1 << 16 else x, kind="stable")
+        order, long_order = by_left(left), by_left(left[long_char])
+        ends = np.arange(1, (int(left.max()) if n else 0) + 2)
+        cuts, long_cuts = np.searchsorted(left[order], ends), np.searchsorted(left[long_char[long_order]], ends)
+        for rest in range(1, len(ends)):
+            v = order[cuts[rest - 1] : cuts[rest]]
             fits = np.flatnonzero(lengths <= rest)
             way = weight[v[:, None], fits[None, :]] + ahead[node[v][:, None] + lengths[fits][None, :]]
             top = way.max(axis=1)
             ahead[node[v]] = top + np.log(np.exp(way - top[:, None]).sum(axis=1))
+            more = long_order[long_cuts[rest - 1] : long_cuts[rest]]
+            if len(more):
+                at = node[long_char[more]]
+                np.logaddexp.at(ahead, at, long_weight[more] + ahead[at + long_length[more]])
 
         char, column = np.nonzero(found >= -1)
-        self.char, self.piece = char.astype(np.int32), found[char, column]
+        char, piece, length, w = (np.concatenate(x) for x in ((long_char, char), (long_piece, found[char, column]), (long_length, lengths[column]), (long_weight, weight[char, column])))
+        if len(long_char):
+            order = np.argsort(char, kind="stable")
+            char, piece, length, w = char[order], piece[order], length[order], w[order]
+        self.char, self.piece = char.astype(np.int32), piece
         start = node[char]
-        self.end = start + lengths[column]
-        self.log_p = weight[char, column] + ahead[self.end] - ahead[start]
+        self.end = start + length
+        self.log_p = w + ahead[self.end] - ahead[start]
         self.at = np.searchsorted(start, np.arange(nodes + 1))
         total = np.cumsum(np.exp(self.log_p))
         self.upto = total - np.concatenate([[0.0], total])[self.at[start]]

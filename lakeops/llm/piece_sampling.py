@@ -28,7 +28,7 @@ from lakeops.llm.hashing import factors, mixed
 from lakeops.llm.piece_lattice import SPACE, WORD, Lattices, Pieces
 from lakeops.llm.ranges import known_key, real_key
 
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 5_000_000
 SALTS = factors(6, 71)
 _pieces: dict[tuple[str, float], Pieces] = {}
 
@@ -246,13 +246,14 @@ class Written:
         out[np.repeat(piece < 0, counts)] = np.frombuffer(b"".join(raw), np.uint8).astype(np.int64) + self.pieces.bytes_first
         return out, counts
 
-    def decoded(self, ids: np.ndarray) -> str:
-        """The text of some ids: pieces one after the other, `▁` as space, without the first one."""
+    def decoded(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+        """The texts of some ids, `counts` for each: pieces one after the other, `▁` as space, without the first one."""
         sizes = self.sizes[ids]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         raw = self.flat[np.repeat(self.first[ids] - (ends - sizes), sizes) + np.arange(total)].tobytes()
-        return raw.decode("utf-8", "replace").replace(SPACE, " ")[1:]
+        at = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)].tolist()
+        return [raw[s:e].decode("utf-8", "replace").replace(SPACE, " ")[1:] for s, e in zip(at[:-1], at[1:], strict=True)]
 
 
 def sample_texts(keys: np.ndarray, texts: list[str], pieces: Pieces, written: Written, samples: int) -> pd.DataFrame:
@@ -266,13 +267,14 @@ def sample_texts(keys: np.ndarray, texts: list[str], pieces: Pieces, written: Wr
         ids, counts = written.ids(batch.lattices, path.edge) if batch.lattices else (np.empty(0, np.int64), np.empty(0, np.int64))
         per_doc = np.bincount(path.doc, counts, len(texts)).astype(np.int64)
         ends = np.cumsum(per_doc)
+        texts_back = written.decoded(ids, per_doc)
         with np.errstate(divide="ignore", over="ignore"):
             reach = r["log_p"] - last
             score = np.where(np.isneginf(last), 0.0, np.where(reach < -30, reach, np.log(-np.expm1(-np.exp(np.minimum(reach, 50.0))))))
         cells = [ids[ends[d] - per_doc[d] : ends[d]] for d in docs]
         frames.append(pd.DataFrame({
             "at": docs, "rank": r["rank"], "n_pieces": per_doc[docs], "ids": [c.astype("<u2").tobytes() for c in cells], "log_prob": r["log_p"][docs],
-            "log_inclusion": score[docs], "decodes": [written.decoded(c) == texts[d].replace(SPACE, " ") for c, d in zip(cells, docs, strict=True)],
+            "log_inclusion": score[docs], "decodes": [texts_back[d] == texts[d].replace(SPACE, " ") for d in docs],
         }))
     return pd.concat(frames)
 
@@ -301,4 +303,5 @@ def segmentations(documents: DataFrame, vocabulary: str, samples: int = 2, alpha
 
 def decode(ids: bytes, vocabulary: str) -> str:
     """The text of one result's ids."""
-    return Written(pieces_of(vocabulary, 1.0)).decoded(np.frombuffer(ids, "<u2").astype(np.int64))
+    known = np.frombuffer(ids, "<u2").astype(np.int64)
+    return Written(pieces_of(vocabulary, 1.0)).decoded(known, np.array([len(known)]))[0]
