@@ -30,6 +30,8 @@ from lakeops.llm.ranges import known_key, real_key
 
 BATCH_CHARS = 5_000_000
 SALTS = factors(6, 71)
+FIRST_NODES = 96
+MOST_NOISE = 38.0  # -log(-log(u)) for the greatest u below 1
 _pieces: dict[tuple[str, float], Pieces] = {}
 
 
@@ -125,6 +127,31 @@ class Path:
         self.value = np.full(len(edge), -np.inf)
 
 
+def open_values(path: Path, log_p: np.ndarray, keys: np.ndarray, bound: np.ndarray, rank: int, since: np.ndarray, keep: int) -> np.ndarray:
+    """Values of the branches beside a path, behind place `since` of each text, as far as they can be among the `keep` greatest.
+
+    The way to a node only gets less likely along a text, and noise adds less than `MOST_NOISE`; so behind the first
+    nodes those are left out that cannot reach the `keep`th value found there.
+    """
+    docs = len(path.counts)
+    place = np.arange(len(path.edge)) - path.starts[path.doc]
+    behind = place - since[path.doc] - 1
+    value = np.full(len(path.edge), -np.inf)
+
+    def fill(at: np.ndarray) -> None:
+        d = path.doc[at]
+        location = path.before[at] + rest(log_p[path.edge[at]])
+        value[at] = below(location, bound[d], uniform(keys[d], rank, 2, place[at]))
+
+    first = np.flatnonzero((behind >= 0) & (behind < FIRST_NODES))
+    fill(first)
+    table = np.full((docs, FIRST_NODES), -np.inf)
+    table[path.doc[first], behind[first]] = value[first]
+    least = np.partition(table, FIRST_NODES - keep, axis=1)[:, FIRST_NODES - keep] if keep < FIRST_NODES else np.full(docs, -np.inf)
+    fill(np.flatnonzero((behind >= FIRST_NODES) & (path.before + MOST_NOISE >= least[path.doc])))
+    return value
+
+
 def best_of(path: Path, docs: int) -> tuple[np.ndarray, np.ndarray]:
     """Per text, the greatest value of its open branches and where it is."""
     value, at = np.full(docs, -np.inf), np.zeros(docs, np.int64)
@@ -149,12 +176,8 @@ def search(batch: Batch, keys: np.ndarray, samples: int) -> list[dict]:
     there = np.ones(docs, bool)
     paths, results, branches = [], [], []
     for rank in range(samples):
-        fresh = np.ones(len(path.edge), bool)
-        if rank:
-            fresh = np.arange(len(path.edge)) > (path.starts + branches[-1]["index"])[path.doc]
-        location = path.before + rest(log_p[path.edge])
-        u = uniform(keys[path.doc], rank, 2, np.arange(len(path.edge)) - path.starts[path.doc])
-        path.value = np.where(fresh, below(location, bound[path.doc], u), -np.inf)
+        since = branches[-1]["index"] if rank else np.full(docs, -1)
+        path.value = open_values(path, log_p, keys, bound, rank, since, samples + 1)
         paths.append(path)
         results.append({"rank": rank, "there": there, "path": path, "log_p": path.log_p, "value": bound})
 
