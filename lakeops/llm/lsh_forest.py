@@ -7,13 +7,13 @@ Classes that agree in the first `least_depth` values of a tree form a region of
 1. Neighbours in an order, who have the longest common prefix, are compared on their full sets, and links join them to
    components: first in some trees, then in the others where neighbours are not in one component by then. So a large
    group of near copies is joined by a few comparisons per class.
-2. Within each region only members of different components are left to compare. If those pairs are more than `width` times
-   the members, the region is divided by one more value, and again, so the depth adapts to each region; at the depth where
-   they fit all of them are compared. New links join components, and the step is repeated until it finds no link.
+2. Within each region only members of different components are left to compare. If those pairs are at most `width` times
+   the members, all of them are compared. The members of fuller regions are joined exactly: two sets of the similarity
+   share one of their rarest shingles (a prefix filter), so pairs that share one are compared, and no other can be a link.
 
-At similarity 0.85 two classes share a region of least depth in at least one of 20 trees but for a chance of 1e-5; the
-other pairs missed are those whose regions were divided. Nothing is dropped for size: groups of equal texts are aggregated
-before any shuffle of them, regions are split over tasks by range, and no task holds a region.
+At similarity 0.85 two classes share a region in at least one of 20 trees but for a chance of 1e-5; no other pair is missed.
+Nothing is dropped for size: groups of equal texts are aggregated before any shuffle of them, regions are split over tasks
+by range, and no task holds a region.
 
 Edge cases: NULL, empty and blank texts have no set and are components of their own. A text of fewer words than a shingle is one shingle.
 Rows with one id are one node; if their texts differ it has the sets of all of them. NULL ids come first and are one node.
@@ -42,7 +42,7 @@ VALUE_BYTES = 2
 class Shape:
     """Sizes of a forest: `trees` orders, each beginning with `least_depth` values of its own and `deepest` values long."""
 
-    def __init__(self, trees: int = 20, least_depth: int = 5, deepest: int = 12, width: int = 8, first_trees: int = 3):
+    def __init__(self, trees: int = 20, least_depth: int = 5, deepest: int = 12, width: int = 16, first_trees: int = 3):
         self.trees, self.least_depth, self.deepest, self.width, self.first_trees = trees, least_depth, deepest, width, first_trees
         self.values = trees * least_depth
         self.by = factors(self.values, 200)
@@ -192,14 +192,12 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80, i
         links = links.unionByName(materialize(linked(more, sets, percent), "forest-links"))
         tested, joined = tested.unionByName(more), components(links)
     rows = forest.join(company, "node", "left_semi").select("tree", "key", "node", "n")
-    while True:
-        pairs = cross_pairs(rows, joined, shape, percent)
-        pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "forest-pairs")
-        found = pairs if pairs.isEmpty() else materialize(linked(pairs, sets, percent), "forest-links")
-        if found.isEmpty():
-            return named(signed, filled, joined)
-        links, tested = links.unionByName(found), tested.unionByName(pairs)
+    # all pairs of different components that share a region are settled here, so a second round would find none
+    pairs = materialize(cross_pairs(rows, joined, sets, shape, percent).join(tested, ["a", "b"], "left_anti"), "forest-pairs")
+    if not pairs.isEmpty():
+        links = links.unionByName(materialize(linked(pairs, sets, percent), "forest-links"))
         joined = components(links)
+    return named(signed, filled, joined)
 
 
 def apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
@@ -230,28 +228,59 @@ def full_sets(documents: DataFrame, classes: DataFrame, shingle: int, id_col: st
     return built.mapInPandas(build, "node bigint, hashes binary").dropDuplicates(["node"])
 
 
-def cross_pairs(rows: DataFrame, joined: DataFrame, shape: Shape, percent: int) -> DataFrame:
-    """Pairs of classes of different components in one region, at the depth at which they are few for the region's size."""
+def cross_pairs(rows: DataFrame, joined: DataFrame, sets: DataFrame, shape: Shape, percent: int) -> DataFrame:
+    """Pairs of classes of different components in one region: all of them, or of full regions those that may be links."""
     rows = rows.join(joined.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     rows = rows.withColumn("region", F.substring("key", 1, shape.least_depth * VALUE_BYTES))
-    out = None
-    for depth in range(shape.least_depth, shape.deepest + 1):
-        sizes = rows.groupBy("tree", "region", "component").agg(F.count("*").alias("m"))
-        sizes = sizes.groupBy("tree", "region").agg(F.sum("m").alias("members"), F.sum(F.col("m") * F.col("m")).alias("inside"), F.count("*").alias("parts"), F.max_by("component", F.struct("m", "component")).alias("main"))
-        sizes = sizes.where("parts > 1").withColumn("fits", (F.col("members") * F.col("members") - F.col("inside")) / 2 <= shape.width * F.col("members"))
-        if depth == shape.deepest:
-            sizes = sizes.withColumn("fits", F.lit(True))
-        rows = materialize(rows.join(sizes.select("tree", "region", "fits", "main"), ["tree", "region"]), "forest-regions")
-        few = rows.where("fits")
-        # one of each pair is outside the region's largest component, so a joined region is gone through for the others only
-        left = few.where("component != main").select("tree", "region", "node", "n", "component")
-        right = few.select("tree", "region", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("component").alias("other_component"))
-        pairs = left.join(right, ["tree", "region"]).where((F.col("component") != F.col("other_component")) & may_link("n", "other_n", percent))
-        pairs = pairs.select(*ordered_pair("node", "other"))
-        out = pairs if out is None else out.unionByName(pairs)
-        rows = rows.where("NOT fits").drop("fits", "main").withColumn("region", F.substring("key", 1, (depth + 1) * VALUE_BYTES))
-        if depth == shape.deepest or rows.isEmpty():
-            return out.distinct()
+    sizes = rows.groupBy("tree", "region", "component").agg(F.count("*").alias("m"))
+    sizes = sizes.groupBy("tree", "region").agg(F.sum("m").alias("members"), F.sum(F.col("m") * F.col("m")).alias("inside"), F.count("*").alias("parts"), F.max_by("component", F.struct("m", "component")).alias("main"))
+    sizes = sizes.where("parts > 1").withColumn("fits", (F.col("members") * F.col("members") - F.col("inside")) / 2 <= shape.width * F.col("members"))
+    rows = materialize(rows.join(sizes.select("tree", "region", "fits", "main"), ["tree", "region"]), "forest-regions")
+    few = rows.where("fits")
+    # one of each pair is outside the region's largest component, so a joined region is gone through for the others only
+    left = few.where("component != main").select("tree", "region", "node", "n", "component")
+    right = few.select("tree", "region", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("component").alias("other_component"))
+    pairs = left.join(right, ["tree", "region"]).where((F.col("component") != F.col("other_component")) & may_link("n", "other_n", percent))
+    pairs = pairs.select(*ordered_pair("node", "other"))
+    full = materialize(rows.where("NOT fits").groupBy("node", "component").agg(F.max(F.col("component") != F.col("main")).alias("outside")), "forest-full")
+    return (pairs if full.isEmpty() else pairs.unionByName(prefix_pairs(full, sets, percent))).distinct()
+
+
+def shingle_rows(sets: DataFrame) -> DataFrame:
+    """(node, component, outside, n, shingle): one row per shingle of each set."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for node, component, outside, raw in zip(b["node"], b["component"], b["outside"], b["hashes"], strict=True):
+                shingles = np.frombuffer(raw, np.int64)
+                yield pd.DataFrame({"node": node, "component": component, "outside": outside, "n": len(shingles), "shingle": shingles})
+
+    return sets.mapInPandas(rows, "node bigint, component bigint, outside boolean, n bigint, shingle bigint")
+
+
+def prefix_pairs(full: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components, one of them `outside`, that share a shingle early enough to reach the similarity.
+
+    A set's shingles are put in one order for all sets: first those of one component only, which no pair to be found
+    shares, then by the number of sets that have them. Of two sets of the similarity, either has a common shingle among its
+    first n - ceil(n * percent / 100) + 1, and from the first common one on both must have enough left.
+    """
+    shingles = shingle_rows(full.join(sets, "node"))
+    common = shingles.groupBy("shingle").agg(F.count("*").alias("found"), F.min("component").alias("least"), F.max("component").alias("most")).where("least != most").select("shingle", "found")
+    ranked = shingles.join(common, "shingle").groupBy("node", "component", "outside", "n").agg(F.sort_array(F.collect_list(F.struct("found", "shingle"))).alias("ranked"))
+    own = F.col("n") - F.size("ranked")
+    length = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1 - own
+    early = ranked.withColumn("own", own).where(length > 0).select("node", "component", "outside", "n", "own", F.posexplode(F.slice("ranked", F.lit(1), length.cast("int"))).alias("k", "at"))
+    early = materialize(early.select("node", "component", "outside", "n", (F.col("own") + F.col("k")).alias("place"), F.col("at.shingle").alias("shingle")), "forest-prefixes")
+    # components that meet in a shingle first, so that members of one component are not brought together
+    a = early.where("outside").select("shingle", "component").distinct()
+    b = early.select("shingle", F.col("component").alias("other_component")).distinct()
+    meet = a.join(b, "shingle").where("component != other_component")
+    left = early.where("outside").select("shingle", "component", "node", "n", "place").join(meet, ["shingle", "component"])
+    right = early.select("shingle", F.col("component").alias("other_component"), F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("place").alias("other_place"), F.col("outside").alias("other_outside"))
+    rest = F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place"))
+    may = may_link("n", "other_n", percent) & (rest * (100 + percent) >= percent * (F.col("n") + F.col("other_n"))) & (~F.col("other_outside") | (F.col("node") < F.col("other")))
+    return left.join(right, ["shingle", "other_component"]).where(may).select(*ordered_pair("node", "other"))
 
 
 def named(signed: DataFrame, filled: DataFrame, joined: DataFrame) -> DataFrame:

@@ -175,6 +175,29 @@ def test_groups_of_odd_rows(frame, odd, words, shingle, percent):
     assert len(left) == len(set(one_per_row.values()))
 
 
+def test_links_in_full_regions(frame, words):
+    """300 texts of one template, mostly at 0.75 to 0.8 of each other, and 40 pairs among them at 0.87; all share regions."""
+    import random
+
+    rng, base, rows = random.Random(8), words(400, 700), []
+
+    def changed(text, places):
+        copy = list(text)
+        for at in places:
+            copy[at] = f"own{rng.randrange(10**9)}"
+        return copy
+
+    for k in range(260):
+        own = changed(base, rng.sample(range(2, 398, 3), 8))
+        rows.append((k, " ".join(own)))
+        if k < 40:
+            rows.append((1000 + k, " ".join(changed(own, rng.sample(range(2, 398, 3), 9)))))
+    want = groups_of(rows, 3, 85)
+    assert 200 < len(set(want.values())) < 300
+    got = {r["doc_id"]: r["component_id"] for r in lsh_forest.near_duplicates(frame(rows), 3, 85, shape=lsh_forest.Shape(trees=12, least_depth=1)).collect()}
+    assert got == want
+
+
 def test_groups_of_nothing(frame):
     assert lsh_forest.near_duplicates(frame([])).count() == 0
     assert lsh_forest.unique_documents(frame([(1, None), (2, ""), (None, " ")])).count() == 3
