@@ -30,7 +30,7 @@ from lakeops.llm.hashing import Words, factors, mixed
 from lakeops.llm.ranges import known_key, range_bounds, range_of, real_key
 
 #: Families of nested subsets of the lexicon; in each, level k keeps a term with probability 2 ** -k. Level 0 is the whole.
-FAMILIES, LEVELS = 8, 12
+FAMILIES, LEVELS = 32, 12
 SEEDS = factors(2 * FAMILIES, 4)
 BATCH_BYTES = 2 << 20
 
@@ -87,10 +87,11 @@ def fingerprints(texts: list[bytes], terms: np.ndarray) -> np.ndarray:
     for k in range(FAMILIES):
         drawn = mixed(h * SEEDS[2 * k]) | np.uint64(1)
         level = np.minimum(63 - ((drawn.astype(np.float64).view(np.int64) >> 52) - 1023), LEVELS).clip(0)
-        totals = np.zeros((len(texts), LEVELS + 1), np.uint64)
-        np.add.at(totals, (doc, level), mixed(h * SEEDS[2 * k + 1]))
-        counts = np.zeros((len(texts), LEVELS + 1), np.int64)
-        np.add.at(counts, (doc, level), 1)
+        at = doc * (LEVELS + 1) + level
+        totals = np.zeros(len(texts) * (LEVELS + 1), np.uint64)
+        np.add.at(totals, at, mixed(h * SEEDS[2 * k + 1]))
+        counts = np.bincount(at, minlength=len(totals))
+        totals, counts = (x.reshape(len(texts), LEVELS + 1) for x in (totals, counts))
         # a term of level k is in the subsets of all levels up to k
         totals, counts = (np.cumsum(x[:, ::-1], axis=1, dtype=x.dtype)[:, ::-1] for x in (totals, counts))
         marks = np.where(counts > 0, (totals >> np.uint64(48)).astype(np.uint16) | np.uint16(1), 0)
@@ -103,7 +104,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     shape = (len(a), LEVELS + 1, FAMILIES)
     either = ((a != 0) | (b != 0)).reshape(shape).sum(axis=2)
     agree = ((a == b) & (a != 0)).reshape(shape).sum(axis=2)
-    full = either >= FAMILIES - 2
+    full = 4 * either >= 3 * FAMILIES
     level = np.where(full.any(axis=1), LEVELS - np.argmax(full[:, ::-1], axis=1), 0)
     used = np.arange(LEVELS + 1)[None, :] >= level[:, None]
     either, agree = (either * used).sum(axis=1), (agree * used).sum(axis=1)

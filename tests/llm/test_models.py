@@ -83,6 +83,17 @@ def test_fingerprints_tell_edits_from_others(spark):
     assert Counter(freq.values()) == Counter(own.values())
 
 
+@pytest.mark.parametrize("half", [30, 100, 400])
+def test_half_copies_are_told_one_by_one(words, half):
+    bodies = [words(3 * half, 1000 * half + k, 10**7) for k in range(400)]
+    raw = lambda x: " ".join(x).encode()
+    terms = np.sort(np.unique(i_match.distinct_terms([raw(b) for b in bodies])[1]))
+    own = i_match.fingerprints([raw(b[: 2 * half]) for b in bodies], terms)
+    after = i_match.fingerprints([raw(b[:half] + b[2 * half :]) for b in bodies], terms)
+    near_edited, near_next = i_match.likeness(own, after), i_match.likeness(own, np.roll(own, 1, axis=0))
+    assert np.mean(near_edited > near_next) > 0.99
+
+
 def kneser_ney(rows):
     tokens = [(i, [*(t or "").encode().lower().split(), "</s>"]) for i, t in rows]
     out = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
