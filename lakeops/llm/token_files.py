@@ -66,14 +66,20 @@ def token_ids(texts: list[str | None], vocabulary: str, end_id: int) -> Iterator
             yield np.append(ids[end - n : end], np.uint32(end_id))
 
 
-def train_dictionary(documents: DataFrame, vocabulary: str, end_id: int, sample_documents: int, sample_chars: int, dictionary_bytes: int) -> bytes:
-    """Trained in one task on a sample bounded by `sample_documents` times `sample_chars`."""
+def training_texts(documents: DataFrame, sample_documents: int, sample_chars: int) -> DataFrame:
+    """The texts to train on, one per chosen id, the least by hash."""
     short = documents.where(F.length("text").between(1, sample_chars))
     chosen = short.select("doc_id").where(F.col("doc_id") != LEAST).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_documents)
-    sample = short.join(F.broadcast(chosen), "doc_id").select("text").coalesce(1)
+    texts = short.join(F.broadcast(chosen), "doc_id").select("doc_id", "text")
+    return texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")).select("text")
+
+
+def train_dictionary(documents: DataFrame, vocabulary: str, end_id: int, sample_documents: int, sample_chars: int, dictionary_bytes: int) -> bytes:
+    """Trained in one task on a sample bounded by `sample_documents` times `sample_chars`."""
+    sample = training_texts(documents, sample_documents, sample_chars).coalesce(1)
 
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        samples = [serialize(ids) for b in batches for ids in token_ids(b["text"].tolist(), vocabulary, end_id)][:sample_documents]
+        samples = [serialize(ids) for b in batches for ids in token_ids(b["text"].tolist(), vocabulary, end_id)]
         try:
             made = zstandard.train_dictionary(dictionary_bytes, samples).as_bytes() if len(samples) >= 16 else b""
         except zstandard.ZstdError:

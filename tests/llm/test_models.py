@@ -49,6 +49,13 @@ def test_token_files_round_trip(spark, frame, odd):
     assert token_files.read(spark, empty).count() == 0
 
 
+def test_dictionary_sample_has_one_row_an_id(frame, words):
+    rows = [(7, " ".join(words(30, k))) for k in range(300)] + [(k, "a text") for k in range(100, 120)]
+    sample = token_files.training_texts(frame(rows), 2000, 20_000).collect()
+    assert len(sample) == 21 and token_files.training_texts(frame(rows), 5, 20_000).count() == 5
+    assert {r["text"] for r in sample} <= {t for _, t in rows}
+
+
 def test_token_query_by_library(spark):
     e, start = Encoder(BPE), 0
     got = {r["doc_id"]: tuple(r)[1:] for r in QUERIES["op5_token_files"](spark, SF).collect()}
