@@ -11,8 +11,9 @@ they are. So it is enough to compare, anchor by anchor, what stretches there are
 3. Chunks put both together, mark the bytes, and return their documents.
 
 A passage in a third of all documents costs one entry per chunk and is sent once. Where it ends, the differing
-surroundings share an anchor, some hundred bytes a document; all of one anchor are compared in one task, together with
-other anchors up to `group_bytes`.
+surroundings share an anchor, some hundred bytes a document. Of an anchor with more than about `group_bytes` of different
+stretches no bytes are sent: chunks ask for the hashes (96 bits) of their windows, which spread over all buckets, and those
+told of twice are repeated. Stretches of the other anchors are compared together up to `group_bytes`.
 
 Edge cases: NULL and empty text have no bytes. Windows do not cross documents. Repetition within one document, over
 overlapping places as well, counts. Rows with one id are documents of their own. Bytes removed may cut characters: the
@@ -40,6 +41,8 @@ PLACE_BITS = np.uint64(24)
 LONGEST = 512
 BYTES = factors(256, 64)
 STEPS = factors(8, 65)
+WINDOW_BYTES = factors(512, 66).reshape(2, 256)
+WINDOW_STEPS = factors(64, 67).reshape(2, 32)
 SEPARATOR = b"\xff"  # never part of UTF-8
 
 
@@ -52,6 +55,18 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return mixed(h)
 
 
+def window_hashes(data: np.ndarray, length: int) -> list[np.ndarray]:
+    """Two independent hashes of the `length` bytes from each place on."""
+    out = []
+    for table, steps in zip(WINDOW_BYTES, WINDOW_STEPS, strict=True):
+        h, size, k = table[data], 1, 0
+        while size * 2 <= length:
+            h, size, k = h[:-size] * steps[k] + h[size:], size * 2, k + 1
+        rest = length - size
+        out.append(mixed(h[: len(h) - rest] * steps[-1] + h[rest:]))
+    return out
+
+
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     size = 1
     while size * 2 <= width:
@@ -118,8 +133,45 @@ class Stretches:
         return self.chunk.data[self.first[k] : self.first[k] + self.windows[k] + self.length - 1]
 
 
-def stretch_answers(asked: Asked) -> pd.DataFrame:
-    """Per entry: found twice, to be compared, and whether this chunk is the one to send it."""
+class HotWindows:
+    """Windows of the stretches `entries`: places, their distinct hashes in order with a check and times, `which` of each place."""
+
+    def __init__(self, s: Stretches, entries: np.ndarray):
+        first, windows = s.first[entries], s.windows[entries]
+        self.at = np.repeat(first - (np.cumsum(windows) - windows), windows) + np.arange(windows.sum())
+        data = np.frombuffer(s.chunk.data, np.uint8)
+        h, check = np.empty(len(self.at), np.uint64), np.empty(len(self.at), np.uint32)
+        for a in range(0, len(data) if len(self.at) else 0, SLICE):
+            here = np.flatnonzero((self.at >= a) & (self.at < a + SLICE))
+            if len(here):
+                one, two = window_hashes(data[a : a + SLICE + s.length - 1], s.length)
+                h[here], check[here] = one[self.at[here] - a], two[self.at[here] - a] >> np.uint64(32)
+        order = np.lexsort((check, h))
+        starts = np.ones(len(order), bool)
+        starts[1:] = (h[order][1:] != h[order][:-1]) | (check[order][1:] != check[order][:-1])
+        self.hashes, self.check = h[order[starts]], check[order[starts]]
+        self.which = np.empty(len(order), np.int64)
+        self.which[order] = np.cumsum(starts) - 1
+        self.times = np.minimum(np.bincount(self.which, minlength=len(self.hashes)), 2).astype(np.uint8)
+
+
+def window_answers(asked: Asked) -> pd.DataFrame:
+    """Per entry: whether the window is told of twice."""
+    check, times = asked.more
+    order = np.lexsort((check, asked.which))
+    starts = np.ones(len(order), bool)
+    starts[1:] = (asked.which[order][1:] != asked.which[order][:-1]) | (check[order][1:] != check[order][:-1])
+    total = np.add.reduceat(times[order].astype(np.int64), np.flatnonzero(starts))
+    twice = np.empty(len(order), bool)
+    twice[order] = total[np.cumsum(starts) - 1] > 1
+    return asked.answers(twice)
+
+
+def stretch_answers(asked: Asked, most: int) -> pd.DataFrame:
+    """Per entry: found twice, and whether this chunk is the one to ask for its windows, or to send it.
+
+    Windows are asked for where the anchor has more than `most` different stretches.
+    """
     content, times, again = asked.more
     order = np.lexsort((content, asked.which))
     anchor, c = asked.which[order], content[order]
@@ -134,7 +186,8 @@ def stretch_answers(asked: Asked) -> pd.DataFrame:
     compare[order] = different[anchor] > 1
     compare |= again
     own[order] = starts
-    return asked.answers(twice, compare, own & compare)
+    hot = different[asked.which] > most
+    return asked.answers(twice, own & hot, own & compare & ~hot)
 
 
 def repeated_windows(contents: list[tuple[int, bytes]], length: int) -> np.ndarray:
@@ -162,7 +215,7 @@ def removed_bytes(documents: DataFrame, length: int = 400, id_col: str = "doc_id
 
     def send(number: int, chunk: Chunk, cells: pd.DataFrame) -> pd.DataFrame:
         s = Stretches(chunk, length)
-        twice, _, own = answered(cells) or [np.empty(0, bool)] * 3
+        twice, hot, own = answered(cells) or [np.empty(0, bool)] * 3
         picked = np.flatnonzero(own)
         anchors = s.anchor[s.entry[picked]]
         at = buckets_of(anchors, buckets)
@@ -171,7 +224,16 @@ def removed_bytes(documents: DataFrame, length: int = 400, id_col: str = "doc_id
             if e > b:
                 own_bytes = b"".join(s.bytes_of(j) for j in s.entry[picked[b:e]])
                 rows.append((k, number, pack(anchors[b:e], s.windows[s.entry[picked[b:e]]], picked[b:e], twice[picked[b:e]], np.frombuffer(own_bytes, np.uint8))))
-        return pd.DataFrame(rows, columns=["bucket", "chunk", "cell"])
+        sent = pd.DataFrame(rows, columns=["bucket", "chunk", "cell"])
+        if not hot.any():
+            return sent
+        # windows go to buckets of their own, numbered behind those of the anchors
+        windows = HotWindows(s, s.entry[hot])
+        asks = questions(number, windows.hashes, (windows.check, windows.times), buckets)
+        return pd.concat([sent, asks.assign(bucket=asks["bucket"] + buckets)], ignore_index=True)
+
+    def told(group: pd.DataFrame) -> pd.DataFrame:
+        return window_answers(Asked(group)) if group["bucket"].iloc[0] >= buckets else compare(group)
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("chunk")
@@ -208,7 +270,7 @@ def removed_bytes(documents: DataFrame, length: int = 400, id_col: str = "doc_id
 
     def remove(number: int, chunk: Chunk, cells: pd.DataFrame) -> pd.DataFrame:
         s = Stretches(chunk, length)
-        twice, _, _ = answered(cells[cells["step"] == 1]) or [np.empty(0, bool)] * 3
+        twice, hot, _ = answered(cells[cells["step"] == 1]) or [np.empty(0, bool)] * 3
         entry, begin, end = answered(cells[cells["step"] == 2]) or [np.empty(0, np.int64)] * 3
         edges = np.zeros(len(chunk.data) + 1, np.int32)
         full = np.flatnonzero(twice[s.which])
@@ -217,6 +279,11 @@ def removed_bytes(documents: DataFrame, length: int = 400, id_col: str = "doc_id
         at = s.first[s.entry[entry]]
         np.add.at(edges, at + begin, 1)
         np.add.at(edges, at + end + length - 1, -1)
+        if hot.any():
+            windows = HotWindows(s, s.entry[hot])
+            at = windows.at[answered(cells[cells["step"] == 3])[0][windows.which]]
+            np.add.at(edges, at, 1)
+            np.add.at(edges, at + length, -1)
         gone = np.cumsum(edges[:-1]) > 0
         data, out = np.frombuffer(chunk.data, np.uint8), []
         for i, b, e in zip(chunk.ids, chunk.starts[:-1], chunk.starts[1:], strict=True):
@@ -229,9 +296,9 @@ def removed_bytes(documents: DataFrame, length: int = 400, id_col: str = "doc_id
                 out.append((i, e - b, 0, 0, hashlib.sha256(chunk.data[b:e]).hexdigest(), []))
         return pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    known = materialize(answer(ask(chunks, ask_stretches), stretch_answers), "stretch-answers")
+    known = materialize(answer(ask(chunks, ask_stretches), lambda asked: stretch_answers(asked, group_bytes // length)), "stretch-answers")
     sent = settle(chunks, known, send, "bucket int, chunk bigint, cell binary")
-    compared = sent.groupBy("bucket").applyInPandas(compare, "chunk bigint, bucket int, cell binary")
-    answers = known.withColumn("step", F.lit(1)).unionByName(compared.withColumn("step", F.lit(2)))
+    compared = sent.groupBy("bucket").applyInPandas(told, "chunk bigint, bucket int, cell binary")
+    answers = known.withColumn("step", F.lit(1)).unionByName(compared.withColumn("step", F.when(F.col("bucket") < buckets, 2).otherwise(3)))
     out = settle(chunks, answers, remove, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<first:bigint,bytes:bigint>>")
     return out.withColumn("doc_id", real_key(F.col("doc_id")))

@@ -2,10 +2,12 @@ import hashlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from compare import connect, difference
 
 from lakeops.llm import line_dedup, lsh_forest, substring_dedup, suffix_dedup
+from lakeops.llm.chunks import Asked, questions, unpack
 from lakeops.llm.components import components
 from lakeops.llm.queries import ORACLES, QUERIES
 from lakeops.llm.suffix_arrays import common_prefixes, suffix_array
@@ -110,6 +112,24 @@ def test_bytes_of_odd_rows(frame, odd, words, n):
     assert suffix_dedup.removed_bytes(frame([]), length=n).count() == 0
 
 
+def test_surroundings_of_a_hot_passage(frame, words):
+    passage = " ".join(words(120, 90))
+    rows = [(k, " ".join(words(30, 91 + k)) + " " + passage + " " + " ".join(words(30 + k % 7, 500 + k % 55))) for k in range(60)] + [(60, "ab" * 900), (61, None)]
+    out = suffix_dedup.removed_bytes(frame(rows), length=128, group_bytes=2000)
+    got = sorted((order(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out.collect())
+    assert got == sorted(kept_bytes(rows, 128))
+
+
+def test_no_bytes_of_a_hot_anchor_are_sent():
+    ones = lambda n, kind: np.ones(n, kind)
+    anchors = np.sort(np.array([1 << 40] * 100 + [2 << 40] * 3, np.uint64))
+    told = pd.concat([questions(c, anchors, (np.arange(103, dtype=np.uint64) + np.uint64(1000 * c), ones(103, np.uint32), ~ones(103, bool)), 1) for c in (1, 2)])
+    answers = suffix_dedup.stretch_answers(Asked(told), 50)
+    for cell in answers["cell"]:
+        _, asks, sends = unpack(cell)
+        assert asks.tolist() == [True] * 100 + [False] * 3 and sends.tolist() == [False] * 100 + [True] * 3
+
+
 def test_suffix_query_by_brute_force(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = sorted(tuple(r) for r in QUERIES["op6_suffix_dedup"](spark, SF).collect())
