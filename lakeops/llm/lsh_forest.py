@@ -11,7 +11,8 @@ Classes that agree in the first `least_depth` values of a tree form a region of
    the members, all of them are compared. The members of fuller regions are joined exactly: two sets of the similarity
    share one of their rarest shingles (a prefix filter), so pairs that share one are compared, and no other can be a link.
 
-At similarity 0.85 two classes share a region in at least one of 20 trees but for a chance of 1e-5; no other pair is missed.
+The number of trees follows from the similarity (20 for 0.85, 29 for 0.80): two classes that have it share a region in at
+least one of them but for a chance of 1e-5; no other pair is missed.
 Nothing is dropped for size: groups of equal texts are aggregated before any shuffle of them, regions are split over tasks
 by range, and no task holds a region.
 
@@ -22,6 +23,7 @@ Rows with one id are one node; if their texts differ it has the sets of all of t
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +49,15 @@ class Shape:
         self.values = trees * least_depth
         self.by = factors(self.values, 200)
 
+    @classmethod
+    def reaching(cls, percent: int, miss: float = 1e-5, most_values: int = 200) -> Shape:
+        """With as many trees as two sets of the similarity need to share a region but for a chance of `miss`."""
+        for depth in range(5, 0, -1):
+            alone = 1 - (percent / 100) ** depth
+            trees = max(3, math.ceil(math.log(miss) / math.log(alone))) if alone > 0 else 3
+            if trees * depth <= most_values or depth == 1:
+                return cls(trees, depth, min(12, trees * depth))
+
 
 def shingle_sets(texts: list[bytes], shingle: int) -> list[np.ndarray]:
     """Sorted distinct hashes of the runs of `shingle` lower-case words of each text."""
@@ -173,7 +184,7 @@ def ordered_pair(a: str, b: str) -> list:
 
 def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", shape: Shape | None = None) -> DataFrame:
     """Per document: doc_id, n_shingles, class_id (least id with an equal set), component_id (least id reachable), kept."""
-    shape = shape or Shape()
+    shape = shape or Shape.reaching(percent)
     signed = materialize(signatures(documents, shingle, shape, id_col, text_col), "forest-signatures")
     filled = signed.where("n > 0").withColumn("node", F.xxhash64("set_key"))
     # one row per class: its node in the graph, its least document, and that document's signature

@@ -218,6 +218,13 @@ def test_links_in_full_regions(frame, words):
     assert got == want
 
 
+@pytest.mark.parametrize("percent", [50, 70, 80, 85, 95, 100])
+def test_trees_follow_the_similarity(percent):
+    shape = lsh_forest.Shape.reaching(percent)
+    assert (1 - (percent / 100) ** shape.least_depth) ** shape.trees <= 1e-5
+    assert shape.least_depth <= shape.deepest <= shape.values <= 200
+
+
 def test_groups_of_nothing(frame):
     assert lsh_forest.near_duplicates(frame([])).count() == 0
     assert lsh_forest.unique_documents(frame([(1, None), (2, ""), (None, " ")])).count() == 3
