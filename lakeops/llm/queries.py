@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import i_match, line_dedup, lsh_forest, mixing, ngram_model, piece_sampling, quality_rules, substring_dedup, suffix_dedup, token_files
+from lakeops.llm import byte_bpe_tree, i_match, line_dedup, lsh_forest, mixing, ngram_model, piece_sampling, quality_rules, substring_dedup, suffix_dedup, token_files
 from lakeops.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,3 +184,14 @@ def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Words kept of every document after windows of 13 words seen in an earlier document."""
     return substring_dedup.repeated_words(table(spark, sf, "documents"), window=13).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query()
+def op13_byte_bpe_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of every document by the ranks of a byte-level vocabulary, and the bytes they decode to."""
+    import public_tokenizers
+
+    by = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    rows = byte_bpe_tree.decode(byte_bpe_tree.encode(table(spark, sf, "documents"), *by), *by)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("raw", 256).alias("decoded_sha256"))
