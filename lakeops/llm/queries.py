@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import byte_bpe_tree, i_match, line_dedup, lsh_forest, mixing, ngram_model, piece_sampling, quality_rules, spelling_variants, substring_dedup, suffix_dedup, token_files
+from lakeops.llm import byte_bpe_tree, conversation_repair, i_match, line_dedup, lsh_forest, mixing, ngram_model, piece_sampling, quality_rules, spelling_variants, substring_dedup, suffix_dedup, token_files
 from lakeops.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,6 +186,12 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup.repeated_words(table(spark, sf, "documents"), window=13).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query()
+def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Faults and cheapest repairs of all conversations after damage."""
+    return conversation_repair.repairs(conversation_repair.damaged(table(spark, sf, "conversations")), there=F.col("there"))
+
+
 @query()
 def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
     """Words of all documents, their near words, and the frequent forms that rare ones lead to."""
