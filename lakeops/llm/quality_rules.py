@@ -172,7 +172,7 @@ def learn(rows: DataFrame, bins: int = 32, max_rules: int = 8, max_conditions: i
         rule: Rule = ()
         while len(rule) < max_conditions:
             cells = gained(rule, ~F.col("prunes"))
-            best, most = None, 1e-9
+            rivals, most = [], 1e-9  # conditions of the greatest gain, and how far the next cut is
             for m, by_bin in sorted(cells.items()):
                 if not rule and m in barred:
                     continue
@@ -183,11 +183,16 @@ def learn(rows: DataFrame, bins: int = 32, max_rules: int = 8, max_conditions: i
                 for b, t in enumerate(cuts[m]):
                     p_low, n_low = p_low + by_bin.get(b, [0, 0])[0], n_low + by_bin.get(b, [0, 0])[1]
                     for above, p, n in ((False, p_low, n_low), (True, p0 - p_low, n0 - n_low)):
-                        if p >= min_hits and (gain := p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0)))) > most:
-                            best, most = Condition(m, above, float(t)), gain
-            if best is None:
+                        gain = p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0))) if p >= min_hits else 0.0
+                        if gain > most + 1e-9:
+                            rivals, most = [], gain
+                        if gain > most - 1e-9:
+                            rivals.append((Condition(m, above, float(t)), (cuts[m][min(b + 1, len(cuts[m]) - 1)] - t) / ((cuts[m][-1] - cuts[m][0]) or 1)))
+            if not rivals:
                 break
-            rule = (*rule, best)
+            # of equal ones that which holds best on the rows kept for pruning, then the one with the widest gap behind it
+            held = hits([(*rule, c) for c, _ in rivals], F.col("prunes")) if len(rivals) > 1 else [(0, 0)]
+            rule = (*rule, max(zip(held, rivals, strict=True), key=lambda x: (share(*x[0]), x[0][0], x[1][1]))[1][0])
         if not rule:
             break
         shorter = [rule[:k] for k in range(1, len(rule) + 1)]
