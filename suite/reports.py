@@ -47,58 +47,45 @@ def acquisition_windows(spark: SparkSession, sf: str) -> DataFrame:
 
 TERMS = Terms(date(1998, 1, 1), Span(date(2000, 1, 3), date(2000, 4, 2)), Span(date(2000, 1, 3), date(2001, 1, 2)))
 
-EMPLOYEES_SQL = """
-    eligible AS (
-        SELECT s_suppkey::VARCHAR AS employee_id, s_name AS employee_full_name,
-               substr('FVCB', (s_nationkey % 4)::INT + 1, 1) || s_nationkey::VARCHAR AS branch_code,
-               'Branch ' || s_nationkey::VARCHAR AS branch_name, s_suppkey::VARCHAR AS red_phone,
-               unnest([DATE '2000-01-01', DATE '2000-02-01']) AS file_date
-        FROM supplier),
-    info AS (
-        SELECT s_suppkey::VARCHAR AS employeeid, DATE '1980-01-01' + (s_suppkey * 37 % 7000)::INT AS dateofjoining,
-               DATE '2000-12-31' AS effectivedate, CASE WHEN s_suppkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
-               DATE '1960-01-01' + (s_suppkey * 11 % 9000)::INT AS dateofbirth, '09' || s_suppkey::VARCHAR AS phonenumber,
-               n_name AS joblocationstate, n_name || ' township' AS joblocationtownship,
-               CASE WHEN s_suppkey % 5 = 0 THEN 0 ELSE 1 END AS iscurrent
-        FROM supplier JOIN nation ON s_nationkey = n_nationkey),
-    reg AS (
-        SELECT '0' || l_suppkey::VARCHAR AS org_short_code, l_partkey AS cust_id, l_shipdate::DATE AS a,
-               CASE WHEN l_returnflag = 'R' THEN 'Closed' WHEN l_tax = 0 THEN NULL ELSE 'Active' END AS acc_status
-        FROM lineitem),
-    emp AS (
-        SELECT employee_id, employee_full_name, '0' || red_phone AS agentid, phonenumber,
-               strftime(dateofbirth, '%Y-%m-%d') AS dateofbirth, gender,
-               strftime(dateofjoining, '%Y-%m-%d') AS dateofjoining,
-               datesub('year', dateofjoining, effectivedate)::INT AS serviceyears, branch_code, branch_name,
-               joblocationstate, joblocationtownship,
-               CASE left(branch_code, 1) WHEN 'F' THEN 'FUNCTION' WHEN 'V' THEN 'BUSINESS UNIT'
-                    WHEN 'C' THEN 'PAY CENTER' ELSE 'BRANCH' END AS center_type
-        FROM eligible LEFT JOIN (SELECT * FROM info WHERE iscurrent = 1) i ON employee_id = employeeid
-        WHERE file_date IN (SELECT max(file_date) FROM eligible))
+#: One row per person, from the supplier alone: the later of the two lists, and what is known of four out of five.
+STAFF_SQL = """
+    staff AS (
+        SELECT s_suppkey::VARCHAR AS employee_id, s_name AS employee_full_name, '0' || s_suppkey::VARCHAR AS agentid, s_suppkey % 5 <> 0 AS known,
+               ['F', 'V', 'C', 'B'][(s_nationkey % 4)::INT + 1] || s_nationkey::VARCHAR AS branch_code, 'Branch ' || s_nationkey::VARCHAR AS branch_name,
+               ['FUNCTION', 'BUSINESS UNIT', 'PAY CENTER', 'BRANCH'][(s_nationkey % 4)::INT + 1] AS center_type,
+               CASE WHEN known THEN '09' || s_suppkey::VARCHAR END AS phonenumber, CASE WHEN known THEN ['F', 'M'][(s_suppkey % 2)::INT + 1] END AS gender,
+               CASE WHEN known THEN strftime(DATE '1960-01-01' + (s_suppkey * 11 % 9000)::INT, '%Y-%m-%d') END AS dateofbirth,
+               CASE WHEN known THEN strftime(DATE '1980-01-01' + (s_suppkey * 37 % 7000)::INT, '%Y-%m-%d') END AS dateofjoining,
+               CASE WHEN known THEN datesub('year', DATE '1980-01-01' + (s_suppkey * 37 % 7000)::INT, DATE '2000-12-31')::INT END AS serviceyears,
+               CASE WHEN known THEN n_name END AS joblocationstate, CASE WHEN known THEN n_name || ' township' END AS joblocationtownship
+        FROM supplier JOIN nation ON s_nationkey = n_nationkey)
 """
 
-COUNTS_SQL = """
-    cal AS (
-        SELECT e, org_short_code,
-               count(DISTINCT CASE WHEN a = e THEN cust_id END) AS cal_d_1,
-               count(DISTINCT CASE WHEN a BETWEEN date_trunc('quarter', e) AND e THEN cust_id END) AS cal_qtd,
-               count(DISTINCT CASE WHEN a BETWEEN e - dayofweek(e)::INT AND e THEN cust_id END) AS cal_wtd,
-               count(DISTINCT CASE WHEN month(a) = month(e) AND year(a) = 2000 THEN cust_id END) AS cal_mtd,
-               count(DISTINCT CASE WHEN a BETWEEN DATE '1998-01-01' AND e THEN cust_id END) AS btd,
-               count(DISTINCT CASE WHEN a BETWEEN DATE '2000-01-03' AND DATE '2001-01-02' THEN cust_id END) AS tc_ytd
-        FROM reg, days WHERE acc_status <> 'Closed' AND a BETWEEN DATE '1998-01-01' AND e GROUP BY ALL),
-    tc AS (
-        SELECT e, org_short_code,
-               count(DISTINCT CASE WHEN a = e THEN cust_id END) AS tc_d_1,
-               count(DISTINCT CASE WHEN a BETWEEN date_trunc('quarter', e) AND e THEN cust_id END) AS tc_qtd,
-               count(DISTINCT CASE WHEN a BETWEEN e - dayofweek(e)::INT AND e THEN cust_id END) AS tc_wtd,
-               count(DISTINCT CASE WHEN month(a) = month(e) AND year(a) = 2000 THEN cust_id END) AS tc_mtd
-        FROM reg, days WHERE acc_status <> 'Closed' AND a BETWEEN DATE '2000-01-03' AND DATE '2000-04-02' GROUP BY ALL),
+#: Every period of every day as a row of its bounds, within what a scope covers; customers are counted once for all of them.
+WINDOWS_SQL = """
+    spans AS (
+        SELECT e, scope.name || '_' || period.name AS span, greatest(period.first, scope.first) AS first, least(period.last, scope.last) AS last
+        FROM (SELECT e, unnest([
+                {'name': 'd_1', 'first': e, 'last': e},
+                {'name': 'wtd', 'first': e - dayofweek(e)::INT, 'last': e},
+                {'name': 'mtd', 'first': make_date(2000, month(e), 1), 'last': last_day(make_date(2000, month(e), 1))},
+                {'name': 'qtd', 'first': date_trunc('quarter', e)::DATE, 'last': e},
+                {'name': 'year', 'first': DATE '2000-01-03', 'last': DATE '2001-01-02'},
+                {'name': 'all', 'first': DATE '1900-01-01', 'last': DATE '2100-01-01'}]) AS period FROM days)
+        JOIN (SELECT e AS day_of, unnest([
+                {'name': 'cal', 'first': DATE '1998-01-01', 'last': e},
+                {'name': 'tc', 'first': DATE '2000-01-03', 'last': DATE '2000-04-02'}]) AS scope FROM days) ON e = day_of),
+    seen AS (SELECT DISTINCT '0' || l_suppkey::VARCHAR AS agent, l_partkey AS customer, l_shipdate::DATE AS day FROM lineitem WHERE l_returnflag <> 'R' AND l_tax <> 0),
+    counted AS (SELECT e, agent, span, count(DISTINCT customer) AS n FROM seen JOIN spans ON day BETWEEN first AND last GROUP BY ALL),
+    by_span AS (SELECT e, agent, map_from_entries(list((span, n))) AS n FROM counted GROUP BY ALL),
     report AS (
-        SELECT days.e, emp.*, tc_d_1, tc_wtd, tc_mtd, tc_qtd, btd, cal_d_1, cal_wtd, cal_mtd, cal_qtd, tc_ytd
-        FROM emp CROSS JOIN days
-        LEFT JOIN cal ON agentid = cal.org_short_code AND cal.e = days.e
-        LEFT JOIN tc ON agentid = tc.org_short_code AND tc.e = days.e)
+        SELECT days.e, staff.* EXCLUDE (known),
+               CASE WHEN n['tc_all'] > 0 THEN coalesce(n['tc_d_1'], 0) END AS tc_d_1, CASE WHEN n['tc_all'] > 0 THEN coalesce(n['tc_wtd'], 0) END AS tc_wtd,
+               CASE WHEN n['tc_all'] > 0 THEN coalesce(n['tc_mtd'], 0) END AS tc_mtd, CASE WHEN n['tc_all'] > 0 THEN coalesce(n['tc_qtd'], 0) END AS tc_qtd,
+               n['cal_all'] AS btd, CASE WHEN n['cal_all'] > 0 THEN coalesce(n['cal_year'], 0) END AS tc_ytd,
+               CASE WHEN n['cal_all'] > 0 THEN coalesce(n['cal_d_1'], 0) END AS cal_d_1, CASE WHEN n['cal_all'] > 0 THEN coalesce(n['cal_wtd'], 0) END AS cal_wtd,
+               CASE WHEN n['cal_all'] > 0 THEN coalesce(n['cal_mtd'], 0) END AS cal_mtd, CASE WHEN n['cal_all'] > 0 THEN coalesce(n['cal_qtd'], 0) END AS cal_qtd
+        FROM staff CROSS JOIN days LEFT JOIN by_span ON agent = agentid AND by_span.e = days.e)
 """
 
 
@@ -135,7 +122,7 @@ def employees(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataF
 
 
 @query(
-    f"WITH days AS (SELECT DATE '2000-03-15' AS e), {EMPLOYEES_SQL}, {COUNTS_SQL} SELECT * EXCLUDE (e) FROM report"
+    f"WITH days AS (SELECT DATE '2000-03-15' AS e), {STAFF_SQL}, {WINDOWS_SQL} SELECT * EXCLUDE (e) FROM report"
 )
 def acquisition_report_day(spark: SparkSession, sf: str) -> DataFrame:
     return plain(acquisition_report(*employees(spark, sf), date(2000, 3, 16), date(2000, 3, 16), TERMS))
@@ -144,7 +131,7 @@ def acquisition_report_day(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""
     WITH days AS (SELECT unnest(generate_series(DATE '2000-03-28', DATE '2000-04-03', INTERVAL 1 DAY))::DATE AS e),
-    {EMPLOYEES_SQL}, {COUNTS_SQL}
+    {STAFF_SQL}, {WINDOWS_SQL}
     SELECT * EXCLUDE (e), {day_text('e')} AS data_date FROM report
     """
 )
