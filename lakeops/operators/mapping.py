@@ -42,8 +42,9 @@ def find_source(df: DataFrame, field: Field) -> str | None:
     return next((present[s.lower()] for s in field.spellings if s.lower() in present), None)
 
 
-def map_columns(df: DataFrame, fields: Sequence[Field], missing: str = "error") -> DataFrame:
-    """Keep, rename and type the listed columns. An absent source is an error, or NULL with `missing="null"`."""
+def map_columns(df: DataFrame, fields: Sequence[Field], missing: str = "error", also: Sequence[Column] = ()) -> DataFrame:
+    """Keep, rename and type the listed columns. An absent source is an error, or NULL with `missing="null"`. Columns
+    `also` are computed from the sources and put behind."""
     out = []
     for f in fields:
         source = find_source(df, f)
@@ -51,7 +52,7 @@ def map_columns(df: DataFrame, fields: Sequence[Field], missing: str = "error")
             raise ValueError(f"no column for {f.target}: tried {f.spellings}")
         c = F.lit(None).cast(f.type) if source is None else parsed(quoted(source), f.type, f.fmt)
         out.append(c.alias(f.target))
-    return df.select(out)
+    return df.select(*out, *also)
 
 
 def unfit(df: DataFrame, field: Field) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.text import ends_with_stamp, has_stamp, is_stamp, quoted
 from lakeops.operators.lines import PLACE, numbered, split_edges, with_next
+from lakeops.operators.records import LIMIT, records
 
 
 @dataclass(frozen=True)
@@ -160,28 +161,15 @@ def pair_text(pairs: DataFrame, cols: LogColumns = LOG) -> DataFrame:
     return pairs.select(*PLACE, first.alias("first_line"), second.alias("second_line"))
 
 
-def join_fragments(lines: DataFrame, value: str = "value") -> DataFrame:
+def join_fragments(lines: DataFrame, value: str = "value", limit: int = LIMIT) -> DataFrame:
     """Logical records: lines are joined, by a space, up to one that ends with a stamp. Blank lines are ignored.
 
-    Columns: file_path, record, complete. What follows a file's last stamp comes out with complete = false. Records are
-    put together per split, in one shuffle; only a split's first record and unfinished last one, two rows per split,
-    are then joined across splits.
+    Columns: file_path, record, complete, piece. What follows a file's last stamp comes out with complete = false, and so
+    do the pieces, numbered in order, of a record longer than `limit` characters. Lines are joined where they are read;
+    only a split's first record and unfinished last one are joined across splits, so a file without any stamp takes no
+    more memory than others.
     """
     text = F.trim(quoted(value))
-    rows = numbered(lines.where(text != "").select(*PLACE, text.alias("_text")))
-    rows = rows.withColumn("_end", ends_with_stamp(F.col("_text")).cast("int"))
-    groups = records_in(rows, PLACE, ["_n"], "_text")
-    inner = groups.where((F.col("_g") > 0) & (F.col("_end") == 1)).select("file_path", F.col("_text").alias("record"), "_end")
-    rims = groups.where((F.col("_g") == 0) | (F.col("_end") == 0))
-    across = records_in(rims.withColumnRenamed("_g", "_part"), ["file_path"], ["block", "_part"], "_text")
-    records = inner.unionByName(across.select("file_path", F.col("_text").alias("record"), "_end"))
-    return records.select("file_path", "record", (F.col("_end") == 1).alias("complete"))
-
-
-def records_in(rows: DataFrame, place: list[str], order: list[str], text: str, sep: str = " ") -> DataFrame:
-    """Number the records in a place by the ends before them (`_g`) and join each one's texts in order."""
-    before = W.partitionBy(*place).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    numbered_rows = rows.withColumn("_g", F.coalesce(F.sum("_end").over(before), F.lit(0)))
-    parts = F.array_sort(F.collect_list(F.struct(*order, F.col(text).alias("t"))))
-    joined = F.array_join(F.transform(parts, lambda p: p["t"]), sep).alias(text)
-    return numbered_rows.groupBy(*place, "_g").agg(joined, F.max("_end").alias("_end"))
+    open_ = ~ends_with_stamp(text)
+    told = lines.where(text != "").select(*PLACE, F.lit("").alias("file_name"), text.alias("text"), open_.alias("open_out"), open_.alias("open_in"))
+    return records(told, None, " ", limit).select("file_path", F.col("text").alias("record"), "complete", "piece")

@@ -13,11 +13,11 @@ from lakeops.functions.names import distinct_names, rename_all, snake, squeeze,
 from lakeops.functions.text import each_string, one_line
 from lakeops.operators.mapping import Field, add_missing, check_columns, find_source, map_columns, unfit
 from lakeops.operators.repair import LOG, clean_log
-from lakeops.session import materialize
+from lakeops.session import materialize, path_exists
 from lakeops.sinks.tables import KEYS, overwrite, replace_days
-from lakeops.sources.delimited import by_heading, line_records, quoted_records
+from lakeops.sources.delimited import Named, by_heading, line_records, quoted_records
 from lakeops.sources.files import read_excel, read_lines, read_raw_lines
-from lakeops.sources.folder import Naming, latest_per_day, list_files, paths_of, stamp_keys, undated
+from lakeops.sources.folder import Naming, latest_per_day, list_files, paths_of, stamp_keys
 
 
 @dataclass(frozen=True)
@@ -26,63 +26,114 @@ class Feed:
     type them; `after` is applied last. `line_end` is what ends a line, None for any kind."""
 
     naming: Naming
-    rows: Callable[[DataFrame, tuple[Field, ...]], DataFrame] | None
+    rows: Callable[[DataFrame, tuple[Field, ...]], DataFrame | Named] | None
     fields: tuple[Field, ...]
     after: Callable[[DataFrame], DataFrame] = field(default=lambda df: df)
     line_end: str | None = "\n"
     read: Callable[[SparkSession, list[str]], DataFrame] | None = None
 
 
-def read_rows(spark: SparkSession, feed: Feed, paths: list[str]) -> DataFrame:
-    """Files of a feed as untyped rows with file_name."""
+def read_rows(spark: SparkSession, feed: Feed, paths: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """Files of a feed as untyped rows with file_name, and what is known of their headings, if the feed has any."""
     if feed.rows is None:
-        return feed.read(spark, paths)
-    return feed.rows((read_lines if feed.line_end is None else read_raw_lines)(spark, paths), feed.fields)
+        return feed.read(spark, paths), None
+    rows = feed.rows((read_lines if feed.line_end is None else read_raw_lines)(spark, paths), feed.fields)
+    return (rows.rows, rows.heads) if isinstance(rows, Named) else (rows, None)
 
 
 def process(spark: SparkSession, feed: Feed, paths: list[str]) -> DataFrame:
     """Files of a feed as typed rows with file_name and day keys."""
-    return shape(feed, read_rows(spark, feed, paths))
+    return shape(feed, read_rows(spark, feed, paths)[0])
 
 
-def shape(feed: Feed, rows: DataFrame) -> DataFrame:
+def shape(feed: Feed, rows: DataFrame, also: Sequence[Column] = ()) -> DataFrame:
     keyed = stamp_keys(rows, feed.naming)
     type = "int" if feed.naming.as_int else "string"
     extra = [Field("file_name", "file_name"), *[Field(k, k, type) for k in KEYS]]
-    return feed.after(map_columns(keyed, [*feed.fields, *extra], missing="null"))
-
-
-def unparsed_cells(feed: Feed, rows: DataFrame) -> DataFrame:
-    """(file_name, column, n): cells of a file whose text does not fit the column's type, where there are any."""
-    typed = [f for f in feed.fields if f.type != "string" and find_source(rows, f) is not None]
-    if not typed:
-        return rows.select("file_name", F.lit("").alias("column"), F.lit(0).cast("long").alias("n")).limit(0)
-    counts = rows.groupBy("file_name").agg(*[F.count_if(unfit(rows, f)).alias(f.target) for f in typed])
-    cells = F.explode(F.array(*[F.struct(F.lit(f.target).alias("column"), F.col(f.target).alias("n")) for f in typed])).alias("cell")
-    return counts.select("file_name", cells).select("file_name", "cell.column", "cell.n").where("n > 0")
+    return feed.after(map_columns(keyed, [*feed.fields, *extra], missing="null", also=also))
 
 
 def aside(table: str, what: str) -> str:
-    """Where an ingest into `table` tells of `undated` files and `unparsed` cells."""
+    """Where an ingest into `table` tells of its `files` (the ledger), of files that are `undated` or `headless`, and of
+    `unparsed` cells."""
     return f"{table.rstrip('/')}_aside/{what}"
 
 
+LEDGER = "file_path string, file_name string, day_key string, state string, n_rows long, load string"
+UNPARSED = "file_name string, column string, n long"
+
+
+def held_days(spark: SparkSession, table: str, load: str) -> DataFrame:
+    """(day_key, _held): the file that a day of the table came from, by the ledger of all loads but this one."""
+    if not path_exists(spark, aside(table, "files")):
+        return spark.createDataFrame([], "day_key string, _held string")
+    ledger = spark.read.schema(LEDGER).parquet(aside(table, "files"))
+    return ledger.where((F.col("state") == "taken") & (F.col("load") != load)).groupBy("day_key").agg(F.max("file_name").alias("_held"))
+
+
+def load_files(spark: SparkSession, feed: Feed, files: DataFrame, table: str, load: str, held: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Put the days of some files (file_path, file_name, day_key) into the table, and tell what became of each in its ledger.
+
+    Of several files for a day the greatest name counts, and none that is less than the one held. Text is read at most twice:
+    for the headings and for the rows. How many rows each file gave, and how many of its cells did not fit their types,
+    is counted by the write itself. The ledger of a load is written last, so one that broke off is done again as a whole.
+    Returns what is to be told aside: files `undated` and `headless`, cells `unparsed`.
+    """
+    best = latest_per_day(files)
+    if held is not None:
+        best = best.join(held, "day_key", "left").where(F.col("_held").isNull() | (F.col("file_name") >= F.col("_held"))).drop("_held")
+    best = materialize(best, "winners")
+    paths = sorted(paths_of(best))
+    n_rows: dict[int, int] = {}
+    unparsed: list[tuple] = []
+    heads = None
+    if paths:
+        rows, heads = read_rows(spark, feed, paths)
+        typed = [f for f in feed.fields if f.type != "string" and find_source(rows, f) is not None]
+        bits = [F.when(unfit(rows, f), F.lit(1 << k)).otherwise(0) for k, f in enumerate(typed)]
+        unfit_bits = sum(bits, F.lit(0).cast("long")).alias("_unfit")
+        # a day has one file here; a histogram with a bin for each day counts exactly
+        day, bins = F.col("day_key").cast("int"), F.lit(len(paths) + 1)
+        per_day = {"rows": F.histogram_numeric(day, bins)}
+        per_day |= {f"unfit_{k}": F.histogram_numeric(F.when(F.col("_unfit").bitwiseAND(1 << k) != 0, day), bins) for k in range(len(typed))}
+        seen = replace_days(shape(feed, rows, also=[unfit_bits]), table, measures=per_day, aside=("_unfit",))
+        told = {name: {int(b["x"]): int(b["y"]) for b in found or []} for name, found in seen.items()}
+        n_rows = told["rows"]
+        names = {int(r["day_key"]): r["file_name"] for r in best.select("day_key", "file_name").collect()}
+        unparsed = [(names[d], f.target, n) for k, f in enumerate(typed) for d, n in told[f"unfit_{k}"].items()]
+    counts = spark.createDataFrame([(str(d), n) for d, n in n_rows.items()], "day_key string, n_rows long")
+    won = best.select("file_path", "file_name", F.lit(True).alias("_won"))
+    if heads is not None:  # told apart by name, which is one file's here; the path may be spelt otherwise
+        headed = heads.select("file_name", (F.col("n_named") > 0).alias("_headed"))
+        won = won.join(headed, "file_name", "left").withColumn("_headed", F.coalesce("_headed", F.lit(False)))
+    else:
+        won = won.withColumn("_headed", F.lit(True))
+    state = (
+        F.when(F.col("day_key").isNull(), "undated").when(F.col("_won").isNull(), "superseded").when(F.col("_headed"), "taken").otherwise("headless")
+    )
+    ledger = files.join(won, ["file_path", "file_name"], "left").withColumn("state", state).join(counts, "day_key", "left")
+    rows_of = F.when(F.col("state") == "taken", F.coalesce("n_rows", F.lit(0))).alias("n_rows")
+    ledger = ledger.select("file_path", "file_name", F.col("day_key").cast("string").alias("day_key"), "state", rows_of, F.lit(load).alias("load"))
+    ledger.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load").parquet(aside(table, "files"))
+    told_of = spark.read.schema(LEDGER).parquet(aside(table, "files")).where(F.col("load") == load)
+    left_out = {what: told_of.where(F.col("state") == what).select("file_path", "file_name") for what in ("undated", "headless")}
+    return {**left_out, "unparsed": spark.createDataFrame(unparsed, UNPARSED)}
+
+
 def ingest(spark: SparkSession, feed: Feed, source: str, table: str) -> None:
     """All files below `source` into the table, one job; each file's day is replaced as a whole.
 
-    Files whose names hold no valid date, and counts of cells that did not fit their types, are told in two tables beside it.
+    Files whose names hold no valid date, files without a heading, and counts of cells that did not fit their types are told
+    in tables beside it (see `aside`).
     """
     files = materialize(list_files(spark, source, feed.naming), "files")
-    overwrite(undated(files), aside(table, "undated"))
-    paths = paths_of(latest_per_day(files))
-    if paths:
-        rows = read_rows(spark, feed, paths)
-        overwrite(unparsed_cells(feed, rows), aside(table, "unparsed"))
-        replace_days(shape(feed, rows), table)
+    for what, rows in load_files(spark, feed, files, table, "all").items():
+        overwrite(rows, aside(table, what))
 
 
-def _csv(lines: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
-    return by_heading(line_records(lines), fields)
+def _csv(lines: DataFrame, fields: tuple[Field, ...]) -> Named:
+    rows, heads = line_records(lines)
+    return by_heading(rows, fields, heads)
 
 
 def _fields(headings: Sequence[str], special: dict[str, Field] | None = None) -> tuple[Field, ...]:
@@ -269,9 +320,10 @@ def centers(brand: str) -> Feed:
         squeezed = F.lower(F.regexp_replace(F.trim(F.regexp_replace(name, "[\r\n]", "")), " ", ""))
         return F.when((place == 0) & (squeezed == ""), "center_code").otherwise(squeezed)
 
-    def rows(lines: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
-        cleaned = each_string(by_heading(quoted_records(lines), fields[1:], rule=heading), one_line)
-        return cleaned.withColumn("datadate", F.regexp_extract("file_name", r"(\d{4}-\d{2}-\d{2})", 1))
+    def rows(lines: DataFrame, fields: tuple[Field, ...]) -> Named:
+        named = by_heading(quoted_records(lines), fields[1:], rule=heading)
+        cleaned = each_string(named.rows, one_line)
+        return Named(cleaned.withColumn("datadate", F.regexp_extract("file_name", r"(\d{4}-\d{2}-\d{2})", 1)), named.heads)
 
     naming = Naming(pattern=r"(\d{4})-(\d{2})-(\d{2})\.[^.]*$", fmt="yyyyMMdd", shift=0, as_int=True, glob="*.csv")
     return Feed(naming, rows, (Field("datadate", "datadate"), *_fields(columns)))

@@ -25,7 +25,11 @@ def build_session(master: str | None = None, app: str = "lakeops", **extra: str)
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        # splits that don't follow the number of cores while executors come and go: lines are numbered per split
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    return spark
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -56,3 +60,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.text import quoted
@@ -48,12 +48,25 @@ def write_days(
 
 
 def replace_days(
-    df: DataFrame, path: str, keys: tuple[str, ...] = KEYS, files_per_day: int | None = None
-) -> None:
-    """Write the days present in `df`, replacing those days only. A day arrives whole or not at all."""
-    out = dealt(df, keys, files_per_day)
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    df: DataFrame,
+    path: str,
+    keys: tuple[str, ...] = KEYS,
+    files_per_day: int | None = None,
+    measures: dict[str, Column] | None = None,
+    aside: tuple[str, ...] = (),
+) -> dict:
+    """Write the days present in `df`, replacing those days only. A day arrives whole or not at all.
+
+    `measures` are aggregates told of the rows as they are written, without another pass over them; the columns `aside`
+    are there for them and not written. They are taken behind the last shuffle, where a task that runs again after a lost
+    executor doesn't count twice.
+    """
+    out, seen = dealt(df, keys, files_per_day), Observation()
+    if measures:
+        out = out.observe(seen, *[c.alias(name) for name, c in measures.items()])
+    writer = out.drop(*aside).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*keys).option("compression", "snappy").parquet(path)
+    return seen.get if measures else {}
 
 
 def write_buckets(df: DataFrame, path: str, table: str, keys: tuple[str, ...], buckets: int) -> None:

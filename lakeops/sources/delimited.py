@@ -2,23 +2,26 @@
 
 A quote opens a cell only at the cell's start; elsewhere it is text. So whether a line ends inside a quoted cell depends on
 whether it began inside one, and each line is a map of two states to two: it may keep the state, set it, or exchange it.
-These maps are composed by running sums over the lines of a split, then over the splits of a file, one row per split.
-Files of all sizes are read the same way, in splits. Line ends inside quoted cells stay as they are.
+`operators.records` composes these maps and puts records together where their lines are read; only lines with a quote are
+looked at by patterns, and only the rims of splits are moved. Files of all sizes are read the same way, in splits. Line ends
+inside quoted cells stay as they are. A file's heading is its first record that is not blank.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeops.operators.lines import PLACE, numbered
 from lakeops.operators.mapping import Field
-from lakeops.operators.repair import records_in
+from lakeops.operators.records import records, split_states
 from lakeops.session import materialize
 
+#: Records of delimited text are never cut, however long.
+WHOLE = 2_000_000_000
 IN_QUOTES = '[^"]*+(?:""[^"]*+)*+'
 
 
@@ -35,45 +38,25 @@ def ends_inside(text: Column, sep: str) -> tuple[Column, Column]:
     return left_open(F.concat(F.lit(sep), text)), ~text.rlike(f'^{IN_QUOTES}"') | left_open(closed)
 
 
-def composed(before: Column, swaps: Column) -> Column:
-    """State after the last line that set it (`before`: that state and the exchanges up to there) and the exchanges since."""
-    return (before["state"] + swaps - before["swaps"]) % 2
-
-
 def quoted_records(lines: DataFrame, sep: str = ",", value: str = "value") -> DataFrame:
-    """Records of delimited text: file_path, file_name, record, is_first. The text is scanned twice, once for the
-    states at the edges of splits. A quote that is never closed makes the rest of its file one record, as it does for any
-    reader of such text."""
+    """Records of delimited text: file_path, file_name, record, is_first. The text is scanned three times: for the states
+    at the edges of splits, for the records there, and for all others. A quote that is never closed makes the rest of
+    its file one record, as it does for any reader of such text."""
     text = F.coalesce(F.col(value), F.lit(""))
-    outside, inside = ends_inside(text, sep)
-    rows = numbered(lines.select(*PLACE, "file_name", text.alias("_text"), outside.cast("int").alias("_out"), inside.cast("int").alias("_in")))
-    upto = W.partitionBy(*PLACE).orderBy("_n").rowsBetween(W.unboundedPreceding, 0)
-    rows = rows.withColumn("_swaps", F.sum((F.col("_out") > F.col("_in")).cast("int")).over(upto))
-    sets = F.when(F.col("_out") == F.col("_in"), F.struct(F.col("_out").alias("state"), F.col("_swaps").alias("swaps")))
-    rows = rows.withColumn("_set", F.last(sets, ignorenulls=True).over(upto))
-
-    splits = rows.groupBy(*PLACE).agg(F.max_by(F.struct(F.col("_set").alias("set"), F.col("_swaps").alias("swaps")), "_n").alias("_end"))
-    by_file = W.partitionBy("file_path").orderBy("block")
-    so_far = by_file.rowsBetween(W.unboundedPreceding, 0)
-    sets_split = F.col("_end.set").isNotNull()
-    splits = splits.withColumn("_all", F.sum(F.when(sets_split, 0).otherwise(F.col("_end.swaps"))).over(so_far))
-    set_by = F.when(sets_split, F.struct(composed(F.col("_end.set"), F.col("_end.swaps")).alias("state"), F.col("_all").alias("swaps")))
-    splits = splits.withColumn("_set_by", F.last(set_by, ignorenulls=True).over(so_far))
-    after = F.when(F.col("_set_by").isNull(), F.col("_all") % 2).otherwise(composed(F.col("_set_by"), F.col("_all")))
-    splits = splits.withColumn("_after", after).select(*PLACE, F.lag("_after", 1, 0).over(by_file).alias("_enters"))
-
-    state = F.when(F.col("_set").isNull(), (F.col("_enters") + F.col("_swaps")) % 2).otherwise(composed(F.col("_set"), F.col("_swaps")))
-    marked = rows.join(splits, PLACE).withColumn("_end", (state == 0).cast("int"))
-    groups = records_in(marked, [*PLACE, "file_name"], ["_n"], "_text", "\n")
-    inner = groups.where((F.col("_g") > 0) & (F.col("_end") == 1))
-    rims = groups.where((F.col("_g") == 0) | (F.col("_end") == 0))
-    across = records_in(rims.withColumnRenamed("_g", "_part"), ["file_path", "file_name"], ["block", "_part"], "_text", "\n")
-    names = ["file_path", "file_name", F.regexp_replace("_text", "\r\\z", "").alias("record")]
-    return inner.select(*names, F.lit(False).alias("is_first")).unionByName(across.select(*names, (F.col("_g") == 0).alias("is_first")))
+    has_quote = F.contains(text, F.lit('"'))
+    outside, inside = (F.when(has_quote, open_).otherwise(plain) for open_, plain in zip(ends_inside(text, sep), (False, True), strict=True))
+    told = lines.select(*PLACE, "file_name", text.alias("text"), outside.alias("open_out"), inside.alias("open_in"), (F.trim(text) == "").alias("blank"))
+    splits = materialize(split_states(told), "splits")
+    found = records(told, splits.where("enters"), "\n", WHOLE)
+    heads = splits.where("first IS NOT NULL").groupBy("file_path").agg(F.min(F.struct("block", F.col("first").alias("n"))).alias("_head"))
+    first = F.struct("block", "n") == F.col("_head")
+    record = F.regexp_replace("text", "\r\\z", "").alias("record")
+    return found.join(materialize(heads, "first-lines"), "file_path").select("file_path", "file_name", record, first.alias("is_first"))
 
 
 def cells_of(record: Column, sep: str = ",") -> Column:
     """The cells of a record. A quoted cell loses its quotes and has doubled ones halved; an empty cell without quotes is NULL."""
+    plain = F.transform(F.split(record, f"\\Q{sep}\\E", -1), lambda c: F.nullif(c, F.lit("")))
     s, rest = f"\\Q{sep}\\E", not_sep(sep)
     found = F.regexp_extract_all(F.concat(F.lit(sep), record), F.lit(f'{s}((?:"{IN_QUOTES}(?:"|\\z))?{rest})'), F.lit(1))
 
@@ -82,33 +65,54 @@ def cells_of(record: Column, sep: str = ",") -> Column:
         tail = F.regexp_replace(cell, f'^"{IN_QUOTES}"?', "")
         return F.when(cell.startswith('"'), F.concat(body, tail)).when(cell != "", cell)
 
-    return F.transform(found, value)
+    return F.when(F.contains(record, F.lit('"')), F.transform(found, value)).otherwise(plain)
 
 
-def line_records(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Every line as a record, for text whose cells hold no line breaks. Only the first line of each file is looked for."""
+def line_records(lines: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Every line as a record, for text whose cells hold no line breaks; and the first of each file that is not blank
+    (file_path, file_name, record), looked for beforehand."""
     rows = numbered(lines.select(*PLACE, "file_name", F.regexp_replace(F.coalesce(F.col(value), F.lit("")), "\r\\z", "").alias("record")))
-    heads = rows.groupBy("file_path").agg(F.min(F.struct("block", "_n")).alias("_head"))
+    place = F.struct("block", "_n")
+    heads = rows.where(F.trim("record") != "").groupBy("file_path", "file_name").agg(F.min(place).alias("_head"), F.min_by("record", place).alias("record"))
     heads = materialize(heads, "first-lines")
-    first = F.struct("block", "_n") == F.col("_head")
-    return rows.join(heads, "file_path").select("file_path", "file_name", "record", first.alias("is_first"))
+    rows = rows.join(heads.select("file_path", "_head"), "file_path").select("file_path", "file_name", "record", (place == F.col("_head")).alias("is_first"))
+    return rows, heads.drop("_head")
+
 
+@dataclass(frozen=True)
+class Named:
+    """`rows` with one text column per field and file_name; `heads` tells of each file with a heading how many fields it names."""
 
-def by_heading(records: DataFrame, fields: Sequence[Field], sep: str = ",", rule: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    rows: DataFrame
+    heads: DataFrame
+
+
+def by_heading(
+    records: DataFrame,
+    fields: Sequence[Field],
+    heads: DataFrame | None = None,
+    sep: str = ",",
+    rule: Callable[[Column, Column], Column] | None = None,
+) -> Named:
     """Rows with one text column per field, named by its first spelling, and file_name.
 
     Each file names its columns in its own first record; cells are picked by the first accepted spelling found there, so
     files of one family may differ in their headings. `rule` maps (heading, position) to the name compared. One row per
-    file is joined to the rows; no file is opened by the driver, and a heading may have any length.
+    file is joined to the rows; no file is opened by the driver, and a heading may have any length. Files whose heading
+    names none of the fields have no rows.
     """
-    parsed = records.where(F.trim("record") != "").select("file_path", "file_name", cells_of(F.col("record"), sep).alias("_cells"), "is_first")
+    written = records.where((F.trim("record") != "") & ~F.col("is_first"))
     named = lambda h, i: F.lower(F.coalesce((rule or (lambda x, _: x))(F.coalesce(h, F.lit("")), i), F.lit("")))
-    heads = parsed.where("is_first").select("file_path", F.transform("_cells", named).alias("_names"))
-    heads = materialize(heads, "headings")
-    rows = parsed.where("NOT is_first").join(heads, "file_path")
-
-    def cell(field: Field) -> Column:
-        places = [F.nullif(F.array_position("_names", s.lower()), F.lit(0)) for s in field.spellings]
-        return F.get("_cells", (F.coalesce(*places) - 1).cast("int")).alias(field.spellings[0])
 
-    return rows.select(*[cell(f) for f in fields], "file_name")
+    def place(field: Field) -> Column:
+        return F.coalesce(*[F.nullif(F.array_position("_names", s.lower()), F.lit(0)) for s in field.spellings])
+
+    if heads is None:
+        heads = records.where("is_first").select("file_path", "file_name", "record")
+    heads = heads.select("file_path", "file_name", F.transform(cells_of(F.col("record"), sep), named).alias("_names"))
+    heads = heads.select("file_path", "file_name", F.array(*[place(f).cast("int") for f in fields]).alias("_places"))
+    heads = materialize(heads.withColumn("n_named", F.size(F.array_compact("_places"))), "headings")
+    rows = written.join(heads.where("n_named > 0").select("file_path", "_places"), "file_path")
+    rows = rows.select("file_name", "_places", cells_of(F.col("record"), sep).alias("_cells"))
+    picked = [F.get("_cells", F.get("_places", F.lit(k)) - 1).alias(f.spellings[0]) for k, f in enumerate(fields)]
+    return Named(rows.select(*picked, "file_name"), heads.select("file_path", "file_name", "n_named"))

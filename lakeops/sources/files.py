@@ -47,7 +47,7 @@ def read_multiline_csv(spark: SparkSession, paths: Paths, columns: Sequence[str]
 
 
 def pin_splits(spark: SparkSession) -> None:
-    """Fix the least number of splits at its present value.
+    """Fix the least number of splits at its present value, where the session was not built with one.
 
     Left alone it follows the number of cores, so while executors come and go two scans of one plan could split a small
     file differently. Operators that number lines per split need the same splits in all scans.

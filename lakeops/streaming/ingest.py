@@ -2,59 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.operators.rows import join_on
-from lakeops.plans.feeds import Feed, aside, shape, unparsed_cells
+from lakeops.plans.feeds import Feed, aside, held_days, load_files
 from lakeops.session import materialize
-from lakeops.sinks.tables import KEYS, replace_days
-from lakeops.sources.files import pin_splits, with_place
 from lakeops.sources.folder import stamp_keys
 
-
-def winners(files: DataFrame, table: str, day: str = "day_key", name: str = "file_name") -> DataFrame:
-    """The file of the greatest name for each day of `files`, unless the table holds that day from a greater one."""
-    best = files.where(F.col(day).isNotNull()).groupBy(day).agg(F.max(name).alias(name))
-    try:
-        stored = files.sparkSession.read.parquet(table)
-    except AnalysisException:  # nothing was written yet
-        return best
-    held = stored.select(F.col(day).cast("string").alias(day), F.col(name).alias("_held"))
-    held = held.join(best.select(F.col(day).alias("_day")), F.col(day) == F.col("_day"), "left_semi").groupBy(day).agg(F.max("_held").alias("_held"))
-    known = best.join(held.withColumnRenamed(day, "_day"), F.col(day) == F.col("_day"), "left")
-    return known.where(F.col("_held").isNull() | (F.col(name) >= F.col("_held"))).select(day, name)
+FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def ingest_new_files(spark: SparkSession, feed: Feed, source: str, table: str, checkpoint: str, files_per_batch: int | None = None) -> None:
-    """Read the files of a text feed that are not yet seen and replace the days they hold.
-
-    Rows are made from lines exactly as the batch ingest makes them, columns by each file's own heading. Of several
-    files for a day the greatest name counts, whichever batch each comes with: the target tells which file holds a day.
-    So the result does not depend on how files fall into batches, and a batch repeated after a failure writes the same
-    days again. Files without a date and cells that do not fit are appended to the tables beside the target, with the
-    batch's number; a batch run twice replaces its own. Ends when all files present are done.
+    """Read the files of a feed that are not yet seen and replace the days they hold.
+
+    The stream is one of file names; contents are left where they are until it is known which files count, and then read
+    exactly as the batch ingest reads them. Of several files for a day the greatest name counts, whichever batch each
+    comes with: a ledger beside the target has a row for each file, its batch, what became of it and how many rows it
+    gave. So the result does not depend on how files fall into batches, neither lines nor the target are read to learn
+    names, and a batch repeated after a failure writes the same days and the same part of the ledger again. Files without a date
+    or heading and cells that do not fit are appended to the tables beside the target, with the batch's number; a batch
+    run twice replaces its own. Ends when all files present are done.
     """
-    pin_splits(spark)
-    reader = spark.readStream.format("text").option("pathGlobFilter", feed.naming.glob).option("recursiveFileLookup", True)
-    if feed.line_end is not None:
-        reader = reader.option("lineSep", feed.line_end)
+    reader = spark.readStream.format("binaryFile").schema(FILES).option("pathGlobFilter", feed.naming.glob).option("recursiveFileLookup", True)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    lines = with_place(reader.load(source))
+    paths = reader.load(source).select(F.col("path").alias("file_path"), F.element_at(F.split("path", "/"), -1).alias("file_name"))
     if feed.naming.skip:
-        lines = lines.where(~F.col("file_name").isin(*feed.naming.skip))
+        paths = paths.where(~F.col("file_name").isin(*feed.naming.skip))
 
     def write(batch: DataFrame, number: int) -> None:
-        files = materialize(stamp_keys(batch.select("file_path", "file_name").distinct(), feed.naming), "batch-files")
-        chosen = materialize(winners(files, table), "winners").withColumnRenamed("file_name", "_winner")
-        told = lambda df, what: df.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(aside(table, what))
-        told(files.where("day_key IS NULL").select("file_path", "file_name"), "undated")
-        taken = files.join(chosen.select("_winner").distinct(), F.col("file_name") == F.col("_winner"), "left_semi").where("day_key IS NOT NULL")
-        rows = feed.rows(join_on(batch, taken.select("file_path"), ["file_path"], "left_semi"), feed.fields)
-        told(unparsed_cells(feed, rows), "unparsed")
-        replace_days(shape(feed, rows), table, KEYS)
-
-    query = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        load = f"{zlib.crc32(checkpoint.encode()):08x}-{number}"
+        files = materialize(stamp_keys(batch, feed.naming), "batch-files")
+        for what, rows in load_files(spark, feed, files, table, load, held_days(spark, table, load)).items():
+            told = rows.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            told.partitionBy("batch").parquet(aside(table, what))
+
+    query = paths.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
