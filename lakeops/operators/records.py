@@ -95,77 +95,102 @@ def stretches(lines: DataFrame, sep: str, limit: int, whole: bool) -> DataFrame:
     (not `whole`) the stretches at the rims of splits and the pieces of what is longer than `limit`."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, name, n, open_, parts, size, first, piece, begins = None, None, 0, False, [], 0, 0, 0, True
-        out: list[tuple] = []
-
-        def emit(ends: bool) -> None:
-            if whole == (begins and ends and piece == 0):
-                out.append((at[0], name, at[1], first, piece, sep.join(parts), begins and piece == 0, ends))
-
-        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), PART_SCHEMA, strict=True)], schema=PART_SCHEMA)
-
+        at, carried = None, Carried()
         for batch in batches:
+            out: list[tuple] = []
             for run in runs(batch):
-                here = (run.column("file_path")[0].as_py(), run.column("block")[0].as_py())
+                here = (run.column("file_path")[0].as_py(), run.column("file_name")[0].as_py(), run.column("block")[0].as_py())
                 if here != at:
-                    if parts:
-                        emit(False)
-                    at, name, n = here, run.column("file_name")[0].as_py(), 0
-                    open_ = bool(run.column("enters")[0].as_py())
-                    parts, size, first, piece, begins = [], 0, 0, 0, not open_
-                o, i, texts = flags(run, "open_out"), flags(run, "open_in"), run.column("text")
-                alone = np.zeros(len(o), bool)  # lines that are records of their own
-
-                def take(s: int, e: int) -> None:
-                    nonlocal size, first, begins, piece
-                    if not parts and piece == 0:
-                        first = n + s
-                    for text in texts.slice(s, e - s).to_pylist():
-                        if size > limit:
-                            emit(False)
-                            parts.clear()
-                            size, piece = 0, piece + 1
-                        parts.append(text)
-                        size += len(text) + len(sep)
-
-                done = 0
-                for k in [*np.flatnonzero(o | ~i).tolist(), len(o)]:
-                    if k > done:
-                        if open_:
-                            take(done, k)
-                        else:
-                            alone[done:k] = True
-                    if k < len(o):
-                        was, open_ = open_, bool(i[k] if open_ else o[k])
-                        if not was and not open_:
-                            alone[k] = True
-                        else:
-                            if not was:
-                                begins, piece = True, 0
-                            take(k, k + 1)
-                            if not open_:
-                                emit(True)
-                                parts, size, piece, begins = [], 0, 0, True
-                    done = k + 1
-                if whole and alone.any():
-                    mask = pa.array(alone)
-                    own = run.filter(mask)
-                    size_ = own.num_rows
-                    yes, none = pa.array(np.ones(size_, bool)), pa.array(np.zeros(size_, np.int32))
-                    yield pa.RecordBatch.from_arrays([own.column("file_path"), own.column("file_name"), own.column("block"), pa.array(n + np.flatnonzero(alone)), none, own.column("text"), yes, yes], schema=PART_SCHEMA)
-                n += len(o)
+                    if at is not None and carried.parts and not whole:
+                        out.append((*at, *carried.row(sep, False)))
+                    at, carried = here, Carried(bool(run.column("enters")[0].as_py()))
+                texts = run.column("text")
+                starts, last_open = boundaries(flags(run, "open_out"), flags(run, "open_in"), carried.open)
+                sizes = pc.utf8_length(texts).to_numpy(zero_copy_only=False)
+                upto = np.concatenate([[0], np.cumsum(sizes + len(sep))])
+                # stretches [starts[k], starts[k + 1]): the first may go on from the batch before, the last into the next
+                inside = np.ones(len(starts) - 1, bool)
+                inside[0] &= not carried.open
+                inside[-1] &= not last_open
+                short = upto[starts[1:]] - upto[starts[:-1]] <= limit
+                if whole and (inside & short).any():
+                    lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), texts).filter(pa.array(inside & short))
+                    yield whole_records(here, carried.n + starts[:-1][inside & short], pc.binary_join(lists, sep))
+                for k in np.flatnonzero(~(inside & short)).tolist():
+                    s, e = int(starts[k]), int(starts[k + 1])
+                    if k or not carried.open:
+                        carried.begin(carried.n + s)
+                    for text, size in zip(texts.slice(s, e - s).to_pylist(), sizes[s:e].tolist(), strict=True):
+                        if carried.size > limit:
+                            if not whole:
+                                out.append((*at, *carried.row(sep, False)))
+                            carried.cut()
+                        carried.parts.append(text)
+                        carried.size += size + len(sep)
+                    carried.open = last_open and k == len(inside) - 1
+                    if not carried.open:
+                        if whole == (carried.begins and carried.piece == 0):
+                            out.append((*at, *carried.row(sep, True)))
+                        carried.begin(0)
+                carried.open = last_open
+                carried.n += len(sizes)
             if out:
-                yield batch_of(out)
-                out.clear()
-        if parts:
-            emit(False)
-        if out:
-            yield batch_of(out)
+                yield parts_of(out)
+        if at is not None and carried.parts and not whole:
+            yield parts_of([(*at, *carried.row(sep, False))])
 
     return lines.select("file_path", "file_name", "block", "text", "open_out", "open_in", "enters").mapInArrow(work, PARTS)
 
 
+class Carried:
+    """The record that is open where a batch of a split's lines ends."""
+
+    def __init__(self, open_: bool = False):
+        self.open, self.begins, self.n = open_, not open_, 0
+        self.parts: list[str] = []
+        self.size = self.first = self.piece = 0
+
+    def begin(self, first: int) -> None:
+        self.parts, self.size, self.first, self.piece, self.begins = [], 0, first, 0, True
+
+    def cut(self) -> None:
+        self.parts, self.size, self.piece = [], 0, self.piece + 1
+
+    def row(self, sep: str, ends: bool) -> tuple:
+        return self.first, self.piece, sep.join(self.parts), self.begins and self.piece == 0, ends
+
+
+def boundaries(open_out: np.ndarray, open_in: np.ndarray, open_: bool) -> tuple[np.ndarray, bool]:
+    """Where stretches of lines begin, and the number of lines; and whether a record is open behind the last."""
+    ends = np.zeros(len(open_out), bool)  # lines with no record open behind them
+    changes = np.flatnonzero(open_out | ~open_in).tolist()
+    if (open_out == open_in).all():
+        ends = ~open_out
+    else:
+        done = 0
+        for k in changes:
+            if not open_:
+                ends[done:k] = True
+            open_ = bool(open_in[k] if open_ else open_out[k])
+            ends[k] = not open_
+            done = k + 1
+        if not open_:
+            ends[done:] = True
+    starts = np.concatenate([[0], np.flatnonzero(ends[:-1]) + 1, [len(ends)]])
+    return starts, not ends[-1]
+
+
+def whole_records(at: tuple, firsts: np.ndarray, texts: pa.Array) -> pa.RecordBatch:
+    size = len(firsts)
+    yes = pa.repeat(pa.scalar(True), size)
+    columns = [*(pa.repeat(pa.scalar(x, f.type), size) for x, f in zip(at, PART_SCHEMA, strict=False)), pa.array(firsts, pa.int64()), pa.repeat(pa.scalar(0, pa.int32()), size), texts, yes, yes]
+    return pa.RecordBatch.from_arrays(columns, schema=PART_SCHEMA)
+
+
+def parts_of(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), PART_SCHEMA, strict=True)], schema=PART_SCHEMA)
+
+
 def across_splits(rims: DataFrame, sep: str, limit: int) -> DataFrame:
     """Records of the stretches at the rims: (file_path, file_name, block, n, piece, text, ends).
 
@@ -183,16 +208,18 @@ def across_splits(rims: DataFrame, sep: str, limit: int) -> DataFrame:
     by_record = W.partitionBy("file_path", "record").orderBy("block", "n", "piece")
     upto = F.sum("size").over(by_record.rowsBetween(W.unboundedPreceding, -1))
     total = F.sum("size").over(W.partitionBy("file_path", "record"))
-    marks = marks.withColumn("part", F.when(total <= limit, 0).otherwise(F.floor(F.coalesce(upto, F.lit(0)) / limit))).drop("begins", "size", "ends")
+    marks = marks.withColumn("part", F.when(total <= limit, 0).otherwise(F.floor(F.coalesce(upto, F.lit(0)) / limit)))
+    of_record = W.partitionBy("file_path", "record")
+    numbers = F.dense_rank().over(of_record.orderBy("part")) - 1
+    marks = marks.select(*place, "record", numbers.alias("part"), (F.max("part").over(of_record) == 0).alias("whole"))
     placed = rims.join(marks, place)
     listed = F.array_sort(F.collect_list(F.struct("block", "n", "piece", "text")))
-    grouped = placed.groupBy("file_path", "file_name", "record", "part").agg(listed.alias("parts"), F.max("ends").alias("ends"))
-    ordered = W.partitionBy("file_path", "record").orderBy("part")
-    many = F.count("*").over(W.partitionBy("file_path", "record")) > 1
+    grouped = placed.groupBy("file_path", "file_name", "record", "part", "whole").agg(listed.alias("parts"), F.max("ends").alias("ends"))
+    first = F.get("parts", F.lit(0))
+    text = F.array_join(F.transform("parts", lambda p: p["text"]), sep)
     return grouped.select(
-        "file_path", "file_name", F.get("parts", F.lit(0))["block"].alias("block"), F.get("parts", F.lit(0))["n"].alias("n"),
-        (F.row_number().over(ordered) - 1).cast("int").alias("piece"), F.array_join(F.transform("parts", lambda p: p["text"]), sep).alias("text"),
-        (F.col("ends") & ~many).alias("ends"),
+        "file_path", "file_name", first["block"].alias("block"), first["n"].alias("n"), F.col("part").cast("int").alias("piece"), text.alias("text"),
+        (F.col("ends") & F.col("whole")).alias("ends"),
     )
 
 

@@ -77,47 +77,37 @@ def load_files(spark: SparkSession, feed: Feed, files: DataFrame, table: str, lo
     Of several files for a day the greatest name counts, and none that is less than the one held. Text is read at most twice:
     for the headings and for the rows. How many rows each file gave, and how many of its cells did not fit their types,
     is counted by the write itself. The ledger of a load is written last, so one that broke off is done again as a whole.
-    Returns what is to be told aside: files `undated` and `headless`, cells `unparsed`.
+    Returns what is to be told aside, where there is any: files `undated` and `headless`, cells `unparsed`.
     """
     best = latest_per_day(files)
     if held is not None:
-        best = best.join(held, "day_key", "left").where(F.col("_held").isNull() | (F.col("file_name") >= F.col("_held"))).drop("_held")
-    best = materialize(best, "winners")
-    paths = sorted(paths_of(best))
-    n_rows: dict[int, int] = {}
-    unparsed: list[tuple] = []
-    heads = None
-    if paths:
-        rows, heads = read_rows(spark, feed, paths)
+        best = best.join(held, "day_key", "left").where(F.col("_held").isNull() | (F.col("file_name") >= F.col("_held")))
+    # the list of files that Spark's driver holds for any scan of them
+    chosen = {int(r["day_key"]): r for r in best.select("day_key", "file_path", "file_name").collect()}
+    seen: dict[str, dict[int, int]] = {}
+    headed = None
+    typed: list[Field] = []
+    if chosen:
+        rows, heads = read_rows(spark, feed, sorted(r["file_path"] for r in chosen.values()))
+        headed = None if heads is None else {r["file_name"] for r in heads.where("n_named > 0").select("file_name").collect()}
         typed = [f for f in feed.fields if f.type != "string" and find_source(rows, f) is not None]
         bits = [F.when(unfit(rows, f), F.lit(1 << k)).otherwise(0) for k, f in enumerate(typed)]
         unfit_bits = sum(bits, F.lit(0).cast("long")).alias("_unfit")
         # a day has one file here; a histogram with a bin for each day counts exactly
-        day, bins = F.col("day_key").cast("int"), F.lit(len(paths) + 1)
+        day, bins = F.col("day_key").cast("int"), F.lit(len(chosen) + 1)
         per_day = {"rows": F.histogram_numeric(day, bins)}
-        per_day |= {f"unfit_{k}": F.histogram_numeric(F.when(F.col("_unfit").bitwiseAND(1 << k) != 0, day), bins) for k in range(len(typed))}
-        seen = replace_days(shape(feed, rows, also=[unfit_bits]), table, measures=per_day, aside=("_unfit",))
-        told = {name: {int(b["x"]): int(b["y"]) for b in found or []} for name, found in seen.items()}
-        n_rows = told["rows"]
-        names = {int(r["day_key"]): r["file_name"] for r in best.select("day_key", "file_name").collect()}
-        unparsed = [(names[d], f.target, n) for k, f in enumerate(typed) for d, n in told[f"unfit_{k}"].items()]
-    counts = spark.createDataFrame([(str(d), n) for d, n in n_rows.items()], "day_key string, n_rows long")
-    won = best.select("file_path", "file_name", F.lit(True).alias("_won"))
-    if heads is not None:  # told apart by name, which is one file's here; the path may be spelt otherwise
-        headed = heads.select("file_name", (F.col("n_named") > 0).alias("_headed"))
-        won = won.join(headed, "file_name", "left").withColumn("_headed", F.coalesce("_headed", F.lit(False)))
-    else:
-        won = won.withColumn("_headed", F.lit(True))
-    state = (
-        F.when(F.col("day_key").isNull(), "undated").when(F.col("_won").isNull(), "superseded").when(F.col("_headed"), "taken").otherwise("headless")
-    )
-    ledger = files.join(won, ["file_path", "file_name"], "left").withColumn("state", state).join(counts, "day_key", "left")
-    rows_of = F.when(F.col("state") == "taken", F.coalesce("n_rows", F.lit(0))).alias("n_rows")
-    ledger = ledger.select("file_path", "file_name", F.col("day_key").cast("string").alias("day_key"), "state", rows_of, F.lit(load).alias("load"))
+        per_day |= {f.target: F.histogram_numeric(F.when(F.col("_unfit").bitwiseAND(1 << k) != 0, day), bins) for k, f in enumerate(typed)}
+        told = replace_days(shape(feed, rows, also=[unfit_bits]), table, measures=per_day, aside=("_unfit",))
+        seen = {name: {int(b["x"]): int(b["y"]) for b in found or []} for name, found in told.items()}
+    fate = [(r["file_path"], "taken" if headed is None or r["file_name"] in headed else "headless", seen["rows"].get(d, 0)) for d, r in chosen.items()]
+    unparsed = [(chosen[d]["file_name"], f.target, n) for f in typed for d, n in seen[f.target].items()]
+    known = spark.createDataFrame(fate, "file_path string, _state string, n_rows long")
+    state = F.when(F.col("day_key").isNull(), "undated").otherwise(F.coalesce("_state", F.lit("superseded"))).alias("state")
+    ledger = files.join(known, "file_path", "left").select("file_path", "file_name", F.col("day_key").cast("string").alias("day_key"), state, "n_rows", F.lit(load).alias("load"))
     ledger.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load").parquet(aside(table, "files"))
-    told_of = spark.read.schema(LEDGER).parquet(aside(table, "files")).where(F.col("load") == load)
-    left_out = {what: told_of.where(F.col("state") == what).select("file_path", "file_name") for what in ("undated", "headless")}
-    return {**left_out, "unparsed": spark.createDataFrame(unparsed, UNPARSED)}
+    left_out = {"undated": files.where("day_key IS NULL").select("file_path", "file_name"), "unparsed": spark.createDataFrame(unparsed, UNPARSED)}
+    headless = [(path, path.rsplit("/", 1)[-1]) for path, what, _ in fate if what == "headless"]
+    return {**left_out, "headless": spark.createDataFrame(headless, "file_path string, file_name string")}
 
 
 def ingest(spark: SparkSession, feed: Feed, source: str, table: str) -> None:

@@ -45,7 +45,7 @@ def quoted_records(lines: DataFrame, sep: str = ",", value: str = "value") -> Da
     text = F.coalesce(F.col(value), F.lit(""))
     has_quote = F.contains(text, F.lit('"'))
     outside, inside = (F.when(has_quote, open_).otherwise(plain) for open_, plain in zip(ends_inside(text, sep), (False, True), strict=True))
-    told = lines.select(*PLACE, "file_name", text.alias("text"), outside.alias("open_out"), inside.alias("open_in"), (F.trim(text) == "").alias("blank"))
+    told = lines.select(*PLACE, "file_name", text.alias("text"), outside.alias("open_out"), inside.alias("open_in"), (F.trim(F.rtrim(text, F.lit("\r"))) == "").alias("blank"))
     splits = materialize(split_states(told), "splits")
     found = records(told, splits.where("enters"), "\n", WHOLE)
     heads = splits.where("first IS NOT NULL").groupBy("file_path").agg(F.min(F.struct("block", F.col("first").alias("n"))).alias("_head"))
@@ -107,11 +107,10 @@ def by_heading(
     def place(field: Field) -> Column:
         return F.coalesce(*[F.nullif(F.array_position("_names", s.lower()), F.lit(0)) for s in field.spellings])
 
-    if heads is None:
-        heads = records.where("is_first").select("file_path", "file_name", "record")
-    heads = heads.select("file_path", "file_name", F.transform(cells_of(F.col("record"), sep), named).alias("_names"))
-    heads = heads.select("file_path", "file_name", F.array(*[place(f).cast("int") for f in fields]).alias("_places"))
-    heads = materialize(heads.withColumn("n_named", F.size(F.array_compact("_places"))), "headings")
+    found = records.where("is_first").select("file_path", "file_name", "record") if heads is None else heads
+    found = found.select("file_path", "file_name", F.transform(cells_of(F.col("record"), sep), named).alias("_names"))
+    found = found.select("file_path", "file_name", F.array(*[place(f).cast("int") for f in fields]).alias("_places"))
+    heads = materialize(found.withColumn("n_named", F.size(F.array_compact("_places"))), "headings")
     rows = written.join(heads.where("n_named > 0").select("file_path", "_places"), "file_path")
     rows = rows.select("file_name", "_places", cells_of(F.col("record"), sep).alias("_cells"))
     picked = [F.get("_cells", F.get("_places", F.lit(k)) - 1).alias(f.spellings[0]) for k, f in enumerate(fields)]

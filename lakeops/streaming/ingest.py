@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.plans.feeds import Feed, aside, held_days, load_files
-from lakeops.session import materialize
+from lakeops.session import materialize, path_exists
 from lakeops.sources.folder import stamp_keys
 
 FILES = "path string, modificationTime timestamp, length long, content binary"
@@ -36,6 +36,8 @@ def ingest_new_files(spark: SparkSession, feed: Feed, source: str, table: str, c
         load = f"{zlib.crc32(checkpoint.encode()):08x}-{number}"
         files = materialize(stamp_keys(batch, feed.naming), "batch-files")
         for what, rows in load_files(spark, feed, files, table, load, held_days(spark, table, load)).items():
+            if path_exists(spark, aside(table, what)) and rows.isEmpty():
+                continue
             told = rows.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             told.partitionBy("batch").parquet(aside(table, what))
 

@@ -239,3 +239,42 @@ def test_an_unclosed_quote_keeps_all_text(spark, read, tmp_path):
     read({"a.csv": ["a,b", '1,5" pipe', "2,z", '3,"open', "4,w"]}, None)
     rows = [tuple(r)[:2] for r in read_multiline_csv(spark, str(tmp_path / "in0")).collect()]
     assert bag(rows) == bag([("1", '5" pipe'), ("2", "z"), ("3", "open\n4,w")])
+
+
+@pytest.mark.parametrize(("line_end", "split_bytes"), [("\n", None), ("\r\n", 20)])
+def test_blank_lines_before_the_heading(spark, read, tmp_path, line_end, split_bytes):
+    read({"a.csv": line_end.join(["", " ", "a,b", "1,2", '"x\ny",z', ""]).split("\n"), "blank.csv": ["", ""]}, split_bytes)
+    for columns in (None, ["a", "b"]):
+        back = read_multiline_csv(spark, str(tmp_path / "in0"), columns)
+        assert back.columns == ["a", "b", "file_name"]
+        assert bag([tuple(r)[:2] for r in back.collect()]) == bag([("1", "2"), ("x\ny", "z")])
+
+
+def test_plain_lines_are_not_moved(spark, read, tmp_path):
+    """Neither for quoted text nor for fragments does a scan of text feed an exchange."""
+    read({"a.csv": ["a,b", "1,2", '"x', 'y",3'] * 20}, 60)
+    for frame in (read_multiline_csv(spark, str(tmp_path / "in0"), ["a", "b"]), repair.join_fragments(read({"a.csv": SAMPLE * 3}, 60))):
+        frame.collect()
+        ran = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert ran.count("FileScan text") == 1
+        scan = ran[: ran.index("FileScan text")].rsplit("Union", 1)[1]
+        on_the_way = [line for line in scan.split("\n") if "Exchange" in line and "Broadcast" not in line]
+        assert not on_the_way
+
+
+@pytest.mark.parametrize("split_bytes", [None, 200])
+def test_a_file_without_any_end_comes_in_pieces(read, split_bytes):
+    lines = [f"line {k} without an end" for k in range(300)]
+    got = repair.join_fragments(read({"open.csv": lines}, split_bytes), limit=500).orderBy("piece").collect()
+    assert [r["piece"] for r in got] == list(range(len(got))) and not any(r["complete"] for r in got)
+    assert " ".join(r["record"] for r in got) == " ".join(lines)
+    assert len(got) > 10 and max(len(r["record"]) for r in got) < 1600
+
+
+def test_long_records_among_short_ones(read):
+    stamp = "2024-01-02 10:00:00"
+    long = [f"part {k}" for k in range(100)]
+    lines = [f"1 {stamp}", *long, f"end {stamp}", f"2 {stamp}"]
+    got = repair.join_fragments(read({"f.csv": lines}, 90), limit=120).collect()
+    assert {r["record"] for r in got if r["complete"]} == {f"1 {stamp}", f"2 {stamp}"}
+    assert " ".join(r["record"] for r in sorted((r for r in got if not r["complete"]), key=lambda r: r["piece"])) == " ".join([*long, f"end {stamp}"])

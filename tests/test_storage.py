@@ -12,6 +12,7 @@ from lakeops.sinks.tables import replace_days, write_buckets, write_days
 from lakeops.sources.files import read_csv, read_multiline_csv
 from lakeops.sources.folder import Naming, latest_per_day, list_files, only_days, undated
 from lakeops.streaming.ingest import ingest_new_files
+from pyspark.sql import DataFrameWriter
 
 
 def test_listing(spark, tmp_path):
@@ -92,6 +93,46 @@ def test_stream_equals_batch(spark, tmp_path, per_batch):
         assert told.distinct().collect() == spark.read.parquet(aside(other, what)).select(told.columns).collect()
 
 
+def test_blank_lines_before_the_heading_and_files_without_one(spark, tmp_path):
+    source, table = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "x_02012024.csv").write_text("\n  \r\nphone no,level\n\n09,A\n")
+    (source / "x_03012024.csv").write_text("phone no,level,date registered\n08,B,soon\n07,C,2024/01/02 10:00:00\n")
+    (source / "blank_04012024.csv").write_text("\n\n")
+    (source / "none_05012024.csv").write_text("06,D\n05,E\n")
+    (source / "a_03012024.csv").write_text("phone no\n1\n")
+    ingest(spark, CUSTOMERS, str(source), table)
+    ingest_new_files(spark, CUSTOMERS, str(source), str(tmp_path / "streamed"), str(tmp_path / "progress"), 2)
+    for path in (table, str(tmp_path / "streamed")):
+        assert sorted((r["phone_no"], r["level"]) for r in spark.read.parquet(path).collect()) == [("07", "C"), ("08", "B"), ("09", "A")]
+        ledger = {r["file_name"]: (r["state"], r["n_rows"]) for r in spark.read.parquet(aside(path, "files")).collect()}
+        want = {"x_02012024.csv": ("taken", 1), "x_03012024.csv": ("taken", 2), "blank_04012024.csv": ("headless", 0), "none_05012024.csv": ("headless", 0)}
+        # a stream may take the lesser file of a day first, and the greater one in a later batch
+        assert ledger.pop("a_03012024.csv")[0] in ("superseded", "taken") and ledger == want
+        assert {r["file_name"] for r in spark.read.parquet(aside(path, "headless")).collect()} == {"blank_04012024.csv", "none_05012024.csv"}
+        assert [tuple(r)[:3] for r in spark.read.parquet(aside(path, "unparsed")).collect()] == [("x_03012024.csv", "date_registered", 1)]
+
+
+def test_ingest_scans_the_text_twice(spark, tmp_path):
+    """By the plans of all that is written on the way."""
+    source, table = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "x_02012024.csv").write_text("phone no,date registered\n09,A\n")
+    scans = []
+    plain = DataFrameWriter.parquet
+
+    def told(self, *args, **kwargs):
+        scans.append(self._df._jdf.queryExecution().executedPlan().toString().count("FileScan text"))
+        return plain(self, *args, **kwargs)
+
+    DataFrameWriter.parquet = told
+    try:
+        ingest(spark, CUSTOMERS, str(source), table)
+    finally:
+        DataFrameWriter.parquet = plain
+    assert sum(scans) == 2
+
+
 def test_replace_days_and_pruning(spark, tmp_path):
     path = str(tmp_path / "t")
     keys = {"year_key": F.lit("2024"), "month_key": F.lit("202401"), "day_key": F.concat(F.lit("2024010"), F.col("id") % 3)}
