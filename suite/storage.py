@@ -112,7 +112,8 @@ def document_csv(spark: SparkSession, sf: str) -> str:
     rows = table(spark, sf, "documents").select(F.col("doc_id").alias("_order"), line.alias("value"), name.alias("_file"))
     heads = rows.select("_file").distinct().select(F.lit(-1).cast("long").alias("_order"), F.lit("doc_id,note,text,source").alias("value"), "_file")
     ended = F.when(F.col("_file").contains("_crlf"), F.concat("value", F.lit("\r"))).otherwise(F.col("value"))
-    lines = heads.unionByName(rows).withColumn("value", ended)
+    blank = heads.select(F.lit(-2).cast("long").alias("_order"), F.lit("").alias("value"), "_file")
+    lines = heads.unionByName(blank).unionByName(rows).withColumn("value", ended)
     write_named(lines, folder, "_file", lambda writer, path: writer.text(path), order="_order")
     return folder
 
@@ -408,6 +409,7 @@ def category(level: int, modulus: int) -> list[Column]:
     return [(F.col("o_custkey") % modulus).cast("string"), F.concat(F.lit("name, "), F.col("o_orderpriority"))]
 
 
+HEADLESS = "z_category_18991231.csv"
 HEADINGS = ["Level 1 Category Id", "Level 1 Category Name", "Level 2 Category Id", "Level 2 Category Name", "Level 3 Category Id", "Level 3 Category Name"]
 HEADINGS += ["Created User Id", "Created Date", "Status", "Updated User Id", "Last Updated Date"]
 
@@ -441,7 +443,11 @@ def category_files(spark: SparkSession, sf: str, folder: str) -> None:
     lines = rows.select("_order", "_file", later.alias("_later"), F.when(later, F.concat(F.lit("new,"), csv(turned))).otherwise(csv(HEADINGS)).alias("value"))
     spelt = ",".join(["n" * 70_000, *[h.replace("Created Date", "created_date") for h in turned]])
     heads = lines.select("_file", "_later").distinct().select(F.lit(-1).cast("long").alias("_order"), "_file", F.when(F.col("_later"), spelt).otherwise(",".join(HEADINGS)).alias("value"))
-    write_named(lines.drop("_later").unionByName(heads), folder, "_file", lambda writer, path: writer.text(path), order="_order")
+    # blank lines before some headings, and a file without a heading
+    blank = heads.where("_file LIKE 'b%'").select(F.lit(-2).cast("long").alias("_order"), "_file", F.lit(" ").alias("value"))
+    headless = literal_rows(spark, [(0, HEADLESS, "1,name,2,name"), (1, HEADLESS, "")], "_order long, _file string, value string")
+    lines = lines.drop("_later").unionByName(heads).unionByName(blank).unionByName(headless)
+    write_named(lines, folder, "_file", lambda writer, path: writer.text(path), order="_order")
 
 
 CATEGORY_SQL = f"""
@@ -469,14 +475,16 @@ def ingest_folder(spark: SparkSession, sf: str) -> DataFrame:
 ASIDE_SQL = f"""
     SELECT 'x_undated.csv' AS file_name, 'undated' AS what, 1::BIGINT AS n
     UNION ALL
+    SELECT '{HEADLESS}', 'headless', 1
+    UNION ALL
     SELECT 'b_category_' || strftime({HALF_SQL}, '%Y%m%d') || '.csv', 'created_date', count(*) FROM orders WHERE o_orderkey % 10 = 0 GROUP BY 1
 """
 
 
 def told_aside(spark: SparkSession, target: str) -> DataFrame:
-    """What an ingest set aside: files without a date, and cells per file and column that did not fit."""
-    undated = read_table(spark, aside(target, "undated")).select("file_name", F.lit("undated").alias("what"), F.lit(1).cast("long").alias("n"))
-    return undated.unionByName(read_table(spark, aside(target, "unparsed")).select("file_name", F.col("column").alias("what"), "n"))
+    """What an ingest set aside: files without a date or heading, and cells per file and column that did not fit."""
+    files = lambda what: read_table(spark, aside(target, what)).select("file_name", F.lit(what).alias("what"), F.lit(1).cast("long").alias("n"))
+    return files("undated").unionByName(files("headless")).unionByName(read_table(spark, aside(target, "unparsed")).select("file_name", F.col("column").alias("what"), "n"))
 
 
 @query(ASIDE_SQL)
@@ -487,6 +495,26 @@ def ingest_aside(spark: SparkSession, sf: str) -> DataFrame:
     return told_aside(spark, target)
 
 
+@query(
+    f"""
+    SELECT 'b_category_' || strftime(h, '%Y%m%d') || '.csv' AS file_name, strftime(h - INTERVAL 1 DAY, '%Y%m%d') AS day_key, 'taken' AS state, count(*) AS n_rows
+    FROM (SELECT {HALF_SQL} AS h FROM orders) GROUP BY h
+    UNION ALL
+    SELECT DISTINCT 'a_category_' || strftime(h, '%Y%m%d') || '.csv', strftime(h - INTERVAL 1 DAY, '%Y%m%d'), 'superseded', NULL::BIGINT
+    FROM (SELECT {HALF_SQL} AS h FROM orders)
+    UNION ALL SELECT 'x_undated.csv', NULL, 'undated', NULL
+    UNION ALL SELECT '{HEADLESS}', '18991230', 'headless', 0
+    """
+)
+def ingest_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """What became of each file, and how many rows the write counted for it, after two loads."""
+    source, target = scratch_path(spark, "source"), scratch_path(spark, "categories")
+    category_files(spark, sf, source)
+    for _ in range(2):
+        ingest(spark, CATEGORIES, source, target)
+    return read_table(spark, aside(target, "files")).select("file_name", "day_key", "state", "n_rows")
+
+
 LOGIN_SQL = f"""
     SELECT (100000 + o_orderkey)::VARCHAR AS customer_id, '09' || o_custkey::VARCHAR AS phone_number,
            CASE o_orderkey % 4 WHEN 0 THEN 'Ann Lee' WHEN 3 THEN 'Hal' ELSE 'Bob Ray' END AS customer_name,
