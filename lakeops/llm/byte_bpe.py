@@ -17,8 +17,9 @@ import numpy as np
 
 SPACE = "\t-\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECE = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-#: White space that is not a single space or one or two line feeds between words.
-RARE = re.compile(f"[^\\S \\n]|[\\x1c-\\x1f]|  | \\n|\\n\\n[\\n ]|\\n\\n\\Z| \\Z")
+ODD = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Marks other than an apostrophe around letters or around digits.
+SIMPLE = re.compile(r"( ?[!-&(-/:-@\[-`{-~]*)(\w*?)([!-&(-/:-@\[-`{-~]*)")
 REMEMBERED = 900_000
 
 
@@ -29,12 +30,21 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
+def has_rare_gaps(text: str) -> bool:
+    """Is there white space that is not a single space, or one or two line feeds, between words?"""
+    if "  " in text or " \n" in text or "\n\n\n" in text or "\n\n " in text or text.endswith((" ", "\n\n")):
+        return True
+    if text.isascii():  # looking for one character after another is faster than a pattern
+        return any(c in text for c in "\t\v\f\r\x1c\x1d\x1e\x1f")
+    return ODD.search(text) is not None
+
+
 def units_of(text: str) -> list[str]:
     """A text cut into units: ` word` is written `word`, a word after a line feed with that before it, and a word with
     nothing before it with a line feed behind. Other pieces of white space follow a tab."""
     if not text:
         return []
-    if RARE.search(text) is None:
+    if not has_rare_gaps(text):
         units = text.replace("\n", " \n").split(" ")
         units[0] += "\n"
         return units[1:] if units[0] == "\n" else units
@@ -69,15 +79,19 @@ class Encoder:
         return [t.id for t in self.model.tokenize(word.encode().decode("latin1").translate(self.letters))]
 
     def piece(self, piece: str) -> list[int]:
-        bare = piece.removeprefix(" ")
-        if bare.isalpha():
-            return self.word(piece)
-        if bare[-1:] in (".", ",", "!", ";") and bare[:-1].isalpha():
-            return self.word(piece[:-1]) + self.word(piece[-1])
+        parts = SIMPLE.fullmatch(piece)
+        if parts and (not parts[2] or parts[2].isalpha() or parts[2].isdecimal()):  # as the pattern cuts it
+            before, middle, after = parts.groups()
+            if before.strip(" ") == "":
+                return self.word(before + middle) + (self.word(after) if after else [])
+            return self.word(before) + (self.word(middle) if middle else []) + (self.word(after) if after else [])
         return self.tokenizer.encode(piece, add_special_tokens=False).ids
 
     def learn(self, unit: str) -> int:
-        ids = [i for piece in written(unit) for i in self.piece(piece)]
+        if unit.isascii() and unit.isalpha():  # the usual case: a space and a word
+            ids = [t.id for t in self.model.tokenize(self.letters[32] + unit)]
+        else:
+            ids = [i for piece in written(unit) for i in self.piece(piece)]
         place = self.place[unit] = len(self.size)
         self.first.append(len(self.flat))
         self.size.append(len(ids))
