@@ -129,15 +129,22 @@ def kept_hash(text: pd.Series, keeps: pd.Series) -> pd.Series:
     return pd.Series([None if k is None else hashlib.sha256(kept_text(t or "", k).encode()).hexdigest() for t, k in zip(text, keeps, strict=True)], dtype=object)
 
 
-def with_bitmaps(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10) -> DataFrame:
-    """`documents` with `_n_dropped` and `_keeps`, NULL where no line goes."""
-    maps = keep_bitmaps(documents, id_col, text_col, min_chars).select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("n_dropped").alias("_n_dropped"), F.col("keeps").alias("_keeps"))
-    docs = documents.withColumn("_text_hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    return docs.join(maps, (known_key(docs[id_col]) == F.col("_doc")) & (F.col("_text_hash") == F.col("_hash")), "left").drop("_doc", "_hash", "_text_hash")
+def with_bitmaps(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, prefix: str = "_") -> DataFrame:
+    """`documents` with `<prefix>n_dropped` and `<prefix>keeps`, NULL where no line goes. No column of theirs may begin with the prefix."""
+    own = {"doc": "doc", "hash": "text_hash", "n_dropped": "n_dropped", "keeps": "keeps"}
+    maps = keep_bitmaps(documents, id_col, text_col, min_chars).select(*[F.col(c).alias(f"{prefix}{name}") for name, c in own.items()])
+    docs = documents.withColumn(f"{prefix}text_hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    same = (known_key(docs[id_col]) == F.col(f"{prefix}doc")) & (F.col(f"{prefix}text_hash") == F.col(f"{prefix}hash"))
+    return docs.join(maps, same, "left").drop(*(f"{prefix}{c}" for c in ("doc", "hash", "text_hash")))
 
 
 def deduped_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10) -> DataFrame:
-    """The documents with their kept lines only, with their own columns; a text that loses no line is as it was."""
-    joined = with_bitmaps(documents, id_col, text_col, min_chars)
-    changed = apply_bitmap(F.when(F.col("_keeps").isNotNull(), F.col(text_col)), F.col("_keeps"))
+    """The documents with their kept lines only, with their own columns; a text that loses no line is as it was. Their
+    other columns may have any names."""
+    prefix = "_line_"
+    while any(c.lower().startswith(prefix) for c in documents.columns):
+        prefix += "_"
+    joined = with_bitmaps(documents, id_col, text_col, min_chars, prefix)
+    keeps = F.col(f"{prefix}keeps")
+    changed = apply_bitmap(F.when(keeps.isNotNull(), F.col(text_col)), keeps)
     return joined.withColumn(text_col, F.coalesce(changed, F.col(text_col))).select(*documents.columns)

@@ -311,7 +311,7 @@ def unique_documents(documents: DataFrame, shingle: int = 5, percent: int = 80,
     Every row is a node of its own here, found again by a row number written with the documents.
     """
     row = "_forest_row"
-    while row in documents.columns:
+    while row in [c.lower() for c in documents.columns]:
         row += "_"
     rows = materialize(documents.withColumn(row, F.monotonically_increasing_id()), "forest-documents")
     groups = near_duplicates(rows, shingle, percent, row, text_col, shape).select(F.col("doc_id").alias(row), "component_id")

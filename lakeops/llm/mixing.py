@@ -123,7 +123,7 @@ def mixed_documents(documents: DataFrame, max_repeat: int = 3, seed: str = "mix:
     documents may share a key or have none.
     """
     name = "_mix_row"
-    while name in documents.columns:
+    while any(c.lower().startswith(name) for c in documents.columns):
         name += "_"
     rows = materialize(documents.withColumn(name, F.monotonically_increasing_id()), "mix-documents")
     plan = mix(rows, max_repeat, seed, id_col, text_col, source_col, row_col=name).where("passes > 0").select(F.col("row").alias(name), F.col("passes").alias(f"{name}_n"))

@@ -28,7 +28,8 @@ from lakeops.llm.hashing import factors, mixed
 from lakeops.llm.piece_lattice import SPACE, WORD, Lattices, Pieces
 from lakeops.llm.ranges import known_key, real_key
 
-BATCH_CHARS = 5_000_000
+#: Characters searched at once: each takes some hundred bytes of edges, draws and paths.
+BATCH_CHARS = 1_000_000
 SALTS = factors(6, 71)
 FIRST_NODES = 96
 MOST_NOISE = 38.0  # -log(-log(u)) for the greatest u below 1
