@@ -48,7 +48,8 @@ STAGES = [
     ("segmentations", segmented),
 ]
 
-#: Learned rules and drawn segmentations can't be said in SQL; tests hold the stages against brute force.
+#: Learned rules and drawn segmentations can't be said in SQL; tests hold each stage against its operator, and operators against
+#: brute force.
 ORACLE_SQL = None
 
 
