@@ -47,8 +47,21 @@ class Chunk:
             yield self.data[s:e]
 
 
-def chunk_table(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(chunk, n_bytes, body), written to the scratch folder. A document is in one chunk, however long it is."""
+def texts_body(ids: np.ndarray, texts: list[bytes]) -> tuple:
+    """What `Chunk` reads: ids, sizes and the texts themselves."""
+    return ids.tobytes(), np.array([len(t) for t in texts], np.int64).tobytes(), b"".join(texts)
+
+
+def chunk_table(
+    documents: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    chunk_bytes: int = CHUNK_BYTES,
+    body_of: Callable[[np.ndarray, list[bytes]], tuple] = texts_body,
+) -> DataFrame:
+    """(chunk, n_bytes, body), written to the scratch folder. A document is in one chunk, however long it is.
+
+    `body_of` says what is kept of a chunk's ids and texts."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, number = zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId() << 32
@@ -57,8 +70,7 @@ def chunk_table(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
         held = 0
 
         def chunk() -> pa.RecordBatch:
-            sizes = np.array([len(t) for t in texts], np.int64)
-            body = packer.compress(pickle.dumps((np.array(ids, np.int64).tobytes(), sizes.tobytes(), b"".join(texts)), 5))
+            body = packer.compress(pickle.dumps(body_of(np.array(ids, np.int64), texts), 5))
             return pa.RecordBatch.from_pydict({"chunk": pa.array([number], pa.int64()), "n_bytes": pa.array([held], pa.int64()), "body": pa.array([body], pa.binary())})
 
         for b in batches:
@@ -123,15 +135,15 @@ def questions(chunk: int, hashes: np.ndarray, more: tuple[np.ndarray, ...], buck
     return pd.DataFrame(rows, columns=["bucket", "chunk", "cell"])
 
 
-def ask(chunks: DataFrame, question: Callable[[int, Chunk], pd.DataFrame]) -> DataFrame:
-    """(bucket, chunk, cell): what `question` asks for each chunk."""
+def ask(chunks: DataFrame, question: Callable[[int, Chunk], pd.DataFrame], read: type = Chunk, schema: str = "bucket int, chunk bigint, cell binary") -> DataFrame:
+    """(bucket, chunk, cell): what `question` asks for each chunk, as `read` makes it of its body."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for number, body in zip(b["chunk"], b["body"], strict=True):
-                yield question(int(number), Chunk(body))
+                yield question(int(number), read(body))
 
-    return chunks.select("chunk", "body").mapInPandas(rows, "bucket int, chunk bigint, cell binary")
+    return chunks.select("chunk", "body").mapInPandas(rows, schema)
 
 
 class Asked:
@@ -178,10 +190,12 @@ def answered(cells: pd.DataFrame) -> list[np.ndarray]:
     return [np.concatenate([p[k] for p in parts]) for k in range(len(parts[0]))] if parts else []
 
 
-def settle(chunks: DataFrame, answers: DataFrame, rows: Callable[[int, Chunk, pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+def settle(
+    chunks: DataFrame, answers: DataFrame, rows: Callable[[int, Chunk, pd.DataFrame], pd.DataFrame], schema: str, read: type = Chunk
+) -> DataFrame:
     """`rows` of every chunk with its answers: (chunk number, chunk, cells) -> rows of `schema`."""
 
     def one(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return rows(int(left["chunk"].iloc[0]), Chunk(left["body"].iloc[0]), right)
+        return rows(int(left["chunk"].iloc[0]), read(left["body"].iloc[0]), right)
 
     return chunks.select("chunk", "body").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(one, schema)

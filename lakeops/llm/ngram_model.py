@@ -1,43 +1,59 @@
-"""An interpolated modified Kneser-Ney bigram model, counted in Spark, that scores every document.
+"""An interpolated modified Kneser-Ney trigram model, counted in Spark, kept as sorted hash arrays and mapped by workers.
 
-Counts are asked and answered over buckets of hashes (see `chunks`). First, chunks tell how often each of their
-distinct bigrams comes in their training documents and learn how often it comes in all. One chunk owns each bigram, so
-that in the second step owned bigrams alone tell, per word, how many words precede it and follow it how often; sums over
-all chunks come back with the word's own count. From both answers a chunk scores its documents. Common words cost
-one entry per chunk, whatever follows them.
+Documents are coded once into chunks (see `chunks`): the hashes of a chunk's distinct words, and their numbers in text order.
+Training asks three times. Chunks tell how often each of their distinct trigrams comes and learn how often it comes in
+all; one chunk owns each trigram. Owned trigrams tell, per bigram, how many words precede it and what follows it; owned
+bigrams tell the same of words. A bucket of hashes stores what it counted in the model's folder: sorted hashes and an array
+for each count beside them. Common words cost one entry per chunk, whatever follows them.
 
-Each bucket's part of the model is a sorted array of hashes with its counts beside it, in memory while the bucket answers; no
-model is stored or mapped. Bigrams are told apart by 48 bits of hash, words by 64.
+To score, chunks ask for the n-grams of all orders at once. The worker that has a bucket's questions maps that
+bucket's arrays into memory and looks the sorted hashes up in them, so a worker touches one part of the model, not all of it.
 
-    p(w | v) = (c(v w) - D(c(v w))) / c(v) + g(v) p(w)            p(w) = (n(. w) - D'(n(. w))) / n(. .) + g' / (V + 1)
+    p(w | u v) = (c(u v w) - D3(c(u v w))) / c(u v .) + g(u v) p(w | v)
+    p(w | v)   = (n(. v w) - D2(n(. v w))) / n(. v .) + g(v) p(w)
+    p(w)       = (n(. w) - D1(n(. w))) / n(. .) + g / (V + 1)
 
-with discounts D for counts of 1, 2 and more from the counts of counts (Chen and Goodman), n(. w) the number of different
-words before w, and the last term shared by all words and the unknown one. Texts begin with a mark that is no token and
-end with one that is. The order is two, a third is not built; see README.
+with discounts D for counts of 1, 2 and more from the counts of counts (Chen and Goodman), n(. x) the number of different
+words before x, and the last term shared by all words and the unknown one. Texts begin with two marks that are no tokens
+and end with one that is.
+
+N-grams are told apart by hashes of 64 bits: of m different ones in the model an unseen one is taken for a known one with
+chance m / 2^64, or 5e-7 for 10^13. The folder must be one that all workers can open as files (`file:` or a plain path).
 
 Edge cases: NULL or empty text is the end token alone. A document with NULL id trains. Without training documents every
-token has probability 1 / (V + 1) = 1. Repeated rows train and are scored each.
+token has probability 1 / (V + 1) = 1. Repeated rows train and are scored each. A text is in one chunk however long it is.
+An empty table gives no rows. Only the id and text columns are read, so other columns' names don't matter.
 """
 
 from __future__ import annotations
 
+import os
+import pickle
+import uuid
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
+from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.chunks import Asked, Chunk, answer, answered, ask, bucket_count, chunk_table, pack, questions, settle, unpack
-from lakeops.llm.hashing import Words, factors, mixed
+from lakeops.llm.chunks import ANSWERS, Asked, answered, ask, bucket_count, chunk_table, pack, questions, settle, sums, unpack
+from lakeops.llm.hashing import factors, mixed
 from lakeops.llm.ranges import LEAST, real_key
-from lakeops.session import materialize
+from lakeops.session import materialize, scratch_path
 
 START, END = (np.uint64(x) for x in factors(2, 8))
-PAIR = factors(2, 2)
-SHORT = np.uint64(16)  # bits left out of a bigram's hash
+PAIR, TRIPLE = factors(2, 2), factors(3, 3)
+QUESTIONS = "bucket bigint, chunk bigint, cell binary"
+TOLD = "chunk bigint, bucket bigint, cell binary, told array<bigint>"
 TOTALS = -1  # stands for the chunk in rows that tell a bucket's totals
+ORDER = 1 << 40  # buckets of order k are numbered from k times this on, where all orders are asked at once
+FIELDS = {1: 6, 2: 5, 3: 1}
 
 
 def held_out(doc_id: int, parts: int, part: int) -> bool:
@@ -45,7 +61,7 @@ def held_out(doc_id: int, parts: int, part: int) -> bool:
 
 
 class Distinct:
-    """Distinct hashes in order, for each entry its place among them, and one entry for each."""
+    """Distinct hashes in order, for each entry its place among them, and the first entry of each."""
 
     def __init__(self, hashes: np.ndarray):
         order = np.argsort(hashes, kind="stable")
@@ -56,42 +72,69 @@ class Distinct:
         self.which = np.empty(len(order), np.int64)
         self.which[order] = np.cumsum(starts) - 1
 
-    def sums(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.which, weights, len(self.hashes)).astype(np.int64)
+    def sums(self, which: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
+        return np.bincount(which, weights, len(self.hashes)).astype(np.int64)
+
+
+def coded_body(ids: np.ndarray, texts: list[bytes]) -> tuple:
+    """What `Coded` reads: the hashes of the distinct tokens, and each text as numbers of these, the end included."""
+    lists = [t.lower().split() for t in texts]
+    counts = np.array([len(x) + 1 for x in lists], np.int64)
+    flat = np.empty(int(counts.sum()) - len(lists), dtype=object)
+    flat[:] = [w for x in lists for w in x]
+    codes, words = pd.factorize(flat)
+    known = pd.util.hash_array(words, categorize=False) if len(words) else np.empty(0, np.uint64)
+    numbers = np.zeros(int(counts.sum()), np.uint32)
+    inner = np.ones(len(numbers), bool)
+    inner[np.cumsum(counts) - 1] = False
+    numbers[inner] = codes + 1
+    return ids.tobytes(), counts.tobytes(), np.concatenate([[END], known]).astype(np.uint64).tobytes(), pack(numbers)
+
+
+class Coded:
+    def __init__(self, body: bytes):
+        ids, counts, known, numbers = pickle.loads(zstandard.ZstdDecompressor().decompress(body))
+        self.ids, self.counts = np.frombuffer(ids, np.int64), np.frombuffer(counts, np.int64)
+        self.tokens = np.frombuffer(known, np.uint64)[unpack(numbers)[0]]
 
 
 class Tokens:
-    """Tokens of a chunk with the one before each, its words and bigrams, and which documents train."""
-
-    def __init__(self, chunk: Chunk, parts: int, part: int):
-        words = Words(chunk.texts(), lower=True)
-        self.counts = words.counts + 1
-        ends = np.cumsum(self.counts)
-        self.starts = ends - self.counts
-        self.tokens = np.empty(int(ends[-1]), np.uint64)
-        self.tokens[ends - 1] = END
-        self.tokens[np.arange(len(words.hashes)) + words.text_of()] = words.hashes
-        self.before = np.empty_like(self.tokens)
-        self.before[1:] = self.tokens[:-1]
-        self.before[self.starts] = START
-        self.held_out = np.array([held_out(int(i), parts, part) for i in chunk.ids])
-        self.trains = np.repeat(~self.held_out, self.counts)
-        self.bigrams = Distinct(mixed(self.before * PAIR[0] + self.tokens * PAIR[1]) >> SHORT << SHORT)
+    """Tokens of a chunk, the one before each and the one before that; of all documents or of those marked."""
+
+    def __init__(self, chunk: Coded, marked: np.ndarray | None = None):
+        self.counts = chunk.counts
+        self.starts = np.cumsum(self.counts) - self.counts
+        self.tokens = chunk.tokens
+        self.before = self.shifted(self.tokens)
+        self.earlier = self.shifted(self.before)
+        if marked is not None:
+            here = np.repeat(marked, self.counts)
+            self.tokens, self.before, self.earlier = self.tokens[here], self.before[here], self.earlier[here]
+
+    def shifted(self, tokens: np.ndarray) -> np.ndarray:
+        out = np.empty_like(tokens)
+        out[1:] = tokens[:-1]
+        out[self.starts] = START
+        return out
+
+    def trigrams(self) -> Distinct:
+        return Distinct(mixed(self.earlier * TRIPLE[0] + self.before * TRIPLE[1] + self.tokens * TRIPLE[2]))
+
+    def bigrams(self) -> tuple[Distinct, np.ndarray, np.ndarray]:
+        """All bigrams, and for each token the place of the one that it ends and of the one before it."""
+        pair = lambda a, b: mixed(a * PAIR[0] + b * PAIR[1])
+        found = Distinct(np.concatenate([pair(self.before, self.tokens), pair(self.earlier, self.before)]))
+        return found, found.which[: len(self.tokens)], found.which[len(self.tokens) :]
 
     def words(self) -> tuple[Distinct, np.ndarray, np.ndarray]:
-        """All words, and for each token the place of it and of the one before it."""
+        """All words, and for each token its own place and that of the word before it."""
         found = Distinct(np.concatenate([self.tokens, self.before]))
         return found, found.which[: len(self.tokens)], found.which[len(self.tokens) :]
 
 
-def totals(bucket: int, *values: int) -> pd.DataFrame:
-    return pd.DataFrame({"chunk": [TOTALS], "bucket": [bucket], "cell": [pack(np.array(values, np.int64))]})
-
-
-def total_of(answers: DataFrame) -> np.ndarray:
-    """Sum of all buckets' totals; a few numbers per bucket."""
-    rows = answers.where(F.col("chunk") == TOTALS).select("cell").collect()
-    return np.sum([unpack(r["cell"])[0] for r in rows], axis=0) if rows else np.zeros(8, np.int64)
+def followers(found: Distinct, context: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """What follows each context: how often in all, and how many of count 1, 2 and more."""
+    return [found.sums(context, counts), *[found.sums(context, hit) for hit in (counts == 1, counts == 2, counts > 2)]]
 
 
 def counts_of_counts(counts: np.ndarray) -> list[int]:
@@ -120,75 +163,206 @@ class Discounts:
     def given(self, n1: np.ndarray, n2: np.ndarray, n3: np.ndarray) -> np.ndarray:
         return self.one * n1 + self.two * n2 + self.more * n3
 
+    def interpolated(self, counts: np.ndarray, context: np.ndarray, kinds: list[np.ndarray], lower: np.ndarray) -> np.ndarray:
+        """The counts discounted, and what that gives away dealt out by the order below; all of it after unseen contexts."""
+        seen = np.maximum(context, 1)
+        return np.maximum(counts - self(counts), 0) / seen + np.where(context > 0, self.given(*kinds) / seen, 1.0) * lower
 
-def scores(documents: DataFrame, parts: int = 7, part: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    Documents train unless crc32 of the id as text leaves `part` modulo `parts`.
-    """
-    chunks = chunk_table(documents, id_col, text_col)
+@dataclass(frozen=True)
+class Model:
+    """A stored model: its folder, its number of buckets, what all words share."""
+
+    folder: str
+    buckets: int
+    files: int
+    discounts: tuple[Discounts, Discounts, Discounts]
+    once: tuple[int, int, int]
+    pairs: int
+    tokens: int
+    vocabulary: int
+
+    def path(self, order: int, bucket: int) -> str:
+        return array_path(self.folder, order, bucket)
+
+    def check(self) -> None:
+        found = sum(name.endswith(".npy") for name in os.listdir(self.folder)) if self.files else 0
+        if found != self.files:
+            raise FileNotFoundError(f"{found} of {self.files} files of the model in {self.folder}")
+
+
+def array_path(folder: str, order: int, bucket: int) -> str:
+    return os.path.join(folder, f"{order}-{bucket}.npy")
+
+
+def store(folder: str, order: int, bucket: int, hashes: np.ndarray, counts: list[np.ndarray]) -> None:
+    """One file: sorted hashes, then the counts, one array after the other. It appears whole, also if a task runs twice."""
+    width = "<u4" if max(int(c.max()) for c in counts) < 1 << 32 else "<u8"
+    fields = [("hash", "<u8", (len(hashes),)), ("counts", width, (len(counts), len(hashes)))]
+    whole = np.empty(1, np.dtype(fields))
+    whole["hash"][0], whole["counts"][0] = hashes, counts
+    os.makedirs(folder, exist_ok=True)
+    part = os.path.join(folder, f"{order}-{bucket}-{uuid.uuid4().hex}.part")
+    with open(part, "wb") as f:
+        np.save(f, whole)
+    os.replace(part, array_path(folder, order, bucket))
+
+
+def looked_up(path: str, order: int, hashes: list[np.ndarray]) -> list[list[np.ndarray]]:
+    """For each array of sorted hashes, the counts of each hash in the file, which is mapped; 0 for those not in it."""
+    if not os.path.exists(path):
+        return [[np.zeros(len(h), np.int64)] * FIELDS[order] for h in hashes]
+    stored, out = np.load(path, mmap_mode="r"), []
+    known, counts = stored["hash"][0], stored["counts"][0]
+    for h in hashes:
+        at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+        hit = known[at] == h
+        out.append([np.where(hit, c[at], 0).astype(np.int64) for c in counts])
+    return out
+
+
+def local_folder(path: str) -> str:
+    parsed = urlparse(path)
+    if parsed.scheme not in ("", "file"):
+        raise ValueError(f"workers can't map files in {path}; name a folder that all of them mount")
+    return unquote(parsed.path) if parsed.scheme else path
+
+
+def counted(asked: DataFrame, count: Callable[[Asked], pd.DataFrame], name: str) -> tuple[DataFrame, list[int], int]:
+    """The buckets' answers, the sum of their totals, and how many buckets there were."""
+    rows = materialize(asked.groupBy("bucket").applyInPandas(lambda group: count(Asked(group)), TOLD), name)
+    totals = rows.where(F.col("chunk") == TOTALS)
+    found = totals.select("bucket", F.posexplode("told")).groupBy("pos").agg(F.sum("col").alias("n"), F.count("*").alias("buckets")).orderBy("pos").collect()
+    return rows.where(F.col("chunk") != TOTALS).drop("told"), [r["n"] for r in found] or [0] * 8, found[0]["buckets"] if found else 0
+
+
+def told_rows(bucket: int, told: list[int], answers: pd.DataFrame | None = None) -> pd.DataFrame:
+    own = pd.DataFrame({"chunk": [TOTALS], "bucket": [bucket], "cell": [b""], "told": [told]})
+    return own if answers is None else pd.concat([answers.assign(told=None), own])
+
+
+def train(chunks: DataFrame, trains: Callable[[np.ndarray], np.ndarray], folder: str | None = None) -> Model:
+    """The model of the documents that `trains` marks among a chunk's ids, stored in `folder` (a new one in the shared
+    scratch folder if none is named)."""
+    folder = local_folder(folder or scratch_path(chunks.sparkSession, "ngram-model"))
     buckets = bucket_count(chunks)
 
-    def ask_bigrams(number: int, chunk: Chunk) -> pd.DataFrame:
-        t = Tokens(chunk, parts, part)
-        return questions(number, t.bigrams.hashes, (t.bigrams.sums(t.trains),), buckets)
+    def tokens(chunk: Coded) -> Tokens:
+        return Tokens(chunk, trains(chunk.ids))
+
+    def ask_trigrams(number: int, chunk: Coded) -> pd.DataFrame:
+        found = tokens(chunk).trigrams()
+        return questions(number, found.hashes, (found.sums(found.which),), buckets)
+
+    def owned(asked: Asked) -> np.ndarray:
+        out = np.zeros(len(asked.which), bool)
+        out[asked.order[asked.at]] = True
+        return out
+
+    def count_trigrams(asked: Asked) -> pd.DataFrame:
+        c = asked.gather(np.add, asked.more[0])
+        store(folder, 3, asked.bucket, asked.hashes, [c])
+        return told_rows(asked.bucket, counts_of_counts(c), asked.answers(c[asked.which], owned(asked)))
+
+    def ask_bigrams(number: int, chunk: Coded, cells: pd.DataFrame) -> pd.DataFrame:
+        if not len(cells):
+            return pd.DataFrame([], columns=["bucket", "chunk", "cell"])
+        t = tokens(chunk)
+        trigrams = t.trigrams()
+        count, mine = answered(cells)
+        entry, count = trigrams.entry[mine], count[mine]
+        found, ending, context = t.bigrams()
+        return questions(number, found.hashes, (found.sums(ending[entry]), *followers(found, context[entry], count)), buckets)
 
     def count_bigrams(asked: Asked) -> pd.DataFrame:
-        counts = asked.gather(np.add, asked.more[0])
-        owned = np.zeros(len(asked.which), bool)
-        owned[asked.order[asked.at]] = True
-        return pd.concat([asked.answers(counts[asked.which], owned), totals(asked.bucket, *counts_of_counts(counts), 0, 0, 0, 0)])
-
-    def ask_words(number: int, chunk: Chunk, cells: pd.DataFrame) -> pd.DataFrame:
-        t = Tokens(chunk, parts, part)
-        words, token, before = t.words()
-        count, owned = answered(cells)
-        owned &= count > 0
-        entry, count = t.bigrams.entry[owned], count[owned]
-        n = len(words.hashes)
-        sums = lambda which, weights=None: np.bincount(which, weights, n).astype(np.int64)
-        v = before[entry]
-        told = [sums(token, t.trains), sums(token[entry]), sums(v, count), *[sums(v, hit) for hit in (count == 1, count == 2, count > 2)]]
-        return questions(number, words.hashes, tuple(told), buckets)
+        counts = [asked.gather(np.add, x) for x in asked.more]
+        store(folder, 2, asked.bucket, asked.hashes, counts)
+        return told_rows(asked.bucket, counts_of_counts(counts[0]), asked.answers(counts[0][asked.which], owned(asked)))
+
+    def ask_words(number: int, chunk: Coded, cells: pd.DataFrame) -> pd.DataFrame:
+        if not len(cells):
+            return pd.DataFrame([], columns=["bucket", "chunk", "cell"])
+        t = tokens(chunk)
+        bigrams, _, _ = t.bigrams()
+        count, mine = answered(cells)
+        mine &= count > 0  # leaves the pair of marks out, which ends no trigram; all others end at some token of the chunk
+        entry, count = bigrams.entry[mine], count[mine]
+        found, own, before = t.words()
+        return questions(number, found.hashes, (found.sums(own), found.sums(own[entry]), *followers(found, before[entry], count)), buckets)
 
     def count_words(asked: Asked) -> pd.DataFrame:
-        told = [asked.gather(np.add, x) for x in asked.more]
-        c, preceded = told[0], told[1]
-        own = totals(asked.bucket, *counts_of_counts(preceded), int((preceded > 2).sum()), int(preceded.sum()), int(c.sum()), int((c > 0).sum()))
-        return pd.concat([asked.answers(*[x[asked.which] for x in told]), own])
-
-    bigrams = materialize(answer(ask(chunks, ask_bigrams), count_bigrams), "bigram-counts")
-    wanted = settle(chunks, bigrams.where(F.col("chunk") != TOTALS), ask_words, "bucket int, chunk bigint, cell binary")
-    words = materialize(answer(wanted, count_words), "word-counts")
-    high = Discounts.of(*(int(x) for x in total_of(bigrams)[:4]))
-    m1, m2, m3, m4, m_more, pairs, train_tokens, vocabulary = (int(x) for x in total_of(words))
-    low = Discounts.of(m1, m2, m3, m4)
-
-    def score(number: int, chunk: Chunk, cells: pd.DataFrame) -> pd.DataFrame:
-        t = Tokens(chunk, parts, part)
-        _, token, before = t.words()
-        pair_count, _ = answered(cells[cells["step"] == 1])
-        count, preceded, context, n1, n2, n3 = answered(cells[cells["step"] == 2])
-        base = np.log10((count + 1) / (train_tokens + vocabulary + 1))
-        if pairs:
-            alone = np.maximum(preceded - low(preceded), 0) / pairs + low.given(m1, m2, m_more) / pairs / (vocabulary + 1)
+        counts = [asked.gather(np.add, x) for x in asked.more]
+        store(folder, 1, asked.bucket, asked.hashes, counts)
+        c, preceded = counts[:2]
+        return told_rows(asked.bucket, [*counts_of_counts(preceded), int((preceded > 2).sum()), int(preceded.sum()), int(c.sum()), int((c > 0).sum())])
+
+    trigrams, n3, files3 = counted(ask(chunks, ask_trigrams, Coded), count_trigrams, "trigram-counts")
+    bigrams, n2, files2 = counted(settle(chunks, trigrams, ask_bigrams, QUESTIONS, Coded), count_bigrams, "bigram-counts")
+    _, n1, files1 = counted(settle(chunks, bigrams, ask_words, QUESTIONS, Coded), count_words, "word-counts")
+    discounts = tuple(Discounts.of(*n[:4]) for n in (n1, n2, n3))
+    return Model(folder, buckets, files1 + files2 + files3, discounts, (n1[0], n1[1], n1[4]), *n1[5:8])
+
+
+def score_chunks(chunks: DataFrame, model: Model, out_of: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """Every document of the chunks by a stored model; `out_of` says which ids are held out."""
+    model.check()
+
+    def ask_all(number: int, chunk: Coded) -> pd.DataFrame:
+        t = Tokens(chunk)
+        asked = {3: t.trigrams().hashes, 2: t.bigrams()[0].hashes, 1: t.words()[0].hashes}
+        rows = [questions(number, hashes, (), model.buckets) for hashes in asked.values()]
+        return pd.concat([r.assign(bucket=r["bucket"].astype("int64") + k * ORDER) for k, r in zip(asked, rows, strict=True)])
+
+    def look_up(group: pd.DataFrame) -> pd.DataFrame:
+        order, bucket = divmod(int(group["bucket"].iloc[0]), ORDER)
+        found = looked_up(model.path(order, bucket), order, [sums(unpack(c)[0]) for c in group["cell"]])
+        return pd.DataFrame({"chunk": group["chunk"], "bucket": group["bucket"], "cell": [pack(*x) for x in found]})
+
+    def score(number: int, chunk: Coded, cells: pd.DataFrame) -> pd.DataFrame:
+        t = Tokens(chunk)
+        of = lambda k: answered(cells[cells["bucket"] // ORDER == k])
+        low, mid, high = model.discounts
+        _, own, before = t.words()
+        count, preceded, *follow = of(1)
+        base = np.log10((count + 1) / (model.tokens + model.vocabulary + 1))
+        if model.pairs:
+            rest = low.given(*model.once) / model.pairs / (model.vocabulary + 1)
+            alone = np.maximum(preceded - low(preceded), 0) / model.pairs + rest
         else:
-            alone = np.full(len(count), 1 / (vocabulary + 1))
-        seen = np.maximum(context, 1)
-        back = np.where(context > 0, high.given(n1, n2, n3) / seen, 1.0)
-        pair = pair_count[t.bigrams.which]
-        p = np.maximum(pair - high(pair), 0) / seen[before] + back[before] * alone[token]
+            alone = np.full(len(count), 1 / (model.vocabulary + 1))
+        _, ending, context = t.bigrams()
+        after, *pair_follow = of(2)
+        at = lambda arrays, places: [x[places] for x in arrays]
+        n, *kinds = at(follow, before)
+        p = mid.interpolated(after[ending], n, kinds, alone[own])
+        n, *kinds = at(pair_follow, context)
+        p = high.interpolated(of(3)[0][t.trigrams().which], n, kinds, p)
         per_doc = lambda x: np.add.reduceat(x, t.starts)
         return pd.DataFrame({
-            "doc_id": chunk.ids, "held_out": t.held_out, "n_tokens": t.counts, "n_known": per_doc((count[token] > 0).astype(np.int64)),
-            "train_tokens": train_tokens, "base_score": per_doc(base[token]), "score": per_doc(np.log10(p)),
+            "doc_id": chunk.ids, "held_out": out_of(chunk.ids), "n_tokens": t.counts, "n_known": per_doc((count[own] > 0).astype(np.int64)),
+            "train_tokens": model.tokens, "base_score": per_doc(base[own]), "score": per_doc(np.log10(p)),
         })
 
-    answers = bigrams.where(F.col("chunk") != TOTALS).withColumn("step", F.lit(1)).unionByName(words.where(F.col("chunk") != TOTALS).withColumn("step", F.lit(2)))
-    out = settle(chunks, answers, score, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    answers = ask(chunks, ask_all, Coded, QUESTIONS).groupBy("bucket").applyInPandas(look_up, ANSWERS.replace("bucket int", "bucket bigint"))
+    out = settle(chunks, answers, score, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double", Coded)
     return out.withColumn("doc_id", real_key(F.col("doc_id")))
 
 
+def held_out_ids(parts: int, part: int, ids: np.ndarray) -> np.ndarray:
+    return np.array([held_out(int(i), parts, part) for i in ids], bool)
+
+
+def scores(documents: DataFrame, parts: int = 7, part: int = 2, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
+    """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+
+    Documents train unless crc32 of the id as text leaves `part` modulo `parts`. The model is counted and stored when this
+    is called; the scores are lazy.
+    """
+    chunks = chunk_table(documents, id_col, text_col, body_of=coded_body)
+    out_of = partial(held_out_ids, parts, part)
+    return score_chunks(chunks, train(chunks, lambda ids: ~out_of(ids), folder), out_of)
+
+
 def perplexity(scored: DataFrame) -> DataFrame:
     """Perplexity per token over held-out and training documents, by the model and by single words."""
     per = lambda name: F.pow(F.lit(10.0), -F.sum(name) / F.sum("n_tokens"))

@@ -140,7 +140,7 @@ def op7_piece_sampling(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def op8_ngram_model(spark: SparkSession, sf: str) -> DataFrame:
-    """Score of every document by the bigram model of the training documents."""
+    """Score of every document by the stored trigram model of the training documents."""
     return ngram_model.scores(table(spark, sf, "documents"), parts=7, part=2)
 
 

@@ -107,35 +107,41 @@ def kneser_ney(rows):
     train = [x for i, x in tokens if not out(i)]
     c = Counter(w for x in train for w in x)
     n, v = sum(c.values()), len(c)
-    pairs = Counter(p for x in train for p in zip(["<s>", *x[:-1]], x, strict=True))
-    context, kinds, before = Counter(), defaultdict(lambda: [0, 0, 0]), Counter()
-    for (a, b), k in pairs.items():
-        context[a] += k
-        kinds[a][min(k, 3) - 1] += 1
-        before[b] += 1
+    grams = Counter(g for x in train for g in zip(["<s>", "<s>", *x][: len(x)], ["<s>", *x[:-1]], x, strict=True))
+    pairs, before = Counter((v, w) for _, v, w in grams), Counter()
+    for _, w in pairs:
+        before[w] += 1
 
     def discounts(counts):
-        m = [sum(x == k for x in counts) for k in (1, 2, 3, 4)]
-        d = ngram_model.Discounts.of(*m)
+        d = ngram_model.Discounts.of(*[sum(x == k for x in counts) for k in (1, 2, 3, 4)])
         return d.one, d.two, d.more
 
-    high, low = discounts(pairs.values()), discounts(before.values())
+    def followers(counts):
+        total, kinds = Counter(), defaultdict(lambda: [0, 0, 0])
+        for g, k in counts.items():
+            total[g[:-1]] += k
+            kinds[g[:-1]][min(k, 3) - 1] += 1
+        return total, kinds
+
+    high, mid, low = discounts(grams.values()), discounts(pairs.values()), discounts(before.values())
+    totals, kinds = zip(followers(grams), followers(pairs), strict=True)
     m = [sum(x == 1 for x in before.values()), sum(x == 2 for x in before.values()), sum(x > 2 for x in before.values())]
+    less = lambda k, d: max(k - d[min(k, 3) - 1], 0) if k else 0
 
     def single(w):
-        k = before[w]
-        return (max(k - low[min(k, 3) - 1], 0) if k else 0) / len(pairs) + sum(a * b for a, b in zip(low, m, strict=True)) / len(pairs) / (v + 1)
+        return less(before[w], low) / len(pairs) + sum(a * b for a, b in zip(low, m, strict=True)) / len(pairs) / (v + 1) if pairs else 1 / (v + 1)
+
+    def longer(g, counts, d, which, lower):
+        n = totals[which][g[:-1]]
+        return less(counts[g], d) / n + sum(x * y for x, y in zip(d, kinds[which][g[:-1]], strict=True)) / n * lower if n else lower
+
+    def chance(u, v, w):
+        return longer((u, v, w), grams, high, 0, longer((v, w), pairs, mid, 1, single(w)))
 
-    def pair(a, w):
-        if not context[a]:
-            return single(w)
-        k = pairs[a, w]
-        return (max(k - high[min(k, 3) - 1], 0) if k else 0) / context[a] + sum(x * y for x, y in zip(high, kinds[a], strict=True)) / context[a] * single(w)
+    def score(x):
+        return sum(math.log10(chance(*g)) for g in zip(["<s>", "<s>", *x][: len(x)], ["<s>", *x[:-1]], x, strict=True))
 
-    return [
-        (order(i), out(i), len(x), sum(c[w] > 0 for w in x), n, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in x), sum(math.log10(pair(a, w)) for a, w in zip(["<s>", *x[:-1]], x, strict=True)))
-        for i, x in tokens
-    ]
+    return [(order(i), out(i), len(x), sum(c[w] > 0 for w in x), n, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in x), score(x)) for i, x in tokens]
 
 
 def check_scores(got, want):
@@ -161,6 +167,29 @@ def test_score_query(spark):
     assert by[True]["perplexity"] < by[True]["base_perplexity"]
 
 
+def test_models_are_kept_as_sorted_arrays(spark, frame, tmp_path):
+    texts = [(0, "a b a c"), (1, "b a b a"), (3, "c c a b")]
+    folder = f"file:{tmp_path}/model"
+    chunks = ngram_model.chunk_table(frame(texts), body_of=ngram_model.coded_body)
+    every = lambda ids: np.ones(len(ids), bool)
+    model = ngram_model.train(chunks, every, folder)
+    names = sorted(x.name for x in (tmp_path / "model").iterdir())
+    assert names == ["1-0.npy", "2-0.npy", "3-0.npy"] and model.folder == f"{tmp_path}/model"
+    stored = np.load(tmp_path / "model" / "3-0.npy", mmap_mode="r")
+    assert (np.diff(stored["hash"][0].astype(float)) > 0).all() and stored["counts"].sum() == 15
+    assert isinstance(stored, np.memmap)
+    # other documents by the stored model
+    asked = [(10, "a b"), (11, "a b a"), (14, "a b ?")]
+    other = ngram_model.chunk_table(frame(asked), body_of=ngram_model.coded_body)
+    got = {r["doc_id"]: r["score"] for r in ngram_model.score_chunks(other, model, every).collect()}
+    assert len(got) == 3 and got[10] > got[14]
+    (tmp_path / "model" / "2-0.npy").unlink()
+    with pytest.raises(FileNotFoundError):
+        ngram_model.score_chunks(other, model, every)
+    with pytest.raises(ValueError, match="mount"):
+        ngram_model.local_folder("hdfs://somewhere/model")
+
+
 @pytest.fixture(scope="module")
 def pieces():
     return piece_sampling.pieces_of(PIECES, 0.2)
