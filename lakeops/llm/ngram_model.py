@@ -4,7 +4,7 @@ Documents are coded once into chunks (see `chunks`): the hashes of a chunk's dis
 Training asks three times. Chunks tell how often each of their distinct trigrams comes and learn how often it comes in
 all; one chunk owns each trigram. Owned trigrams tell, per bigram, how many words precede it and what follows it; owned
 bigrams tell the same of words. A bucket of hashes stores what it counted in the model's folder: sorted hashes and an array
-for each count beside them. Common words cost one entry per chunk, whatever follows them.
+for each count beside them, or the hash alone where an n-gram was seen once. Common words cost one entry per chunk, whatever follows them.
 
 To score, chunks ask for the n-grams of all orders at once. The worker that has a bucket's questions maps that
 bucket's arrays into memory and looks the sorted hashes up in them, so a worker touches one part of the model, not all of it.
@@ -53,7 +53,8 @@ QUESTIONS = "bucket bigint, chunk bigint, cell binary"
 TOLD = "chunk bigint, bucket bigint, cell binary, told array<bigint>"
 TOTALS = -1  # stands for the chunk in rows that tell a bucket's totals
 ORDER = 1 << 40  # buckets of order k are numbered from k times this on, where all orders are asked at once
-FIELDS = {1: 6, 2: 5, 3: 1}
+#: Counts of an n-gram seen once, by order: words have their count, and those below the highest what precedes and follows them.
+ONCE = {1: (1, 1, 1, 1, 0, 0), 2: (1, 1, 1, 0, 0), 3: (1,)}
 
 
 def held_out(doc_id: int, parts: int, part: int) -> bool:
@@ -196,11 +197,14 @@ def array_path(folder: str, order: int, bucket: int) -> str:
 
 
 def store(folder: str, order: int, bucket: int, hashes: np.ndarray, counts: list[np.ndarray]) -> None:
-    """One file: sorted hashes, then the counts, one array after the other. It appears whole, also if a task runs twice."""
-    width = "<u4" if max(int(c.max()) for c in counts) < 1 << 32 else "<u8"
-    fields = [("hash", "<u8", (len(hashes),)), ("counts", width, (len(counts), len(hashes)))]
-    whole = np.empty(1, np.dtype(fields))
-    whole["hash"][0], whole["counts"][0] = hashes, counts
+    """One file: the sorted hashes of n-grams seen once, which need no counts, then those of all others, and an array for
+    each of their counts. It appears whole, also if a task runs twice."""
+    table = np.stack(counts)
+    single = (table.T == ONCE[order]).all(axis=1)
+    rest = table[:, ~single]
+    width = "<u4" if rest.max(initial=0) < 1 << 32 else "<u8"
+    whole = np.empty(1, [("once", "<u8", (int(single.sum()),)), ("hash", "<u8", (rest.shape[1],)), ("counts", width, rest.shape)])
+    whole["once"][0], whole["hash"][0], whole["counts"][0] = hashes[single], hashes[~single], rest
     os.makedirs(folder, exist_ok=True)
     part = os.path.join(folder, f"{order}-{bucket}-{uuid.uuid4().hex}.part")
     with open(part, "wb") as f:
@@ -208,16 +212,27 @@ def store(folder: str, order: int, bucket: int, hashes: np.ndarray, counts: list
     os.replace(part, array_path(folder, order, bucket))
 
 
+def places(known: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which hashes are in the sorted array, and where those are."""
+    if not len(known):
+        return np.zeros(len(hashes), bool), np.empty(0, np.int64)
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    hit = known[at] == hashes
+    return hit, at[hit]
+
+
 def looked_up(path: str, order: int, hashes: list[np.ndarray]) -> list[list[np.ndarray]]:
     """For each array of sorted hashes, the counts of each hash in the file, which is mapped; 0 for those not in it."""
-    if not os.path.exists(path):
-        return [[np.zeros(len(h), np.int64)] * FIELDS[order] for h in hashes]
-    stored, out = np.load(path, mmap_mode="r"), []
-    known, counts = stored["hash"][0], stored["counts"][0]
+    stored = np.load(path, mmap_mode="r") if os.path.exists(path) else None
+    out = []
     for h in hashes:
-        at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-        hit = known[at] == h
-        out.append([np.where(hit, c[at], 0).astype(np.int64) for c in counts])
+        counts = np.zeros((len(ONCE[order]), len(h)), np.int64)
+        if stored is not None:
+            hit, _ = places(stored["once"][0], h)
+            counts[:, hit] = np.array(ONCE[order])[:, None]
+            hit, at = places(stored["hash"][0], h)
+            counts[:, hit] = stored["counts"][0][:, at]
+        out.append(list(counts))
     return out
 
 
