@@ -6,7 +6,7 @@ these operators free of a sort over whole files: rows that cannot be part of a b
 windows run over one split, with the join between splits done on one row per split.
 
 `numbered` must be applied to rows that came from `read_lines` through filters and projections only: then a task run
-again on another executor, and another scan of the same files in the plan, give the same numbers.
+again on another executor gives the same numbers.
 """
 
 from __future__ import annotations
@@ -17,7 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lakeops.functions.text import quoted
+from lakeops.session import materialize
+
 PLACE = ["file_path", "block"]
+STRETCH = 100_000  # rows; well under 128 of them make a split of text, from where Spark's aggregate of lists sorts
 
 
 def numbered(df: DataFrame) -> DataFrame:
@@ -25,23 +29,34 @@ def numbered(df: DataFrame) -> DataFrame:
     return df.withColumn("_n", F.monotonically_increasing_id())
 
 
-def split_edges(df: DataFrame) -> DataFrame:
-    """One row per split with rows: `_first` and `_last` row number, both also of the split before."""
+def gathered(df: DataFrame, wanted: Column) -> tuple[DataFrame, DataFrame]:
+    """The `wanted` rows of a numbered frame, and one row per split with rows: `_first` and `_last` row number, both also of
+    the split before.
+
+    The text is read once, when this is called: stretches of `STRETCH` rows are aggregated where they are read, each to its
+    least and greatest number and a list of its wanted rows, and written to the scratch folder. A list is bounded by the
+    stretch, and a split has too few stretches for the aggregate to sort.
+    """
+    rest = [c for c in df.columns if c not in PLACE]
+    row = F.when(wanted, F.struct(*[quoted(c) for c in rest]))
+    stretch = F.floor(F.col("_n") / STRETCH).alias("_stretch")
+    told = df.groupBy(*PLACE, stretch).agg(F.min("_n").alias("_first"), F.max("_n").alias("_last"), F.collect_list(row).alias("_rows"))
+    parts = materialize(told.drop("_stretch"), "open-rows")
+    rows = parts.select(*PLACE, F.explode("_rows").alias("_row"))
     by_file = W.partitionBy("file_path").orderBy("block")  # one row per split of a file
-    edges = df.groupBy(*PLACE).agg(F.min("_n").alias("_first"), F.max("_n").alias("_last"))
-    return edges.withColumns(
-        {"_before": F.lag("block").over(by_file), "_before_last": F.lag("_last").over(by_file)}
-    )
+    edges = parts.groupBy(*PLACE).agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"))
+    edges = edges.withColumns({"_before": F.lag("block").over(by_file), "_before_last": F.lag("_last").over(by_file)})
+    return rows.select(*PLACE, *[F.col("_row").getField(c).alias(c) for c in rest]), edges
 
 
-def with_next(df: DataFrame, wanted: Column, columns: Sequence[str]) -> DataFrame:
-    """The `wanted` rows of a numbered frame, each with `_next`: the given columns of the row right after it in the
-    file if that is a wanted row too, else NULL. Also keeps `_first` and `_last` of the split.
+def with_next(wanted: DataFrame, edges: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows and edges of `gathered`: each row with `_next`, the given columns of the row right after it in the
+    file if that is one of them too, else NULL. Also `_first` and `_last` of the split.
 
     A split's first row is also placed behind the last row of the split before, so that one window per split sees it.
     """
     row = F.struct("_n", *columns)
-    rows = df.where(wanted).join(split_edges(df), PLACE)
+    rows = wanted.join(edges, PLACE)
     home = F.struct("block", "_n", F.lit(False).alias("copy"))
     away = F.struct(F.col("_before").alias("block"), (F.col("_before_last") + 1).alias("_n"), F.lit(True).alias("copy"))
     leads = (F.col("_n") == F.col("_first")) & F.col("_before").isNotNull()

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeops.functions.text import ends_with_stamp, has_stamp, is_stamp, quoted
-from lakeops.operators.lines import PLACE, numbered, split_edges, with_next
+from lakeops.operators.lines import PLACE, gathered, numbered, with_next
 from lakeops.operators.records import LIMIT, records
 
 
@@ -92,11 +92,11 @@ def repair_linebreak(
 
     The stamp is taken when it has more than `stamp_min` characters, the rest of the name when the stamp has more than
     `name_min`; None takes whatever the next row has. Rows with a stamp are never part of this and are passed on where
-    they are. `df` needs file_path and block, and must come straight from the reader.
+    they are. `df` needs file_path and block, and must come straight from the reader. The text is read twice: rows without a
+    stamp and the edges of splits go to the scratch folder when this is called, all others are read as the result is.
     """
-    rows = numbered(df)
     stamp = quoted(cols.stamp)
-    open_rows = with_next(rows, stamp.isNull(), cols.cells)
+    open_rows = with_next(*gathered(numbered(df), stamp.isNull()), cols.cells)
     after = lambda c: F.col("_next").getField(c)
     tail = after(cols.id).isNotNull() & after(cols.name).isNull() & after(cols.stamp).isNull()
 
@@ -111,7 +111,7 @@ def repair_linebreak(
         }
     )
     columns = [quoted(c) for c in df.columns]
-    whole = rows.where(stamp.isNotNull()).select(columns)
+    whole = df.where(stamp.isNotNull()).select(columns)
     return drop_continuations(whole.unionByName(fixed.select(columns)), cols)
 
 
@@ -125,11 +125,12 @@ def detect_pairs(df: DataFrame, cols: LogColumns = LOG) -> DataFrame:
 
     A row without stamp is the first half when the next row's first cell has no digit and its second holds a stamp. Of
     several such rows in a run every other one counts, from the first, as a row used as second half starts no pair.
+    The text is read once, when this is called: rows that may be halves and the edges of splits go to the scratch folder.
     """
-    rows = numbered(df)
     id_cell, phone, stamp = quoted(cols.id), quoted(cols.phone), quoted(cols.stamp)
     tail = F.coalesce(~id_cell.rlike(r"\d") & has_stamp(phone), F.lit(False))
-    seen = with_next(rows.withColumn("_tail", tail), stamp.isNull() | F.col("_tail"), [*cols.cells, "_tail"])
+    wanted, edges = gathered(numbered(df).withColumn("_tail", tail), stamp.isNull() | F.col("_tail"))
+    seen = with_next(wanted, edges, [*cols.cells, "_tail"])
     heads = seen.where(stamp.isNull() & F.col("_next._tail"))
 
     # runs within a split, then how long a run already is when it crosses into a split
@@ -141,7 +142,7 @@ def detect_pairs(df: DataFrame, cols: LogColumns = LOG) -> DataFrame:
         F.max(F.when(F.col("_n") == F.col("_last"), F.col("_k"))).alias("_open"),
         F.max(F.when((F.col("_n") == F.col("_last")) & F.col("_leads"), F.lit(1))).alias("_whole"),
     )
-    splits = split_edges(rows).join(per_split, PLACE, "left")
+    splits = edges.join(per_split, PLACE, "left")
     by_file = W.partitionBy("file_path").orderBy("block")
     chain = F.sum(F.when(F.col("_whole").isNull(), 1).otherwise(0)).over(by_file)
     splits = splits.withColumn("_chain", chain)

@@ -262,6 +262,32 @@ def test_plain_lines_are_not_moved(spark, read, tmp_path):
         assert not on_the_way
 
 
+def test_broken_lines_are_found_in_one_scan(spark, read, monkeypatch):
+    """Open rows and the edges of splits go to the scratch folder in one scan; the rest of a plan reads from there."""
+    from lakeops.operators import lines as neighbours
+
+    plans = []
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("FileScan text")
+    written = neighbours.materialize
+    monkeypatch.setattr(neighbours, "materialize", lambda df, name: plans.append(scans(df)) or written(df, name))
+    assert scans(repair.clean_log(read({"a.csv": SAMPLE * 3}, 60))) + sum(plans) == 2
+    plans.clear()
+    cells = repair.split_cells(repair.data_lines(read({"a.csv": SAMPLE * 3}, 60)))
+    assert (scans(repair.detect_pairs(cells)), plans) == (0, [1])
+
+
+@pytest.mark.parametrize("stretch", [1, 2, 3, 1000])
+def test_stretches_of_any_length(read, monkeypatch, stretch):
+    from lakeops.operators import lines as neighbours
+
+    lines = read({"a.csv": SAMPLE * 3, "b.csv": SAMPLE}, 50)
+    want = bag([tuple(r) for r in repair.clean_log(lines).select(*[f"`{c}`" for c in LOG.cells]).collect()])
+    pairs = bag([tuple(r)[2:] for r in repair.detect_pairs(repair.split_cells(repair.data_lines(lines))).collect()])
+    monkeypatch.setattr(neighbours, "STRETCH", stretch)
+    assert bag([tuple(r) for r in repair.clean_log(lines).select(*[f"`{c}`" for c in LOG.cells]).collect()]) == want
+    assert bag([tuple(r)[2:] for r in repair.detect_pairs(repair.split_cells(repair.data_lines(lines))).collect()]) == pairs
+
+
 @pytest.mark.parametrize("split_bytes", [None, 200])
 def test_a_file_without_any_end_comes_in_pieces(read, split_bytes):
     lines = [f"line {k} without an end" for k in range(300)]
