@@ -13,7 +13,7 @@ from lakeops.plans.extracts import export_payroll, export_transactions, officer_
 from lakeops.plans.feeds import CATEGORIES, LOGINS, aside, centers, ingest
 from lakeops.plans.metadata import load_metadata
 from lakeops.session import scratch_path
-from lakeops.sinks import export, tables
+from lakeops.sinks import export, tables, versions
 from lakeops.sources.files import (
     literal_rows,
     read_csv,
@@ -293,6 +293,22 @@ def replace_own_input(spark: SparkSession, sf: str) -> DataFrame:
     return tables.replace_self(spark, start.where("c_acctbal >= 0"), second, view)
 
 
+@query(
+    """
+    SELECT c_custkey, c_acctbal, 2 AS version FROM customer WHERE c_acctbal >= 0
+    UNION ALL SELECT c_custkey, c_acctbal, 1 FROM customer
+    """
+)
+def versioned_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table replaced by what is computed from it; another session reads the new version, and the old one by its number."""
+    path = scratch_path(spark, "versions")
+    versions.publish(table(spark, sf, "customer").select("c_custkey", "c_acctbal"), path)
+    versions.publish(versions.read_version(spark, path).where("c_acctbal >= 0"), path)
+    other = spark.newSession()
+    live, first = versions.read_version(other, path), versions.read_version(other, path, 1)
+    return live.withColumn("version", F.lit(2)).unionByName(first.withColumn("version", F.lit(1)))
+
+
 @query(
     f"""
     WITH p AS (SELECT max(ts)::DATE AS d FROM events),
