@@ -103,8 +103,8 @@ def upsert_range(
       replaced and each slice row is in the base, added or already there;
     - a row outlives the day unreplaced only if its status is the day's only one.
 
-    So whether a slice row finds its equal in the base, and what a row ends up as, follows from small per-key tables of
-    days. A group in these has no more rows than there are days (times statuses). Base and slices are each joined with
+    So whether a slice row finds its equal in the base follows from small per-key tables of days, and what a row ends up
+    as from the days' maps of statuses, composed for all days at once (see `_ends`). Work is linear in days. A group in these has no more rows than there are days (times statuses). Base and slices are each joined with
     tables of one row per key, status and day, and so stay splittable when a key is hot.
 
     The per-key tables are written to the scratch folder when this is called; the result itself is lazy. The base is
@@ -190,39 +190,89 @@ def _found(tuples: DataFrame, days: DataFrame, keys: list[str], match: list[str]
     return joined.where(F.coalesce(lasted, F.lit(False)) | became).select(*match, "_at")
 
 
-def _last_days(days: DataFrame, keys: list[str]) -> DataFrame:
-    """The days that decide how a key's rows end: from each run of days with one and the same only status its first day,
-    from the last run back to the latest earlier day with an only status.
+def _ends(days: DataFrame, keys: list[str], status: str, no_day: Column) -> DataFrame:
+    """Per (key, day), and per key for the time before all days: what becomes of a row on the days that follow.
 
-    That day leaves all rows with its status, whatever they were before; the days between have several statuses each,
-    so replace every row. For a key with one status a day that makes two days.
+    A day is a map from status to status: all but its first status go to the first, the first goes to the second, or
+    stays if the day has no other. After it a row has one of two statuses, so from one day to the next there are three
+    maps between these: both to the first (`_meets`), each to the other (`_turns`), each to itself. Maps of this kind
+    compose by counting: from the last `_meets` on, or from the row's own day if that is later, only whether the turns
+    are even or odd matters. Running counts over a key's days give that for all days at once, in time linear in days.
+
+    The last day replaces every row if it has two statuses. If it has one, rows that have it since before the run of
+    days with that only status stay, and were put in place on the day before the run; all others came with the run.
+
+    `_next` is the day after this one with its statuses `first` and `second`, whether it has `two`, and where rows end
+    that it makes its first or second, `_end1` and `_end2`: the day and the candidate, NULL if they stay.
     """
-    back = W.partitionBy(*keys).orderBy(F.col("_at").desc())
-    earlier = F.sum(F.when(F.col("_only").isNotNull() & (F.col("_n") > 1), 1).otherwise(0))
-    runs = days.where(~F.col("_goes_on")).withColumn("_n", F.row_number().over(back))
-    passed = earlier.over(back.rowsBetween(W.unboundedPreceding, -1))
-    return runs.withColumn("_passed", F.coalesce(passed, F.lit(0))).where("_passed = 0")
+    state = F.struct(F.col("_s1")[status].alias("first"), F.col("_s2")[status].alias("second"), F.col("_s2").isNotNull().alias("two"))
+    start = F.lit(None).cast(days.select(state.alias("s")).schema["s"].dataType)
+    marks = days.select(*keys, "_at", state.alias("_state")).unionByName(
+        days.select(*keys).distinct().select(*keys, no_day.alias("_at"), start.alias("_state"))
+    )
+    by_key = W.partitionBy(*keys).orderBy("_at")
+    whole, so_far = by_key.rowsBetween(W.unboundedPreceding, W.unboundedFollowing), by_key.rowsBetween(W.unboundedPreceding, 0)
+    real, two, before = F.col("_state").isNotNull(), F.col("_state.two"), F.col("_before")
+    same = lambda a, b: F.col(f"_state.{a}").eqNullSafe(before[b])
+    turns = real & before.isNotNull() & two & same("first", "first")
+    stays = real & before.isNotNull() & two & before["two"] & same("first", "second")
+    begins = real & ~F.coalesce(~two & ~before["two"] & same("first", "first"), F.lit(False))  # a run of days of one status
+    seen = (
+        marks.withColumn("_before", F.lag("_state").over(by_key))
+        .withColumn("_day_before", F.when(before.isNotNull(), F.lag("_at").over(by_key)))
+        .withColumn("_turns", F.sum(F.when(turns, 1).otherwise(0)).over(so_far))
+        .withColumn("_meets", F.when(real & ~F.coalesce(turns | stays, F.lit(False)), F.struct("_at", "_turns")))
+        .withColumn("_met", F.last("_meets", ignorenulls=True).over(so_far))
+        .withColumn("_run", F.last(F.when(begins, F.struct("_at", "_day_before", "_before", F.col("_state.first").alias("only"))), ignorenulls=True).over(so_far))
+    )
+    # the last day with two statuses that has a say: the last day of all, or the one before the last run
+    final = F.struct("_at", "_state", "_turns", "_met")
+    told = (
+        seen.withColumn("_last", F.last(final).over(whole))
+        .withColumn("_run", F.last("_run").over(whole))
+        .withColumn("_prior", F.last(F.when(F.col("_at") == F.col("_run._day_before"), final), ignorenulls=True).over(whole))
+    )
+
+    def at(day: Column, x: int) -> Column:
+        """Which of `day`'s two statuses a row has then that has the x-th after this row's day."""
+        met = day["_met"]
+        odd = F.when(met["_at"] > F.col("_at"), day["_turns"] - met["_turns"]).otherwise(day["_turns"] - F.col("_turns") + x - 1)
+        return F.when(odd % 2 == 0, 1).otherwise(2)
+
+    def end(x: int) -> Column:
+        def put(day: Column, which: Column) -> Column:
+            return F.struct(day.alias("at"), which.alias("which"))
+
+        last, prior, run = F.col("_last"), F.col("_prior"), F.col("_run")
+        there = at(prior, x)
+        of_prior = F.when(there == 1, prior["_state"]["first"]).otherwise(prior["_state"]["second"])
+        kept = prior.isNotNull() & (F.col("_at") <= prior["_at"]) & prior["_state"]["two"] & of_prior.eqNullSafe(run["only"])
+        by_run = (
+            F.when(F.col("_at") >= run["_at"], F.lit(None))
+            .when(kept & (F.col("_at") < prior["_at"]), put(prior["_at"], there))
+            .when(~F.coalesce(kept, F.lit(False)), put(run["_at"], F.lit(1)))
+        )
+        by_last = F.when(F.col("_at") < last["_at"], put(last["_at"], at(last, x)))
+        return F.when(last["_state"]["two"], by_last).otherwise(by_run)
+
+    following = F.struct("_at", "_state.*", end(1).alias("_end1"), end(2).alias("_end2"))
+    return told.select(*keys, "_at", following.alias("_this")).select(*keys, "_at", F.lead("_this").over(by_key).alias("_next"))
 
 
 def _final(statuses: DataFrame, days: DataFrame, keys: list[str], status: str, no_day: Column) -> DataFrame:
     """What a row of some status, in the base since some day, is in the end: (key, status, day) -> `_row`. Rows that
     stay as they are are not listed."""
-    day = F.struct(
-        "_at", F.col("_s1")[status].alias("first"), F.col("_s2")[status].alias("second"), F.col("_s2").isNotNull().alias("two")
+    following, mine = F.col("_next"), F.col(status)
+    put = lambda which: F.struct(following["_at"].alias("at"), F.lit(which).alias("which"))
+    end = (
+        F.when(_differs(mine, following["first"]), F.coalesce(following["_end1"], put(1)))
+        .when(following["two"], F.coalesce(following["_end2"], put(2)))
+        .otherwise(following["_end1"])
     )
-    steps = _last_days(days, keys).groupBy(*keys).agg(F.array_sort(F.collect_list(day)).alias("_steps"))
-    start = F.struct(F.col(status).alias("status"), no_day.alias("at"), F.lit(0).alias("which"))
-
-    def step(now: Column, d: Column) -> Column:
-        to_first = F.struct(d["first"].alias("status"), d["_at"].alias("at"), F.lit(1).alias("which"))
-        to_second = F.struct(d["second"].alias("status"), d["_at"].alias("at"), F.lit(2).alias("which"))
-        return F.when(_differs(now["status"], d["first"]), to_first).when(d["two"], to_second).otherwise(now)
-
-    later = F.filter("_steps", lambda d: d["_at"] > F.col("_at"))
     moved = (
-        join_on(statuses, steps, keys, "inner", True)
-        .withColumn("_end", F.aggregate(later, start, step))
-        .where("_end.which > 0")
+        join_on(statuses, _ends(days, keys, status, no_day).where(following.isNotNull()), [*keys, "_at"], "inner", True)
+        .withColumn("_end", end)
+        .where("_end is not null")
         .select(*keys, status, F.col("_at").alias("_since"), F.col("_end.at").alias("_at"), F.col("_end.which").alias("_which"))
     )
     ends = days.select(*keys, "_at", "_s1", "_s2")

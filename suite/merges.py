@@ -45,11 +45,11 @@ def category_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def upsert_steps(slices: list[str], null_safe: bool, start: str) -> str:
+def upsert_steps(slices: list[str], null_safe: bool, start: str, keys: list[str] = KEYS) -> str:
     """UPDATE then INSERT for each slice, each as a step over the table before."""
     equal = "t.{0} IS NOT DISTINCT FROM s.{0}" if null_safe else "t.{0} = s.{0}"
     differ = "t.status IS DISTINCT FROM s.status" if null_safe else "t.status <> s.status"
-    on_keys = " AND ".join(equal.format(k) for k in KEYS)
+    on_keys = " AND ".join(equal.format(k) for k in keys)
     on_match = " AND ".join(equal.format(c) for c in MATCH)
     best = ", ".join(f"s.{c} DESC NULLS LAST" for c in ["last_updated", *COLUMNS])
     new = ", ".join(f"CASE WHEN s.file_name IS NULL THEN t.{c} ELSE s.{c} END AS {c}" for c in COLUMNS)
@@ -108,6 +108,26 @@ def upsert_range_null_safe(spark: SparkSession, sf: str) -> DataFrame:
     return all_slices(spark, sf, True)
 
 
+MONTHS = [(year, month) for year in range(1999, 2002) for month in range(1, 13)]
+
+
+@query(
+    upsert_steps(
+        [f"year(created) = {year} AND month(created) = {month}" for year, month in MONTHS],
+        False,
+        "year(created) < 1999",
+        ["level_2"],
+    )
+)
+def upsert_range_busy_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """A few keys with all statuses in every month."""
+    rows = category_rows(spark, sf)
+    year = F.year("created")
+    base = rows.where(year < 1999)
+    months = rows.where(year.between(1999, 2001)).withColumn("month", year * 100 + F.month("created"))
+    return plain(upsert_many(base, months, "month", ["level_2"], "status", MATCH, ["last_updated"]))
+
+
 EVENT_KEYS = ["level_1", "level_2", "status"]
 EVENT_ROWS_SQL = """
     rows AS MATERIALIZED (

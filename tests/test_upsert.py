@@ -116,3 +116,34 @@ def test_long_chains_of_days_with_several_statuses(spark):
     slices = spark.createDataFrame([r for rows in days for r in rows], SCHEMA)
     got = upsert_range(spark.createDataFrame(base, SCHEMA), slices, "day", KEYS, STATUS, MATCH, PREFER)
     assert bag(got.collect()) == bag(want)
+
+
+def test_616_days_with_several_statuses_each(spark):
+    rng = random.Random(7)
+    base, days = random_rows(rng, 6, 0, "ABC", 0), []
+    for d in range(1, 617):
+        statuses = rng.choice(["AB", "AB", "BC", "ABC", "AC", "A"]) if d < 600 else "AB"
+        days.append([(rng.choice("ab"), "x", rng.choice(["n1", "n2"]), s, "u", rng.randint(1, 3), d) for s in statuses])
+    want = base
+    for rows in days:
+        want = fold_day(want, rows, False)
+    slices = spark.createDataFrame([r for rows in days for r in rows], SCHEMA)
+    got = upsert_range(spark.createDataFrame(base, SCHEMA), slices, "day", KEYS, STATUS, MATCH, PREFER)
+    assert bag(got.collect()) == bag(want)
+
+
+@pytest.mark.parametrize("ending", ["A", "B", "AB", "BA"])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_ends_of_chains(spark, ending, null_safe):
+    """Runs of one status at the end, after days with several, NULL statuses among them."""
+    rng = random.Random(len(ending) + null_safe)
+    base, days = random_rows(rng, 12, 0, "ABC", 0.1), []
+    for d in range(1, 15):
+        statuses = [rng.choice(["A", "B", "C", None]) for _ in range(rng.randint(1, 3))] if d < 11 else list(ending)
+        days.append([(rng.choice("ab"), "x", rng.choice(["n1", "n2"]), s, "u", rng.randint(1, 3), d) for s in statuses])
+    want = base
+    for rows in days:
+        want = fold_day(want, rows, null_safe)
+    slices = spark.createDataFrame([r for rows in days for r in rows], SCHEMA)
+    got = upsert_range(spark.createDataFrame(base, SCHEMA), slices, "day", KEYS, STATUS, MATCH, PREFER, null_safe)
+    assert bag(got.collect()) == bag(want)
