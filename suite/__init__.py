@@ -6,7 +6,7 @@ from importlib import import_module
 
 from suite.registry import ORACLES, QUERIES
 
-for _module in ("reports", "merges", "versions", "joins", "columns", "lines", "nested", "storage", "streams"):
+for _module in ("reports", "merges", "versions", "joins", "columns", "lines", "nested", "storage", "buckets", "streams"):
     import_module(f"suite.{_module}")
 
 __all__ = ["ORACLES", "QUERIES"]
