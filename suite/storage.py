@@ -11,7 +11,7 @@ from lakeops.operators.mapping import flatten_paths, schema_for
 from lakeops.plans.close_status import close_status, stamp_snapshot
 from lakeops.plans.extracts import export_payroll, export_transactions, officer_list
 from lakeops.plans.feeds import CATEGORIES, LOGINS, aside, centers, ingest
-from lakeops.plans.metadata import load_metadata
+from lakeops.plans.metadata import PATHS, load_metadata
 from lakeops.session import scratch_path
 from lakeops.sinks import export, tables, versions
 from lakeops.sources.files import (
@@ -225,6 +225,42 @@ def xml_metadata(spark: SparkSession, sf: str) -> DataFrame:
     return found.crossJoin(F.broadcast(outcome.select("passed")))
 
 
+def element(k: int, type: str) -> Column:
+    """A value for the k-th element: some are absent, some numbers are no numbers."""
+    absent = (F.col("event_id") + k) % 11 == 0
+    if type == "array":
+        return F.array(F.concat("event_type", F.lit(f" {k}")), "props")
+    if type == "string":
+        return F.when(~absent, F.concat("event_type", F.lit(f" {k}")))
+    number = F.col("event_id") + k if type == "int" else F.col("value")
+    return F.when(absent, "n/a").otherwise(number.cast("string"))
+
+
+def element_sql(k: int, path: str, type: str) -> str:
+    value = {"array": f"event_type || ' {k};' || props", "string": f"event_type || ' {k}'", "int": f"(event_id + {k})::INT", "double": "value"}[type]
+    there = "" if type == "array" else f"CASE WHEN (event_id + {k}) % 11 <> 0 THEN "
+    return f"{there}{value}{' END' if there else ''} AS {path.replace('.', '_')}"
+
+
+@query(f"SELECT {', '.join(element_sql(k, *p) for k, p in enumerate(PATHS))} FROM events")
+def xml_metadata_every_path(spark: SparkSession, sf: str) -> DataFrame:
+    """Metadata records with all listed elements, loaded and told one by one."""
+    source, target = scratch_path(spark, "xml"), scratch_path(spark, "metadata")
+
+    def nested(at: str) -> Column:
+        """The struct of everything below `at`."""
+        below = [(k, p[len(at) :], t) for k, (p, t) in enumerate(PATHS) if p.startswith(at)]
+        names = list(dict.fromkeys(p.split(".")[0] for _, p, _ in below))
+        leaf = {p: element(k, t) for k, p, t in below if "." not in p}
+        return F.struct(*[(leaf[n] if n in leaf else nested(f"{at}{n}.")).alias(n) for n in names])
+
+    table(spark, sf, "events").select(nested("").alias("all")).select("all.*").write.format("xml").option("rowTag", "metadata").option("rootTag", "all").save(source)
+    load_metadata(spark, source, target)
+    flat = flatten_paths(read_table(spark, target), PATHS)
+    joined = {p.replace(".", "_") for p, t in PATHS if t == "array"}
+    return flat.select([F.array_join(c, ";").alias(c) if c in joined else F.col(c) for c in flat.columns])
+
+
 def keyed_events(spark: SparkSession, sf: str) -> DataFrame:
     day = lambda fmt: F.date_format("ts", fmt)
     return table(spark, sf, "events").select(
