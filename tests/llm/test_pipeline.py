@@ -1,4 +1,10 @@
+from collections import Counter
+
 import corpus_pipeline
+import duckdb
+import pyarrow as pa
+from test_dedup import groups_of, kept_lines
+from test_rules_and_mixing import WORD, counted
 
 from lakeops.llm import lsh_forest, quality_rules
 from lakeops.llm.queries import ORACLES, QUERIES
@@ -10,10 +16,68 @@ def test_registry():
     import __spark_entry__ as driver
 
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
-    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 10
+    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 13
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "line dedup", "near-dedup", "mixing", "segmentations"]
 
 
+def measures(text):
+    """What the rules may test, counted in plain Python."""
+    n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words = counted(text)
+    found = lambda chars: sum(c in chars for c in text)
+    return {
+        "n_words": n_words,
+        "mean_word": word_chars / max(n_words, 1),
+        "symbol_share": n_symbols / max(word_chars, 1),
+        "dup_line_share": n_dup_lines / (text.count("\n") + 1),
+        "repeat_share": n_repeat_words / max(n_words, 1),
+        "distinct_share": len(set(WORD.findall(text))) / max(n_words, 1),
+        "upper_share": found("ABCDEFGHIJKLMNOPQRSTUVWXYZ") / max(word_chars, 1),
+        "mark_share": found(".,;:!?") / max(word_chars, 1),
+        "digit_share": found("0123456789") / max(word_chars, 1),
+    }
+
+
+def passes(rules, text):
+    """The verdict by hand: base rules, then the learned list."""
+    n_words, _, _, _, n_repeat_words = counted(text)
+    values = measures(text or "")
+    holds = lambda c: values[c.measure] > c.threshold if c.above else values[c.measure] <= c.threshold
+    return n_words >= 50 and 100 * n_repeat_words <= 50 * n_words and not any(all(map(holds, rule)) for rule in rules)
+
+
+def test_stages_by_brute_force(spark):
+    """Each stage on what the one before it kept, against plain Python; the mix against its SQL."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def through(name, docs):
+        return [tuple(r) for r in stages[name](spark, docs, SF).collect()]
+
+    given = [tuple(r) for r in docs.collect()]
+    at = {c: i for i, c in enumerate(docs.columns)}
+    pairs = lambda rows: [(r[at["doc_id"]], r[at["text"]]) for r in rows]
+
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    rules = quality_rules.learn(quality_rules.labelled_statistics(docs, labels, "doc_id", "text", 20_000))
+    good = through("quality rules", docs)
+    assert sorted(good, key=repr) == sorted([r for r in given if passes(rules, r[at["text"]])], key=repr)
+
+    lines = through("line dedup", spark.createDataFrame(good, docs.schema))
+    want = Counter(zip([i for i, _ in pairs(good)], kept_lines(pairs(good)), strict=True))
+    assert Counter(pairs(lines)) == want
+
+    unique = through("near-dedup", spark.createDataFrame(lines, docs.schema))
+    group = groups_of(pairs(lines), 5, 80)
+    assert sorted(unique, key=repr) == sorted([r for r in lines if group[r[at["doc_id"]]] == r[at["doc_id"]]], key=repr)
+
+    con = duckdb.connect()
+    con.register("documents", pa.Table.from_pylist([dict(zip(docs.columns, r, strict=True)) for r in unique]))
+    taken = con.execute(f"SELECT doc_id, size, taken FROM ({ORACLES['op3_mixing']})").fetchall()
+    mix = through("mixing", spark.createDataFrame(unique, docs.schema))
+    assert Counter(r[at["doc_id"]] for r in mix) == Counter({i: t // n if n else 1 for i, n, t in taken if t or not n})  # documents without words stay
+    assert set(mix) <= set(unique)
+
+
 def test_stages_follow_their_operators(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, texts = docs.columns, []
