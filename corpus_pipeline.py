@@ -48,8 +48,8 @@ STAGES = [
     ("segmentations", segmented),
 ]
 
-#: Learned rules and drawn segmentations can't be said in SQL; tests hold each stage against its operator, and operators against
-#: brute force.
+#: Learned rules and drawn segmentations can't be said in SQL; tests hold the first three stages against plain Python (the rules'
+#: list itself is the learner's), the mix against its SQL, and segmentations against the texts that they decode to.
 ORACLE_SQL = None
 
 
