@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,23 +30,38 @@ from suite.registry import plain, query, stamp_text, table
 from suite.reports import close_tables
 
 
-def write_named(df: DataFrame, folder: str, name: str, write, order: str | None = None) -> None:
-    """Write the rows of each value of `name` as one file called so below `folder`, by `order` if given."""
+def write_named(df: DataFrame, folder: str, name: str, write, heads: DataFrame | None = None) -> None:
+    """Write the rows of each value of `name` as one file called so below `folder`; `heads`, a few rows per file, come first,
+    by their `_order`.
+
+    A file is written by one task, so all else is done before: rows are computed by many tasks, in shares of bounded size, and
+    stored compressed. The task of a file then puts its rows one behind the other as it reads them; nothing is sorted or
+    held there, whatever the size of the file.
+    """
     spark = df.sparkSession
-    staging = f"{folder}-parts"
-    dealt = df.repartition(name)
-    if order is not None:
-        dealt = dealt.sortWithinPartitions(name, order).drop(order)
-    write(dealt.write.partitionBy(name), staging)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(staging)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stored = {f"{folder}-rows": df.hint("rebalance", name)}
+    if heads is not None:
+        stored = {f"{folder}-heads": heads.repartition(name).sortWithinPartitions(name, "_order").drop("_order"), **stored}
+    fs = hadoop.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files: dict[str, list[DataFrame]] = {}
+    for path, rows in stored.items():
+        rows.write.partitionBy(name).option("compression", "zstd").parquet(path)
+        schema = rows.drop(name).schema
+        for part in fs.listStatus(hadoop.Path(path)):
+            if part.isDirectory():
+                called = part.getPath().getName().split("=", 1)[1]
+                files.setdefault(called, []).append(spark.read.schema(schema).parquet(f"{path}/{part.getPath().getName()}"))
+
+    def put(called: str) -> None:
+        staging = f"{folder}-parts/{called}"
+        write(reduce(DataFrame.unionByName, files[called]).coalesce(1).write, staging)
+        [file] = [f.getPath() for f in fs.listStatus(hadoop.Path(staging)) if f.getPath().getName().startswith("part-")]
+        fs.rename(file, hadoop.Path(folder, called))
+
     fs.mkdirs(hadoop.Path(folder))
-    for part in fs.listStatus(root):
-        if part.isDirectory():
-            called = part.getPath().getName().split("=", 1)[1]
-            [file] = [f.getPath() for f in fs.listStatus(part.getPath()) if f.getPath().getName().startswith("part-")]
-            fs.rename(file, hadoop.Path(folder, called))
+    with ThreadPoolExecutor(16) as files_at_once:
+        list(files_at_once.map(put, files))
 
 
 def as_csv(writer, path: str) -> None:
@@ -109,12 +126,12 @@ def document_csv(spark: SparkSession, sf: str) -> str:
     line = F.concat_ws(",", "doc_id", F.when(bare, note).otherwise(quoted_cell(note)), quoted_cell(F.col("text")), "source")
     crlf = F.col("doc_id") % 20 < 10
     name = F.concat(F.lit("part_"), F.col("doc_id") % 10, F.when(crlf, "_crlf").otherwise("_lf"), F.lit(".csv"))
-    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("_order"), line.alias("value"), name.alias("_file"))
+    rows = table(spark, sf, "documents").select(line.alias("value"), name.alias("_file"))
     heads = rows.select("_file").distinct().select(F.lit(-1).cast("long").alias("_order"), F.lit("doc_id,note,text,source").alias("value"), "_file")
     ended = F.when(F.col("_file").contains("_crlf"), F.concat("value", F.lit("\r"))).otherwise(F.col("value"))
     blank = heads.select(F.lit(-2).cast("long").alias("_order"), F.lit("").alias("value"), "_file")
-    lines = heads.unionByName(blank).unionByName(rows).withColumn("value", ended)
-    write_named(lines, folder, "_file", lambda writer, path: writer.text(path), order="_order")
+    heads = heads.unionByName(blank).withColumn("value", ended)
+    write_named(rows.withColumn("value", ended), folder, "_file", lambda writer, path: writer.text(path), heads)
     return folder
 
 
@@ -481,7 +498,6 @@ def category_files(spark: SparkSession, sf: str, folder: str) -> None:
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
     ], strict=True))
     rows = orders.select(
-        key.alias("_order"),
         *[c.alias(h) for h, c in cells.items()],
         F.explode(F.array(F.lit("a"), F.lit("b"), F.lit("x"))).alias("version"),
         half_year("yyyyMMdd").alias("half"),
@@ -492,14 +508,14 @@ def category_files(spark: SparkSession, sf: str, folder: str) -> None:
     later = F.col("half").endswith("0701") & (F.col("version") != "x")
     csv = lambda names: F.concat_ws(",", *[F.coalesce(quoted_cell(F.col(n)), F.lit("")) for n in names])
     turned = HEADINGS[::-1]
-    lines = rows.select("_order", "_file", later.alias("_later"), F.when(later, F.concat(F.lit("new,"), csv(turned))).otherwise(csv(HEADINGS)).alias("value"))
+    lines = rows.select("_file", later.alias("_later"), F.when(later, F.concat(F.lit("new,"), csv(turned))).otherwise(csv(HEADINGS)).alias("value"))
     spelt = ",".join(["n" * 70_000, *[h.replace("Created Date", "created_date") for h in turned]])
     heads = lines.select("_file", "_later").distinct().select(F.lit(-1).cast("long").alias("_order"), "_file", F.when(F.col("_later"), spelt).otherwise(",".join(HEADINGS)).alias("value"))
     # blank lines before some headings, and a file without a heading
     blank = heads.where("_file LIKE 'b%'").select(F.lit(-2).cast("long").alias("_order"), "_file", F.lit(" ").alias("value"))
     headless = literal_rows(spark, [(0, HEADLESS, "1,name,2,name"), (1, HEADLESS, "")], "_order long, _file string, value string")
-    lines = lines.drop("_later").unionByName(heads).unionByName(blank).unionByName(headless)
-    write_named(lines, folder, "_file", lambda writer, path: writer.text(path), order="_order")
+    heads = heads.unionByName(blank).unionByName(headless)
+    write_named(lines.drop("_later"), folder, "_file", lambda writer, path: writer.text(path), heads)
 
 
 CATEGORY_SQL = f"""

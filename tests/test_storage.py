@@ -14,6 +14,8 @@ from lakeops.sources.folder import Naming, latest_per_day, list_files, only_days
 from lakeops.streaming.ingest import ingest_new_files
 from pyspark.sql import DataFrameWriter
 
+from suite.storage import write_named
+
 
 def test_listing(spark, tmp_path):
     sub = tmp_path / "in" / "sub"
@@ -192,3 +194,18 @@ def test_metadata_paths():
     assert len(PATHS) == 70 == len({p for p, _ in PATHS})
     assert [t for _, t in PATHS].count("int") == 6 and [t for _, t in PATHS].count("double") == 4
     assert [t for _, t in PATHS].count("array") == 4
+
+
+def test_named_files_are_dealt_to_many_tasks_before_they_are_written(spark, tmp_path):
+    folder = str(tmp_path / "named")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20000")
+    try:
+        rows = spark.range(20_000).select(F.col("id").cast("string").alias("value"), F.lit("a.csv").alias("_file"))
+        heads = spark.createDataFrame([(-1, "name", "a.csv"), (-2, "", "a.csv"), (-1, "alone", "b.csv")], "_order long, value string, _file string")
+        write_named(rows, folder, "_file", lambda writer, path: writer.text(path), heads)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "named-rows" / "_file=a.csv").glob("part-*"))) > 1
+    lines = (tmp_path / "named" / "a.csv").read_text().splitlines()
+    assert lines[:2] == ["", "name"] and sorted(map(int, lines[2:])) == list(range(20_000))
+    assert (tmp_path / "named" / "b.csv").read_text() == "alone\n"
