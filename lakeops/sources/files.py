@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeops.functions.names import distinct_names
+from lakeops.session import materialize
 from lakeops.sources.delimited import cells_of, quoted_records
 
 Paths = str | list[str]
@@ -39,7 +40,8 @@ def read_multiline_csv(spark: SparkSession, paths: Paths, columns: Sequence[str]
     """
     records = quoted_records(read_raw_lines(spark, paths), sep)
     cells = F.col("_cells")
-    if columns is None:
+    if columns is None:  # records are put together once, for the heading and for the rows
+        records = materialize(records, "records")
         first = records.where("is_first").orderBy("file_path").select(cells_of(F.col("record"), sep)).first()
         columns = distinct_names([c or f"_c{i}" for i, c in enumerate(first[0])]) if first else []
     rows = records.where(~F.col("is_first") & (F.trim("record") != "")).select(cells_of(F.col("record"), sep).alias("_cells"), "file_name")

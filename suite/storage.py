@@ -146,10 +146,13 @@ def csv_multiline(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(DOCUMENT_SQL)
 def csv_multiline_in_splits(spark: SparkSession, sf: str) -> DataFrame:
-    """The same files cut into many splits; columns by the heading."""
+    """The same files cut into many splits; columns by the heading. A task takes many splits, one after the other: their
+    number grows with the files, and a task of its own for each would cost more than what it reads."""
     path = document_csv(spark, sf)
     small = spark.newSession()
-    for key, value in (("maxPartitionBytes", "60000"), ("openCostInBytes", "60000"), ("minPartitionNum", "1")):
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism * 4, size // 16_000_000)
+    for key, value in (("maxPartitionBytes", "60000"), ("openCostInBytes", "60000"), ("minPartitionNum", "1"), ("maxPartitionNum", tasks)):
         small.conf.set(f"spark.sql.files.{key}", value)
     return document_rows(read_multiline_csv(small, path))
 

@@ -9,11 +9,12 @@ from lakeops.plans.feeds import CUSTOMERS, aside, ingest
 from lakeops.plans.metadata import PATHS
 from lakeops.sinks.export import export_csv_by_day, export_single_csv
 from lakeops.sinks.tables import replace_days, write_buckets, write_days
-from lakeops.sources.files import read_csv, read_multiline_csv
+from lakeops.sources.files import read_csv, read_multiline_csv, read_raw_lines
 from lakeops.sources.folder import Naming, latest_per_day, list_files, only_days, undated
 from lakeops.streaming.ingest import ingest_new_files
 from pyspark.sql import DataFrameWriter
 
+from suite import storage
 from suite.storage import write_named
 
 
@@ -209,3 +210,14 @@ def test_named_files_are_dealt_to_many_tasks_before_they_are_written(spark, tmp_
     lines = (tmp_path / "named" / "a.csv").read_text().splitlines()
     assert lines[:2] == ["", "name"] and sorted(map(int, lines[2:])) == list(range(20_000))
     assert (tmp_path / "named" / "b.csv").read_text() == "alone\n"
+
+
+def test_many_small_splits_share_tasks(spark, tmp_path, monkeypatch):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.lit('word "q"\n'), 400).alias("text"), F.lit("s").alias("source"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    read = []
+    monkeypatch.setattr(storage, "read_multiline_csv", lambda session, path: read.append(read_raw_lines(session, path)) or read_multiline_csv(session, path))
+    back = storage.csv_multiline_in_splits(spark, str(tmp_path))
+    assert back.count() == 3000 and back.select("text_md5").distinct().count() == 1
+    splits = read[0].select("file_path", "block").distinct().count()
+    assert splits > 150 and read[0].rdd.getNumPartitions() < 60
