@@ -186,6 +186,13 @@ def officer_list_load(spark: SparkSession, sf: str) -> DataFrame:
     return plain(read_table(spark, target))
 
 
+def write_records(df: DataFrame, path: str) -> None:
+    """Metadata records as XML. Most of their text is names of elements, many times the values, so files are compressed;
+    as such files are not read in splits, each holds a bounded number of records."""
+    writer = df.write.format("xml").options(rowTag="metadata", rootTag="all", compression="gzip")
+    writer.option("maxRecordsPerFile", 20_000).save(path)
+
+
 @query(
     """
     SELECT event_id::INT AS idinfo_id, event_type AS idinfo_kind, value AS spdom_bounding_eastbc,
@@ -199,7 +206,7 @@ def xml_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         F.struct("event_id", F.array("event_type", "props").alias("keyword"), F.col("event_type").alias("kind")).alias("idinfo"),
         F.struct(F.struct(F.col("value").alias("eastbc")).alias("bounding")).alias("spdom"),
     )
-    events.write.format("xml").option("rowTag", "metadata").option("rootTag", "all").save(path)
+    write_records(events, path)
     paths = [("idinfo.event_id", "int"), ("idinfo.kind", "string"), ("idinfo.keyword", "array"), ("spdom.bounding.eastbc", "double")]
     flat = flatten_paths(read_xml(spark, path, "metadata", schema_for(paths)), paths)
     return flat.select(
@@ -230,7 +237,7 @@ def xml_metadata(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("not listed").alias("extra"),
     )
     events = table(spark, sf, "events").select(idinfo.alias("idinfo"))
-    events.write.format("xml").option("rowTag", "metadata").option("rootTag", "all").save(source)
+    write_records(events, source)
     outcome = load_metadata(spark, source, target)
     found = read_table(spark, target).select(
         F.col("idinfo.citation.citeinfo.title").alias("title"),
@@ -274,7 +281,7 @@ def xml_metadata_every_path(spark: SparkSession, sf: str) -> DataFrame:
         leaf = {p: element(k, t) for k, p, t in below if "." not in p}
         return F.struct(*[(leaf[n] if n in leaf else nested(f"{at}{n}.")).alias(n) for n in names])
 
-    table(spark, sf, "events").select(nested("").alias("all")).select("all.*").write.format("xml").option("rowTag", "metadata").option("rootTag", "all").save(source)
+    write_records(table(spark, sf, "events").select(nested("").alias("all")).select("all.*"), source)
     load_metadata(spark, source, target)
     flat = flatten_paths(read_table(spark, target), PATHS)
     joined = {p.replace(".", "_") for p, t in PATHS if t == "array"}

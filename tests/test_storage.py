@@ -9,7 +9,8 @@ from lakeops.plans.feeds import CUSTOMERS, aside, ingest
 from lakeops.plans.metadata import PATHS
 from lakeops.sinks.export import export_csv_by_day, export_single_csv
 from lakeops.sinks.tables import replace_days, write_buckets, write_days
-from lakeops.sources.files import read_csv, read_multiline_csv, read_raw_lines
+from lakeops.operators.mapping import schema_for
+from lakeops.sources.files import read_csv, read_multiline_csv, read_raw_lines, read_xml
 from lakeops.sources.folder import Naming, latest_per_day, list_files, only_days, undated
 from lakeops.streaming.ingest import ingest_new_files
 from pyspark.sql import DataFrameWriter
@@ -221,3 +222,12 @@ def test_many_small_splits_share_tasks(spark, tmp_path, monkeypatch):
     assert back.count() == 3000 and back.select("text_md5").distinct().count() == 1
     splits = read[0].select("file_path", "block").distinct().count()
     assert splits > 150 and read[0].rdd.getNumPartitions() < 60
+
+
+def test_metadata_records_are_compressed_in_bounded_files(spark, tmp_path):
+    records = spark.range(25_000).coalesce(1).select(F.struct("id", F.lit("x" * 300).alias("title")).alias("idinfo"))
+    storage.write_records(records, f"{tmp_path}/xml")
+    files = list((tmp_path / "xml").glob("part-*.gz"))
+    assert len(files) == 2 and sum(f.stat().st_size for f in files) < 1_000_000
+    back = read_xml(spark, f"{tmp_path}/xml", "metadata", schema_for([("idinfo.id", "string")]))
+    assert sorted(int(r[0]) for r in back.select("idinfo.id").collect()) == list(range(25_000))
