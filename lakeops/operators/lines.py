@@ -53,17 +53,21 @@ def with_next(wanted: DataFrame, edges: DataFrame, columns: Sequence[str]) -> Da
     """Rows and edges of `gathered`: each row with `_next`, the given columns of the row right after it in the
     file if that is one of them too, else NULL. Also `_first` and `_last` of the split.
 
-    A split's first row is also placed behind the last row of the split before, so that one window per split sees it.
+    Windows run over stretches of `STRETCH` row numbers, so that no task sorts more than a share of a split. The first
+    row of a stretch is also placed behind the last row of the one before, in its split or in the split before.
     """
     row = F.struct("_n", *columns)
     rows = wanted.join(edges, PLACE)
-    home = F.struct("block", "_n", F.lit(False).alias("copy"))
-    away = F.struct(F.col("_before").alias("block"), (F.col("_before_last") + 1).alias("_n"), F.lit(True).alias("copy"))
     leads = (F.col("_n") == F.col("_first")) & F.col("_before").isNotNull()
-    seats = F.when(leads, F.array(home, away)).otherwise(F.array(home))
+    stretch = lambda n: F.floor(n / STRETCH).alias("stretch")
+    home = F.struct("block", stretch(F.col("_n")), "_n", F.lit(False).alias("copy"))
+    last = F.when(leads, F.col("_before_last")).otherwise(F.col("_n") - 1)  # the row before, if there is one
+    away = F.struct(F.when(leads, F.col("_before")).otherwise(F.col("block")).alias("block"), stretch(last), (last + 1).alias("_n"), F.lit(True).alias("copy"))
+    opens = leads | ((F.col("_n") > F.col("_first")) & (stretch(F.col("_n")) != stretch(last)))
+    seats = F.when(opens, F.array(home, away)).otherwise(F.array(home))
     kept = [c for c in rows.columns if c not in ("_before", "_before_last")]
     seated = rows.withColumn("_row", row).select(*kept, "_row", F.explode(seats).alias("_seat"))
-    window = W.partitionBy("file_path", "_seat.block").orderBy("_seat._n")
+    window = W.partitionBy("file_path", "_seat.block", "_seat.stretch").orderBy("_seat._n")
     after = F.lead(F.struct("_seat._n", "_row")).over(window)
     seen = seated.withColumn("_after", after).where(~F.col("_seat.copy"))
     follows = F.col("_after._n") == F.col("_n") + 1

@@ -304,3 +304,14 @@ def test_long_records_among_short_ones(read):
     got = repair.join_fragments(read({"f.csv": lines}, 90), limit=120).collect()
     assert {r["record"] for r in got if r["complete"]} == {f"1 {stamp}", f"2 {stamp}"}
     assert " ".join(r["record"] for r in sorted((r for r in got if not r["complete"]), key=lambda r: r["piece"])) == " ".join([*long, f"end {stamp}"])
+
+
+def test_neighbours_are_sorted_by_stretches_not_splits(read, monkeypatch):
+    from lakeops.operators import lines as neighbours
+
+    monkeypatch.setattr(neighbours, "STRETCH", 3)
+    wanted, edges = neighbours.gathered(neighbours.numbered(read({"a.csv": [f"l{i}" for i in range(20)]})), F.lit(True))
+    seen = neighbours.with_next(wanted, edges, ["value"])
+    assert ".stretch AS _w" in seen._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["value"]: r["_next"] and r["_next"]["value"] for r in seen.collect()}
+    assert got == {f"l{i}": f"l{i + 1}" if i < 19 else None for i in range(20)}
