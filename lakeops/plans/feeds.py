@@ -311,7 +311,8 @@ def centers(brand: str) -> Feed:
         return F.when((place == 0) & (squeezed == ""), "center_code").otherwise(squeezed)
 
     def rows(lines: DataFrame, fields: tuple[Field, ...]) -> Named:
-        named = by_heading(quoted_records(lines), fields[1:], rule=heading)
+        # records are put together once, for the headings and for the rows
+        named = by_heading(materialize(quoted_records(lines), "records"), fields[1:], rule=heading)
         cleaned = each_string(named.rows, one_line)
         return Named(cleaned.withColumn("datadate", F.regexp_extract("file_name", r"(\d{4}-\d{2}-\d{2})", 1)), named.heads)
 

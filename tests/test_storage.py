@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.names import drop_spill
 from lakeops.operators.upsert import upsert_day
-from lakeops.plans.feeds import CUSTOMERS, aside, ingest
+from lakeops.plans.feeds import CUSTOMERS, aside, centers, ingest, read_rows
 from lakeops.plans.metadata import PATHS
 from lakeops.sinks.export import export_csv_by_day, export_single_csv
 from lakeops.sinks.tables import replace_days, write_buckets, write_days
@@ -231,3 +231,10 @@ def test_metadata_records_are_compressed_in_bounded_files(spark, tmp_path):
     assert len(files) == 2 and sum(f.stat().st_size for f in files) < 1_000_000
     back = read_xml(spark, f"{tmp_path}/xml", "metadata", schema_for([("idinfo.id", "string")]))
     assert sorted(int(r[0]) for r in back.select("idinfo.id").collect()) == list(range(25_000))
+
+
+def test_records_of_a_list_are_put_together_once(spark, tmp_path):
+    (tmp_path / "list_2024-01-02.csv").write_text('"","State_of\n_pay_center "\n"c1","on\n  hold"\n')
+    rows, _ = read_rows(spark, centers("pay"), [str(tmp_path / "list_2024-01-02.csv")])
+    assert "FileScan text" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in rows.select("center_code", "state_of_pay_center").collect()] == [("c1", "on hold")]
