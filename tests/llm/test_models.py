@@ -3,17 +3,19 @@ import os
 import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakeops.llm import i_match, ngram_model, piece_sampling, token_files
+from lakeops.llm import chunks, i_match, ngram_model, piece_sampling, token_files
 from lakeops.llm.byte_bpe import Encoder
+from lakeops.llm.chunks import buckets_of
 from lakeops.llm.hashing import mixed
 from lakeops.llm.piece_lattice import SPACE, Lattices
 from lakeops.llm.queries import QUERIES
-from lakeops.session import scratch_path
+from lakeops.session import SHUFFLES_GO, scratch_path, without_shuffles
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 SF = "/root/testdata/sf0.001"
@@ -191,6 +193,43 @@ def test_models_are_kept_as_sorted_arrays(spark, frame, tmp_path):
         ngram_model.local_folder("hdfs://somewhere/model")
 
 
+@pytest.mark.parametrize("buckets", [1, 2, 3, 14, 1000, 2400, 1 << 16, 100_000])
+def test_stored_hashes_come_back(buckets):
+    fine = ngram_model.finer_than(buckets)
+    hashes = np.unique(np.random.default_rng(buckets).integers(0, 1 << 64, 200_000, dtype=np.uint64) >> fine << fine)
+    hashes = np.unique(np.append(hashes, [np.uint64(0), np.uint64((1 << 64) - 1) >> fine << fine]))
+    at = buckets_of(hashes, buckets)
+    for k in {0, 1 % buckets, buckets // 2, buckets - 1}:
+        own = hashes[at[k] : at[k + 1]]
+        stored = ngram_model.narrow(3, k, buckets, own)
+        assert stored.nbytes == 6 * len(own) and (stored[1:] > stored[:-1]).all()
+        assert (ngram_model.widened(3, k, buckets, stored) == own).all()
+
+
+def test_models_and_scores_leave_little_on_disk(spark, frame, words, monkeypatch, tmp_path):
+    rows = [(k, " ".join(words(400, k, 10**6))) for k in range(60)]
+    monkeypatch.setattr(chunks, "BUCKET_BYTES", 40_000)
+    bodies = []
+    settle = ngram_model.settle
+    monkeypatch.setattr(ngram_model, "settle", lambda some, *more: bodies.append(some) or settle(some, *more))
+    check_scores(ngram_model.scores(frame(rows), folder=str(tmp_path / "model")).collect(), kneser_ney(rows))
+    # what is shuffled of a chunk names its file
+    assert len(bodies) == 2 + ngram_model.WAVES
+    assert max(len(r["body"]) for r in bodies[0].collect()) < 400 < max(x.stat().st_size for x in Path(ngram_model.unpacked(bodies[0].first()["body"])[0]).parent.iterdir())
+    files = [x for x in (tmp_path / "model").iterdir() if x.name.startswith("3-")]
+    assert len(files) > 3
+    n = sum(np.load(x)["once"].size + np.load(x)["hash"].size for x in files)
+    assert sum(x.stat().st_size for x in files) < 6 * n + 600 * len(files)
+
+
+def test_shuffles_go_with_the_query(spark):
+    assert spark.conf.get(SHUFFLES_GO, None) != "true"
+    with pytest.raises(ValueError), without_shuffles(spark):
+        assert spark.conf.get(SHUFFLES_GO) == "true"
+        raise ValueError
+    assert spark.conf.get(SHUFFLES_GO, None) != "true"
+
+
 @pytest.fixture(scope="module")
 def pieces():
     return piece_sampling.pieces_of(PIECES, 0.2)
