@@ -9,7 +9,8 @@ Classes that agree in the first `least_depth` values of a tree form a region of
    group of near copies is joined by a few comparisons per class.
 2. Within each region only members of different components are left to compare. If those pairs are at most `width` times
    the members, all of them are compared. The members of fuller regions are joined exactly: two sets of the similarity
-   share one of their rarest shingles (a prefix filter), so pairs that share one are compared, and no other can be a link.
+   share one of their rarest shingles, the smaller one among fewer of them (a prefix filter), so pairs that share one
+   and can still reach the similarity from there on are compared, and no other can be a link.
 
 The number of trees follows from the similarity (20 for 0.85, 29 for 0.80): two classes that have it share a region in at
 least one of them but for a chance of 1e-5; no other pair is missed.
@@ -39,6 +40,8 @@ from lakeops.llm.ranges import known_key, real_key
 from lakeops.session import materialize
 
 VALUE_BYTES = 2
+#: Characters of text whose words are held at once.
+STRETCH_CHARS = 2_000_000
 
 
 class Shape:
@@ -59,6 +62,14 @@ class Shape:
                 return cls(trees, depth, min(12, trees * depth))
 
 
+def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of the batches in stretches of some `STRETCH_CHARS` of text, one row at least."""
+    for b in batches:
+        ends = np.cumsum(b["text"].str.len().to_numpy(np.int64))
+        for _, some in b.groupby(ends // STRETCH_CHARS):
+            yield some
+
+
 def shingle_sets(texts: list[bytes], shingle: int) -> list[np.ndarray]:
     """Sorted distinct hashes of the runs of `shingle` lower-case words of each text."""
     words = Words(texts, lower=True)
@@ -84,7 +95,7 @@ def signatures(documents: DataFrame, shingle: int, shape: Shape, id_col: str, te
     """(doc, n, set_key, signature) of every document; the key tells sets apart by 128 bits."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in stretches(batches):
             sets = shingle_sets([t.encode() for t in b["text"]], shingle)
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pd.DataFrame({"doc": b["doc"], "n": [len(s) for s in sets], "set_key": keys, "signature": [signature(s, shape.by) if len(s) else None for s in sets]})
@@ -229,7 +240,7 @@ def full_sets(documents: DataFrame, classes: DataFrame, shingle: int, id_col: st
     """(node, hashes): the full set of each given class, from the text of its least document."""
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in stretches(batches):
             sets = shingle_sets([t.encode() for t in b["text"]], shingle)
             same = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() == k for x, k in zip(sets, b["set_key"], strict=True)]
             yield pd.DataFrame({"node": b["node"], "hashes": [x.tobytes() for x in sets]})[same]
@@ -273,8 +284,10 @@ def prefix_pairs(full: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components, one of them `outside`, that share a shingle early enough to reach the similarity.
 
     A set's shingles are put in one order for all sets: first those of one component only, which no pair to be found
-    shares, then by the number of sets that have them. Of two sets of the similarity, either has a common shingle among its
-    first n - ceil(n * percent / 100) + 1, and from the first common one on both must have enough left.
+    shares, then by the number of sets that have them. Of two sets of n and m >= n shingles with the similarity, c of them
+    common, 100 * c >= percent * (n + m - c). So c is n * 2 * percent / (100 + percent) at least and m * percent / 100 at least,
+    the smaller one has a common shingle among its first n - c + 1 and the larger one among its first m - c + 1, and from the
+    first common one on both must have enough left. Sizes and places are conditions of the join, so no other pair comes out.
     """
     shingles = shingle_rows(full.join(sets, "node"))
     common = shingles.groupBy("shingle").agg(F.count("*").alias("found"), F.min("component").alias("least"), F.max("component").alias("most")).where("least != most").select("shingle", "found")
@@ -283,15 +296,16 @@ def prefix_pairs(full: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     length = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1 - own
     early = ranked.withColumn("own", own).where(length > 0).select("node", "component", "outside", "n", "own", F.posexplode(F.slice("ranked", F.lit(1), length.cast("int"))).alias("k", "at"))
     early = materialize(early.select("node", "component", "outside", "n", (F.col("own") + F.col("k")).alias("place"), F.col("at.shingle").alias("shingle")), "forest-prefixes")
-    # components that meet in a shingle first, so that members of one component are not brought together
-    a = early.where("outside").select("shingle", "component").distinct()
-    b = early.select("shingle", F.col("component").alias("other_component")).distinct()
-    meet = a.join(b, "shingle").where("component != other_component")
-    left = early.where("outside").select("shingle", "component", "node", "n", "place").join(meet, ["shingle", "component"])
+    least = F.ceil(F.col("n") * 2 * percent / F.lit(100 + percent))  # common shingles with a set as large or larger
+    small = early.where(F.col("place") <= F.col("n") - least)
     right = early.select("shingle", F.col("component").alias("other_component"), F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("place").alias("other_place"), F.col("outside").alias("other_outside"))
     rest = F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place"))
-    may = may_link("n", "other_n", percent) & (rest * (100 + percent) >= percent * (F.col("n") + F.col("other_n"))) & (~F.col("other_outside") | (F.col("node") < F.col("other")))
-    return left.join(right, ["shingle", "other_component"]).where(may).select(*ordered_pair("node", "other"))
+    larger = (F.col("n") < F.col("other_n")) | (F.col("n") == F.col("other_n")) & (F.col("node") < F.col("other"))
+    may = larger & may_link("n", "other_n", percent) & (rest * (100 + percent) >= percent * (F.col("n") + F.col("other_n"))) & (F.col("component") != F.col("other_component"))
+    # one of each pair is outside; of two that are not, none is brought together
+    ways = [(small.where("outside"), right), (small.where("NOT outside"), right.where("other_outside"))]
+    found = [x.join(y, (x["shingle"] == y["shingle"]) & may).select(*ordered_pair("node", "other")) for x, y in ways]
+    return found[0].unionByName(found[1])
 
 
 def named(signed: DataFrame, filled: DataFrame, joined: DataFrame) -> DataFrame:

@@ -195,6 +195,38 @@ def test_groups_of_odd_rows(frame, odd, words, shingle, percent):
     assert len(left) == len(set(one_per_row.values()))
 
 
+def test_full_regions_bring_together_what_can_link(spark, words):
+    # sets of one family, each beyond the similarity of all others, and pairs within it
+    base = np.arange(1000, 1100)
+    rng = np.random.default_rng(1)
+    sets = []
+    for _ in range(60):
+        x = base.copy()
+        x[rng.choice(100, 14, replace=False)] = rng.integers(0, 60, 14) + 10**6 * rng.integers(1, 4)
+        sets.append(np.unique(x))
+    sets += [np.append(x[:-3], [7_000_000 + k]) for k, x in enumerate(sets[:20])]
+    rows = [(k, k, k % 3 > 0, np.sort(x).astype(np.int64).tobytes()) for k, x in enumerate(sets)]
+    full = spark.createDataFrame([r[:3] for r in rows], "node bigint, component bigint, outside boolean")
+    hashes = spark.createDataFrame([(r[0], r[3]) for r in rows], "node bigint, hashes binary")
+    pairs = lsh_forest.prefix_pairs(full, hashes, 85)
+    got = {(r["a"], r["b"]) for r in pairs.collect()}
+    reach = lambda a, b: 100 * len(np.intersect1d(sets[a], sets[b])) >= 85 * len(np.union1d(sets[a], sets[b]))
+    want = {(a, b) for a in range(80) for b in range(a) if (rows[a][2] or rows[b][2]) and reach(a, b)}
+    want = {(min(p), max(p)) for p in want}
+    assert len(want) > 5 and want <= got and all(rows[a][2] or rows[b][2] for a, b in got)
+    # no join that brings components together regardless of sizes and places
+    joins = [x for x in pairs._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x]
+    assert len(joins) == 2 and all("place" in x for x in joins)
+
+
+def test_texts_come_in_stretches(monkeypatch):
+    monkeypatch.setattr(lsh_forest, "STRETCH_CHARS", 100)
+    b = pd.DataFrame({"doc": range(50), "text": ["x" * (k * 37 % 90) for k in range(49)] + ["y" * 500]})
+    some = list(lsh_forest.stretches(iter([b, b[:0], b[:1]])))
+    assert pd.concat(some)["doc"].tolist() == [*range(50), 0]
+    assert len(some) > 10 and max(len(t) for x in some for t in ["".join(x["text"][:-1])]) < 200
+
+
 def test_links_in_full_regions(frame, words):
     """300 texts of one template, mostly at 0.75 to 0.8 of each other, and 40 pairs among them at 0.87; all share regions."""
     import random
