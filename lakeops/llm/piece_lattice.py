@@ -50,7 +50,7 @@ class Pieces:
         self.byte_weight = alpha * (-np.log(len(ids) + 2.0) - total)
         self.weights = np.full(model.get_piece_size(), -np.inf)
         self.weights[ids] = weights
-        # for each length from long to short: hashes in order, their ids, and a coarse sieve of the hashes
+        # for each length from long to short: hashes in order, their ids, and by leading bits the first of the hashes (-1: none)
         self.lengths: list[int] = []
         self.tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         lengths = np.array([len(n) for n in names])
@@ -62,11 +62,27 @@ class Pieces:
                 h = (h ^ chars[:, j]) * STEP
                 h ^= h >> np.uint64(32)
             order = np.argsort(h)
-            sieve = np.zeros(1 << SIEVE_BITS, bool)
-            sieve[h >> np.uint64(64 - SIEVE_BITS)] = True
+            sieve = np.full(1 << SIEVE_BITS, -1, np.int32)
+            sieve[h[order][::-1] >> np.uint64(64 - SIEVE_BITS)] = np.arange(len(order))[::-1]
             self.lengths.append(int(n))
             self.tables.append((h[order], np.array(ids, np.int64)[at][order], sieve))
 
+    def find(self, length: int, h: np.ndarray, fits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes that fit are of pieces of that length, and these pieces."""
+        known, piece, sieve = self.tables[self.lengths.index(length)]
+        at = sieve[h >> np.uint64(64 - SIEVE_BITS)]
+        maybe = np.flatnonzero((at >= 0) & fits)
+        at, h = at[maybe], h[maybe]
+        # several pieces may have the same leading bits
+        wait = np.flatnonzero(known[at] < h)
+        while len(wait):
+            at[wait] += 1
+            wait = wait[at[wait] < len(known)]
+            wait = wait[known[at[wait]] < h[wait]]
+        at = np.minimum(at, len(known) - 1)
+        hit = known[at] == h
+        return maybe[hit], piece[at[hit]]
+
 
 class Lattices:
     """Lattices of the given words. Node of word k: `first[k]` on; edges of node v: `at[v]` to `at[v + 1]`, long pieces first.
@@ -84,37 +100,42 @@ class Lattices:
         node = np.arange(n) + np.repeat(np.arange(len(words)), sizes)
         left = np.repeat(offsets + sizes, sizes) - np.arange(n)
 
-        # pieces at each character: short ones by length in columns, long to short, the few long ones in a list
+        # pieces at each character: short ones by length in rows, long to short, the few long ones in a list
         short = [x for x in pieces.lengths if x <= SHORT]
         lengths = np.array(short)
-        found = np.full((n, len(short)), -2, np.int32)
+        found = np.full((len(short), n), -2, np.int32)
         long_char, long_piece, long_length = [], [], []
+        # hashes of the short ones go over the whole array, past the ends of words, where they fit no more
         h, where = np.full(n, START, np.uint64), np.arange(n)
         for length in range(1, max(pieces.lengths) + 1):
-            fits = left[where] >= length
-            where, h = where[fits], h[fits]
-            if not len(where):
-                break
-            h = (h ^ self.chars[where + length - 1]) * STEP
+            if length <= SHORT + 1:
+                h = h[: max(n - length + 1, 0)] ^ self.chars[length - 1 :]
+                fits = left[: len(h)] >= length
+            else:
+                h = h ^ self.chars[where + length - 1]
+                fits = left[where] >= length
+            h *= STEP
             h ^= h >> np.uint64(32)
             if length in pieces.lengths:
-                known, piece, sieve = pieces.tables[pieces.lengths.index(length)]
-                maybe = np.flatnonzero(sieve[h >> np.uint64(64 - SIEVE_BITS)])
-                at = np.minimum(np.searchsorted(known, h[maybe]), len(known) - 1)
-                hit = known[at] == h[maybe]
+                hit, piece = pieces.find(length, h, fits)
                 if length <= SHORT:
-                    found[where[maybe[hit]], short.index(length)] = piece[at[hit]]
+                    found[short.index(length), hit] = piece
                 else:
-                    long_char.append(where[maybe[hit]])
-                    long_piece.append(piece[at[hit]].astype(np.int32))
-                    long_length.append(np.full(int(hit.sum()), length))
+                    long_char.append(where[hit])
+                    long_piece.append(piece.astype(np.int32))
+                    long_length.append(np.full(len(hit), length))
+            if length > SHORT:
+                on = np.flatnonzero(left[where[: len(h)]] > length)
+                where, h = where[on], h[on]
+                if not len(where):
+                    break
         join = lambda x, kind: np.concatenate(x[::-1]) if x else np.empty(0, kind)
         long_char, long_piece, long_length = join(long_char, np.int64), join(long_piece, np.int32), join(long_length, np.int64)
-        odd = found[:, -1] == -2
-        found[odd, -1] = -1
+        odd = found[-1] == -2
+        found[-1, odd] = -1
         weight = np.append(pieces.weights, [-np.inf, 0.0]).astype(np.float32)[found]
         c = self.chars[odd]
-        weight[odd, -1] = pieces.byte_weight * (1 + (c > 0x7F).astype(np.int64) + (c > 0x7FF) + (c > 0xFFFF))
+        weight[-1, odd] = pieces.byte_weight * (1 + (c > 0x7F).astype(np.int64) + (c > 0x7FF) + (c > 0xFFFF))
         long_weight = pieces.weights[long_piece]
 
         # log of the sum over all ways from each node to the end of its word, from the last character back
@@ -123,27 +144,34 @@ class Lattices:
         order, long_order = by_left(left), by_left(left[long_char])
         ends = np.arange(1, (int(left.max()) if n else 0) + 2)
         cuts, long_cuts = np.searchsorted(left[order], ends), np.searchsorted(left[long_char[long_order]], ends)
+        from_back, at_node = weight[:, order], node[order]
         for rest in range(1, len(ends)):
-            v = order[cuts[rest - 1] : cuts[rest]]
-            fits = np.flatnonzero(lengths <= rest)
-            way = weight[v[:, None], fits[None, :]] + ahead[node[v][:, None] + lengths[fits][None, :]]
-            top = way.max(axis=1)
-            ahead[node[v]] = top + np.log(np.exp(way - top[:, None]).sum(axis=1))
+            s, e = cuts[rest - 1], cuts[rest]
+            fits = np.count_nonzero(lengths > rest)
+            way = from_back[fits:, s:e] + ahead[at_node[s:e] + lengths[fits:, None]]
+            top = way.max(axis=0)
+            way -= top
+            ahead[at_node[s:e]] = top + np.log(np.exp(way, out=way).sum(axis=0))
             more = long_order[long_cuts[rest - 1] : long_cuts[rest]]
             if len(more):
                 at = node[long_char[more]]
                 np.logaddexp.at(ahead, at, long_weight[more] + ahead[at + long_length[more]])
 
-        char, column = np.nonzero(found >= -1)
-        char, piece, length, w = (np.concatenate(x) for x in ((long_char, char), (long_piece, found[char, column]), (long_length, lengths[column]), (long_weight, weight[char, column])))
+        there = np.flatnonzero(np.ascontiguousarray((found >= -1).T))
+        char = there // len(short)
+        column = there - char * len(short)
+        there = column * n + char
+        piece, length, w = found.reshape(-1)[there], lengths[column], weight.reshape(-1)[there].astype(np.float64)
         if len(long_char):
-            order = np.argsort(char, kind="stable")
-            char, piece, length, w = char[order], piece[order], length[order], w[order]
+            order = np.argsort(long_char, kind="stable")
+            before = np.searchsorted(char, long_char[order])
+            more = ((char, long_char), (piece, long_piece), (length, long_length), (w, long_weight))
+            char, piece, length, w = (np.insert(x, before, y[order]) for x, y in more)
         self.char, self.piece = char.astype(np.int32), piece
         start = node[char]
         self.end = start + length
         self.log_p = w + ahead[self.end] - ahead[start]
-        self.at = np.searchsorted(start, np.arange(nodes + 1))
+        self.at = np.concatenate([[0], np.cumsum(np.bincount(start, minlength=nodes))])
         total = np.cumsum(np.exp(self.log_p))
         self.upto = total - np.concatenate([[0.0], total])[self.at[start]]
         last = self.at[1:][self.at[1:] > self.at[:-1]] - 1

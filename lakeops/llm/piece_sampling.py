@@ -17,6 +17,7 @@ Edge cases: NULL and empty texts have one segmentation, no pieces, log-probabili
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,9 +46,17 @@ def pieces_of(path: str, alpha: float) -> Pieces:
 
 def uniform(*parts: np.ndarray | int) -> np.ndarray:
     """Numbers in (0, 1) that depend on all of `parts` only."""
-    h = np.uint64(0)
-    for salt, part in zip(SALTS, parts, strict=False):
+    return spread(hashed(np.uint64(0), 0, *parts))
+
+
+def hashed(h: np.ndarray | np.uint64, first: int, *parts: np.ndarray | int) -> np.ndarray:
+    """The hash `h` of `first` parts, continued by more of them."""
+    for salt, part in zip(SALTS[first:], parts, strict=False):
         h = mixed((h ^ np.asarray(part).astype(np.uint64)) * salt + salt)
+    return h
+
+
+def spread(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54
 
 
@@ -73,10 +82,8 @@ class Batch:
 
     def __init__(self, texts: list[str], pieces: Pieces):
         lists = [WORD.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        place: dict[str, int] = {}
-        for x in lists:
-            place.update(dict.fromkeys(x, 0))
-        place = {w: k for k, w in enumerate(place)}
+        place: dict[str, int] = defaultdict()
+        place.default_factory = place.__len__
         self.kind = np.array([place[w] for x in lists for w in x], np.int64)
         self.starts = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
         self.doc = np.repeat(np.arange(len(texts)), np.diff(self.starts))
@@ -87,17 +94,17 @@ class Batch:
         lat = self.lattices
         doc = self.doc[word]
         place = word - self.starts[doc]
-        seed = mixed(keys[doc] + place.astype(np.uint64) * SALTS[0])
+        seed = hashed(np.uint64(0), 0, mixed(keys[doc] + place.astype(np.uint64) * SALTS[0]), number)
         which, edges, steps = [], [], []
         on, step = np.flatnonzero(~lat.done[node]), 0
         node = node[on]
         while len(on):
-            u = uniform(seed[on], number, step)
+            u = spread(hashed(seed[on], 2, step))
             edge = lat.at[node]
-            wait = np.arange(len(on))
+            wait = np.flatnonzero(u > lat.upto[edge])
             while len(wait):
-                wait = wait[u[wait] > lat.upto[edge[wait]]]
                 edge[wait] += 1
+                wait = wait[u[wait] > lat.upto[edge[wait]]]
             which.append(on)
             edges.append(edge)
             steps.append(np.full(len(on), step, np.int32))

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakeops.llm import chunks, i_match, ngram_model, piece_sampling, token_files
+from lakeops.llm import chunks, i_match, ngram_model, piece_lattice, piece_sampling, token_files
 from lakeops.llm.byte_bpe import Encoder
 from lakeops.llm.chunks import buckets_of
 from lakeops.llm.hashing import mixed
@@ -241,6 +241,29 @@ def segmentations(lat, node=0):
     return [((int(lat.piece[e]), *s), lat.log_p[e] + p) for e in range(lat.at[node], lat.at[node + 1]) for s, p in segmentations(lat, lat.end[e])]
 
 
+@pytest.mark.parametrize("bits", [3, 18])
+def test_pieces_are_found_by_leading_bits(monkeypatch, bits):
+    import sentencepiece
+
+    monkeypatch.setattr(piece_lattice, "SIEVE_BITS", bits)
+    pieces = piece_lattice.Pieces(PIECES, 0.2)
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    known = {model.id_to_piece(i): i for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))}
+    texts = [SPACE + "internationalisation", "x", "日本語のテキスト", SPACE + "the", SPACE * 9, "zq" * 30, "\n"]
+    lat = Lattices(texts, pieces)
+    at = 0
+    for k, t in enumerate(texts):
+        for i in range(len(t)):
+            node = lat.first[k] + i
+            edges = range(lat.at[node], lat.at[node + 1])
+            want = [(n, known[t[i : i + n]]) for n in range(len(t) - i, 0, -1) if t[i : i + n] in known]
+            assert [(lat.end[e] - node, lat.piece[e]) for e in edges] == (want if want and want[-1][0] == 1 else [*want, (1, -1)])
+            assert np.exp(lat.log_p[lat.at[node] : lat.at[node + 1]]).sum() == pytest.approx(1) and (lat.char[list(edges)] == at).all()
+            at += 1
+    hashes = np.array([pieces.tables[0][0][0]] * 3, np.uint64)
+    assert pieces.find(pieces.lengths[0], hashes, np.array([True, False, True]))[0].tolist() == [0, 2]
+
+
 def test_draws_follow_the_lattice(pieces):
     n, text = 20000, "thing"
     known = {s: math.exp(p) for s, p in segmentations(Lattices([SPACE + text], pieces))}
