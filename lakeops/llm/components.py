@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.session import materialize
+from lakeops.session import materialize_small
 
 JUMPS = 2
 
@@ -20,24 +20,24 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) for all nodes of edges (a, b); the component is its least node."""
     edges = edges.select("a", "b").where("a != b")
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    links = materialize(both.distinct(), "component-links")
+    links = materialize_small(both.distinct(), "component-links")
     labels = None
     while not links.isEmpty():
-        parents = materialize(links.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("parent")), "component-parents")
+        parents = materialize_small(links.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("parent")), "component-parents")
         up = parents.select(F.col("a").alias("parent"), F.col("parent").alias("grand"))
         for _ in range(JUMPS):
             parents = parents.join(up, "parent").select("a", F.col("grand").alias("parent"))
-        parents = materialize(parents, "component-parents")
+        parents = materialize_small(parents, "component-parents")
         if labels is None:
             labels = parents.select(F.col("a").alias("node"), F.col("parent").alias("component"))
         else:
             named = parents.select(F.col("a").alias("component"), F.col("parent").alias("new"))
             labels = labels.join(named, "component", "left").select("node", F.coalesce("new", "component").alias("component"))
-            labels = materialize(labels, "component-labels")
+            labels = materialize_small(labels, "component-labels")
         a = parents.select("a", F.col("parent").alias("na"))
         b = parents.select(F.col("a").alias("b"), F.col("parent").alias("nb"))
         links = links.join(a, "a").join(b, "b").where("na != nb").select(F.col("na").alias("a"), F.col("nb").alias("b")).distinct()
-        links = materialize(links, "component-links")
+        links = materialize_small(links, "component-links")
     if labels is None:
         return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return labels

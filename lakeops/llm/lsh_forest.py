@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from lakeops.llm.components import components
 from lakeops.llm.hashing import Words, factors, mixed, runs
 from lakeops.llm.ranges import known_key, real_key
-from lakeops.session import materialize
+from lakeops.session import materialize, materialize_small
 
 VALUE_BYTES = 2
 #: Characters of text whose words are held at once.
@@ -203,21 +203,21 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80, i
     forest = materialize(sorted_orders(classes, shape), "forest-neighbours")
 
     near = forest.where(F.col("shared") >= shape.least_depth)
-    company = materialize(near.select("node").union(near.select("before")).distinct(), "forest-company")
+    company = materialize_small(near.select("node").union(near.select("before")).distinct(), "forest-company")
     sets = materialize(full_sets(documents, classes.join(company, "node", "left_semi"), shingle, id_col, text_col), "forest-sets")
     adjacent = near.where(may_link("n", "before_n", percent)).select("tree", *ordered_pair("node", "before"))
-    tested = materialize(adjacent.where(F.col("tree") < shape.first_trees).select("a", "b").distinct(), "forest-pairs")
-    links = materialize(linked(tested, sets, percent), "forest-links").unionByName(classes_of_one_id(filled))
+    tested = materialize_small(adjacent.where(F.col("tree") < shape.first_trees).select("a", "b").distinct(), "forest-pairs")
+    links = materialize_small(linked(tested, sets, percent), "forest-links").unionByName(classes_of_one_id(filled))
     joined = components(links)
-    more = materialize(apart(adjacent.where(F.col("tree") >= shape.first_trees).select("a", "b").distinct(), joined), "forest-pairs")
+    more = materialize_small(apart(adjacent.where(F.col("tree") >= shape.first_trees).select("a", "b").distinct(), joined), "forest-pairs")
     if not more.isEmpty():
-        links = links.unionByName(materialize(linked(more, sets, percent), "forest-links"))
+        links = links.unionByName(materialize_small(linked(more, sets, percent), "forest-links"))
         tested, joined = tested.unionByName(more), components(links)
     rows = forest.join(company, "node", "left_semi").select("tree", "key", "node", "n")
     # all pairs of different components that share a region are settled here, so a second round would find none
-    pairs = materialize(cross_pairs(rows, joined, sets, shape, percent).join(tested, ["a", "b"], "left_anti"), "forest-pairs")
+    pairs = materialize_small(cross_pairs(rows, joined, sets, shape, percent).join(tested, ["a", "b"], "left_anti"), "forest-pairs")
     if not pairs.isEmpty():
-        links = links.unionByName(materialize(linked(pairs, sets, percent), "forest-links"))
+        links = links.unionByName(materialize_small(linked(pairs, sets, percent), "forest-links"))
         joined = components(links)
     return named(signed, filled, joined)
 
@@ -257,14 +257,14 @@ def cross_pairs(rows: DataFrame, joined: DataFrame, sets: DataFrame, shape: Shap
     sizes = rows.groupBy("tree", "region", "component").agg(F.count("*").alias("m"))
     sizes = sizes.groupBy("tree", "region").agg(F.sum("m").alias("members"), F.sum(F.col("m") * F.col("m")).alias("inside"), F.count("*").alias("parts"), F.max_by("component", F.struct("m", "component")).alias("main"))
     sizes = sizes.where("parts > 1").withColumn("fits", (F.col("members") * F.col("members") - F.col("inside")) / 2 <= shape.width * F.col("members"))
-    rows = materialize(rows.join(sizes.select("tree", "region", "fits", "main"), ["tree", "region"]), "forest-regions")
+    rows = materialize_small(rows.join(sizes.select("tree", "region", "fits", "main"), ["tree", "region"]), "forest-regions")
     few = rows.where("fits")
     # one of each pair is outside the region's largest component, so a joined region is gone through for the others only
     left = few.where("component != main").select("tree", "region", "node", "n", "component")
     right = few.select("tree", "region", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("component").alias("other_component"))
     pairs = left.join(right, ["tree", "region"]).where((F.col("component") != F.col("other_component")) & may_link("n", "other_n", percent))
     pairs = pairs.select(*ordered_pair("node", "other"))
-    full = materialize(rows.where("NOT fits").groupBy("node", "component").agg(F.max(F.col("component") != F.col("main")).alias("outside")), "forest-full")
+    full = materialize_small(rows.where("NOT fits").groupBy("node", "component").agg(F.max(F.col("component") != F.col("main")).alias("outside")), "forest-full")
     return (pairs if full.isEmpty() else pairs.unionByName(prefix_pairs(full, sets, percent))).distinct()
 
 

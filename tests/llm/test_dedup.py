@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 from compare import connect, difference
 
 from lakeops.llm import line_dedup, lsh_forest, substring_dedup, suffix_dedup
@@ -219,6 +220,19 @@ def test_full_regions_bring_together_what_can_link(spark, words):
     assert len(joins) == 2 and all("place" in x for x in joins)
 
 
+def test_small_tables_come_in_few_files(spark):
+    links = spark.range(1000).select((F.col("id") - F.col("id") % 2).alias("a"), F.col("id").alias("b")).repartition(300, "b")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "150")
+    try:
+        out = components(links)
+        assert len(out.inputFiles()) <= 4 * spark.sparkContext.defaultParallelism
+        assert sorted(tuple(r) for r in out.collect()) == [(k, k - k % 2) for k in range(1000)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_texts_come_in_stretches(monkeypatch):
     monkeypatch.setattr(lsh_forest, "STRETCH_CHARS", 100)
     b = pd.DataFrame({"doc": range(50), "text": ["x" * (k * 37 % 90) for k in range(49)] + ["y" * 500]})
