@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from lakeops.llm.components import components
 from lakeops.llm.hashing import Words, factors, mixed, runs
 from lakeops.llm.ranges import known_key, real_key
-from lakeops.session import materialize, materialize_small
+from lakeops.session import materialize, materialize_small, small_batches
 
 VALUE_BYTES = 2
 #: Characters of text whose words are held at once.
@@ -195,7 +195,12 @@ def ordered_pair(a: str, b: str) -> list:
 
 def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", shape: Shape | None = None) -> DataFrame:
     """Per document: doc_id, n_shingles, class_id (least id with an equal set), component_id (least id reachable), kept."""
-    shape = shape or Shape.reaching(percent)
+    with small_batches(documents.sparkSession):
+        return grouped(documents, shingle, percent, id_col, text_col, shape or Shape.reaching(percent))
+
+
+def grouped(documents: DataFrame, shingle: int, percent: int, id_col: str, text_col: str, shape: Shape) -> DataFrame:
+    """The rows of `near_duplicates`; all that Python works on is written when this is called."""
     signed = materialize(signatures(documents, shingle, shape, id_col, text_col), "forest-signatures")
     filled = signed.where("n > 0").withColumn("node", F.xxhash64("set_key"))
     # one row per class: its node in the graph, its least document, and that document's signature

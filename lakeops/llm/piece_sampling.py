@@ -22,6 +22,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +32,8 @@ from lakeops.llm.piece_lattice import SPACE, WORD, Lattices, Pieces
 from lakeops.llm.ranges import known_key, real_key
 
 #: Characters searched at once: each takes some hundred bytes of edges, draws and paths.
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 250_000
+RESULT = pa.schema({"doc_id": pa.int64(), "rank": pa.int32(), "n_pieces": pa.int64(), "ids": pa.binary(), "ids_crc32": pa.int64(), "log_prob": pa.float64(), "log_inclusion": pa.float64(), "decodes": pa.bool_()})
 SALTS = factors(6, 71)
 FIRST_NODES = 96
 MOST_NOISE = 38.0  # -log(-log(u)) for the greatest u below 1
@@ -310,25 +313,31 @@ def sample_texts(keys: np.ndarray, texts: list[str], pieces: Pieces, written: Wr
     return pd.concat(frames)
 
 
+def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in stretches of some `BATCH_CHARS` of text, one row at least; nothing is copied."""
+    for b in batches:
+        part = np.cumsum(pc.utf8_length(b["text"]).to_numpy().astype(np.int64)) // BATCH_CHARS
+        starts = np.flatnonzero(np.diff(part, prepend=-1))
+        for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(part)], strict=False):
+            yield b.slice(s, e - s)
+
+
 def segmentations(documents: DataFrame, vocabulary: str, samples: int = 2, alpha: float = 0.2, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document and rank: doc_id, rank, n_pieces, ids (little-endian 16-bit), ids_crc32, log_prob, log_inclusion, decodes."""
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(vocabulary, alpha)
         written = Written(pieces)
-        for b in batches:
-            ends = np.cumsum(b["text"].str.len().to_numpy())
-            part = ends // BATCH_CHARS
-            for _, some in b.groupby(part):
-                ids = some["doc"].to_numpy(np.int64)
-                keys = mixed((ids.view(np.uint64) + np.uint64(seed) * SALTS[1]) * SALTS[2])
-                out = sample_texts(keys, some["text"].tolist(), pieces, written, samples)
-                out.insert(0, "doc_id", ids[out["at"].to_numpy()])
-                out["ids_crc32"] = [zlib.crc32(x) for x in out["ids"]]
-                yield out[["doc_id", "rank", "n_pieces", "ids", "ids_crc32", "log_prob", "log_inclusion", "decodes"]]
+        for some in stretches(batches):
+            ids = some["doc"].to_numpy()
+            keys = mixed((ids.view(np.uint64) + np.uint64(seed) * SALTS[1]) * SALTS[2])
+            out = sample_texts(keys, some["text"].to_pylist(), pieces, written, samples)
+            out.insert(0, "doc_id", ids[out["at"].to_numpy()])
+            out["ids_crc32"] = [zlib.crc32(x) for x in out["ids"]]
+            yield pa.RecordBatch.from_pandas(out[RESULT.names], RESULT, preserve_index=False)
 
     docs = documents.select(known_key(F.col(id_col)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    out = docs.mapInPandas(rows, "doc_id bigint, rank int, n_pieces bigint, ids binary, ids_crc32 bigint, log_prob double, log_inclusion double, decodes boolean")
+    out = docs.mapInArrow(rows, "doc_id bigint, rank int, n_pieces bigint, ids binary, ids_crc32 bigint, log_prob double, log_inclusion double, decodes boolean")
     return out.withColumn("doc_id", real_key(F.col("doc_id")))
 
 

@@ -6,6 +6,8 @@ from hashlib import sha256
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -306,3 +308,23 @@ def test_segmentation_query(spark):
     assert got.where("NOT decodes").count() == 0
     assert got.where("rank = 0").count() == spark.read.parquet(f"{SF}/documents.parquet").count()
     assert got.groupBy("doc_id").agg(F.countDistinct("ids_crc32").alias("n"), F.count("*").alias("m")).where("n < m").count() == 0
+
+
+def test_segmentations_go_by_slices_of_batches(spark, frame, words, monkeypatch):
+    """Few characters at a time, cut out of the batch without a copy; draws don't depend on the cuts."""
+    texts = ["x" * (k * 37 % 90) for k in range(49)] + ["y" * 500]
+    b = pa.RecordBatch.from_pydict({"doc": range(50), "text": texts})
+    monkeypatch.setattr(piece_sampling, "BATCH_CHARS", 100)
+    some = list(piece_sampling.stretches(iter([b, b[:0], b[:1]])))
+    assert [x for s in some for x in s["doc"].to_pylist()] == [*range(50), 0]
+    assert len(some) > 10 and max(len("".join(s["text"].to_pylist()[:-1])) for s in some) < 200
+    assert some[1]["text"].buffers()[2].address == some[0]["text"].buffers()[2].address
+
+    keys = np.arange(20, dtype=np.uint64)
+    rows = [" ".join(words(30, 300 + k)) for k in range(20)]
+    known = piece_sampling.pieces_of(PIECES, 0.2)
+    whole, parts = [
+        pd.concat([piece_sampling.sample_texts(keys[s:e], rows[s:e], known, piece_sampling.Written(known), 2).assign(at=lambda x, s=s: x["at"] + s) for s, e in cuts]).sort_values(["at", "rank"])
+        for cuts in ([(0, 20)], [(0, 7), (7, 8), (8, 20)])
+    ]
+    assert whole["ids"].tolist() == parts["ids"].tolist() and np.allclose(whole["log_inclusion"], parts["log_inclusion"])

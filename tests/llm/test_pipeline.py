@@ -6,6 +6,7 @@ import pyarrow as pa
 from test_dedup import groups_of, kept_lines
 from test_rules_and_mixing import WORD, counted
 
+from lakeops import session
 from lakeops.llm import lsh_forest, quality_rules
 from lakeops.llm.queries import ORACLES, QUERIES
 
@@ -110,3 +111,30 @@ def test_pipeline_of_an_empty_table(spark):
         empty = stage(spark, empty, SF)
     assert empty.count() == 0
     assert quality_rules.MIN_WORDS == 50
+
+
+def test_rows_go_to_python_by_bytes(spark, frame, words, monkeypatch):
+    """However long rows are, Python gets few bytes at once: in near-dedup, and in the stages run after they return."""
+    default = spark.conf.get(session.ARROW_BYTES)
+    seen, linked = [], lsh_forest.linked
+
+    def noted(pairs, *more):
+        seen.append(spark.conf.get(session.ARROW_BYTES))
+        return linked(pairs, *more)
+
+    monkeypatch.setattr(lsh_forest, "linked", noted)
+    docs = frame([(k, " ".join(words(60, 7)) + " x" * (k % 3)) for k in range(6)])
+    lsh_forest.near_duplicates(docs)
+    assert seen and set(seen) == {str(session.BATCH_BYTES)} and spark.conf.get(session.ARROW_BYTES) == default
+
+    sizes = lambda batches: (b.select([]).append_column("n", [[b.nbytes] * b.num_rows]) for b in batches)
+    try:
+        for name in ("line dedup", "segmentations"):
+            spark.conf.set(session.ARROW_BYTES, default)
+            stage = dict(corpus_pipeline.STAGES)[name]
+            stage(spark, docs.select("doc_id", "text", "lang", "source", "n_chars"), SF)
+            assert spark.conf.get(session.ARROW_BYTES) == str(session.BATCH_BYTES)
+        long = spark.range(0, 2000, 1, 1).selectExpr("id", "repeat('x', 10000) AS text")
+        assert 0 < long.mapInArrow(sizes, "n long").groupBy().max("n").first()[0] <= 2 * session.BATCH_BYTES
+    finally:
+        spark.conf.set(session.ARROW_BYTES, default)
