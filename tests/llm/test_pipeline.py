@@ -127,7 +127,7 @@ def test_rows_go_to_python_by_bytes(spark, frame, words, monkeypatch):
     lsh_forest.near_duplicates(docs)
     assert seen and set(seen) == {str(session.BATCH_BYTES)} and spark.conf.get(session.ARROW_BYTES) == default
 
-    sizes = lambda batches: (b.select([]).append_column("n", [[b.nbytes] * b.num_rows]) for b in batches)
+    sizes = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes] * b.num_rows}) for b in batches)
     try:
         for name in ("line dedup", "segmentations"):
             spark.conf.set(session.ARROW_BYTES, default)
