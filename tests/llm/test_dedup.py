@@ -137,6 +137,17 @@ def test_suffix_query_by_brute_force(spark):
     assert got == sorted(kept_bytes(rows, 400))
 
 
+def test_planted_passages_go_from_400_bytes_on(frame, words):
+    """Passages of 51 to 120 words, each in two documents: those shorter than 400 bytes stay, as the contract's length says."""
+    passages = [" ".join(words(n, 1000 + n)) for n in range(51, 121, 3)]
+    rows = [(2 * k + i, " ".join(words(30, 2000 + 2 * k + i)) + " " + "ab"[i] + p + "cd"[i] + " " + " ".join(words(30, 3000 + 2 * k + i))) for k, p in enumerate(passages) for i in (0, 1)]
+    out = suffix_dedup.removed_bytes(frame(rows), length=400)
+    got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out.collect())
+    assert got == sorted(kept_bytes(rows, 400))
+    assert [r[2] for r in got] == [len(p) if len(p) >= 400 else 0 for p in passages for _ in (0, 1)]
+    assert 0 < sum(len(p) < 400 for p in passages) < len(passages)
+
+
 @pytest.mark.parametrize("text", [b"", b"a", b"aaaa", b"banana", b"mississippi", b"abcabcabcab" * 9, bytes(range(256)) * 2, b"ba" * 50 + b"b"])
 def test_suffix_arrays(text):
     want = sorted(range(len(text)), key=lambda i: text[i:])
