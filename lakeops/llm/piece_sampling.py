@@ -17,7 +17,6 @@ Edge cases: NULL and empty texts have one segmentation, no pieces, log-probabili
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm.hashing import factors, mixed
-from lakeops.llm.piece_lattice import SPACE, WORD, Lattices, Pieces
+from lakeops.llm.piece_lattice import SPACE, Known, Pieces, words_of
 from lakeops.llm.ranges import known_key, real_key
 
 #: Characters searched at once: each takes some hundred bytes of edges, draws and paths.
@@ -84,13 +83,11 @@ class Batch:
     """The words of some texts: `kind` gives each word's lattice, `starts` each text's first word."""
 
     def __init__(self, texts: list[str], pieces: Pieces):
-        lists = [WORD.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        place: dict[str, int] = defaultdict()
-        place.default_factory = place.__len__
-        self.kind = np.array([place[w] for x in lists for w in x], np.int64)
-        self.starts = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
+        words, which, counts = words_of(texts)
+        self.kind = pieces.known.codes(words, pieces)[which]
+        self.starts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
         self.doc = np.repeat(np.arange(len(texts)), np.diff(self.starts))
-        self.lattices = Lattices(list(place), pieces) if place else None
+        self.lattices = pieces.known if len(self.kind) else None
 
     def walk(self, word: np.ndarray, node: np.ndarray, keys: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
         """Edges drawn from `node` to the end of each of the words, in order: (index into `word`, edge)."""
@@ -100,6 +97,7 @@ class Batch:
         seed = hashed(np.uint64(0), 0, mixed(keys[doc] + place.astype(np.uint64) * SALTS[0]), number)
         which, edges, steps = [], [], []
         on, step = np.flatnonzero(~lat.done[node]), 0
+        on = on[np.argsort(node[on])]  # equal words one after the other
         node = node[on]
         while len(on):
             u = spread(hashed(seed[on], 2, step))
@@ -208,7 +206,7 @@ def search(batch: Batch, keys: np.ndarray, samples: int) -> list[dict]:
             mine = np.flatnonzero(there & (parent == q))
             a = at[mine]
             taken[mine], prefix[mine], index[mine] = p.edge[a], p.before[a], a - p.starts[mine]
-            nodes[mine] = np.searchsorted(lat.at, p.edge[a], side="right") - 1
+            nodes[mine] = lat.nodes_of(p.edge[a])
         # which of the edges not taken yet continues: the greatest with noise, among the node's edges
         used = [taken] + [np.where((b["parent"] == parent) & (b["index"] == index), b["edge"], -1) for b in branches]
         chosen, top, left = np.full(docs, -1, np.int64), np.full(docs, -np.inf), np.zeros(docs)
@@ -267,7 +265,7 @@ class Written:
         self.flat = np.frombuffer(b"".join(pieces.raw), np.uint8)
         self.first = np.cumsum(self.sizes) - self.sizes
 
-    def ids(self, lat: Lattices, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def ids(self, lat: Known, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the edges' pieces, and how many each edge has; a character without a piece is its bytes."""
         piece = lat.piece[edges]
         odd = np.flatnonzero(piece < 0)

@@ -288,6 +288,45 @@ def test_all_segmentations_of_a_short_text(pieces):
     assert dict(zip(map(lambda x: tuple(np.frombuffer(x, "<u2").tolist()), r["ids"]), r["log_prob"], strict=True)) == pytest.approx(dict(every), abs=1e-6)
 
 
+def cut(text):
+    """The words of a text as the lattices' pattern says."""
+    return piece_lattice.WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
+
+
+def test_words_of_texts(odd):
+    texts = [t[1] or "" for t in odd] + ["", " a", "a ", "a  b", "a\n\nb", "\n", "\na \n b\n", f"a{SPACE}b", " ", "\t a\r\n"]
+    different, which, counts = piece_lattice.words_of(texts)
+    assert [different[k] for k in which] == [w for t in texts for w in cut(t)] and len(set(different)) == len(different)
+    assert counts.tolist() == [len(cut(t)) for t in texts]
+
+
+def test_lattices_of_common_words_are_made_once(words, monkeypatch):
+    """Words of a second batch are remembered; results are those of lattices made anew, also when all are forgotten."""
+    made, make = [], piece_lattice.Lattices
+    monkeypatch.setattr(piece_lattice, "Lattices", lambda w, p: (made.append(list(w)), make(w, p))[1])
+    keys = np.arange(12, dtype=np.uint64)
+    batches = [[" ".join(words(60, 12 * b + k, 400)) for k in range(12)] for b in range(6)]
+
+    def results(pieces):
+        return [piece_sampling.sample_texts(keys, b, pieces, piece_sampling.Written(pieces), 3) for b in batches]
+
+    pieces = piece_lattice.Pieces(PIECES, 0.2)
+    one = results(pieces)
+    different = {w for b in batches for t in b for w in cut(t)}
+    assert sum(map(len, made)) <= 2 * len(different) and set(pieces.known.place) <= different
+    assert all(len(set(m)) == len(m) for m in made)
+    made.clear()
+    again = results(pieces)
+    assert not made
+    monkeypatch.setattr(piece_lattice, "REMEMBERED_CHARS", 300)
+    forgetful = piece_lattice.Pieces(PIECES, 0.2)
+    anew = results(forgetful)
+    for a, b, c in zip(one, again, anew, strict=True):
+        assert a["ids"].tolist() == b["ids"].tolist() == c["ids"].tolist() and a["decodes"].all()
+        assert np.allclose(a["log_prob"], b["log_prob"]) and np.allclose(a["log_inclusion"], c["log_inclusion"])
+    assert len(forgetful.known.place) < len(pieces.known.place)
+
+
 def test_segmentations_decode(spark, frame, odd):
     import sentencepiece
 
