@@ -37,6 +37,21 @@ def test_encoder_equals_library(odd):
         assert e.encode(t or "").tolist() == e.tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
+def test_encoder_learns_each_unit_once(odd, monkeypatch):
+    """Equal units of a call are looked up once, whatever the texts around them, and keep their places in order."""
+    e = Encoder(BPE)
+    learnt = []
+    learn = Encoder.learn
+    monkeypatch.setattr(Encoder, "learn", lambda self, units: (learnt.extend(units), learn(self, units))[1])
+    texts = [t[1] or "" for t in odd] + ["", " a b", "a\nb", "\nb", "a  b\t", "b", "word, (word) 'word' don't word- x_y 3a a3 naïve.", "<|endoftext|>"] * 3
+    for _ in range(2):
+        ids, counts = e.encode_all(texts)
+        parts = np.split(ids, np.cumsum(counts)[:-1])
+        assert [p.tolist() for p in parts] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(learnt) == len(set(learnt)) == len(e.place)
+    assert [x.tolist() for x in e.encode_all(["", ""])] == [[], [0, 0]] and [len(x) for x in e.encode_all([])] == [0, 0]
+
+
 def test_token_files_round_trip(spark, frame, odd):
     path = scratch_path(spark, "test-tokens")
     token_files.write(frame(odd), path, BPE, 2, block_bytes=3000)
